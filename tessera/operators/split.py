@@ -1,18 +1,19 @@
 """Deterministic, order-independent splits with exact sizes.
 
-A naive exact split needs a global ``row_number()``, i.e. one task sorting
-every row. Here the global rank is assembled from independent pieces:
-
-1. ``h = md5(id ':' seed)`` gives a uniform, reproducible order;
-2. a short hex prefix of ``h`` names one of at most ``16**prefix_len``
-   buckets; bucket counts are a small aggregate (bounded by the bucket
-   count, so it is safe to broadcast);
-3. an exclusive running sum over that small table gives each bucket's offset;
-4. ``row_number()`` *within* a bucket (partitioned window) plus the offset is
-   exactly the global rank over ``(h, id)``.
-
-Cut points are ``floor(fraction * n)`` in double arithmetic, as in Python's
-``int(0.8 * n)``.
+Rows are ordered by ``key = (md5(id ':' seed), id)`` - uniform, reproducible,
+independent of input order - and the first ``floor(f * n)`` keys form the
+first split. Materialising a global rank would sort every row in one task,
+so instead each cut point is located as a *key*:
+
+1. a hex prefix of the hash names one of ``16**prefix_len`` buckets; the
+   per-bucket counts are a small aggregate (map-side combined);
+2. a running sum over that bucket table finds the one bucket holding rank
+   ``k`` and the rank at which it starts;
+3. only that bucket's rows are ordered to pick the key at rank ``k``.
+
+Every row is then tagged by comparing its key with the cut keys - a narrow,
+map-side expression, no shuffle of the data. All scalars enter the plan as
+scalar subqueries, nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -27,53 +28,59 @@ def split_hash(id_col: Column, seed: int | str) -> Column:
     return F.md5(F.concat_ws(":", id_col.cast("string"), F.lit(str(seed))))
 
 
-def exact_rank(df: DataFrame, id_col: str, seed: int | str = 42, prefix_len: int = 4,
-               rank_col: str = "_rank", total_col: str = "_n") -> DataFrame:
-    """Add the global 0-based rank over ``(md5(id:seed), id)`` and the row total."""
-    h = split_hash(F.col(id_col), seed)
-    keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, prefix_len))
-    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    # Bounded by 16**prefix_len rows: one small window, broadcast back.
-    w_all = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_b",
-        F.coalesce(F.sum("_cnt").over(w_all), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias(total_col),
-    )
-    w_b = Window.partitionBy("_b").orderBy("_h", F.col(id_col).cast("string"))
-    ranked = keyed.withColumn("_rn", F.row_number().over(w_b))
-    out = ranked.join(F.broadcast(offsets), "_b")
-    return (out.withColumn(rank_col, F.col("_off") + F.col("_rn") - 1)
-               .drop("_h", "_b", "_rn", "_off"))
+def _keyed(df: DataFrame, id_col: Column, seed, prefix_len: int) -> DataFrame:
+    h = split_hash(id_col, seed)
+    return df.withColumn("_h", h).withColumn("_id", id_col.cast("string")) \
+             .withColumn("_b", F.substring("_h", 1, prefix_len))
+
+
+def bucket_counts(keyed: DataFrame) -> DataFrame:
+    return keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+
+
+def key_at_rank(keyed: DataFrame, k: Column, counts: DataFrame | None = None) -> Column:
+    """Scalar subquery: ``struct(_h, _id)`` at 0-based rank ``k`` (NULL if k >= n)."""
+    counts = counts if counts is not None else bucket_counts(keyed)
+    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = counts.select("_b", "_cnt", F.sum("_cnt").over(w).alias("_end"))  # <= 16**prefix rows
+    bound = cum.where(((F.col("_end") - F.col("_cnt")) <= k) & (k < F.col("_end"))) \
+               .select("_b", (F.col("_end") - F.col("_cnt")).alias("_start"))
+    b_star = bound.select("_b").scalar()
+    start = bound.select("_start").scalar()
+    inb = keyed.where(F.col("_b") == b_star).select("_h", "_id")
+    ranked = inb.withColumn("_r", F.row_number().over(Window.orderBy("_h", "_id")) - 1 + start)
+    return ranked.where(F.col("_r") == k).select(F.struct("_h", "_id")).scalar()
 
 
 def exact_hash_split(df: DataFrame, id_col: str, fractions: Sequence[float] = (0.8, 0.1),
                      names: Sequence[str] = ("train", "val", "test"), seed: int | str = 42,
                      split_col: str = "split", prefix_len: int = 4) -> DataFrame:
-    """Tag each row with a split name; sizes are ``floor(f * n)`` for all but the last."""
+    """Tag rows with split names; sizes are ``floor(f * n)`` for all but the last."""
     assert len(names) == len(fractions) + 1
-    ranked = exact_rank(df, id_col, seed, prefix_len)
-    n = F.col("_n").cast("double")
+    keyed = _keyed(df, F.col(id_col), seed, prefix_len)
+    counts = bucket_counts(keyed)
+    n = counts.agg(F.sum("_cnt")).scalar().cast("double")
+    key = F.struct("_h", "_id")
     cut = F.lit(0).cast("long")
     expr = None
     for name, frac in zip(names[:-1], fractions):
         cut = cut + F.floor(F.lit(float(frac)) * n).cast("long")
-        cond = F.col("_rank") < cut
+        thr = key_at_rank(keyed, cut, counts)
+        cond = F.coalesce(key < thr, F.lit(True))  # NULL cut key: every row ranks below it
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     expr = expr.otherwise(F.lit(names[-1]))
-    return ranked.withColumn(split_col, expr).drop("_rank", "_n")
+    return keyed.withColumn(split_col, expr).drop("_h", "_id", "_b")
 
 
 def stratified_split(df: DataFrame, id_col: str, by: str, test_fraction: float = 0.2,
-                     seed: int | str = 42, split_col: str = "split") -> DataFrame:
-    """Per-class exact split: the first ``floor(f * n_class)`` rows by hash are test.
+                     seed: int | str = 42, split_col: str = "split", prefix_len: int = 3) -> DataFrame:
+    """Per-class exact split: the first ``floor(f * n_class)`` rows by hash key are test.
 
-    The window is partitioned by class *and* hash bucket, so a dominant class
-    is spread over many tasks; per-(class, bucket) offsets come from a small
-    aggregate, exactly as in ``exact_rank``.
+    The ranking window is partitioned by class *and* hash bucket, so a class
+    holding most rows is still spread over ``16**prefix_len`` tasks; the
+    per-(class, bucket) offsets come from a small aggregate.
     """
-    h = split_hash(F.col(id_col), seed)
-    keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, 3))
+    keyed = _keyed(df, F.col(id_col), seed, prefix_len)
     counts = keyed.groupBy(by, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w_prev = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -81,9 +88,9 @@ def stratified_split(df: DataFrame, id_col: str, by: str, test_fraction: float =
         F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy(by)).alias("_nc"),
     )
-    w = Window.partitionBy(by, "_b").orderBy("_h", F.col(id_col).cast("string"))
+    w = Window.partitionBy(by, "_b").orderBy("_h", "_id")
     ranked = keyed.withColumn("_rn", F.row_number().over(w)).join(offsets, [by, "_b"])
     rank = F.col("_off") + F.col("_rn") - 1
     n_test = F.floor(F.lit(float(test_fraction)) * F.col("_nc").cast("double"))
     return (ranked.withColumn(split_col, F.when(rank < n_test, F.lit("test")).otherwise(F.lit("train")))
-                  .drop("_h", "_b", "_rn", "_off", "_nc"))
+                  .drop("_h", "_id", "_b", "_rn", "_off", "_nc"))
