@@ -36,6 +36,9 @@ def get_session(master: str | None = None, app: str = "tessera", shuffle_partiti
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
     b = b.config("spark.ui.enabled", "false")
+    if master and master.startswith("local"):
+        # local mode runs everything in the driver JVM
+        b = b.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
