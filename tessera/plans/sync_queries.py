@@ -1 +1,265 @@
-"""Registered queries (filled in below)."""
+"""Replication, document composition, embedding and vector queries."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tessera.functions import text as T
+from tessera.operators import joins as J
+from tessera.operators import sync as Y
+from tessera.operators import vectors as V
+from tessera.operators.udf import embed, hashing_embedder
+from tessera.plans.registry import register
+from tessera.session import checkpoint_root
+from tessera.sources import files as FS
+from tessera.sources.tables import Tables
+from tessera.streaming.sync_stream import sync_stream
+
+# events stand in for a tracked table: pk (user_id, event_type), tracking column ts.
+PK = ("user_id", "event_type")
+ORDER = ("ts", "event_id")
+WATERMARK = "2024-01-15 00:00:00"
+CEILING = "2024-01-20 00:00:00"
+LOOKBACK_S = 300
+
+_LATEST = """arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts, arg_max(value, (ts, event_id)) AS value,
+       arg_max(props, (ts, event_id)) AS props"""
+_SYNCED_SQL = f"""
+WITH base AS (SELECT user_id, event_type, {_LATEST} FROM events
+              WHERE ts < TIMESTAMP '{WATERMARK}' GROUP BY user_id, event_type),
+ch AS (SELECT user_id, event_type, {_LATEST} FROM events
+       WHERE ts >= TIMESTAMP '{WATERMARK}' - INTERVAL {LOOKBACK_S} SECOND AND ts < TIMESTAMP '{CEILING}'
+       GROUP BY user_id, event_type)
+SELECT b.user_id, b.event_type, b.event_id, b.ts, b.value, b.props FROM base b
+WHERE NOT EXISTS (SELECT 1 FROM ch WHERE ch.user_id = b.user_id AND ch.event_type = b.event_type)
+UNION ALL SELECT user_id, event_type, event_id, ts, value, props FROM ch"""
+
+
+def _cols(df):
+    return df.select("user_id", "event_type", "event_id", "ts", "value", "props")
+
+
+@register("incremental_extract", sql=f"""
+SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE ts >= TIMESTAMP '{WATERMARK}' - INTERVAL {LOOKBACK_S} SECOND AND ts < TIMESTAMP '{CEILING}'""")
+def q_incremental_extract(spark, sf_dir):
+    e = Tables(spark, sf_dir).events
+    return Y.incremental_extract(e, "ts", WATERMARK, CEILING, LOOKBACK_S) \
+            .select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@register("dedupe_changes", sql=f"""
+SELECT user_id, event_type, {_LATEST} FROM events
+WHERE ts >= TIMESTAMP '{WATERMARK}' - INTERVAL {LOOKBACK_S} SECOND AND ts < TIMESTAMP '{CEILING}'
+GROUP BY user_id, event_type""")
+def q_dedupe_changes(spark, sf_dir):
+    e = Tables(spark, sf_dir).events
+    ch = Y.incremental_extract(e, "ts", WATERMARK, CEILING, LOOKBACK_S)
+    return _cols(Y.dedupe_changes(ch, PK, ORDER))
+
+
+@register("upsert_events", sql=_SYNCED_SQL)
+def q_upsert_events(spark, sf_dir):
+    """Plan-only upsert: full copy up to the watermark, then the incremental window."""
+    e = Tables(spark, sf_dir).events
+    base = Y.dedupe_changes(Y.incremental_extract(e, "ts", None, WATERMARK), PK, ORDER)
+    ch = Y.dedupe_changes(Y.incremental_extract(e, "ts", WATERMARK, CEILING, LOOKBACK_S), PK, ORDER)
+    return _cols(Y.upsert(_cols(base), ch, PK))
+
+
+@register("sync_batch_events", sql=_SYNCED_SQL)
+def q_sync_batch_events(spark, sf_dir):
+    """Two real sync runs into a versioned table with a committed watermark store."""
+    root = f"{checkpoint_root(spark)}/sync-{uuid.uuid4().hex[:10]}"
+    e = Tables(spark, sf_dir).events
+    target = Y.VersionedTable(spark, f"{root}/events")
+    store = Y.WatermarkStore(spark, f"{root}/_watermarks")
+    r1 = Y.sync_table(spark, e, target, store, "events", PK, "ts", WATERMARK, "run0001", ["event_id"], LOOKBACK_S)
+    r2 = Y.sync_table(spark, e, target, store, "events", PK, "ts", CEILING, "run0002", ["event_id"], LOOKBACK_S)
+    if Y.run_status([r1, r2]) != "ok":
+        raise RuntimeError(f"sync failed: {r1} {r2}")
+    return _cols(target.read())
+
+
+@register("sync_stream_events", sql=_SYNCED_SQL)
+def q_sync_stream_events(spark, sf_dir):
+    """Structured Streaming catch-up (availableNow) over change files; equals the batch result."""
+    root = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex[:10]}"
+    e = Tables(spark, sf_dir).events
+    target = Y.VersionedTable(spark, f"{root}/events")
+    # initial full copy up to the watermark
+    base = _cols(Y.dedupe_changes(Y.incremental_extract(e, "ts", None, WATERMARK), PK, ORDER))
+    target.write_version(base, "initial")
+    target.publish("initial")
+    # the change feed lands as several files; the stream consumes one per trigger
+    changes = Y.incremental_extract(e, "ts", WATERMARK, CEILING, LOOKBACK_S)
+    changes.repartition(4).write.mode("overwrite").parquet(f"{root}/incoming")
+    out = sync_stream(spark, f"{root}/incoming", changes.schema, target, PK, ORDER, f"{root}/_checkpoint")
+    return _cols(out)
+
+
+# ---------------------------------------------------------------- document composition
+def product_docs(spark, sf_dir):
+    """(source_id, content, metadata): documents as products with their part spec."""
+    t = Tables(spark, sf_dir)
+    d = t.documents.select("doc_id", "text")
+    p = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    j = d.join(p, d.doc_id == p.p_partkey, "left")
+    short = T.first_line(F.col("text"))
+    desc = F.col("text")
+    # reference composition rule: the description is appended (its first 400 characters)
+    # only when it is longer than the short text
+    parts = [F.concat(F.lit("Product: "), F.coalesce("p_name", F.lit(""))),
+             F.when(F.col("p_brand") != "", F.concat(F.lit("Brand: "), "p_brand")),
+             F.when(F.col("p_type") != "", F.concat(F.lit("Category: "), "p_type")),
+             F.when(short != "", short),
+             F.when(desc.isNotNull() & (F.length(desc) > F.length(F.coalesce(short, F.lit("")))),
+                    F.substring(desc, 1, 400))]
+    parts = [F.when(x != "", x) for x in parts]
+    meta = T.metadata_json({"brand": F.col("p_brand"), "price": F.col("p_retailprice").cast("string")})
+    return j.select(F.lit("documents").alias("source_table"), F.col("doc_id").cast("string").alias("source_id"),
+                    F.concat_ws(". ", *parts).alias("content"), meta.alias("metadata"))
+
+
+@register("compose_product_docs", sql="""
+WITH j AS (SELECT d.doc_id, d.text, split_part(d.text, chr(10), 1) AS short, p.p_name, p.p_brand, p.p_type
+           FROM documents d LEFT JOIN part p ON d.doc_id = p.p_partkey)
+SELECT CAST(doc_id AS VARCHAR) AS source_id, concat_ws('. ',
+  nullif('Product: ' || coalesce(p_name, ''), ''),
+  nullif(CASE WHEN p_brand <> '' THEN 'Brand: ' || p_brand END, ''),
+  nullif(CASE WHEN p_type <> '' THEN 'Category: ' || p_type END, ''),
+  nullif(CASE WHEN short <> '' THEN short END, ''),
+  nullif(CASE WHEN text IS NOT NULL AND length(text) > length(coalesce(short, '')) THEN substr(text, 1, 400) END, '')
+) AS content FROM j""")
+def q_compose_product_docs(spark, sf_dir):
+    return product_docs(spark, sf_dir).select("source_id", "content")
+
+
+@register("compose_variant_docs", sql="""
+SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS source_id,
+       concat_ws('. ', 'Product: ' || p.p_name, CASE WHEN p.p_type <> '' THEN 'Variant: ' || p.p_type END,
+                 'SKU: ' || CAST(l.l_partkey AS VARCHAR) || '-' || CAST(l.l_suppkey AS VARCHAR)) AS content
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
+def q_compose_variant_docs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    p = t.part.select("p_partkey", "p_name", "p_type")
+    j = li.join(p, li.l_partkey == p.p_partkey)
+    content = F.concat_ws(". ", F.concat(F.lit("Product: "), "p_name"),
+                          F.when(F.col("p_type") != "", F.concat(F.lit("Variant: "), "p_type")),
+                          F.concat(F.lit("SKU: "), F.col("l_partkey").cast("string"), F.lit("-"),
+                                   F.col("l_suppkey").cast("string")))
+    sid = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    return j.select(sid.alias("source_id"), content.alias("content"))
+
+
+@register("compose_customer_docs", sql=r"""
+SELECT CAST(c.c_custkey AS VARCHAR) AS source_id,
+       concat_ws('. ', 'Customer: ' || coalesce(nullif(c.c_name, ''), n.n_name), 'Segment: ' || c.c_mktsegment,
+                 'Nation: ' || n.n_name) AS content
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE c.c_mktsegment NOT LIKE 'AUTO\_%' ESCAPE '\'""")
+def q_compose_customer_docs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    c = t.customer.where(~F.col("c_mktsegment").like("AUTO\\_%"))
+    n = t.nation.select("n_nationkey", "n_name")
+    j = J.enrich(c, n, c.c_nationkey == n.n_nationkey)
+    name = F.coalesce(T.nullif_empty(F.col("c_name")), F.col("n_name"))
+    content = F.concat_ws(". ", F.concat(F.lit("Customer: "), name),
+                          F.concat(F.lit("Segment: "), "c_mktsegment"), F.concat(F.lit("Nation: "), "n_name"))
+    return j.select(F.col("c_custkey").cast("string").alias("source_id"), content.alias("content"))
+
+
+@register("embedding_refresh")
+def q_embedding_refresh(spark, sf_dir):
+    """Compose -> embed (Arrow batches, pluggable model) -> keyed upsert keeping created_at."""
+    root = f"{checkpoint_root(spark)}/emb-{uuid.uuid4().hex[:10]}"
+    target = Y.VersionedTable(spark, root)
+    docs = product_docs(spark, sf_dir)
+    emb = embed(docs, "content", hashing_embedder(64))
+    good = emb.where(F.col("error").isNull()).drop("error") \
+              .withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
+    Y.upsert_versioned(target, good, ["source_table", "source_id"], "r1", keep_from_target=["created_at"])
+    out = target.read()
+    return out.select("source_table", "source_id", F.length("content").alias("content_chars"),
+                      F.size("embedding").alias("dim"), "metadata")
+
+
+# ---------------------------------------------------------------- vectors
+@register("embedding_centroid_cosine", sql="""
+WITH e AS (SELECT vec_id, label, embedding FROM embeddings),
+x AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v
+      FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM e) GROUP BY label, i),
+c AS (SELECT label, list(v ORDER BY i) AS centroid FROM x GROUP BY label)
+SELECT e.vec_id, e.label, round(
+  CASE WHEN sqrt(list_sum(list_transform(e.embedding, lambda a: CAST(a AS DOUBLE) * CAST(a AS DOUBLE))))
+          * sqrt(list_sum(list_transform(c.centroid, lambda b: b * b))) > 0
+       THEN list_sum(list_transform(range(1, len(e.embedding) + 1), lambda k: CAST(e.embedding[k] AS DOUBLE) * c.centroid[k]))
+            / (sqrt(list_sum(list_transform(e.embedding, lambda a: CAST(a AS DOUBLE) * CAST(a AS DOUBLE))))
+               * sqrt(list_sum(list_transform(c.centroid, lambda b: b * b))))
+       ELSE 0.0 END, 6) AS cosine
+FROM e JOIN c ON e.label = c.label""")
+def q_embedding_centroid_cosine(spark, sf_dir):
+    from tessera.operators.metrics import cosine
+    e = Tables(spark, sf_dir).embeddings
+    c = V.centroids(e, "label", "embedding")
+    j = e.join(c, "label")
+    vec = F.transform("embedding", lambda x: x.cast("double"))
+    return j.select("vec_id", "label", F.round(cosine(vec, F.col("centroid")), 6).alias("cosine"))
+
+
+@register("nearest_to_centroids", sql="""
+WITH e AS (SELECT vec_id, label, embedding FROM embeddings),
+x AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v
+      FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM e) GROUP BY label, i),
+c AS (SELECT label, list(v ORDER BY i) AS centroid FROM x GROUP BY label),
+s AS (SELECT c.label, e.vec_id,
+        list_sum(list_transform(range(1, len(e.embedding) + 1), lambda k: CAST(e.embedding[k] AS DOUBLE) * c.centroid[k]))
+        / (sqrt(list_sum(list_transform(e.embedding, lambda a: CAST(a AS DOUBLE) * CAST(a AS DOUBLE))))
+           * sqrt(list_sum(list_transform(c.centroid, lambda b: b * b)))) AS score
+      FROM c, e)
+SELECT label, vec_id, round(score, 6) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""")
+def q_nearest_to_centroids(spark, sf_dir):
+    e = Tables(spark, sf_dir).embeddings
+    c = V.centroids(e, "label", "embedding")
+    nn = V.nearest(e, "vec_id", "embedding", c, "label", "centroid", 5)
+    return nn.select("label", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+# ---------------------------------------------------------------- file round trips
+@register("csv_roundtrip", sql="""
+SELECT c_custkey, nullif(c_name, 'Customer#000000007') AS c_name, c_nationkey, c_acctbal,
+       CASE WHEN c_custkey = 8 THEN '' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
+def q_csv_roundtrip(spark, sf_dir):
+    """CSV extract/load keeps NULL (unquoted empty) apart from '' (quoted empty)."""
+    c = Tables(spark, sf_dir).customer
+    c = c.withColumn("c_name", F.when(F.col("c_name") != "Customer#000000007", F.col("c_name"))) \
+         .withColumn("c_mktsegment", F.when(F.col("c_custkey") == 8, F.lit("")).otherwise(F.col("c_mktsegment")))
+    path = f"{checkpoint_root(spark)}/csv-{uuid.uuid4().hex[:10]}"
+    FS.write_csv(c, path)
+    return FS.read_csv(spark, path, c.schema)
+
+
+@register("examples_jsonl_roundtrip")
+def q_examples_jsonl_roundtrip(spark, sf_dir):
+    """Examples written as JSONL per split (explicit nulls) and read back with the fixed schema."""
+    from tessera.operators.dataset import write_examples_jsonl
+    from tessera.plans.dataset_queries import split_examples
+    ex = split_examples(spark, sf_dir)
+    path = f"{checkpoint_root(spark)}/jsonl-{uuid.uuid4().hex[:10]}"
+    write_examples_jsonl(ex, path)
+    back = FS.read_examples_jsonl(spark, path)
+    return back.select("id", F.col("input.name").alias("name"), "output", "db_ai_description",
+                       F.col("extras")["quality"].alias("quality"))
+
+
+@register("read_lines", sql="""
+SELECT p_name AS line, count(*) AS n FROM part GROUP BY p_name""")
+def q_read_lines(spark, sf_dir):
+    from tessera.sources.corpus import read_lines
+    path = f"{checkpoint_root(spark)}/lines-{uuid.uuid4().hex[:10]}"
+    Tables(spark, sf_dir).part.select("p_name").write.mode("overwrite").text(path)
+    return read_lines(spark, path).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
