@@ -12,14 +12,16 @@ so instead each cut point is located as a *key*:
 3. only that bucket's rows are ordered to pick the key at rank ``k``.
 
 Every row is then tagged by comparing its key with the cut keys - a narrow,
-map-side expression, no shuffle of the data. All scalars enter the plan as
-scalar subqueries, nothing is collected to the driver.
+map-side expression, no shuffle of the data. What reaches the driver is
+bounded: the bucket-count table (at most ``16**prefix_len`` rows) and one key
+per cut.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,35 +40,59 @@ def bucket_counts(keyed: DataFrame) -> DataFrame:
     return keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
 
 
-def key_at_rank(keyed: DataFrame, k: Column, counts: DataFrame | None = None) -> Column:
-    """Scalar subquery: ``struct(_h, _id)`` at 0-based rank ``k`` (NULL if k >= n)."""
-    counts = counts if counts is not None else bucket_counts(keyed)
-    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = counts.select("_b", "_cnt", F.sum("_cnt").over(w).alias("_end"))  # <= 16**prefix rows
-    bound = cum.where(((F.col("_end") - F.col("_cnt")) <= k) & (k < F.col("_end"))) \
-               .select("_b", (F.col("_end") - F.col("_cnt")).alias("_start"))
-    b_star = bound.select("_b").scalar()
-    start = bound.select("_start").scalar()
-    inb = keyed.where(F.col("_b") == b_star).select("_h", "_id")
-    ranked = inb.withColumn("_r", F.row_number().over(Window.orderBy("_h", "_id")) - 1 + start)
-    return ranked.where(F.col("_r") == k).select(F.struct("_h", "_id")).scalar()
+def cut_keys(keyed: DataFrame, ranks: Sequence[int], counts: list[tuple[str, int]]):
+    """Key ``(_h, _id)`` at each 0-based rank (``None`` when the rank is past the end).
+
+    ``counts`` are the (bucket, count) pairs - at most ``16**prefix_len`` of
+    them. Only the one bucket holding a rank is ordered, by a window over
+    that bucket's rows; a single row comes back per cut.
+    """
+    counts = sorted(counts)
+    out = []
+    for k in ranks:
+        start, found = 0, None
+        for b, c in counts:
+            if start <= k < start + c:
+                found = (b, start)
+                break
+            start += c
+        if found is None:
+            out.append(None)
+            continue
+        b, start = found
+        inb = keyed.where(F.col("_b") == b).select("_h", "_id")
+        r = inb.withColumn("_r", F.row_number().over(Window.orderBy("_h", "_id")) - 1) \
+               .where(F.col("_r") == k - start).select("_h", "_id").first()
+        out.append((r["_h"], r["_id"]))
+    return out
 
 
 def exact_hash_split(df: DataFrame, id_col: str, fractions: Sequence[float] = (0.8, 0.1),
                      names: Sequence[str] = ("train", "val", "test"), seed: int | str = 42,
                      split_col: str = "split", prefix_len: int = 4) -> DataFrame:
-    """Tag rows with split names; sizes are ``floor(f * n)`` for all but the last."""
+    """Tag rows with split names; sizes are ``floor(f * n)`` for all but the last.
+
+    The cut keys are computed eagerly (bounded bucket-count table, one row per
+    cut) from a persisted 3-column key projection; the returned plan tags the
+    rows with a literal comparison, i.e. no shuffle and no subquery.
+    """
     assert len(names) == len(fractions) + 1
     keyed = _keyed(df, F.col(id_col), seed, prefix_len)
-    counts = bucket_counts(keyed)
-    n = counts.agg(F.sum("_cnt")).scalar().cast("double")
+    keys = keyed.select("_h", "_id", "_b").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = [(r["_b"], r["_cnt"]) for r in bucket_counts(keys).collect()]  # <= 16**prefix_len rows
+        n = sum(c for _, c in counts)
+        ranks, cut = [], 0
+        for frac in fractions:
+            cut += int(float(frac) * n)
+            ranks.append(cut)
+        cuts = cut_keys(keys, ranks, counts)
+    finally:
+        keys.unpersist()
     key = F.struct("_h", "_id")
-    cut = F.lit(0).cast("long")
     expr = None
-    for name, frac in zip(names[:-1], fractions):
-        cut = cut + F.floor(F.lit(float(frac)) * n).cast("long")
-        thr = key_at_rank(keyed, cut, counts)
-        cond = F.coalesce(key < thr, F.lit(True))  # NULL cut key: every row ranks below it
+    for name, ck in zip(names[:-1], cuts):
+        cond = F.lit(True) if ck is None else key < F.struct(F.lit(ck[0]).alias("_h"), F.lit(ck[1]).alias("_id"))
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     expr = expr.otherwise(F.lit(names[-1]))
     return keyed.withColumn(split_col, expr).drop("_h", "_id", "_b")

@@ -35,7 +35,7 @@ def get_session(master: str | None = None, app: str = "tessera", shuffle_partiti
         b = b.master(master)
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if master and master.startswith("local"):
         # local mode runs everything in the driver JVM
         b = b.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))

@@ -19,8 +19,27 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Tables whose rows carry long texts: per-row work on them (regex tokenisation,
+# n-gram expansion, Python UDFs) is CPU heavy.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster's cores when it yields fewer input splits.
+
+    A large table already arrives in many splits and is returned untouched
+    (no shuffle); a file with a single row group would otherwise put all
+    per-row text work into one task.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread(df) if name in TEXT_TABLES else df
 
 
 class Tables:
