@@ -25,22 +25,40 @@ RULES = (
 MAX_ORDER = 4
 
 
-def tokens_13a(c: Column) -> Column:
+def text_13a(c: Column) -> Column:
+    """The 13a tokens joined by single spaces (``''`` when there are none)."""
     s = c
     for a, b in PRE_REPLACE:
         s = F.replace(s, F.lit(a), F.lit(b))
     s = F.concat(F.lit(" "), s, F.lit(" "))
     for pat, rep in RULES:
         s = F.regexp_replace(s, pat, rep.format("", "$1", "$2"))
-    return F.filter(F.split(s, WS_RUN), lambda x: x != F.lit(""))
+    return F.trim(F.regexp_replace(s, WS_RUN, " "))
+
+
+def _split_joined(joined: Column) -> Column:
+    return F.when(joined == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(joined, " "))
+
+
+def tokens_13a(c: Column) -> Column:
+    return _split_joined(text_13a(c))
+
+
+def ngrams_joined(joined: Column, n: int) -> Column:
+    """ARRAY<STRING> of the n-grams of a space-joined token string, in order.
+
+    A lookahead regex captures the n tokens starting at every token, so the
+    grams come from one JVM regex scan (13a tokens never contain spaces).
+    """
+    if n == 1:
+        return _split_joined(joined)
+    pat = "(?=(" + " ".join(["[^ ]+"] * n) + "))[^ ]+"
+    return F.regexp_extract_all(joined, F.lit(pat), F.lit(1))
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    """ARRAY<STRING> of space-joined n-grams (13a tokens never contain spaces)."""
-    idx = F.sequence(F.lit(1), F.size(tokens) - n + 1)
-    return F.when(F.size(tokens) >= n,
-                  F.transform(idx, lambda i: F.array_join(F.slice(tokens, i, n), " "))) \
-            .otherwise(F.array().cast("array<string>"))
+    """ARRAY<STRING> of space-joined n-grams of a token array."""
+    return ngrams_joined(F.array_join(tokens, " "), n)
 
 
 def bleu_score(m: list[Column], t: list[Column], sys_len: Column, ref_len: Column,

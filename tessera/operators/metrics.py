@@ -2,21 +2,24 @@
 
 One grouped plan scores every generator at once:
 
-* BLEU: texts -> 13a tokens -> exploded n-gram counts. Reference n-grams are
-  counted once per id (shared by all generators), prediction n-grams per
-  (generator, id); one equi-join on ``(id, n, gram)`` gives the clipped
-  matches ``least(c_pred, c_ref)``; totals and lengths are sums. Corpus BLEU
-  aggregates per generator, sentence BLEU per (generator, id).
+* BLEU: predictions and references are co-located by one hash shuffle of
+  the *texts* on ``id``; tokens -> n-grams are exploded inside the task and
+  counted by one aggregate keyed ``(id, n, gram)`` with one column per
+  generator (a pivot), so clipped matches ``least(c_pred, c_ref)`` need no
+  join and no n-gram ever crosses the network. Corpus BLEU aggregates per
+  generator, sentence BLEU per (generator, id).
 * ROUGE-L: LCS is inherently sequential, so it runs in an Arrow-batched
   pandas UDF using the bit-parallel LCS recurrence (one big-int update per
   token of the prediction).
-* Cosine: term-frequency vectors compared by a join on ``(id, term)``; a
+* Cosine: term-frequency vectors, same co-located pivot keyed ``(id, term)``; a
   model embedder can replace them through ``tessera.operators.udf.embed``.
 * Length ratio: a column expression.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,33 +30,88 @@ from tessera.functions.text import WS_RUN
 ORDERS = range(1, B.MAX_ORDER + 1)
 
 
-# ---------------------------------------------------------------- BLEU
-def _gram_rows(df: DataFrame, keys: list[str], tokens: str) -> DataFrame:
-    """(keys..., n, gram, c) for n = 1..4."""
-    arr = F.array(*[F.struct(F.lit(n).alias("n"), B.ngrams(F.col(tokens), n).alias("g")) for n in ORDERS])
-    e = df.select(*keys, F.explode(arr).alias("_o")).select(*keys, F.col("_o.n").alias("n"),
-                                                            F.explode("_o.g").alias("gram"))
-    return e.groupBy(*keys, "n", "gram").agg(F.count(F.lit(1)).alias("c"))
+# ---------------------------------------------------------------- co-location
+MAX_GENERATORS = 256   # generators are a categorical label (a handful of systems)
+
+
+def generator_names(preds: DataFrame, generators: Sequence[str] | None = None) -> list[str]:
+    """The generator labels, read with a bounded ``limit`` so the driver never sees more."""
+    if generators is not None:
+        return list(generators)
+    names = [r[0] for r in preds.select("generator").distinct().limit(MAX_GENERATORS + 1).collect()]
+    if len(names) > MAX_GENERATORS:
+        raise ValueError(f"more than {MAX_GENERATORS} generators; pass them explicitly")
+    return sorted(names)
+
+
+def colocate(preds: DataFrame, refs: DataFrame) -> DataFrame:
+    """``(generator, id, text)`` with references as ``generator = NULL``, hash-partitioned by id.
+
+    This is the only shuffle of the metric plans, and it moves texts, not
+    n-grams: every later aggregate is clustered by ``id`` and runs in the
+    same stage.
+    """
+    p = preds.select("generator", "id", F.col("prediction").alias("text"))
+    r = refs.select(F.lit(None).cast("string").alias("generator"), "id", F.col("reference").alias("text"))
+    return p.unionByName(r).repartition("id")
 
 
-def bleu_stats(preds: DataFrame, refs: DataFrame) -> DataFrame:
+def _pivot_counts(items: DataFrame, keys: list[str], gens: list[str]) -> DataFrame:
+    """``(id, keys..., cr, c0..ck)``: reference and per-generator weights of each key."""
+    ref = F.sum(F.when(F.col("generator").isNull(), F.col("w"))).alias("cr")
+    per = [F.sum(F.when(F.col("generator") == F.lit(g), F.col("w"))).alias(f"c{i}") for i, g in enumerate(gens)]
+    return items.groupBy("id", *keys).agg(ref, *per)
+
+
+def _stack(wide: DataFrame, gens: list[str], fields: list[str], present: str) -> DataFrame:
+    """Wide per-id columns ``{field}_{i}`` -> long ``(generator, id, fields...)`` rows."""
+    rows = F.array(*[F.struct(F.lit(g).alias("generator"),
+                              *[F.col(f"{f}_{i}").alias(f) for f in fields]) for i, g in enumerate(gens)])
+    out = wide.select("id", F.inline(rows))
+    return out.where(F.col(present).isNotNull()).select("generator", "id", *fields)
+
+
+# ---------------------------------------------------------------- BLEU
+def _gram_items(texts: DataFrame) -> DataFrame:
+    """(generator, id, n, gram, w): n = 1..4 grams (w = 1) plus one length record (n = 0)."""
+    j = texts.select("generator", "id", B.text_13a(F.col("text")).alias("_j"))
+    j = j.select("generator", "id", "_j", B.ngrams_joined(F.col("_j"), 1).alias("_t"))
+    grams = [F.col("_t")] + [B.ngrams_joined(F.col("_j"), n) for n in ORDERS if n > 1]
+    orders = [F.struct(F.lit(0).alias("n"), F.array(F.lit("")).alias("g"), F.size("_t").cast("long").alias("w"))]
+    orders += [F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(1).cast("long").alias("w"))
+               for n, g in zip(ORDERS, grams)]
+    e = j.select("generator", "id", F.explode(F.array(*orders)).alias("_o"))
+    return e.select("generator", "id", F.col("_o.n").alias("n"), F.explode("_o.g").alias("gram"),
+                    F.col("_o.w").alias("w"))
+
+
+def bleu_stats(preds: DataFrame, refs: DataFrame, generators: Sequence[str] | None = None) -> DataFrame:
     """Per (generator, id): m1..m4, t1..t4, sys_len, ref_len.
 
     ``preds``: (generator, id, prediction); ``refs``: (id, reference).
+    Clipped matches ``sum_g least(c_pred(g), c_ref(g))`` come from one
+    aggregate keyed by ``(id, n, gram)`` whose columns are the reference and
+    each generator (a pivot), then one aggregate per id - both on the
+    id-partitioned texts, so no n-gram is ever shuffled.
     """
-    pt = preds.select("generator", "id", B.tokens_13a(F.col("prediction")).alias("tok"))
-    rt = refs.select("id", B.tokens_13a(F.col("reference")).alias("tok"))
-    pg = _gram_rows(pt, ["generator", "id"], "tok").withColumnRenamed("c", "cp")
-    rg = _gram_rows(rt, ["id"], "tok").withColumnRenamed("c", "cr")
-    matched = pg.join(rg, ["id", "n", "gram"], "inner") \
-                .groupBy("generator", "id").pivot("n", list(ORDERS)).agg(F.sum(F.least("cp", "cr")))
-    lens = pt.select("generator", "id", F.size("tok").alias("sys_len")) \
-             .join(rt.select("id", F.size("tok").alias("ref_len")), "id", "left")
-    out = lens.join(matched, ["generator", "id"], "left")
-    cols = [F.coalesce(F.col(str(n)), F.lit(0)).cast("long").alias(f"m{n}") for n in ORDERS]
+    gens = generator_names(preds, generators)
+    counts = _pivot_counts(_gram_items(colocate(preds, refs)), ["n", "gram"], gens)
+    cr = F.coalesce(F.col("cr"), F.lit(0))
+    aggs = [F.max(F.when(F.col("n") == 0, cr)).alias("ref_len")]
+    for i in range(len(gens)):
+        ci = F.col(f"c{i}")
+        aggs.append(F.max(F.when(F.col("n") == 0, ci)).alias(f"sys_len_{i}"))
+        for n in ORDERS:
+            aggs.append(F.sum(F.when(F.col("n") == n, F.least(F.coalesce(ci, F.lit(0)), cr))).alias(f"m{n}_{i}"))
+    wide = counts.groupBy("id").agg(*aggs)
+    for i in range(len(gens)):
+        wide = wide.withColumn(f"ref_len_{i}", F.col("ref_len"))
+    fields = [f"m{n}" for n in ORDERS] + ["sys_len", "ref_len"]
+    st = _stack(wide, gens, fields, "sys_len")
+    cols = [F.coalesce(F.col(f"m{n}"), F.lit(0)).cast("long").alias(f"m{n}") for n in ORDERS]
     tots = [F.greatest(F.col("sys_len") - n + 1, F.lit(0)).cast("long").alias(f"t{n}") for n in ORDERS]
-    return out.select("generator", "id", *cols, *tots, F.col("sys_len").cast("long").alias("sys_len"),
-                      F.coalesce("ref_len", F.lit(0)).cast("long").alias("ref_len"))
+    return st.select("generator", "id", *cols, *tots, F.col("sys_len").cast("long").alias("sys_len"),
+                     F.coalesce("ref_len", F.lit(0)).cast("long").alias("ref_len"))
 
 
 def _score(prefix: str = "", effective_order: bool = False) -> Column:
@@ -137,20 +195,36 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(den > 0, dot / F.when(den > 0, den).otherwise(F.lit(1.0))).otherwise(F.lit(0.0))
 
 
-def tf_cosine(preds: DataFrame, refs: DataFrame) -> DataFrame:
-    """(generator, id, cosine) between term-frequency vectors of prediction and reference."""
-    pt = preds.select("generator", "id", F.explode(rouge_tokens(F.col("prediction"))).alias("term")) \
-              .groupBy("generator", "id", "term").agg(F.count(F.lit(1)).alias("cp"))
-    rt = refs.select("id", F.explode(rouge_tokens(F.col("reference"))).alias("term")) \
-             .groupBy("id", "term").agg(F.count(F.lit(1)).alias("cr"))
-    dot = pt.join(rt, ["id", "term"]).groupBy("generator", "id").agg(F.sum(F.col("cp") * F.col("cr")).alias("dot"))
-    npred = pt.groupBy("generator", "id").agg(F.sum(F.col("cp") * F.col("cp")).alias("pp"))
-    nref = rt.groupBy("id").agg(F.sum(F.col("cr") * F.col("cr")).alias("rr"))
-    base = preds.select("generator", "id")
-    j = base.join(npred, ["generator", "id"], "left").join(nref, "id", "left").join(dot, ["generator", "id"], "left")
+def tf_cosine(preds: DataFrame, refs: DataFrame, generators: Sequence[str] | None = None) -> DataFrame:
+    """(generator, id, cosine) between term-frequency vectors of prediction and reference.
+
+    Same plan shape as BLEU: id-partitioned texts, a pivoted count per
+    ``(id, term)``, then dot products and norms per id.
+    """
+    gens = generator_names(preds, generators)
+    texts = colocate(preds, refs)
+    # kind 0: one presence record per text (so empty texts keep their row); kind 1: terms
+    items = texts.select("generator", "id", F.explode(F.array(
+        F.struct(F.lit(0).alias("kind"), F.array(F.lit("")).alias("t")),
+        F.struct(F.lit(1).alias("kind"), rouge_tokens(F.col("text")).alias("t")))).alias("_o"))
+    items = items.select("generator", "id", F.col("_o.kind").alias("kind"), F.explode("_o.t").alias("term"),
+                         F.lit(1).cast("long").alias("w"))
+    counts = _pivot_counts(items, ["kind", "term"], gens)
+    cr = F.coalesce(F.col("cr"), F.lit(0))
+    term = F.col("kind") == 1
+    aggs = [F.sum(F.when(term, cr * cr)).alias("rr")]
+    for i in range(len(gens)):
+        ci = F.coalesce(F.col(f"c{i}"), F.lit(0))
+        aggs += [F.max(F.when(~term, F.col(f"c{i}"))).alias(f"present_{i}"),
+                 F.sum(F.when(term, ci * cr)).alias(f"dot_{i}"),
+                 F.sum(F.when(term, ci * ci)).alias(f"pp_{i}")]
+    wide = counts.groupBy("id").agg(*aggs)
+    for i in range(len(gens)):
+        wide = wide.withColumn(f"rr_{i}", F.col("rr"))
+    st = _stack(wide, gens, ["present", "dot", "pp", "rr"], "present")
     den = F.sqrt(F.coalesce("pp", F.lit(0)).cast("double")) * F.sqrt(F.coalesce("rr", F.lit(0)).cast("double"))
     cos = F.when(den > 0, F.coalesce("dot", F.lit(0)) / F.when(den > 0, den).otherwise(F.lit(1.0))).otherwise(F.lit(0.0))
-    return j.select("generator", "id", cos.alias("cosine"))
+    return st.select("generator", "id", cos.alias("cosine"))
 
 
 def length_ratio(pred: Column, ref: Column) -> Column:
