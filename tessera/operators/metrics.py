@@ -158,6 +158,8 @@ def lcs_length(a: list, b: list) -> int:
 
 
 def _rouge_f(pred, ref, use_stemmer: bool) -> float:
+    if len(pred) == 0 or len(ref) == 0:
+        return 0.0
     if use_stemmer:
         from tessera.functions.porter import stem
         pred = [stem(t) if len(t) > 3 else t for t in pred]

@@ -177,13 +177,13 @@ def q_eval_predictions(spark, sf_dir):
 @register("bleu_stats", sql=_with(_PREDS, _STATS) + """
 SELECT * FROM st""")
 def q_bleu_stats(spark, sf_dir):
-    return M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir))
+    return M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir), GENERATORS)
 
 
 @register("corpus_bleu", sql=_with(_PREDS, _STATS, _CORPUS) + f"""
 SELECT generator, round({_bleu_sql(False)}, 6) AS bleu FROM cs""")
 def q_corpus_bleu(spark, sf_dir):
-    st = M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir))
+    st = M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir), GENERATORS)
     return M.corpus_bleu(st).select("generator", _r(F.col("bleu")).alias("bleu"))
 
 
@@ -191,7 +191,7 @@ def q_corpus_bleu(spark, sf_dir):
 SELECT generator, round(avg(CASE WHEN sys_len = 0 THEN 0.0 ELSE {_bleu_sql(True)} / 100.0 END), 6) AS bleu
 FROM st GROUP BY generator""")
 def q_sentence_bleu(spark, sf_dir):
-    st = M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir))
+    st = M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir), GENERATORS)
     s = M.sentence_bleu(st)
     return s.groupBy("generator").agg(_r(F.avg("bleu")).alias("bleu"))
 
@@ -208,7 +208,7 @@ def q_rouge_l(spark, sf_dir):
 @register("tf_cosine", sql=_with(_PREDS, _TFCOS) + """
 SELECT generator, round(avg(cosine), 6) AS cosine FROM cosr GROUP BY generator""")
 def q_tf_cosine(spark, sf_dir):
-    c = M.tf_cosine(predictions(spark, sf_dir), references(spark, sf_dir))
+    c = M.tf_cosine(predictions(spark, sf_dir), references(spark, sf_dir), GENERATORS)
     return c.groupBy("generator").agg(_r(F.avg("cosine")).alias("cosine"))
 
 
@@ -223,9 +223,9 @@ def q_length_ratio(spark, sf_dir):
 
 def _results(spark, sf_dir, with_rouge: bool) -> DataFrame:
     preds, refs = predictions(spark, sf_dir), references(spark, sf_dir)
-    st = M.bleu_stats(preds, refs)
+    st = M.bleu_stats(preds, refs, GENERATORS)
     bleu = M.corpus_bleu(st)
-    cos = M.tf_cosine(preds, refs).groupBy("generator").agg(F.avg("cosine").alias("cosine_similarity"))
+    cos = M.tf_cosine(preds, refs, GENERATORS).groupBy("generator").agg(F.avg("cosine").alias("cosine_similarity"))
     pr = preds.join(refs, "id")
     lr = pr.groupBy("generator").agg(F.count(F.lit(1)).alias("n"),
                                      F.avg(M.length_ratio(F.col("prediction"), F.col("reference"))).alias("length_ratio"))
