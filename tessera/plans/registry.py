@@ -41,5 +41,5 @@ def all_oracles() -> dict[str, str]:
 def _load() -> None:
     # Importing the modules registers their queries.
     from tessera.plans import (  # noqa: F401
-        dataset_queries, profile_queries, lm_queries, eval_queries, sync_queries, ml_queries,
+        dataset_queries, profile_queries, lm_queries, eval_queries, sync_queries, ml_queries, sql_queries,
     )
