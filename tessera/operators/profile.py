@@ -3,8 +3,10 @@
 All of it is aggregate plans with partial (map-side) aggregation. Scalars
 derived from the data (min, max, quantile cut points) enter later stages as
 scalar subqueries (``DataFrame.scalar()``), so no data-sized side is joined.
-Exact percentiles use Spark's ``percentile`` aggregate, whose buffer is a
-value -> count map: its size is the number of *distinct* values, not rows.
+Exact percentiles of integer-valued columns (lengths) use Spark's
+``percentile`` aggregate, whose buffer is a value -> count map bounded by the
+number of *distinct* values; continuous columns use ``exact_quantiles``
+(range narrowing), which never gathers the values in one task.
 """
 
 from __future__ import annotations
@@ -84,14 +86,78 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
                   F.corr(x, y).alias("r"), F.count(F.lit(1)).alias("n"))
 
 
+def _value_at_rank(vals: DataFrame, rank: int, n: int, buckets: int, small: int) -> float:
+    """Exact ``rank``-th (0-based, ascending) value of the one-column frame ``vals`` (``_x``).
+
+    Range narrowing: equal-width buckets over the current [min, max] are
+    counted (at most ``buckets`` rows reach the driver), the walk finds the
+    bucket holding the rank, and only that bucket is kept for the next round.
+    Every round keeps the min in the first and the max in the last bucket, so
+    the candidate set shrinks until its values are equal or it is ``small``
+    enough to order directly.
+    """
+    cond = F.lit(True)
+    x = F.col("_x")
+    lo_hi = vals.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    lo, hi, base, cnt = lo_hi["lo"], lo_hi["hi"], 0, n
+    while True:
+        if lo == hi:
+            return float(lo)
+        if cnt <= small:
+            r = vals.where(cond).orderBy(x).offset(rank - base).limit(1).first()
+            return float(r["_x"])
+        width = (hi - lo) / buckets
+        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+        rows = sorted(vals.where(cond).groupBy(b.alias("_b"))
+                      .agg(F.count(F.lit(1)).alias("c"), F.min(x).alias("lo"), F.max(x).alias("hi")).collect())
+        for row in rows:
+            if rank < base + row["c"]:
+                cond = cond & (b == F.lit(row["_b"]))
+                lo, hi, cnt = row["lo"], row["hi"], row["c"]
+                break
+            base += row["c"]
+        else:  # rank past the end
+            raise ValueError("rank out of range")
+
+
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], buckets: int = 4096,
+                    small: int = 100_000) -> list[float | None]:
+    """Interpolated quantiles (``percentile`` / ``quantile_cont`` semantics), scale-safe.
+
+    Spark's exact ``percentile`` merges a map of every distinct value into one
+    task, which is unbounded for a continuous column. Here the values are
+    checkpointed once (one column) and each needed rank is found by range
+    narrowing; what reaches the driver is bucket counts and single values.
+    """
+    from tessera.session import cut_lineage
+    vals = cut_lineage(df.select(F.col(col).cast("double").alias("_x"))
+                         .where(F.col("_x").isNotNull() & ~F.isnan("_x")))
+    n = vals.count()
+    if n == 0:
+        return [None for _ in qs]
+    cache: dict[int, float] = {}
+
+    def at(r: int) -> float:
+        if r not in cache:
+            cache[r] = _value_at_rank(vals, r, n, buckets, small)
+        return cache[r]
+
+    out = []
+    for q in qs:
+        h = (n - 1) * float(q)
+        r0 = int(h)
+        r1 = min(r0 + 1, n - 1)
+        v0 = at(r0)
+        out.append(v0 if r1 == r0 or h == r0 else v0 + (h - r0) * (at(r1) - v0))
+    return out
+
+
 def quantile_buckets(df: DataFrame, col: str, lo_q: float = 0.33, hi_q: float = 0.67,
                      labels=("low", "mid", "high"), out: str = "bucket") -> DataFrame:
     """low <= q_lo < mid <= q_hi < high, with exact interpolated quantiles."""
-    qs = df.select(F.percentile(F.col(col), lo_q).alias("lo"), F.percentile(F.col(col), hi_q).alias("hi"))
-    lo = qs.select("lo").scalar()
-    hi = qs.select("hi").scalar()
+    lo, hi = exact_quantiles(df, col, (lo_q, hi_q))
     x = F.col(col)
-    b = F.when(x <= lo, F.lit(labels[0])).when(x <= hi, F.lit(labels[1])).otherwise(F.lit(labels[2]))
+    b = F.when(x <= F.lit(lo), F.lit(labels[0])).when(x <= F.lit(hi), F.lit(labels[1])).otherwise(F.lit(labels[2]))
     return df.withColumn(out, b)
 
 

@@ -8,6 +8,7 @@ distinct-word counts. The DuckDB oracles are generated from one CTE template
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +26,16 @@ class LM:
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
-        self.occ = N.holdout_split(N.occurrences(load_sources(spark, sf_dir)))
-        # (split, word, c) is bounded by the distinct-word count; a reliable
-        # checkpoint cuts the corpus lineage so every model table below reads it.
-        self.wc = cut_lineage(N.word_counts(self.occ, ("split",)))
+        # Token occurrences are cached for the two passes over them (cut keys,
+        # then tagging + counting) so the corpus is tokenised once.
+        occ = N.occurrences(load_sources(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.occ = N.holdout_split(occ)
+            # (split, word, c) is bounded by the distinct-word count; a reliable
+            # checkpoint cuts the corpus lineage so every model table below reads it.
+            self.wc = cut_lineage(N.word_counts(self.occ, ("split",)))
+        finally:
+            occ.unpersist()
         self.train = self.wc.where(F.col("split") == "train").select("word", "c")
         self.val = self.wc.where(F.col("split") == "val").select("word", "c")
         self.bm = N.bigram_model(self.train)

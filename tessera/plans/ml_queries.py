@@ -12,6 +12,7 @@ from tessera.operators.split import stratified_split
 from tessera.plans import eval_queries as EQ
 from tessera.plans import lm_queries as LQ
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources.tables import TABLES, Tables
 
 FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -180,7 +181,8 @@ b AS (SELECT r.*, CASE WHEN name_ppl <= q.lo THEN 'low' WHEN name_ppl <= q.hi TH
 SELECT bucket, count(*) AS n, round(avg(bleu), 4) AS bleu_mean, round(stddev_samp(bleu), 4) AS bleu_std,
        round(avg(cosine), 4) AS cosine_mean, round(stddev_samp(cosine), 4) AS cosine_std FROM b GROUP BY bucket""")
 def q_difficulty_buckets(spark, sf_dir):
-    d = P.quantile_buckets(difficulty_rows(spark, sf_dir), "name_ppl")
+    # the rows feed the quantile passes and the bucketed aggregate: computed once
+    d = P.quantile_buckets(cut_lineage(difficulty_rows(spark, sf_dir)), "name_ppl")
     return P.group_mean_std(d, "bucket", ["bleu", "cosine"], order=["low", "mid", "high"])
 
 
