@@ -56,6 +56,19 @@ def colocate(preds: DataFrame, refs: DataFrame) -> DataFrame:
     return p.unionByName(r).repartition("id")
 
 
+def pair_texts(preds: DataFrame, refs: DataFrame, how: str = "inner") -> DataFrame:
+    """``(generator, id, prediction, reference)`` from the id-partitioned texts.
+
+    Both sides come out of the same exchange as the BLEU/cosine plans and
+    join on exactly the partitioning key, so pairing adds no shuffle (and the
+    exchange is reused when several metrics run in one query).
+    """
+    t = colocate(preds, refs)
+    p = t.where(F.col("generator").isNotNull()).select("generator", "id", F.col("text").alias("prediction"))
+    r = t.where(F.col("generator").isNull()).select("id", F.col("text").alias("reference"))
+    return p.join(r, "id", how).select("generator", "id", "prediction", "reference")
+
+
 def _pivot_counts(items: DataFrame, keys: list[str], gens: list[str]) -> DataFrame:
     """``(id, keys..., cr, c0..ck)``: reference and per-generator weights of each key."""
     ref = F.sum(F.when(F.col("generator").isNull(), F.col("w"))).alias("cr")

@@ -199,7 +199,7 @@ def q_sentence_bleu(spark, sf_dir):
 @register("rouge_l")
 def q_rouge_l(spark, sf_dir):
     """ROUGE-L F (stemmed, x100) mean per generator; checked against a DP on fixtures."""
-    p = predictions(spark, sf_dir).join(references(spark, sf_dir), "id")
+    p = M.pair_texts(predictions(spark, sf_dir), references(spark, sf_dir))
     r = M.rouge_l(p, use_stemmer=True)
     return r.groupBy("generator").agg(F.count(F.lit(1)).alias("n"),
                                       _r(F.avg("rouge_l") * 100.0).alias("rouge_l_f1"))
@@ -216,7 +216,7 @@ def q_tf_cosine(spark, sf_dir):
 SELECT generator, round(avg(length(p.prediction) / greatest(length(r.reference), 1)), 6) AS length_ratio
 FROM preds p JOIN refs r ON p.id = r.id GROUP BY generator""")
 def q_length_ratio(spark, sf_dir):
-    p = predictions(spark, sf_dir).join(references(spark, sf_dir), "id")
+    p = M.pair_texts(predictions(spark, sf_dir), references(spark, sf_dir))
     return p.groupBy("generator").agg(_r(F.avg(M.length_ratio(F.col("prediction"), F.col("reference"))))
                                       .alias("length_ratio"))
 
@@ -226,7 +226,7 @@ def _results(spark, sf_dir, with_rouge: bool) -> DataFrame:
     st = M.bleu_stats(preds, refs, GENERATORS)
     bleu = M.corpus_bleu(st)
     cos = M.tf_cosine(preds, refs, GENERATORS).groupBy("generator").agg(F.avg("cosine").alias("cosine_similarity"))
-    pr = preds.join(refs, "id")
+    pr = M.pair_texts(preds, refs)
     lr = pr.groupBy("generator").agg(F.count(F.lit(1)).alias("n"),
                                      F.avg(M.length_ratio(F.col("prediction"), F.col("reference"))).alias("length_ratio"))
     out = lr.join(bleu, "generator").join(cos, "generator")
