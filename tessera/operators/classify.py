@@ -34,7 +34,14 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
 
 def train_mlp(train: DataFrame, features: Sequence[str], label: str, layers: Sequence[int],
               seed: int = 42, max_iter: int = 200):
-    """Assemble -> scale (fit on train) -> MLP; returns the fitted pipeline model."""
+    """Assemble -> scale (fit on train) -> MLP; returns the fitted pipeline model.
+
+    L-BFGS runs one job per iteration over the training rows, so the training
+    columns are checkpointed once (reliable, in the shared folder): iterations
+    read that file instead of re-running the joins and split behind ``train``.
+    """
+    from tessera.session import cut_lineage
+    train = cut_lineage(train.select(*features, label))
     asm = VectorAssembler(inputCols=list(features), outputCol="_raw")
     scaler = StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)
     mlp = MultilayerPerceptronClassifier(layers=list(layers), labelCol=label, featuresCol="features",
