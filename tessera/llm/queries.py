@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, language, mixing, set_join
+from tessera.llm import bpe, exact_dedup, language, mixing, repeats, set_join
 from tessera.llm.registry import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -59,3 +59,11 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@register("op8_repeats")
+def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    length = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", length.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
