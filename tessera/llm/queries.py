@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, language, mixing, pages, repeats, set_join
+from tessera.llm import bpe, exact_dedup, language, mixing, pages, repeats, set_join, top_k
 from tessera.llm.registry import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -72,3 +72,30 @@ def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_main_text")
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op5_bm25_top_k", r"""
+WITH d AS (
+  SELECT doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') AS terms
+  FROM documents),
+t AS (SELECT doc_id, unnest(terms) AS term FROM d),
+tf AS (SELECT doc_id, term, count(*) AS n FROM t WHERE term <> '' GROUP BY ALL),
+len AS (SELECT d.doc_id, coalesce(sum(n), 0) AS l FROM d LEFT JOIN tf USING (doc_id) GROUP BY ALL),
+st AS (SELECT count(*) AS n_docs, avg(l) AS mean FROM len),
+q AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+')) AS term
+    FROM benchmark WHERE item_id % 20 = 0) WHERE term <> '' GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+s AS (
+  SELECT q.item_id, tf.doc_id,
+         round(sum(times * ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * l / mean))), 6) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN len USING (doc_id), st GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT item_id, doc_id, score, rank FROM r WHERE rank <= 10
+""")
+def bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages whose id is divisible by 20 as queries against all documents."""
+    asked = table(spark, sf_dir, "benchmark").where("item_id % 20 = 0").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    found = top_k.search(spark, table(spark, sf_dir, "documents"), asked)
+    return found.select(F.col("query_id").alias("item_id"), "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
