@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, language, mixing, pages, repeats, set_join, top_k
+from tessera.llm import bpe, exact_dedup, language, mixing, pages, repeats, set_join, token_counts, top_k, warc
 from tessera.llm.registry import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -99,3 +99,14 @@ def bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "benchmark").where("item_id % 20 = 0").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
     found = top_k.search(spark, table(spark, sf_dir, "documents"), asked)
     return found.select(F.col("query_id").alias("item_id"), "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@register("op1_token_counts")
+def section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@register("op2_warc_derivatives")
+def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = warc.derivatives(warc.page_responses(table(spark, sf_dir, "pages")), keep=("page_id",))
+    return made.withColumn("block", F.decode("block", "utf-8")).drop("record")
