@@ -16,8 +16,9 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
     "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
-    "time", "tt", "u", "var", "wbr", "img", "br",
-}
+    "time", "tt", "u", "var", "wbr", "img", "br", "button", "select", "option", "input", "svg", "canvas", "object", "audio",
+    "video", "map", "area", "math", "embed", "link", "meta", "param", "source", "track",
+} | RAW_TEXT  # neither ends a paragraph nor a block
 PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "blockquote", "pre", "td", "th", "tr"}
 LANDMARKS = {"nav", "header", "footer", "aside", "form"}
 NEVER_TEXT = RAW_TEXT | {
@@ -44,7 +45,7 @@ MARKS = {
 COMMENT_MARKS = {"comment", "comments", "reply", "replies"}
 
 TOKEN = re.compile(
-    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z))", re.S)
+    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>|\Z)|[^>]*)(?:>|\Z))", re.S)
 MARKING = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 SPACE = re.compile(r"\s+")
@@ -109,6 +110,8 @@ def parse(page: str) -> Element:
         open_[-1].content.append(element)
         if tag in RAW_TEXT:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
+            if tag == "title":
+                element.content.append(page[at:end.start() if end else n])
             at = end.end() if end else n
         elif tag not in VOID and not m[3].endswith("/"):
             open_.append(element)
