@@ -13,6 +13,9 @@ global order that puts frequent ones last), which any two linked sets share.
   of the pivot and what they add to it; the overlap of any two follows from these
   differences: ``|S & T| = |R| - |R-S| - |R-T| + |(R-S) & (R-T)| + |(S-R) & (T-R)|``.
   Pairs are never rows: a pivot's group returns a spanning forest of its links.
+* Before sets travel, the groups meet with bitmaps of about two bits a member: a
+  bit that one set has and the other lacks is a member that it lacks, which bounds
+  the overlap from above. Sets that can reach no other of their group stay behind.
 
 A group of many sets is split into blocks, and every pair of blocks is a task of
 its own with a bound on its bytes. Members are 64-bit hashes of shingles; the
@@ -85,6 +88,21 @@ def needed_overlap(a, b):
     return -(-PERCENT * (a + b) // (100 + PERCENT))
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """A bit for every member, at its hash modulo a power of two of at least twice the size."""
+    bits = np.zeros(max(64, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 64, bool)
+    bits[(s & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """The bitmap at a smaller power of two, in bytes."""
+    b = np.frombuffer(bits, np.uint64)
+    while 8 * len(b) > size:
+        b = b[:len(b) // 2] | b[len(b) // 2:]
+    return b
+
+
 def hot_members(docs: DataFrame, text: str, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray]:
     """Shingles frequent in a bounded sample of documents, sorted, and their counts."""
     total = docs.count()
@@ -114,10 +132,11 @@ def signatures(spark: SparkSession, docs: DataFrame, doc_id: str, text: str) ->
         hasher = PolynomialHash()
         keys, counts = hot.value
         for batch in batches:
-            classes, sizes, prefixes = [], [], []
+            classes, sizes, prefixes, bitmaps = [], [], [], []
             for t in batch.column("text").to_pylist():
                 s = shingle_set(t, hasher)
                 n = len(s)
+                bitmaps.append(bitmap(s))
                 total = int(mix(s).sum()) + n if n else 0
                 classes.append(mix(np.array([total & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
                 sizes.append(n)
@@ -131,11 +150,11 @@ def signatures(spark: SparkSession, docs: DataFrame, doc_id: str, text: str) ->
                 prefixes.append(s[np.lexsort((s, rank))[:prefix_length(n)]].tobytes())
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
                                    "class": pa.array(classes, pa.int64()), "n": pa.array(sizes, pa.int32()),
-                                   "prefix": pa.array(prefixes, pa.binary())})
+                                   "prefix": pa.array(prefixes, pa.binary()), "bits": pa.array(bitmaps, pa.binary())})
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"doc_id {kind}, text_hash long, class long, n int, prefix binary")
+    return rows.mapInArrow(sign, f"doc_id {kind}, text_hash long, class long, n int, prefix binary, bits binary")
 
 
 def index_entries(signed: DataFrame) -> DataFrame:
@@ -277,20 +296,73 @@ def group_links(pivot: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int
                 yield i, j
 
 
-def links(docs: DataFrame, classes: DataFrame, met: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``a, b``: links between classes that connect all that any links connect."""
+def possible_partners(n: np.ndarray, bitmaps: list[bytes]) -> np.ndarray:
+    """Which sets of a group may link with another one, by sizes and bitmaps."""
+    size = min(map(len, bitmaps))
+    bits = np.array([folded(b, size) for b in bitmaps])
+    found = np.zeros(len(n), bool)
+    for i in range(len(n) - 1):
+        rest = bits[i + 1:]
+        only_i = np.bitwise_count(bits[i] & ~rest).sum(axis=1, dtype=np.int64)
+        only_j = np.bitwise_count(rest & ~bits[i]).sum(axis=1, dtype=np.int64)
+        may = np.minimum(n[i] - only_i, n[i + 1:] - only_j) >= needed_overlap(n[i], n[i + 1:])
+        found[i] |= may.any()
+        found[i + 1:] |= may
+    return found
+
+
+def deal(met: DataFrame) -> DataFrame:
+    """``pivot, i, j, class``: groups in pairs of blocks of bounded rows and members, the pivot in each."""
     groups = (met.groupBy("pivot").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("members"))
               .select("pivot", F.greatest(F.ceil(F.col("rows") / GROUP_ROWS), F.ceil(F.col("members") / GROUP_MEMBERS)).alias("blocks")))
     block = F.pmod(F.xxhash64("class"), F.col("blocks"))
     dealt = (met.join(groups, "pivot").withColumn("block", block)
              .select("pivot", "class", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other"), "block")
              .select("pivot", "class", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    # the pivot goes to every pair of blocks of its group
     pivots = (groups.select("pivot", F.col("pivot").alias("class"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("i"), "blocks")
               .select("pivot", "class", "i", F.explode(F.expr("sequence(i, blocks - 1)")).alias("j")))
-    dealt = dealt.unionByName(pivots).distinct()
-    # one document stands for each class that meets another
-    involved = met.select("class").union(met.select(F.col("pivot").alias("class"))).distinct()
+    return dealt.unionByName(pivots).distinct()
+
+
+def in_groups(dealt: DataFrame, payload: DataFrame, answer, schema: str) -> DataFrame:
+    """Every dealt group with the payload of its classes, through ``answer``."""
+    columns = [c for c in payload.columns if c != "class"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in sorted_runs(batches, ["pivot", "i", "j"]):
+            found = answer(rows)
+            if found is not None:
+                yield found
+
+    return (dealt.join(payload, "class").select("pivot", "i", "j", "class", *columns)
+            .repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "class").mapInArrow(run, schema))
+
+
+def keep_possible(rows: pa.Table) -> pa.RecordBatch | None:
+    may = possible_partners(rows.column("n").to_numpy().astype(np.int64), rows.column("bits").to_pylist())
+    if not may.any():
+        return None
+    kept = rows.filter(pa.array(may)).combine_chunks()
+    return pa.record_batch({c: kept.column(c).combine_chunks() for c in ("pivot", "class", "n")})
+
+
+def forest(rows: pa.Table) -> pa.RecordBatch | None:
+    found = dict(zip(rows.column("class").to_pylist(), rows.column("members").to_pylist()))  # repeated rows once
+    names = sorted(found)
+    pivot = np.frombuffer(found[rows.column("pivot")[0].as_py()], np.uint64)
+    edges = list(group_links(pivot, [np.frombuffer(found[c], np.uint64) for c in names]))
+    if not edges:
+        return None
+    return pa.record_batch({"a": pa.array([names[x] for x, _ in edges], pa.int64()),
+                            "b": pa.array([names[y] for _, y in edges], pa.int64())})
+
+
+def links(docs: DataFrame, classes: DataFrame, met: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``a, b``: links between classes that connect all that any links connect."""
+    near = cut_lineage(in_groups(deal(met), classes.select("class", "n", "bits"), keep_possible, "pivot long, class long, n int")
+                       .dropDuplicates(["pivot", "class"]))
+    # one document stands for each class that may link with another
+    involved = near.select("class").union(near.select(F.col("pivot").alias("class"))).distinct()
     stand_in = (classes.join(involved, "class")
                 .select("class", id_key("least.doc_id").alias("__id"), F.col("least.text_hash").alias("__text")))
     texts = docs.select(*row_key(doc_id, text), F.col(text).alias("text")).join(stand_in, ["__id", "__text"])
@@ -302,21 +374,7 @@ def links(docs: DataFrame, classes: DataFrame, met: DataFrame, doc_id: str, text
             yield pa.record_batch({"class": batch.column("class"), "members": pa.array(sets, pa.binary())})
 
     sets = texts.select("class", "text").mapInArrow(to_sets, "class long, members binary")
-
-    def in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in sorted_runs(batches, ["pivot", "i", "j"]):
-            pivot = rows.column("pivot")[0].as_py()
-            found = dict(zip(rows.column("class").to_pylist(), rows.column("members").to_pylist()))  # repeated rows once
-            names = sorted(found)
-            members = [np.frombuffer(found[c], np.uint64) for c in names]
-            edges = list(group_links(np.frombuffer(found[pivot], np.uint64), members))
-            if edges:
-                yield pa.record_batch({"a": pa.array([names[x] for x, _ in edges], pa.int64()),
-                                       "b": pa.array([names[y] for _, y in edges], pa.int64())})
-
-    gathered = dealt.join(sets, "class").select("pivot", "i", "j", "class", "members")
-    return (gathered.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "class")
-            .mapInArrow(in_groups, "a long, b long"))
+    return in_groups(deal(near), sets, forest, "a long, b long")
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -326,10 +384,10 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     signed = cut_lineage(signatures(spark, docs, doc_id, text))
     # smallest id first by class, then by component; null ids come last
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least")
-    classes = cut_lineage(signed.where("n > 0").groupBy("class").agg(least))
+    classes = cut_lineage(signed.where("n > 0").groupBy("class").agg(least, F.first("n").alias("n"), F.first("bits").alias("bits")))
     met = cut_lineage(meetings(index_entries(signed)))
     found = connected_components(links(docs, classes, met, doc_id, text))
-    of_class = (classes.join(found.withColumnRenamed("node", "class"), "class", "left")
+    of_class = (classes.select("class", "least").join(found.withColumnRenamed("node", "class"), "class", "left")
                 .withColumn("component", F.coalesce("component", "class")))
     firsts = of_class.groupBy("component").agg(F.min("least").alias("first"))
     named = of_class.join(firsts, "component").select("class", "first")
