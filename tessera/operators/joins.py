@@ -1,9 +1,7 @@
-"""Join helpers: size-checked broadcast, dimension enrichment, semi/anti joins.
+"""Join helpers: dimension enrichment, semi/anti joins, lookups, alignment.
 
-A side is broadcast only after a bounded count proves it small
-(``limit(max_rows + 1).count()`` stops reading once the bound is exceeded);
-otherwise the join is left to Catalyst/AQE (sort-merge or shuffled hash, with
-AQE's runtime broadcast conversion and skew-split still available).
+No side is forced to be broadcast: Spark does so by byte size, estimated or, with
+AQE, measured, and otherwise shuffles with skewed partitions split.
 """
 
 from __future__ import annotations
@@ -11,21 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def enrich(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Fact x dimension equi-join; the dimension is broadcast when provably small."""
-    return fact.join(broadcast_if_small(dim, max_broadcast_rows), on, how)
+def enrich(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Fact x dimension equi-join."""
+    return fact.join(dim, on, how)
 
 
 def semi(df: DataFrame, keys: DataFrame, on) -> DataFrame:

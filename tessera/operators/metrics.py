@@ -19,6 +19,7 @@ One grouped plan scores every generator at once:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,17 +32,23 @@ ORDERS = range(1, B.MAX_ORDER + 1)
 
 
 # ---------------------------------------------------------------- co-location
-MAX_GENERATORS = 256   # generators are a categorical label (a handful of systems)
+#: Generators per plan: each is a column group of the aggregate.
+GENERATOR_GROUP = 32
 
 
 def generator_names(preds: DataFrame, generators: Sequence[str] | None = None) -> list[str]:
-    """The generator labels, read with a bounded ``limit`` so the driver never sees more."""
+    """The generator labels (names of systems, one row each)."""
     if generators is not None:
         return list(generators)
-    names = [r[0] for r in preds.select("generator").distinct().limit(MAX_GENERATORS + 1).collect()]
-    if len(names) > MAX_GENERATORS:
-        raise ValueError(f"more than {MAX_GENERATORS} generators; pass them explicitly")
-    return sorted(names)
+    return sorted(r[0] for r in preds.select("generator").distinct().collect())
+
+
+def by_generator_groups(metric, preds: DataFrame, refs: DataFrame, gens: list[str]) -> DataFrame:
+    """``metric(preds, refs, group)`` for all generators, some at a time."""
+    groups = [gens[i:i + GENERATOR_GROUP] for i in range(0, len(gens), GENERATOR_GROUP)] or [[]]
+    if len(groups) == 1:
+        return metric(preds, refs, gens)
+    return reduce(DataFrame.unionByName, [metric(preds.where(F.col("generator").isin(g)), refs, g) for g in groups])
 
 
 def colocate(preds: DataFrame, refs: DataFrame) -> DataFrame:
@@ -107,7 +114,10 @@ def bleu_stats(preds: DataFrame, refs: DataFrame, generators: Sequence[str] | No
     each generator (a pivot), then one aggregate per id - both on the
     id-partitioned texts, so no n-gram is ever shuffled.
     """
-    gens = generator_names(preds, generators)
+    return by_generator_groups(_bleu_stats, preds, refs, generator_names(preds, generators))
+
+
+def _bleu_stats(preds: DataFrame, refs: DataFrame, gens: list[str]) -> DataFrame:
     counts = _pivot_counts(_gram_items(colocate(preds, refs)), ["n", "gram"], gens)
     cr = F.coalesce(F.col("cr"), F.lit(0))
     aggs = [F.max(F.when(F.col("n") == 0, cr)).alias("ref_len")]
@@ -216,7 +226,10 @@ def tf_cosine(preds: DataFrame, refs: DataFrame, generators: Sequence[str] | Non
     Same plan shape as BLEU: id-partitioned texts, a pivoted count per
     ``(id, term)``, then dot products and norms per id.
     """
-    gens = generator_names(preds, generators)
+    return by_generator_groups(_tf_cosine, preds, refs, generator_names(preds, generators))
+
+
+def _tf_cosine(preds: DataFrame, refs: DataFrame, gens: list[str]) -> DataFrame:
     texts = colocate(preds, refs)
     # kind 0: one presence record per text (so empty texts keep their row); kind 1: terms
     items = texts.select("generator", "id", F.explode(F.array(

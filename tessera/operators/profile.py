@@ -86,42 +86,40 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
                   F.corr(x, y).alias("r"), F.count(F.lit(1)).alias("n"))
 
 
-def _value_at_rank(vals: DataFrame, rank: int, n: int, buckets: int, small: int) -> float:
+def _value_at_rank(vals: DataFrame, rank: int, n: int, buckets: int) -> float:
     """Exact ``rank``-th (0-based, ascending) value of the one-column frame ``vals`` (``_x``).
 
     Range narrowing: equal-width buckets over the current [min, max] are
     counted (at most ``buckets`` rows reach the driver), the walk finds the
     bucket holding the rank, and only that bucket is kept for the next round.
     Every round keeps the min in the first and the max in the last bucket, so
-    the candidate set shrinks until its values are equal or it is ``small``
-    enough to order directly.
+    the candidate set shrinks until its values are equal. Values must be finite.
     """
     cond = F.lit(True)
     x = F.col("_x")
     lo_hi = vals.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
-    lo, hi, base, cnt = lo_hi["lo"], lo_hi["hi"], 0, n
+    lo, hi, base = lo_hi["lo"], lo_hi["hi"], 0
     while True:
         if lo == hi:
             return float(lo)
-        if cnt <= small:
-            r = vals.where(cond).orderBy(x).offset(rank - base).limit(1).first()
-            return float(r["_x"])
-        width = (hi - lo) / buckets
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+        width = hi / buckets - lo / buckets  # the difference itself may overflow
+        if width > 0 and lo + width > lo:
+            b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+        else:  # neighbouring doubles: no equal-width bucket separates them, the least value does
+            b = (x > F.lit(lo)).cast("int")
         rows = sorted(vals.where(cond).groupBy(b.alias("_b"))
                       .agg(F.count(F.lit(1)).alias("c"), F.min(x).alias("lo"), F.max(x).alias("hi")).collect())
         for row in rows:
             if rank < base + row["c"]:
                 cond = cond & (b == F.lit(row["_b"]))
-                lo, hi, cnt = row["lo"], row["hi"], row["c"]
+                lo, hi = row["lo"], row["hi"]
                 break
             base += row["c"]
         else:  # rank past the end
             raise ValueError("rank out of range")
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], buckets: int = 4096,
-                    small: int = 100_000) -> list[float | None]:
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], buckets: int = 4096) -> list[float | None]:
     """Interpolated quantiles (``percentile`` / ``quantile_cont`` semantics), scale-safe.
 
     Spark's exact ``percentile`` merges a map of every distinct value into one
@@ -132,14 +130,24 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], buckets: int =
     from tessera.session import cut_lineage
     vals = cut_lineage(df.select(F.col(col).cast("double").alias("_x"))
                          .where(F.col("_x").isNotNull() & ~F.isnan("_x")))
-    n = vals.count()
+    # infinities stand at the ends of the order and are counted, not narrowed
+    low, high = F.lit(float("-inf")), F.lit(float("inf"))
+    sizes = vals.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_x") == low, 1)).alias("low"),
+                     F.count(F.when(F.col("_x") == high, 1)).alias("high")).first()
+    n = sizes["n"]
     if n == 0:
         return [None for _ in qs]
+    finite = vals.where((F.col("_x") > low) & (F.col("_x") < high))
     cache: dict[int, float] = {}
 
     def at(r: int) -> float:
         if r not in cache:
-            cache[r] = _value_at_rank(vals, r, n, buckets, small)
+            if r < sizes["low"]:
+                cache[r] = float("-inf")
+            elif r >= n - sizes["high"]:
+                cache[r] = float("inf")
+            else:
+                cache[r] = _value_at_rank(finite, r - sizes["low"], n - sizes["low"] - sizes["high"], buckets)
         return cache[r]
 
     out = []
@@ -148,7 +156,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], buckets: int =
         r0 = int(h)
         r1 = min(r0 + 1, n - 1)
         v0 = at(r0)
-        out.append(v0 if r1 == r0 or h == r0 else v0 + (h - r0) * (at(r1) - v0))
+        out.append(v0 if r1 == r0 or h == r0 or at(r1) == v0 else v0 + (h - r0) * (at(r1) - v0))
     return out
 
 
@@ -207,7 +215,7 @@ def accuracy(pred: DataFrame, y: str, yhat: str) -> Column:
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Last record per key by ``order`` (a total order), via ``max_by`` - no window sort."""
+    """Last record per key by ``order`` (a total order), via ``max_by`` over a struct (a sort-based aggregate)."""
     others = [c for c in df.columns if c not in keys]
     o = F.struct(*[F.col(c) for c in order])
     g = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in others]), o).alias("_last"))

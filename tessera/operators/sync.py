@@ -5,28 +5,30 @@ Semantics (batch and streaming share them):
 * extract: rows whose tracking column is in ``[watermark - lookback, ceiling)``;
   no watermark means a full copy up to the ceiling;
 * dedupe: the lookback overlap must be idempotent, so changes collapse to the
-  last version per key (``max_by`` over a total order, no window sort);
-* upsert: ``target LEFT ANTI changes  UNION ALL  changes`` - Parquet has no
-  MERGE, so the result is written as a *new version directory* and a small
-  pointer file is flipped afterwards (readers always see a complete table);
+  last version per key (``max_by`` over a total order; its struct buffer makes
+  this a sort-based aggregate);
+* upsert: ``target LEFT ANTI changes  UNION ALL  changes``, in the hash buckets
+  that the changes touch (see ``versioned``: new folders, then a new pointer);
 * the watermark and the run log are tiny state tables committed *after* the
   data write succeeded, so a failed write never advances the watermark.
 
-A version directory is named after the batch id / run id, so replaying a
-batch overwrites its own output instead of duplicating it.
+Every merge is idempotent, so a replayed run or batch is simply merged again.
 """
 
 from __future__ import annotations
 
-import json
-from datetime import datetime
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.versioned import Snapshot, VersionedTable
+
 DEFAULT_LOOKBACK_S = 300
 
 
@@ -82,78 +84,21 @@ def upsert(target: DataFrame, changes: DataFrame, pk: Sequence[str],
 
 
 # ---------------------------------------------------------------- versioned tables
-class VersionedTable:
-    """A table stored as ``root/v=<version>/`` Parquet dirs plus a ``_current`` pointer.
+def upsert_versioned(table: VersionedTable, changes: DataFrame, keep_from_target: Sequence[str] = ()) -> DataFrame:
+    """Insert-or-replace by the table's key, in the buckets that the changes touch.
 
-    The pointer is a one-line JSON file written through the Hadoop filesystem
-    (write temp + rename), so it works on any shared filesystem Spark can use.
+    Running it again with the same changes gives the same table.
     """
+    def combine(old, new):
+        return new if old is None else upsert(old, new, table.pk, keep_from_target)
+    return table.merge(changes, combine)
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def _fs(self, path):
-        return path.getFileSystem(self._conf)
-
-    def current_version(self) -> str | None:
-        p = self._Path(f"{self.root}/_current")
-        fs = self._fs(p)
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)["version"]
 
-    def path_of(self, version: str) -> str:
-        return f"{self.root}/v={version}"
-
-    def read(self) -> DataFrame | None:
-        v = self.current_version()
-        return None if v is None else self.spark.read.parquet(self.path_of(v))
-
-    def write_version(self, df: DataFrame, version: str) -> str:
-        path = self.path_of(version)
-        df.write.mode("overwrite").parquet(path)  # replay of a version overwrites itself
-        return path
-
-    def publish(self, version: str, keep_previous: int = 1) -> None:
-        """Atomically flip the pointer, then drop versions older than the previous one."""
-        prev = self.current_version()
-        tmp = self._Path(f"{self.root}/_current.tmp")
-        fs = self._fs(tmp)
-        out = fs.create(tmp, True)
-        out.write(bytearray(json.dumps({"version": version, "previous": prev}).encode("utf-8")))
-        out.close()
-        dst = self._Path(f"{self.root}/_current")
-        if fs.exists(dst):
-            fs.delete(dst, False)
-        fs.rename(tmp, dst)
-        keep = {version} | ({prev} if prev and keep_previous else set())
-        for st in fs.listStatus(self._Path(self.root)):
-            name = st.getPath().getName()
-            if name.startswith("v=") and name[2:] not in keep:
-                fs.delete(st.getPath(), True)
-
-
-def upsert_versioned(table: VersionedTable, changes: DataFrame, pk: Sequence[str], version: str,
-                     keep_from_target: Sequence[str] = ()) -> DataFrame:
-    """Upsert into a versioned table; the pointer moves only after the write succeeded.
-
-    Re-running an already published version is a no-op (idempotent replay).
-    """
-    if table.current_version() == version:
-        return table.read()
-    cur = table.read()
-    new = changes if cur is None else upsert(cur, changes, pk, keep_from_target)
-    table.write_version(new, version)
-    table.publish(version)
-    return table.read()
+def upsert_newest_versioned(table: VersionedTable, changes: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Newest row per key wins, whatever the order or repetition of the change sets."""
+    def combine(old, new):
+        return dedupe_changes(new, table.pk, order) if old is None else upsert_newest(old, new, table.pk, order)
+    return table.merge(changes, combine)
 
 
 # ---------------------------------------------------------------- state tables
@@ -174,7 +119,7 @@ class WatermarkStore:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.table = VersionedTable(spark, root)
+        self.table = VersionedTable(spark, root, ["table_name"], buckets=1)
 
     def get(self, table_name: str):
         df = self.table.read()
@@ -184,15 +129,34 @@ class WatermarkStore:
         return r[0][0] if r else None  # one scalar of a tiny state table
 
     def commit(self, table_name: str, watermark, run_id: str) -> None:
-        if isinstance(watermark, str):
-            watermark = datetime.fromisoformat(watermark)
-        row = self.spark.createDataFrame([(table_name, watermark, run_id)], STATE_SCHEMA)
-        upsert_versioned(self.table, row, ["table_name"], f"{run_id}-{table_name}")
+        row = self.spark.createDataFrame([(table_name, _timestamp(watermark), run_id)], STATE_SCHEMA)
+        upsert_versioned(self.table, row)
 
 
-def sync_table(spark: SparkSession, src: DataFrame, target: VersionedTable, store: WatermarkStore,
-               table_name: str, pk: Sequence[str], track_col: str, ceiling, run_id: str,
-               tiebreak: Sequence[str] = (), lookback_s: int = DEFAULT_LOOKBACK_S) -> dict:
+class RunLog:
+    """One row per run, keyed by run id: recording a run again replaces its row."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.table = VersionedTable(spark, root, ["run_id"], buckets=1)
+
+    def record(self, run_id: str, source: str, status: str, started_at, duration_seconds: float,
+               row_count: int | None = None, dump_bytes: int | None = None, message: str | None = None,
+               recorded_at=None) -> None:
+        row = (run_id, source, status, _timestamp(started_at), float(duration_seconds), row_count, dump_bytes, message,
+               _timestamp(recorded_at) if recorded_at else datetime.now(timezone.utc).replace(tzinfo=None))
+        upsert_versioned(self.table, self.spark.createDataFrame([row], RUN_LOG_SCHEMA))
+
+    def read(self) -> DataFrame | None:
+        return self.table.read()
+
+
+def _timestamp(value):
+    return datetime.fromisoformat(value) if isinstance(value, str) else value
+
+
+def sync_table(src: DataFrame, target: VersionedTable, store: WatermarkStore, table_name: str, track_col: str,
+               ceiling, run_id: str, tiebreak: Sequence[str] = (), lookback_s: int = DEFAULT_LOOKBACK_S) -> dict:
     """One table of an incremental run: extract -> dedupe -> upsert -> commit watermark.
 
     Status is returned rather than raised so a failing table does not stop
@@ -201,12 +165,45 @@ def sync_table(spark: SparkSession, src: DataFrame, target: VersionedTable, stor
     try:
         wm = store.get(table_name)
         ch = incremental_extract(src, track_col, wm, ceiling, lookback_s)
-        ch = dedupe_changes(ch, pk, [track_col, *tiebreak])
-        upsert_versioned(target, ch, pk, run_id)
+        ch = dedupe_changes(ch, target.pk, [track_col, *tiebreak])
+        upsert_versioned(target, ch)
         store.commit(table_name, ceiling, run_id)  # only after the write succeeded
-        return {"table": table_name, "status": "ok"}
+        return {"table": table_name, "status": "ok", "message": None}
     except Exception as e:  # noqa: BLE001 - reported per table
-        return {"table": table_name, "status": "failed", "message": str(e)[:500]}
+        return {"table": table_name, "status": "failed", "message": str(e)}
+
+
+@dataclass
+class TableSpec:
+    """What a run needs to know of one table."""
+
+    name: str
+    source: Callable[[], DataFrame]
+    pk: Sequence[str]
+    track_col: str
+    tiebreak: Sequence[str] = ()
+
+
+def run_sync(spark: SparkSession, specs: Sequence[TableSpec], root: str, ceiling, run_id: str,
+             log: RunLog | None = None, lookback_s: int = DEFAULT_LOOKBACK_S) -> list[dict]:
+    """An incremental run over many tables, each with its own watermark; a failing one does not
+    stop the others. The run log gets one row: ok, partial or failed."""
+    started, clock = datetime.now(timezone.utc).replace(tzinfo=None), time.monotonic()
+    store = WatermarkStore(spark, f"{root}/_watermarks")
+    results = []
+    for s in specs:
+        try:
+            src = s.source()
+        except Exception as e:  # noqa: BLE001 - a source that cannot be opened fails its table only
+            results.append({"table": s.name, "status": "failed", "message": str(e)})
+            continue
+        target = VersionedTable(spark, f"{root}/{s.name}", s.pk)
+        results.append(sync_table(src, target, store, s.name, s.track_col, ceiling, run_id, s.tiebreak, lookback_s))
+    if log is not None:
+        failed = [f"{r['table']}: {r['message']}" for r in results if r["status"] != "ok"]
+        log.record(run_id, "sync", run_status(results), started, time.monotonic() - clock, len(results) - len(failed),
+                   None, "; ".join(failed) or None)
+    return results
 
 
 def run_status(results: Sequence[dict]) -> str:
@@ -214,17 +211,10 @@ def run_status(results: Sequence[dict]) -> str:
     return "ok" if failed == 0 else ("failed" if failed == len(results) else "partial")
 
 
-def snapshot_all(tables: dict[str, DataFrame], root: str, run_id: str, spark: SparkSession) -> DataFrame:
-    """Full dump of every table into a new version, then a distributed row audit."""
-    counts = []
-    for name, df in tables.items():
-        vt = VersionedTable(spark, f"{root}/{name}")
-        vt.write_version(df, run_id)
-        counts.append(spark.read.parquet(vt.path_of(run_id)).agg(F.count(F.lit(1)).alias("n_rows"))
-                      .select(F.lit(name).alias("table_name"), "n_rows"))
+def snapshot_all(spark: SparkSession, tables: dict[str, DataFrame], root: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Full dump of every table, swapped in as one, then a distributed row audit of what was written."""
+    snap = Snapshot(spark, root)
+    snap.publish(tables, carry)
+    counts = [snap.read(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+              for name in tables]
     return reduce(DataFrame.unionByName, counts)
-
-
-def publish_snapshot(tables: Sequence[str], root: str, run_id: str, spark: SparkSession) -> None:
-    for name in tables:
-        VersionedTable(spark, f"{root}/{name}").publish(run_id)

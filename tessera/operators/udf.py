@@ -1,30 +1,40 @@
 """Model hooks: text generators (U1) and embedders (U2) as Arrow batch operators.
 
-A *factory* builds the model once per Python worker process (cached by
-factory identity) and returns ``fn(list[str]) -> list``; ``mapInPandas``
-feeds it whole Arrow batches. A failing batch falls back to row-by-row calls
-so one bad row yields an error value for that row instead of failing the
-task; errors land in an ``error`` column that callers route to a side table.
+A ``Model`` names what it loads: workers keep one loaded model per name and
+version, so two models in one worker never stand in for each other.
+``mapInPandas`` feeds it whole Arrow batches. A failing batch falls back to
+row-by-row calls so one bad row yields an error value for that row instead of
+failing the task; errors land in an ``error`` column that callers route to a
+side table.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-_MODELS: dict[int, Callable] = {}
 
+@dataclass(frozen=True)
+class Model:
+    """``load()`` builds ``fn(list[str]) -> list``; ``name`` and ``version`` must tell models apart."""
 
-def _model(factory: Callable) -> Callable:
-    key = id(factory)
-    if key not in _MODELS:
-        _MODELS[key] = factory()
-    return _MODELS[key]
+    name: str
+    version: str
+    load: Callable[[], Callable]
+
+
+_LOADED: dict[tuple[str, str], Callable] = {}
+
+
+def _model(model: Model) -> Callable:
+    key = (model.name, model.version)
+    if key not in _LOADED:
+        _LOADED[key] = model.load()
+    return _LOADED[key]
 
 
 def _apply(fn: Callable, texts: list) -> tuple[list, list]:
@@ -38,17 +48,17 @@ def _apply(fn: Callable, texts: list) -> tuple[list, list]:
                 err.append(None)
             except Exception as e:  # noqa: BLE001
                 out.append(None)
-                err.append(str(e)[:300])
+                err.append(str(e))
         return out, err
 
 
-def generate(df: DataFrame, input_col: str, factory: Callable, out_col: str = "prediction") -> DataFrame:
+def generate(df: DataFrame, input_col: str, model: Model, out_col: str = "prediction") -> DataFrame:
     """Run a text generator over ``input_col``; adds ``out_col`` and ``error``."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType()),
                                               T.StructField("error", T.StringType())])
 
     def run(batches):
-        fn = _model(factory)
+        fn = _model(model)
         for pdf in batches:
             out, err = _apply(fn, pdf[input_col].tolist())
             yield pdf.assign(**{out_col: out, "error": err})
@@ -56,46 +66,16 @@ def generate(df: DataFrame, input_col: str, factory: Callable, out_col: str = "p
     return df.mapInPandas(run, schema)
 
 
-def embed(df: DataFrame, text_col: str, factory: Callable, out_col: str = "embedding") -> DataFrame:
+def embed(df: DataFrame, text_col: str, model: Model, out_col: str = "embedding") -> DataFrame:
     """Embed ``text_col`` into ``ARRAY<FLOAT>``; adds ``out_col`` and ``error``."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.FloatType())),
                                               T.StructField("error", T.StringType())])
 
     def run(batches):
-        fn = _model(factory)
+        fn = _model(model)
         for pdf in batches:
             out, err = _apply(fn, pdf[text_col].tolist())
             yield pdf.assign(**{out_col: [None if v is None else np.asarray(v, dtype="float32") for v in out],
                                 "error": err})
 
     return df.mapInPandas(run, schema)
-
-
-_TOKEN = re.compile(r"[a-z0-9]+")
-
-
-def hashing_embedder(dim: int = 64) -> Callable[[], Callable]:
-    """Factory of a deterministic feature-hashing embedder (test and offline stand-in).
-
-    Tokens are hashed (CRC32) into ``dim`` signed buckets and the vector is
-    L2-normalised; empty texts give the zero vector.
-    """
-    def factory():
-        def fn(texts):
-            out = np.zeros((len(texts), dim), dtype="float64")
-            for i, t in enumerate(texts):
-                for tok in _TOKEN.findall((t or "").lower()):
-                    h = zlib.crc32(tok.encode("utf-8"))
-                    out[i, h % dim] += 1.0 if (h >> 31) & 1 == 0 else -1.0
-            n = np.linalg.norm(out, axis=1, keepdims=True)
-            out = np.divide(out, n, out=np.zeros_like(out), where=n > 0)
-            return list(out)
-        return fn
-    return factory
-
-
-def echo_generator() -> Callable[[], Callable]:
-    """Factory of a trivial generator that returns its input (test stand-in)."""
-    def factory():
-        return lambda texts: ["" if t is None else t for t in texts]
-    return factory

@@ -1,24 +1,25 @@
 """Vector columns: cosine, centroids, exact top-k nearest neighbours.
 
-Exact k-NN never materialises (query, candidate) pairs: the query set is
-checked to be small (bounded count) and shipped to every task once; each
-Arrow batch of candidates is scored against all queries with one matrix
-product and only its local top-k per query is emitted. A final
+Exact k-NN never materialises (query, candidate) pairs: queries go to the tasks
+in blocks of bounded size; some candidates at a time are scored against a block
+with one matrix product and only the local top-k per query is emitted. A final
 ``row_number`` over ``partition by query`` keeps the global top-k from at most
 ``k x batches`` rows per query.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import has_at_most
 from tessera.operators.metrics import cosine  # noqa: F401  (re-export)
 
-MAX_QUERIES = 100_000
+QUERY_BLOCK = 4096
+CANDIDATE_ROWS = 1024
 
 
 def centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
@@ -30,41 +31,45 @@ def centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
 
 
 def nearest(candidates: DataFrame, cand_id: str, cand_vec: str, queries: DataFrame, query_id: str,
-            query_vec: str, k: int, max_queries: int = MAX_QUERIES) -> DataFrame:
-    """Exact cosine top-k candidates per query: (query_id, cand_id, score, rank)."""
-    if not has_at_most(queries, max_queries):
-        raise ValueError(f"query set larger than {max_queries}; split it into chunks")
-    qrows = queries.select(query_id, query_vec).collect()  # bounded, checked above
-    qids = [r[0] for r in qrows]
-    qmat = np.array([np.asarray(r[1], dtype="float64") for r in qrows])
-    qn = np.linalg.norm(qmat, axis=1)
-    qmat = np.divide(qmat, qn[:, None], out=np.zeros_like(qmat), where=qn[:, None] > 0)
-    qid_type = dict(queries.dtypes)[query_id]
-    cid_type = dict(candidates.dtypes)[cand_id]
-
-    def local_topk(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            cm = np.stack([np.asarray(v, dtype="float64") for v in pdf[cand_vec]])
-            cn = np.linalg.norm(cm, axis=1)
-            cm = np.divide(cm, cn[:, None], out=np.zeros_like(cm), where=cn[:, None] > 0)
-            sims = qmat @ cm.T                                  # (queries, batch)
-            kk = min(k, sims.shape[1])
-            idx = np.argpartition(-sims, kk - 1, axis=1)[:, :kk]
-            rows_q = np.repeat(np.arange(len(qids)), kk)
-            rows_c = idx.reshape(-1)
-            yield pd.DataFrame({"query_id": [qids[i] for i in rows_q],
-                                "cand_id": pdf[cand_id].to_numpy()[rows_c],
-                                "score": sims[rows_q, rows_c]})
+            query_vec: str, k: int, block: int = QUERY_BLOCK) -> DataFrame:
+    """Exact cosine top-k candidates per query: (query_id, cand_id, score, rank).
 
-    part = candidates.select(cand_id, cand_vec).mapInPandas(
-        local_topk, f"query_id {qid_type}, cand_id {cid_type}, score double")
+    Queries are dealt into blocks of about ``block`` by hash; each block is one
+    pass over the candidates, so memory does not grow with the query set.
+    """
+    blocks = max(1, -(-queries.count() // block))
+    parts = [_nearest_block(candidates, cand_id, cand_vec,
+                            queries.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == b).select(query_id, query_vec).collect(),
+                            dict(queries.dtypes)[query_id], k) for b in range(blocks)]
+    part = reduce(DataFrame.unionByName, parts)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("cand_id"))
     return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
                .withColumnRenamed("query_id", query_id).withColumnRenamed("cand_id", cand_id)
 
 
-def l2_normalize(v: Column) -> Column:
-    n = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(n > 0, F.transform(v, lambda x: x / n)).otherwise(v)
+def _nearest_block(candidates: DataFrame, cand_id: str, cand_vec: str, rows: list, qid_type: str, k: int) -> DataFrame:
+    qids = [r[0] for r in rows]
+    qmat = np.array([np.asarray(r[1], dtype="float64") for r in rows])
+    if len(rows):
+        qn = np.linalg.norm(qmat, axis=1)
+        qmat = np.divide(qmat, qn[:, None], out=np.zeros_like(qmat), where=qn[:, None] > 0)
+    cid_type = dict(candidates.dtypes)[cand_id]
+
+    def local_topk(batches):
+        for pdf in batches:
+            for begin in range(0, len(pdf) if len(qids) else 0, CANDIDATE_ROWS):
+                some = pdf.iloc[begin:begin + CANDIDATE_ROWS]
+                cm = np.stack([np.asarray(v, dtype="float64") for v in some[cand_vec]])
+                cn = np.linalg.norm(cm, axis=1)
+                cm = np.divide(cm, cn[:, None], out=np.zeros_like(cm), where=cn[:, None] > 0)
+                sims = qmat @ cm.T                                  # (queries, candidates)
+                kk = min(k, sims.shape[1])
+                idx = np.argpartition(-sims, kk - 1, axis=1)[:, :kk]
+                rows_q = np.repeat(np.arange(len(qids)), kk)
+                rows_c = idx.reshape(-1)
+                yield pd.DataFrame({"query_id": [qids[i] for i in rows_q],
+                                    "cand_id": some[cand_id].to_numpy()[rows_c],
+                                    "score": sims[rows_q, rows_c]})
+
+    return candidates.select(cand_id, cand_vec).mapInPandas(
+        local_topk, f"query_id {qid_type}, cand_id {cid_type}, score double")

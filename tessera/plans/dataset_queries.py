@@ -17,7 +17,7 @@ from tessera.sources.tables import Tables
 
 def raw_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    d = t.documents.select("doc_id", "text")
+    d = t.spread("documents").select("doc_id", "text")
     p = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     lab = t.labels.select("doc_id", "quality", "toxic")
     return (d.join(p, d.doc_id == p.p_partkey, "left").drop("p_partkey")
@@ -110,7 +110,7 @@ def q_training_text(spark, sf_dir):
 SELECT page_id, {S.clean('html')} AS text, length({S.clean('html')}) AS n_chars
 FROM pages""")
 def q_clean_pages(spark, sf_dir):
-    p = Tables(spark, sf_dir).pages
+    p = Tables(spark, sf_dir).spread("pages")
     c = T.clean_text(F.col("html"))
     return p.select("page_id", c.alias("text"), F.length(c).alias("n_chars"))
 
@@ -121,7 +121,7 @@ SELECT conv_id, count(*) AS n_turns,
 FROM conversations GROUP BY conv_id""")
 def q_conversation_text(spark, sf_dir):
     from tessera.operators.conversations import conversation_text
-    return conversation_text(Tables(spark, sf_dir).conversations)
+    return conversation_text(Tables(spark, sf_dir).spread("conversations"))
 
 
 @register("sentences", sql=f"""
@@ -132,7 +132,7 @@ WITH s AS (
   FROM documents)
 SELECT doc_id, count(*) AS n_sentences, CAST(sum(length(sentence)) AS BIGINT) AS n_chars FROM s GROUP BY doc_id""")
 def q_sentences(spark, sf_dir):
-    d = Tables(spark, sf_dir).documents
+    d = Tables(spark, sf_dir).spread("documents")
     s = d.select("doc_id", F.explode(T.split_sentences(F.col("text"))).alias("sentence"))
     return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"),
                                    F.sum(F.length("sentence")).alias("n_chars"))
@@ -141,6 +141,6 @@ def q_sentences(spark, sf_dir):
 @register("chunks")
 def q_chunks(spark, sf_dir):
     """F11 packing: (doc_id, chunk_no, chunk, n_chars). Checked by unit tests."""
-    d = Tables(spark, sf_dir).documents
+    d = Tables(spark, sf_dir).spread("documents")
     c = d.select("doc_id", F.posexplode(T.chunk_text(F.col("text"), 180)).alias("chunk_no", "chunk"))
     return c.withColumn("n_chars", F.length("chunk"))

@@ -187,10 +187,11 @@ def q_difficulty_buckets(spark, sf_dir):
 
 
 @register("difficulty_hardest", sql=_DIFF_SQL + """
-SELECT id, round(name_ppl, 6) AS name_ppl, round(bleu, 6) AS bleu FROM rowq ORDER BY bleu, id LIMIT 10""")
+SELECT id, round(name_ppl, 6) AS name_ppl, round(bleu, 6) AS bleu FROM rowq ORDER BY rowq.name_ppl DESC, id LIMIT 10""")
 def q_difficulty_hardest(spark, sf_dir):
+    """The ten names that the language model finds least likely."""
     d = difficulty_rows(spark, sf_dir)
-    h = P.top_n(d, "bleu", 10, "id", largest=False)
+    h = P.top_n(d, "name_ppl", 10, "id")
     return h.select("id", F.round("name_ppl", 6).alias("name_ppl"), F.round("bleu", 6).alias("bleu"))
 
 

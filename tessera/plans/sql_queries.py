@@ -97,4 +97,4 @@ def q_snapshot_tables(spark, sf_dir):
     """Full dump of every table into a new version under the shared folder, then a row audit."""
     t = Tables(spark, sf_dir)
     root = scratch_path(spark, "snapshot")
-    return SY.snapshot_all({name: getattr(t, name) for name in TABLES}, root, "r0", spark)
+    return SY.snapshot_all(spark, {name: getattr(t, name) for name in TABLES}, root)

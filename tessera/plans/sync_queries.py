@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -10,9 +11,12 @@ from tessera.functions import text as T
 from tessera.operators import joins as J
 from tessera.operators import sync as Y
 from tessera.operators import vectors as V
-from tessera.operators.udf import embed, hashing_embedder
-from tessera.plans.registry import register
-from tessera.session import checkpoint_root
+from tessera.operators import sinks as K
+from tessera.operators.udf import Model, embed
+from tessera.plans.registry import ORACLES, register
+from tessera.plans.stand_ins import hashing_embedder
+from tessera.operators.versioned import Snapshot
+from tessera.session import checkpoint_root, cut_lineage, scratch_path
 from tessera.sources import files as FS
 from tessera.sources.tables import Tables
 from tessera.streaming.sync_stream import sync_stream
@@ -72,39 +76,119 @@ def q_upsert_events(spark, sf_dir):
 @register("sync_batch_events", sql=_SYNCED_SQL)
 def q_sync_batch_events(spark, sf_dir):
     """Two real sync runs into a versioned table with a committed watermark store."""
-    root = f"{checkpoint_root(spark)}/sync-{uuid.uuid4().hex[:10]}"
+    root = scratch_path(spark, "sync")
     e = Tables(spark, sf_dir).events
-    target = Y.VersionedTable(spark, f"{root}/events")
+    target = Y.VersionedTable(spark, f"{root}/events", PK)
     store = Y.WatermarkStore(spark, f"{root}/_watermarks")
-    r1 = Y.sync_table(spark, e, target, store, "events", PK, "ts", WATERMARK, "run0001", ["event_id"], LOOKBACK_S)
-    r2 = Y.sync_table(spark, e, target, store, "events", PK, "ts", CEILING, "run0002", ["event_id"], LOOKBACK_S)
+    r1 = Y.sync_table(e, target, store, "events", "ts", WATERMARK, "run0001", ["event_id"], LOOKBACK_S)
+    r2 = Y.sync_table(e, target, store, "events", "ts", CEILING, "run0002", ["event_id"], LOOKBACK_S)
     if Y.run_status([r1, r2]) != "ok":
         raise RuntimeError(f"sync failed: {r1} {r2}")
     return _cols(target.read())
 
 
+_ALL_SYNCED_SQL = f"""
+SELECT user_id, event_type, {_LATEST} FROM events GROUP BY user_id, event_type"""
+
+
+@register("sync_catch_up", sql=_ALL_SYNCED_SQL)
+def q_sync_catch_up(spark, sf_dir):
+    """Runs up to two ceilings and one after the last row: the target is the whole table's last state."""
+    root = scratch_path(spark, "sync")
+    e = Tables(spark, sf_dir).events
+    target = Y.VersionedTable(spark, f"{root}/events", PK)
+    store = Y.WatermarkStore(spark, f"{root}/_watermarks")
+    last = e.agg((F.max("ts") + F.expr("INTERVAL 1 SECOND")).alias("t")).first()["t"] or CEILING
+    for i, ceiling in enumerate((WATERMARK, CEILING, last)):
+        r = Y.sync_table(e, target, store, "events", "ts", ceiling, f"run{i}", ["event_id"], LOOKBACK_S)
+        if r["status"] != "ok":
+            raise RuntimeError(f"sync failed: {r}")
+    return _cols(target.read())
+
+
 @register("sync_stream_events", sql=_SYNCED_SQL)
 def q_sync_stream_events(spark, sf_dir):
     """Structured Streaming catch-up (availableNow) over change files; equals the batch result."""
-    root = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex[:10]}"
+    root = scratch_path(spark, "stream")
     e = Tables(spark, sf_dir).events
-    target = Y.VersionedTable(spark, f"{root}/events")
+    target = Y.VersionedTable(spark, f"{root}/events", PK)
     # initial full copy up to the watermark
-    base = _cols(Y.dedupe_changes(Y.incremental_extract(e, "ts", None, WATERMARK), PK, ORDER))
-    target.write_version(base, "initial")
-    target.publish("initial")
+    target.replace(_cols(Y.dedupe_changes(Y.incremental_extract(e, "ts", None, WATERMARK), PK, ORDER)))
     # the change feed lands as several files; the stream consumes one per trigger
     changes = Y.incremental_extract(e, "ts", WATERMARK, CEILING, LOOKBACK_S)
     changes.repartition(4).write.mode("overwrite").parquet(f"{root}/incoming")
-    out = sync_stream(spark, f"{root}/incoming", changes.schema, target, PK, ORDER, f"{root}/_checkpoint")
+    out = sync_stream(spark, f"{root}/incoming", changes.schema, target, ORDER, f"{root}/_checkpoint")
     return _cols(out)
 
 
+def _specs(spark, sf_dir):
+    """Three tracked tables, one of which cannot be read."""
+    t = Tables(spark, sf_dir)
+    return [Y.TableSpec("events", lambda: _cols(t.events), PK, "ts", ["event_id"]),
+            Y.TableSpec("orders", lambda: t.orders.select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("timestamp_ntz").alias("o_at")),
+                        ["o_orderkey"], "o_at", ["o_orderstatus"]),
+            Y.TableSpec("missing", lambda: spark.read.parquet(f"{sf_dir}/no_such_table.parquet"), ["id"], "ts")]
+
+
+_MANY_CEILING = "1998-01-01 00:00:00"
+
+
+@register("sync_many_tables", sql=f"""
+SELECT 'events' AS table_name, 'ok' AS status, count(DISTINCT (user_id, event_type)) AS n_rows FROM events WHERE ts < TIMESTAMP '{_MANY_CEILING}'
+UNION ALL SELECT 'missing', 'failed', 0
+UNION ALL SELECT 'orders', 'ok', count(DISTINCT o_orderkey) FROM orders WHERE CAST(o_orderdate AS TIMESTAMP) < TIMESTAMP '{_MANY_CEILING}'""")
+def q_sync_many_tables(spark, sf_dir):
+    """A run over three tables, one failing: the others are in, each with its status."""
+    root = scratch_path(spark, "many")
+    results = Y.run_sync(spark, _specs(spark, sf_dir), root, _MANY_CEILING, "run0001")
+    parts = []
+    for r in results:
+        df = Y.VersionedTable(spark, f"{root}/{r['table']}").read() if r["status"] == "ok" else None
+        n = df.agg(F.count(F.lit(1)).alias("n_rows")) if df is not None else spark.range(1).select(F.lit(0).cast("long").alias("n_rows"))
+        parts.append(n.select(F.lit(r["table"]).alias("table_name"), F.lit(r["status"]).alias("status"), "n_rows"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@register("run_log_replay", sql=f"""
+SELECT run_id, 'sync' AS source, CASE run_id WHEN 'run0001' THEN 'partial' ELSE 'ok' END AS status,
+       CASE run_id WHEN 'run0001' THEN 2 ELSE 1 END AS row_count, run_id = 'run0001' AS has_message,
+       (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events WHERE ts < TIMESTAMP '{CEILING}')) AS events_synced
+FROM (VALUES ('run0001'), ('run0002')) v(run_id)""")
+def q_run_log_replay(spark, sf_dir):
+    """The run log after a partial run, an ok run and a replay of the latter: one row per run id."""
+    root = scratch_path(spark, "runlog")
+    log = Y.RunLog(spark, f"{root}/_runs")
+    specs = _specs(spark, sf_dir)
+    Y.run_sync(spark, specs, root, WATERMARK, "run0001", log)
+    for _ in range(2):
+        Y.run_sync(spark, specs[:1], root, CEILING, "run0002", log)
+    n = Y.VersionedTable(spark, f"{root}/events").read().agg(F.count(F.lit(1)).alias("events_synced"))
+    return log.read().select("run_id", "source", "status", "row_count", F.col("message").isNotNull().alias("has_message")) \
+        .crossJoin(F.broadcast(n))  # one row
+
+
+@register("snapshot_carry_over", sql="""
+SELECT 'customer' AS table_name, count(*) AS n_rows, sum(c_custkey) AS key_sum FROM customer
+UNION ALL SELECT 'part', count(*), sum(p_partkey) FROM part WHERE p_partkey % 2 = 0
+UNION ALL SELECT 'derived', count(*), sum(p_partkey) FROM part""")
+def q_snapshot_carry_over(spark, sf_dir):
+    """Two full snapshots, each swapped in as one; the second keeps the table derived after the first."""
+    t = Tables(spark, sf_dir)
+    snap = Snapshot(spark, scratch_path(spark, "snap"))
+    part = t.part.select("p_partkey", "p_name")
+    snap.publish({"customer": t.customer.select("c_custkey"), "part": part, "derived": part.withColumn("n", F.length("p_name"))})
+    snap.publish({"customer": t.customer.select("c_custkey"), "part": part.where("p_partkey % 2 = 0")}, carry=["derived"])
+    keys = {"customer": "c_custkey", "part": "p_partkey", "derived": "p_partkey"}
+    return reduce(lambda a, b: a.unionByName(b), [
+        snap.read(n).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(k).alias("key_sum")).select(F.lit(n).alias("table_name"), "n_rows", "key_sum")
+        for n, k in keys.items()])
+
+
 # ---------------------------------------------------------------- document composition
 def product_docs(spark, sf_dir):
     """(source_id, content, metadata): documents as products with their part spec."""
     t = Tables(spark, sf_dir)
-    d = t.documents.select("doc_id", "text")
+    d = t.spread("documents").select("doc_id", "text")
     p = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
     j = d.join(p, d.doc_id == p.p_partkey, "left")
     short = T.first_line(F.col("text"))
@@ -172,19 +256,119 @@ def q_compose_customer_docs(spark, sf_dir):
     return j.select(F.col("c_custkey").cast("string").alias("source_id"), content.alias("content"))
 
 
-@register("embedding_refresh")
+def customer_docs(spark, sf_dir):
+    """(source_table, source_id, content, metadata) of customers."""
+    c = q_compose_customer_docs(spark, sf_dir)
+    return c.select(F.lit("customer").alias("source_table"), "source_id", "content",
+                    T.metadata_json({"kind": F.lit("customer")}).alias("metadata"))
+
+
+def _failing(model: Model, marker: str) -> Model:
+    """The model, raising on texts that hold the marker (as a service rejects some inputs)."""
+    def load():
+        fn = model.load()
+
+        def guarded(texts):
+            if any(marker in t for t in texts):
+                raise ValueError("rejected")
+            return fn(texts)
+        return guarded
+    return Model(f"{model.name}-rejects-{marker}", model.version, load)
+
+
+# texts with this word are rejected by the embedder of the refresh below
+_REJECTED = "Segment: MACHINERY"
+_DOCS_SQL = f"""
+SELECT 'documents' AS source_table, source_id, content FROM ({ORACLES["compose_product_docs"]})
+UNION ALL SELECT 'customer', source_id, content FROM ({ORACLES["compose_customer_docs"]})"""
+
+
+@register("embedding_refresh", sql=f"""
+WITH docs AS ({_DOCS_SQL}),
+fresh AS (SELECT *, CASE WHEN CAST(source_id AS BIGINT) % 3 = 0 THEN content || ' (new)' ELSE content END AS latest FROM docs)
+SELECT source_table, source_id, CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN 'failed' ELSE 'ok' END AS status,
+       CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN NULL ELSE length(latest) END AS content_chars,
+       CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN NULL ELSE 64 END AS dim,
+       CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN NULL ELSE 'run1' END AS created_run,
+       CASE WHEN CAST(source_id AS BIGINT) % 3 = 0 THEN 'run2' ELSE 'run1' END AS updated_run
+FROM fresh""")
 def q_embedding_refresh(spark, sf_dir):
-    """Compose -> embed (Arrow batches, pluggable model) -> keyed upsert keeping created_at."""
-    root = f"{checkpoint_root(spark)}/emb-{uuid.uuid4().hex[:10]}"
-    target = Y.VersionedTable(spark, root)
-    docs = product_docs(spark, sf_dir)
-    emb = embed(docs, "content", hashing_embedder(64))
-    good = emb.where(F.col("error").isNull()).drop("error") \
-              .withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
-    Y.upsert_versioned(target, good, ["source_table", "source_id"], "r1", keep_from_target=["created_at"])
-    out = target.read()
-    return out.select("source_table", "source_id", F.length("content").alias("content_chars"),
-                      F.size("embedding").alias("dim"), "metadata")
+    """Two refresh runs over two entities: all documents, then the changed ones. Content and vector
+    follow the change, the creating run is kept, rejected documents are in an error table."""
+    root = scratch_path(spark, "emb")
+    key = ["source_table", "source_id"]
+    target, errors = Y.VersionedTable(spark, f"{root}/embeddings", key), Y.VersionedTable(spark, f"{root}/errors", key)
+    docs = product_docs(spark, sf_dir).unionByName(customer_docs(spark, sf_dir))
+    changed = docs.where(F.col("source_id").cast("long") % 3 == 0).withColumn("content", F.concat("content", F.lit(" (new)")))
+    model = _failing(hashing_embedder(64), _REJECTED)
+    for run, rows in (("run1", docs), ("run2", changed)):
+        made = cut_lineage(embed(rows, "content", model).withColumn("created_run", F.lit(run)).withColumn("updated_run", F.lit(run)))
+        Y.upsert_versioned(target, made.where("error IS NULL").drop("error"), keep_from_target=["created_run"])
+        Y.upsert_versioned(errors, made.where("error IS NOT NULL").select(*key, "error", "updated_run"))
+    ok = target.read().select(*key, F.lit("ok").alias("status"), F.length("content").alias("content_chars"),
+                              F.size("embedding").alias("dim"), "created_run", "updated_run")
+    none = F.lit(None)
+    return ok.unionByName(errors.read().select(*key, F.lit("failed").alias("status"), none.cast("int").alias("content_chars"),
+                                               none.cast("int").alias("dim"), none.cast("string").alias("created_run"), "updated_run"))
+
+
+# ---------------------------------------------------------------- sinks and cache
+def _text_results(docs, generator):
+    return docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).select(F.lit(generator).alias("generator"), "n", "chars")
+
+
+@register("results_replace_generator", sql="""
+SELECT 'all' AS generator, count(*) AS n, sum(length(text)) AS chars FROM documents
+UNION ALL SELECT 'some', count(*), sum(length(text)) FROM documents WHERE doc_id % 5 = 0""")
+def q_results_replace_generator(spark, sf_dir):
+    """Results of two generators; those of one are written again and replace its rows only."""
+    path = scratch_path(spark, "results")
+    d = Tables(spark, sf_dir).documents
+    K.replace_generator_results(_text_results(d, "all").unionByName(_text_results(d.where("doc_id % 2 = 0"), "some")), path)
+    K.replace_generator_results(_text_results(d.where("doc_id % 5 = 0"), "some"), path)
+    return spark.read.parquet(path).select("generator", "n", "chars")
+
+
+@register("metrics_append_runs", sql="""
+SELECT 'run1' AS run_id, event_type, count(*) AS n, round(avg(value), 6) AS mean_value FROM events GROUP BY event_type
+UNION ALL SELECT 'run2', event_type, count(*), round(avg(value), 6) FROM events WHERE user_id % 2 = 0 GROUP BY event_type""")
+def q_metrics_append_runs(spark, sf_dir):
+    """Metrics of two runs in one table; the first run, written twice, is there once."""
+    path = scratch_path(spark, "metrics")
+    e = Tables(spark, sf_dir).events
+
+    def metrics(df):
+        return df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean_value"))
+    for run, df in (("run1", e.where("user_id % 3 = 0")), ("run2", e.where("user_id % 2 = 0")), ("run1", e)):
+        K.append_run_metrics(metrics(df), path, run)
+    return spark.read.parquet(path).select("run_id", "event_type", "n", "mean_value")
+
+
+def _upper_model() -> Model:
+    """Upper-cases a text; rejects texts without a line feed."""
+    def load():
+        def fn(texts):
+            if any("\n" not in t for t in texts):
+                raise ValueError("one line only")
+            return [t.upper() for t in texts]
+        return fn
+    return Model("upper", "1", load)
+
+
+@register("prediction_cache", sql="""
+SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'run1' ELSE 'run2' END AS run_id, length(text) AS chars, NULL AS error
+FROM documents WHERE strpos(text, chr(10)) > 0
+UNION ALL SELECT doc_id, 'run2', NULL, 'one line only' FROM documents WHERE strpos(text, chr(10)) = 0""")
+def q_prediction_cache(spark, sf_dir):
+    """A run over half of the documents, then one over all: ids of the first are not computed again,
+    failures are tried again and kept to the side."""
+    cache = K.PredictionCache(spark, scratch_path(spark, "cache"), "upper")
+    d = Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("id"), F.col("text").alias("input"))
+    cache.predict(d.where("id % 2 = 0"), _upper_model(), "run1")
+    done = cache.predict(d, _upper_model(), "run2")
+    none = F.lit(None)
+    return done.select("id", "run_id", F.length("prediction").alias("chars"), none.cast("string").alias("error")).unionByName(
+        cache.failed.read().select("id", "run_id", none.cast("int").alias("chars"), "error"))
 
 
 # ---------------------------------------------------------------- vectors

@@ -7,7 +7,10 @@ the shared checkpoint folder.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -61,12 +64,16 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local runs and tests) a private scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Where it is unset, a local
+    session (one process) gets a scratch folder that goes with the process; on a
+    cluster a folder of the driver's machine would be lost data, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
@@ -83,22 +90,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and read it back.
-
-    Used where a result feeds several later stages and recomputation would be
-    expensive; the written table also survives executor loss.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import load_table
+from tessera.sources.tables import Tables
 
 # (source tag, table, id column, text column) of the language-model corpus.
 DEFAULT_SOURCES = (
@@ -25,7 +25,7 @@ DEFAULT_SOURCES = (
 def load_sources(spark: SparkSession, sf_dir: str, specs=DEFAULT_SOURCES) -> DataFrame:
     frames = []
     for tag, table, id_col, col in specs:
-        df = load_table(spark, sf_dir, table)
+        df = Tables(spark, sf_dir).spread(table)
         frames.append(df.where(F.col(col).isNotNull() & (F.col(col) != ""))
                         .select(F.lit(tag).alias("source"), F.col(id_col).cast("long").alias("row_id"),
                                 F.col(col).alias("text")))

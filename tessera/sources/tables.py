@@ -19,27 +19,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Tables whose rows carry long texts: per-row work on them (regex tokenisation,
-# n-gram expansion, Python UDFs) is CPU heavy.
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+def spread(df: DataFrame, path: str) -> DataFrame:
+    """Deal the rows of a small input over the cluster's cores before heavy work on each row.
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster's cores when it yields fewer input splits.
-
-    A large table already arrives in many splits and is returned untouched
-    (no shuffle); a file with a single row group would otherwise put all
-    per-row text work into one task.
+    Input below one read split per core may come in fewer splits than cores (a file
+    with one row group is one split). Its size is read from the file listing; what
+    the exchange moves is bounded by a split per core, and larger input is untouched.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    spark = df.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if size < cores * split else df
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(df) if name in TEXT_TABLES else df
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 class Tables:
@@ -54,6 +50,6 @@ class Tables:
             return load_table(self.spark, self.sf_dir, name)
         raise AttributeError(name)
 
-    def register_views(self, names=TABLES) -> None:
-        for n in names:
-            load_table(self.spark, self.sf_dir, n).createOrReplaceTempView(n)
+    def spread(self, name: str) -> DataFrame:
+        """A table for heavy work per row: see ``spread``."""
+        return spread(load_table(self.spark, self.sf_dir, name), table_path(self.sf_dir, name))

@@ -3,10 +3,10 @@
 A file source (new change files land in ``source_dir``) is consumed with
 ``trigger(availableNow=True)``: every pending file is processed, then the
 query stops - the streaming form of a timer-driven catch-up run. Each
-micro-batch is deduplicated and merged into a versioned table whose version
-name is derived from the batch id, so a replayed batch (after a failure
-between write and checkpoint commit) republishes the same version instead of
-applying twice. The checkpoint replaces the watermark file.
+micro-batch is merged newest-row-wins into the touched buckets of a versioned
+table. The merge is idempotent, so a batch replayed after a failure between
+write and checkpoint commit, or another feed with batch ids of its own, can
+neither apply twice nor be skipped. The checkpoint replaces the watermark file.
 """
 
 from __future__ import annotations
@@ -16,24 +16,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tessera.operators.sync import VersionedTable, dedupe_changes, upsert_newest
+from tessera.operators.sync import VersionedTable, dedupe_changes, upsert_newest_versioned
 
 
 def sync_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: VersionedTable,
-                pk: Sequence[str], order: Sequence[str], checkpoint: str,
+                order: Sequence[str], checkpoint: str,
                 max_files_per_trigger: int = 1, fmt: str = "parquet") -> DataFrame:
     stream = (spark.readStream.format(fmt).schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir))
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        version = f"b{batch_id:010d}"
-        if target.current_version() == version:
-            return  # replay of an already published batch
-        changes = dedupe_changes(batch, pk, order)
-        cur = target.read()
-        new = changes if cur is None else upsert_newest(cur, changes, pk, order)
-        target.write_version(new, version)
-        target.publish(version)
+        upsert_newest_versioned(target, dedupe_changes(batch, target.pk, order), order)
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint)

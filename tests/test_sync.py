@@ -2,12 +2,13 @@ import json
 import tempfile
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import runs as R
 from tessera.operators import sync as Y
 from tessera.sources.files import read_metric_log
-from tessera.streaming.metric_stream import metric_stream
+from tessera.streaming.metric_stream import LINE_KEY, metric_stream, metric_tail
 from tessera.streaming.sync_stream import sync_stream
 
 SCHEMA = "id long, ts timestamp_ntz, v string"
@@ -37,32 +38,126 @@ def test_upsert_idempotent_and_keeps_columns(spark):
     assert {r.id: str(r.ts) for r in kept.collect()}[2] == "2024-01-01 00:00:00"
 
 
-def test_failed_write_does_not_advance_watermark(spark):
-    root = tempfile.mkdtemp(prefix="tessera-sync-")
+def test_failed_write_does_not_advance_watermark(spark, tmp_path):
+    root = str(tmp_path)
     store = Y.WatermarkStore(spark, f"{root}/_wm")
-    target = Y.VersionedTable(spark, f"{root}/t")
+    target = Y.VersionedTable(spark, f"{root}/t", ["id"])
     bad = _rows(spark, [(1, "2024-01-15 00:00:00", "x")]).withColumn("v", F.raise_error(F.lit("boom")))
-    res = Y.sync_table(spark, bad, target, store, "t", ["id"], "ts", "2024-01-20 00:00:00", "r1")
+    res = Y.sync_table(bad, target, store, "t", "ts", "2024-01-20 00:00:00", "r1")
     assert res["status"] == "failed"
     assert store.get("t") is None
     good = _rows(spark, [(1, "2024-01-15 00:00:00", "x")])
-    res = Y.sync_table(spark, good, target, store, "t", ["id"], "ts", "2024-01-20 00:00:00", "r2")
+    res = Y.sync_table(good, target, store, "t", "ts", "2024-01-20 00:00:00", "r2")
     assert res["status"] == "ok" and str(store.get("t")) == "2024-01-20 00:00:00"
     assert Y.run_status([{"status": "ok"}, {"status": "failed"}]) == "partial"
 
 
+def test_a_reused_run_id_still_applies_new_changes(spark, tmp_path):
+    store, target = Y.WatermarkStore(spark, f"{tmp_path}/_wm"), Y.VersionedTable(spark, f"{tmp_path}/t", ["id"])
+    for v, ceiling in (("a", "2024-01-10 00:00:00"), ("b", "2024-01-20 00:00:00")):
+        src = _rows(spark, [(1, "2024-01-09 23:59:00", v), (2 if v == "a" else 3, "2024-01-09 23:58:00", v)])
+        assert Y.sync_table(src, target, store, "t", "ts", ceiling, "same-run")["status"] == "ok"
+    assert {r.id: r.v for r in target.read().collect()} == {1: "b", 2: "a", 3: "b"}
+
+
+def test_publish_that_stops_at_any_step_loses_nothing(spark, tmp_path, monkeypatch):
+    """A crash before, while and after the pointer is written: the next upsert starts from the former table."""
+    for step in ("_write", "create", "rename", "_clean"):
+        root = f"{tmp_path}/{step}"
+        table = Y.VersionedTable(spark, root, ["id"])
+        table.replace(_rows(spark, [(1, "2024-01-01 00:00:00", "a"), (2, "2024-01-01 00:00:00", "b")]))
+        change = _rows(spark, [(3, "2024-01-02 00:00:00", "c")])
+
+        def stop(*args, **kw):
+            raise RuntimeError("stopped here")
+        with monkeypatch.context() as m:
+            if step == "_write":
+                m.setattr(table, "_publish", stop)  # data written, no pointer
+            elif step == "_clean":
+                m.setattr(table.pointers, "_clean", stop)  # pointer written, old files left
+            else:
+                real = table.pointers.fs()
+
+                class Broken:
+                    def __getattr__(self, name):
+                        return stop if name == step else getattr(real, name)
+                m.setattr(table.pointers, "fs", Broken)
+            try:
+                Y.upsert_versioned(table, change)
+            except RuntimeError as e:
+                assert "stopped here" in str(e)
+        again = Y.VersionedTable(spark, root, ["id"])
+        assert {r.id for r in again.read().collect()} >= {1, 2}
+        Y.upsert_versioned(again, change)
+        assert {r.id: r.v for r in again.read().collect()} == {1: "a", 2: "b", 3: "c"}
+
+
+def test_versions_without_a_pointer_are_an_error(spark, tmp_path):
+    import os
+    table = Y.VersionedTable(spark, str(tmp_path), ["id"])
+    table.replace(_rows(spark, [(1, "2024-01-01 00:00:00", "a")]))
+    for f in os.listdir(f"{tmp_path}/_pointers"):
+        (tmp_path / "_pointers" / f).write_text("{")
+    with pytest.raises(RuntimeError, match="no readable pointer"):
+        table.read()
+    with pytest.raises(RuntimeError, match="no readable pointer"):
+        Y.upsert_versioned(table, _rows(spark, [(2, "2024-01-01 00:00:00", "b")]))
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    table = Y.VersionedTable(spark, str(tmp_path), ["id"], buckets=32)
+    table.replace(_rows(spark, [(i, "2024-01-01 00:00:00", "a") for i in range(200)]))
+    before = table.pointers.current()["buckets"]
+    Y.upsert_versioned(table, spark.createDataFrame([(7, datetime(2024, 1, 2), "b")], "id int, ts timestamp_ntz, v string"))
+    after = table.pointers.current()["buckets"]
+    assert sum(before[b] != after[b] for b in before) == 1 and len(before) > 20
+    assert table.read().count() == 200 and table.read().where("v = 'b'").first().id == 7
+
+
+def test_snapshot_swaps_all_tables_and_carries_derived_ones(spark, tmp_path):
+    snap = Y.Snapshot(spark, str(tmp_path))
+    snap.publish({"a": spark.range(3), "derived": spark.range(9)})
+    snap.publish({"a": spark.range(5)}, carry=["derived"])
+    assert (snap.read("a").count(), snap.read("derived").count()) == (5, 9)
+    with pytest.raises(ValueError):
+        snap.publish({"a": spark.range(1)}, carry=["never there"])
+    bad = spark.range(1).select(F.raise_error(F.lit("boom")).alias("x"))
+    with pytest.raises(Exception, match="boom"):
+        snap.publish({"a": spark.range(7), "b": bad})
+    assert snap.read("a").count() == 5
+
+
+def test_run_over_many_tables_is_partial_and_logged(spark, tmp_path):
+    log = Y.RunLog(spark, f"{tmp_path}/runs")
+    rows = _rows(spark, [(1, "2024-01-15 00:00:00", "x")])
+
+    def gone():
+        raise OSError("cannot open")
+    specs = [Y.TableSpec("a", lambda: rows, ["id"], "ts"), Y.TableSpec("b", gone, ["id"], "ts")]
+    for _ in range(2):
+        results = Y.run_sync(spark, specs, str(tmp_path), "2024-01-20 00:00:00", "r1", log)
+        assert [r["status"] for r in results] == ["ok", "failed"]
+    found = log.read().collect()
+    assert len(found) == 1 and found[0].status == "partial" and "cannot open" in found[0].message
+
+
 def test_stream_equals_batch(spark):
     root = tempfile.mkdtemp(prefix="tessera-stream-")
     rows = [(i % 7, f"2024-01-{1 + i % 20:02d} 00:00:{i % 60:02d}", f"v{i}") for i in range(200)]
     df = _rows(spark, rows)
     df.repartition(5).write.parquet(f"{root}/in")
-    target = Y.VersionedTable(spark, f"{root}/t")
-    out = sync_stream(spark, f"{root}/in", df.schema, target, ["id"], ["ts", "v"], f"{root}/ck")
+    target = Y.VersionedTable(spark, f"{root}/t", ["id"])
+    out = sync_stream(spark, f"{root}/in", df.schema, target, ["ts", "v"], f"{root}/ck")
     batch = Y.dedupe_changes(df, ["id"], ["ts", "v"])
     assert sorted(out.select("id", "ts", "v").collect()) == sorted(batch.select("id", "ts", "v").collect())
     # a second availableNow run with no new files changes nothing
-    again = sync_stream(spark, f"{root}/in", df.schema, target, ["id"], ["ts", "v"], f"{root}/ck")
+    again = sync_stream(spark, f"{root}/in", df.schema, target, ["ts", "v"], f"{root}/ck")
     assert sorted(again.collect()) == sorted(out.collect())
+    # another feed with batch ids of its own starts at 0 again: nothing of it is taken for a replay
+    more = _rows(spark, [(50, "2024-02-01 00:00:00", "new"), (1, "2023-01-01 00:00:00", "old")])
+    more.write.parquet(f"{root}/in2")
+    both = {r.id: r.v for r in sync_stream(spark, f"{root}/in2", df.schema, target, ["ts", "v"], f"{root}/ck2").collect()}
+    assert both[50] == "new" and both[1] != "old"
 
 
 def _write_log(path, rows):
@@ -96,10 +191,61 @@ def test_compare_runs_last_line_wins(spark):
     assert R.final_eval(a).first().step == 100
 
 
-def test_metric_stream(spark):
-    d = tempfile.mkdtemp(prefix="tessera-mstream-")
-    _write_log(f"{d}/a.jsonl", LOG_A)
-    target = Y.VersionedTable(spark, f"{d}/out")
-    out = metric_stream(spark, d, target, f"{d}/ck")
-    ev = {r.step: r.eval_loss for r in out.where("kind = 'eval'").collect()}
+def test_final_eval_is_the_last_line_not_the_largest_step(spark, tmp_path):
+    _write_log(f"{tmp_path}/c.jsonl", [{"step": 200, "eval_loss": 0.5}, {"step": 50, "eval_loss": 0.4}])
+    assert R.final_eval(read_metric_log(spark, f"{tmp_path}/c.jsonl")).first().step == 50
+
+
+def test_metric_stream_and_tail(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    _write_log(f"{logs}/a.jsonl", LOG_A + [{"step": 10, "loss": 2.5}])
+    target = Y.VersionedTable(spark, f"{tmp_path}/out", LINE_KEY)
+    out = metric_stream(spark, str(logs), target, f"{tmp_path}/ck")
+    ev = {r.step: r.eval_loss for r in R.last_by_step(out, "eval", ["eval_loss"]).collect()}
     assert ev == {50: 0.87, 100: 0.5131}
+    assert sorted(r.loss for r in out.where("kind = 'train'").collect()) == [2.5, 2.9]  # both rows of step 10
+    with open(f"{logs}/a.jsonl", "a", encoding="utf-8") as f:
+        f.write(json.dumps({"step": 130, "eval_loss": 0.3}) + "\n" + '{"step": 14')
+    out = metric_tail(spark, str(logs), target)
+    assert out.count() == len(LOG_A) + 2 and R.final_eval(out).first().step == 130
+    with open(f"{logs}/a.jsonl", "a", encoding="utf-8") as f:
+        f.write('0, "eval_loss": 0.2}\n')
+    assert R.final_eval(metric_tail(spark, str(logs), target)).first().step == 140
+
+
+def test_two_models_in_one_worker(spark):
+    from tessera.operators.udf import Model, _model
+
+    def maker(n):
+        return Model("times", str(n), lambda: lambda xs: [n * len(x) for x in xs])
+    assert [_model(maker(n))(["ab"])[0] for n in range(50)] == [2 * n for n in range(50)]
+
+
+def test_cache_computes_what_is_missing(spark, tmp_path):
+    from tessera.operators.sinks import PredictionCache
+    from tessera.operators.udf import Model
+
+    def load():
+        def fn(xs):
+            if any(x == "bad" for x in xs):
+                raise ValueError("bad input")
+            return [x + "!" for x in xs]
+        return fn
+    cache = PredictionCache(spark, str(tmp_path), "g")
+    df = spark.createDataFrame([(1, "a"), (2, "bad"), (3, "c")], "id long, input string")
+    cache.predict(df.where("id < 3"), Model("m", "1", load), "r1")
+    out = {r.id: (r.prediction, r.run_id) for r in cache.predict(df, Model("m", "1", load), "r2").collect()}
+    assert out == {1: ("a!", "r1"), 3: ("c!", "r2")}
+    assert [(r.id, r.error, r.run_id) for r in cache.failed.read().collect()] == [(2, "bad input", "r2")]
+
+
+def test_examples_with_a_torn_line(spark, tmp_path):
+    from tessera.sources.files import read_examples_jsonl, read_examples_with_rejects
+    lines = ['{"id": "1", "output": "x", "input": {"name": "n"}}', "", '{"id": "2", "output": "y', '{"id": null, "output": "z"}']
+    (tmp_path / "e.jsonl").write_text("\n".join(lines))
+    with pytest.raises(Exception):
+        read_examples_jsonl(spark, str(tmp_path)).collect()
+    good, bad = read_examples_with_rejects(spark, str(tmp_path))
+    assert sorted((r.id or "", r.output) for r in good.collect()) == [("", "z"), ("1", "x")]
+    assert [r.line for r in bad.collect()] == [lines[2]]
