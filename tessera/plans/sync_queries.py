@@ -168,9 +168,9 @@ def q_run_log_replay(spark, sf_dir):
 
 
 @register("snapshot_carry_over", sql="""
-SELECT 'customer' AS table_name, count(*) AS n_rows, sum(c_custkey) AS key_sum FROM customer
-UNION ALL SELECT 'part', count(*), sum(p_partkey) FROM part WHERE p_partkey % 2 = 0
-UNION ALL SELECT 'derived', count(*), sum(p_partkey) FROM part""")
+SELECT 'customer' AS table_name, count(*) AS n_rows, CAST(sum(c_custkey) AS BIGINT) AS key_sum FROM customer
+UNION ALL SELECT 'part', count(*), CAST(sum(p_partkey) AS BIGINT) FROM part WHERE p_partkey % 2 = 0
+UNION ALL SELECT 'derived', count(*), CAST(sum(p_partkey) AS BIGINT) FROM part""")
 def q_snapshot_carry_over(spark, sf_dir):
     """Two full snapshots, each swapped in as one; the second keeps the table derived after the first."""
     t = Tables(spark, sf_dir)
@@ -287,9 +287,9 @@ UNION ALL SELECT 'customer', source_id, content FROM ({ORACLES["compose_customer
 WITH docs AS ({_DOCS_SQL}),
 fresh AS (SELECT *, CASE WHEN CAST(source_id AS BIGINT) % 3 = 0 THEN content || ' (new)' ELSE content END AS latest FROM docs)
 SELECT source_table, source_id, CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN 'failed' ELSE 'ok' END AS status,
-       CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN NULL ELSE length(latest) END AS content_chars,
-       CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN NULL ELSE 64 END AS dim,
-       CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN NULL ELSE 'run1' END AS created_run,
+       CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN -1 ELSE length(latest) END AS content_chars,
+       CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN -1 ELSE 64 END AS dim,
+       CASE WHEN strpos(content, '{_REJECTED}') > 0 THEN '' ELSE 'run1' END AS created_run,
        CASE WHEN CAST(source_id AS BIGINT) % 3 = 0 THEN 'run2' ELSE 'run1' END AS updated_run
 FROM fresh""")
 def q_embedding_refresh(spark, sf_dir):
@@ -305,11 +305,11 @@ def q_embedding_refresh(spark, sf_dir):
         made = cut_lineage(embed(rows, "content", model).withColumn("created_run", F.lit(run)).withColumn("updated_run", F.lit(run)))
         Y.upsert_versioned(target, made.where("error IS NULL").drop("error"), keep_from_target=["created_run"])
         Y.upsert_versioned(errors, made.where("error IS NOT NULL").select(*key, "error", "updated_run"))
-    ok = target.read().select(*key, F.lit("ok").alias("status"), F.length("content").alias("content_chars"),
-                              F.size("embedding").alias("dim"), "created_run", "updated_run")
-    none = F.lit(None)
-    return ok.unionByName(errors.read().select(*key, F.lit("failed").alias("status"), none.cast("int").alias("content_chars"),
-                                               none.cast("int").alias("dim"), none.cast("string").alias("created_run"), "updated_run"))
+    ok = target.read().select(*key, F.lit("ok").alias("status"), F.length("content").cast("long").alias("content_chars"),
+                              F.size("embedding").cast("long").alias("dim"), "created_run", "updated_run")
+    none = F.lit(-1).cast("long")
+    return ok.unionByName(errors.read().select(*key, F.lit("failed").alias("status"), none.alias("content_chars"),
+                                               none.alias("dim"), F.lit("").alias("created_run"), "updated_run"))
 
 
 # ---------------------------------------------------------------- sinks and cache
@@ -318,8 +318,8 @@ def _text_results(docs, generator):
 
 
 @register("results_replace_generator", sql="""
-SELECT 'all' AS generator, count(*) AS n, sum(length(text)) AS chars FROM documents
-UNION ALL SELECT 'some', count(*), sum(length(text)) FROM documents WHERE doc_id % 5 = 0""")
+SELECT 'all' AS generator, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents
+UNION ALL SELECT 'some', count(*), CAST(sum(length(text)) AS BIGINT) FROM documents WHERE doc_id % 5 = 0""")
 def q_results_replace_generator(spark, sf_dir):
     """Results of two generators; those of one are written again and replace its rows only."""
     path = scratch_path(spark, "results")
@@ -344,31 +344,30 @@ def q_metrics_append_runs(spark, sf_dir):
     return spark.read.parquet(path).select("run_id", "event_type", "n", "mean_value")
 
 
-def _upper_model() -> Model:
-    """Upper-cases a text; rejects texts without a line feed."""
+def _reversing_model() -> Model:
+    """Turns a text round; rejects texts without a line feed."""
     def load():
         def fn(texts):
             if any("\n" not in t for t in texts):
                 raise ValueError("one line only")
-            return [t.upper() for t in texts]
+            return [t[::-1] for t in texts]
         return fn
-    return Model("upper", "1", load)
+    return Model("reversing", "1", load)
 
 
 @register("prediction_cache", sql="""
-SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'run1' ELSE 'run2' END AS run_id, length(text) AS chars, NULL AS error
+SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'run1' ELSE 'run2' END AS run_id, length(text) AS chars, '' AS error
 FROM documents WHERE strpos(text, chr(10)) > 0
-UNION ALL SELECT doc_id, 'run2', NULL, 'one line only' FROM documents WHERE strpos(text, chr(10)) = 0""")
+UNION ALL SELECT doc_id, 'run2', -1, 'one line only' FROM documents WHERE strpos(text, chr(10)) = 0""")
 def q_prediction_cache(spark, sf_dir):
     """A run over half of the documents, then one over all: ids of the first are not computed again,
     failures are tried again and kept to the side."""
-    cache = K.PredictionCache(spark, scratch_path(spark, "cache"), "upper")
+    cache = K.PredictionCache(spark, scratch_path(spark, "cache"), "reversing")
     d = Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("id"), F.col("text").alias("input"))
-    cache.predict(d.where("id % 2 = 0"), _upper_model(), "run1")
-    done = cache.predict(d, _upper_model(), "run2")
-    none = F.lit(None)
-    return done.select("id", "run_id", F.length("prediction").alias("chars"), none.cast("string").alias("error")).unionByName(
-        cache.failed.read().select("id", "run_id", none.cast("int").alias("chars"), "error"))
+    cache.predict(d.where("id % 2 = 0"), _reversing_model(), "run1")
+    done = cache.predict(d, _reversing_model(), "run2")
+    return done.select("id", "run_id", F.length("prediction").cast("long").alias("chars"), F.lit("").alias("error")).unionByName(
+        cache.failed.read().select("id", "run_id", F.lit(-1).cast("long").alias("chars"), "error"))
 
 
 # ---------------------------------------------------------------- vectors
