@@ -86,10 +86,6 @@ def ngram_counts(words: DataFrame, n: int, by: Sequence[str] = ("split",), left_
     return ex.groupBy(*by, *[f"s{j + 1}" for j in range(n)]).agg(F.sum("c").alias("c"))
 
 
-def unigram_counts(words: DataFrame, by=("split",)) -> DataFrame:
-    return ngram_counts(words, 1, by)
-
-
 # ---------------------------------------------------------------- model tables
 @dataclass
 class BigramModel:

@@ -5,118 +5,155 @@ independent of input order - and the first ``floor(f * n)`` keys form the
 first split. Materialising a global rank would sort every row in one task,
 so instead each cut point is located as a *key*:
 
-1. a hex prefix of the hash names one of ``16**prefix_len`` buckets; the
-   per-bucket counts are a small aggregate (map-side combined);
-2. a running sum over that bucket table finds the one bucket holding rank
-   ``k`` and the rank at which it starts;
-3. only that bucket's rows are ordered to pick the key at rank ``k``.
+1. rows are counted by a hex prefix of the hash (a map-side combined
+   aggregate), which names the one prefix that holds the cut rank;
+2. rows under that prefix are counted by a longer prefix, and so on, until few
+   enough rows share the prefix to list them: no task ever orders a bucket.
 
 Every row is then tagged by comparing its key with the cut keys - a narrow,
-map-side expression, no shuffle of the data. What reaches the driver is
-bounded: the bucket-count table (at most ``16**prefix_len`` rows) and one key
-per cut.
+map-side expression, no shuffle of the data and nothing persisted. What reaches
+the driver per class and cut: at most ``16**DIGITS`` counts and ``LISTED`` keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+DIGITS = 4
+LISTED = 4096
+HASH_DIGITS = 32
+
 
 def split_hash(id_col: Column, seed: int | str) -> Column:
     return F.md5(F.concat_ws(":", id_col.cast("string"), F.lit(str(seed))))
 
 
-def _keyed(df: DataFrame, id_col: Column, seed, prefix_len: int) -> DataFrame:
-    h = split_hash(id_col, seed)
-    return df.withColumn("_h", h).withColumn("_id", id_col.cast("string")) \
-             .withColumn("_b", F.substring("_h", 1, prefix_len))
+def _key(id_col: Column, seed) -> tuple[Column, Column]:
+    return split_hash(id_col, seed), id_col.cast("string")
 
 
-def bucket_counts(keyed: DataFrame) -> DataFrame:
-    return keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+def _count_by_prefix(keys: DataFrame, targets: set[tuple], length: int, by: list[str]) -> dict[tuple, list[tuple[str, int]]]:
+    """Counts by hash prefix of ``length`` digits under the (class, prefix) targets."""
+    rows = keys
+    if any(prefix for _, prefix in targets):
+        known = {p for _, p in targets}
+        n = len(next(iter(known)))
+        rows = keys.where(F.substring("_h", 1, n).isin(sorted(known)))
+    found: dict[tuple, list[tuple[str, int]]] = {}
+    for r in rows.groupBy(*by, F.substring("_h", 1, length).alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect():
+        found.setdefault(tuple(r[c] for c in by), []).append((r["_p"], r["_n"]))
+    return {c: sorted(x) for c, x in found.items()}
 
 
-def cut_keys(keyed: DataFrame, ranks: Sequence[int], counts: list[tuple[str, int]]):
-    """Key ``(_h, _id)`` at each 0-based rank (``None`` when the rank is past the end).
+def cut_keys(keys: DataFrame, ranks_of, by: list[str] | None = None, digits: int = DIGITS,
+             listed: int = LISTED) -> dict[tuple, list[tuple[str, str] | None]]:
+    """Per class, the key ``(_h, _id)`` at each of its 0-based ranks (``None`` past the end).
 
-    ``counts`` are the (bucket, count) pairs - at most ``16**prefix_len`` of
-    them. Only the one bucket holding a rank is ordered, by a window over
-    that bucket's rows; a single row comes back per cut.
+    ``ranks_of(n)`` gives the ranks for a class of ``n`` rows; ``keys`` has ``_h, _id`` and
+    the ``by`` columns.
     """
-    counts = sorted(counts)
-    out = []
-    for k in ranks:
-        start, found = 0, None
-        for b, c in counts:
-            if start <= k < start + c:
-                found = (b, start)
-                break
-            start += c
-        if found is None:
-            out.append(None)
-            continue
-        b, start = found
-        inb = keyed.where(F.col("_b") == b).select("_h", "_id")
-        r = inb.withColumn("_r", F.row_number().over(Window.orderBy("_h", "_id")) - 1) \
-               .where(F.col("_r") == k - start).select("_h", "_id").first()
-        out.append((r["_h"], r["_id"]))
+    by = by or []
+    length = digits
+    counts = _count_by_prefix(keys, {((), "")}, length, by)
+    out: dict[tuple, list] = {}
+    pending: list[tuple[tuple, int, str, int, int]] = []  # class, cut, prefix, rank under it, rows under it
+    for c, x in counts.items():
+        n = sum(k for _, k in x)
+        ranks = ranks_of(n)
+        out[c] = [None] * len(ranks)
+        pending += [(c, i, *_descend(x, rank)) for i, rank in enumerate(ranks) if rank < n]
+    while pending:
+        small = [t for t in pending if t[4] <= listed or len(t[2]) >= HASH_DIGITS]
+        for k, group in _by_length(small).items():
+            wanted = keys.where(F.substring("_h", 1, k).isin(sorted({t[2] for t in group})))
+            # repeated ids share a key: counted, not listed one by one
+            rows = wanted.groupBy(*by, "_h", "_id").agg(F.count(F.lit(1)).alias("_n")).collect()
+            for c, i, prefix, rank, _ in group:
+                under = sorted((r["_h"], r["_id"], r["_n"]) for r in rows
+                               if tuple(r[b] for b in by) == c and r["_h"].startswith(prefix))
+                out[c][i] = _at_rank(under, rank)
+        pending = [t for t in pending if not (t[4] <= listed or len(t[2]) >= HASH_DIGITS)]
+        if pending:
+            length = min(length + digits, HASH_DIGITS)
+            counts = _count_by_prefix(keys, {(t[0], t[2]) for t in pending}, length, by)
+            pending = [(c, i, *_descend([x for x in counts[c] if x[0].startswith(prefix)], rank))
+                       for c, i, prefix, rank, _ in pending]
     return out
 
 
+def _by_length(items: list[tuple]) -> dict[int, list[tuple]]:
+    found: dict[int, list[tuple]] = {}
+    for t in items:
+        found.setdefault(len(t[2]), []).append(t)
+    return found
+
+
+def _descend(counts: list[tuple[str, int]], rank: int) -> tuple[str, int, int]:
+    """Prefix that holds the rank, the rank under it, and its row count."""
+    for prefix, n in counts:
+        if rank < n:
+            return prefix, rank, n
+        rank -= n
+    raise ValueError("rank past the end")
+
+
+def _at_rank(rows: list[tuple[str, str, int]], rank: int) -> tuple[str, str]:
+    for h, i, n in rows:
+        if rank < n:
+            return h, i
+        rank -= n
+    raise ValueError("rank past the end")
+
+
+def _before(h: Column, i: Column, cut: tuple[str, str] | None) -> Column:
+    """Whether a row's key sorts before the cut; all do where there is none."""
+    if cut is None:
+        return F.lit(True)
+    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (i < F.lit(cut[1])))
+
+
 def exact_hash_split(df: DataFrame, id_col: str, fractions: Sequence[float] = (0.8, 0.1),
                      names: Sequence[str] = ("train", "val", "test"), seed: int | str = 42,
-                     split_col: str = "split", prefix_len: int = 4) -> DataFrame:
+                     split_col: str = "split") -> DataFrame:
     """Tag rows with split names; sizes are ``floor(f * n)`` for all but the last.
 
-    The cut keys are computed eagerly (bounded bucket-count table, one row per
-    cut) from a persisted 3-column key projection; the returned plan tags the
-    rows with a literal comparison, i.e. no shuffle and no subquery.
+    The cut keys are found by counting passes over the ids; the returned plan tags
+    the rows with a literal comparison, i.e. no shuffle and no subquery.
     """
     assert len(names) == len(fractions) + 1
-    keyed = _keyed(df, F.col(id_col), seed, prefix_len)
-    keys = keyed.select("_h", "_id", "_b").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = [(r["_b"], r["_cnt"]) for r in bucket_counts(keys).collect()]  # <= 16**prefix_len rows
-        n = sum(c for _, c in counts)
+    h, i = _key(F.col(id_col), seed)
+
+    def ranks_of(n: int) -> list[int]:
         ranks, cut = [], 0
-        for frac in fractions:
-            cut += int(float(frac) * n)
+        for f in fractions:
+            cut += int(float(f) * n)
             ranks.append(cut)
-        cuts = cut_keys(keys, ranks, counts)
-    finally:
-        keys.unpersist()
-    key = F.struct("_h", "_id")
+        return ranks
+
+    cuts = cut_keys(df.select(h.alias("_h"), i.alias("_id")), ranks_of).get((), [None] * len(fractions))
+    keyed = df.withColumn("_h", h)
     expr = None
     for name, ck in zip(names[:-1], cuts):
-        cond = F.lit(True) if ck is None else key < F.struct(F.lit(ck[0]).alias("_h"), F.lit(ck[1]).alias("_id"))
+        cond = _before(F.col("_h"), i, ck)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    expr = expr.otherwise(F.lit(names[-1]))
-    return keyed.withColumn(split_col, expr).drop("_h", "_id", "_b")
+    return keyed.withColumn(split_col, expr.otherwise(F.lit(names[-1]))).drop("_h")
 
 
 def stratified_split(df: DataFrame, id_col: str, by: str, test_fraction: float = 0.2,
-                     seed: int | str = 42, split_col: str = "split", prefix_len: int = 3) -> DataFrame:
+                     seed: int | str = 42, split_col: str = "split") -> DataFrame:
     """Per-class exact split: the first ``floor(f * n_class)`` rows by hash key are test.
 
-    The ranking window is partitioned by class *and* hash bucket, so a class
-    holding most rows is still spread over ``16**prefix_len`` tasks; the
-    per-(class, bucket) offsets come from a small aggregate.
+    One cut key per class (a class is a label: there are few), then a map-side
+    comparison; neither rows nor classes are shuffled to be tagged.
     """
-    keyed = _keyed(df, F.col(id_col), seed, prefix_len)
-    counts = keyed.groupBy(by, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_prev = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        by, "_b",
-        F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy(by)).alias("_nc"),
-    )
-    w = Window.partitionBy(by, "_b").orderBy("_h", "_id")
-    ranked = keyed.withColumn("_rn", F.row_number().over(w)).join(offsets, [by, "_b"])
-    rank = F.col("_off") + F.col("_rn") - 1
-    n_test = F.floor(F.lit(float(test_fraction)) * F.col("_nc").cast("double"))
-    return (ranked.withColumn(split_col, F.when(rank < n_test, F.lit("test")).otherwise(F.lit("train")))
-                  .drop("_h", "_id", "_b", "_rn", "_off", "_nc"))
+    h, i = _key(F.col(id_col), seed)
+    cuts = cut_keys(df.select(h.alias("_h"), i.alias("_id"), F.col(by).alias("_c")),
+                    lambda n: [int(float(test_fraction) * n)], ["_c"])
+    keyed = df.withColumn("_h", h)
+    test = F.lit(False)
+    for (c,), (cut,) in sorted(cuts.items(), key=lambda x: str(x[0])):
+        test = test | (F.col(by).eqNullSafe(F.lit(c)) & _before(F.col("_h"), i, cut))
+    return keyed.withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_h")

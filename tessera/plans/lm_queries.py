@@ -8,7 +8,6 @@ distinct-word counts. The DuckDB oracles are generated from one CTE template
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,16 +25,13 @@ class LM:
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
-        # Token occurrences are cached for the two passes over them (cut keys,
-        # then tagging + counting) so the corpus is tokenised once.
-        occ = N.occurrences(load_sources(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self.occ = N.holdout_split(occ)
-            # (split, word, c) is bounded by the distinct-word count; a reliable
-            # checkpoint cuts the corpus lineage so every model table below reads it.
-            self.wc = cut_lineage(N.word_counts(self.occ, ("split",)))
-        finally:
-            occ.unpersist()
+        # The text is read for the counting passes of the cut key and once to tag and
+        # count in one go: tokens are never stored, only distinct words with counts.
+        occ = N.holdout_split(N.occurrences(load_sources(spark, sf_dir)))
+        # bounded by the distinct-word count; a reliable checkpoint cuts the corpus
+        # lineage so every model table below reads it.
+        self.by_source = cut_lineage(N.word_counts(occ, ("source", "split")))
+        self.wc = self.by_source.groupBy("split", "word").agg(F.sum("c").alias("c"))
         self.train = self.wc.where(F.col("split") == "train").select("word", "c")
         self.val = self.wc.where(F.col("split") == "val").select("word", "c")
         self.bm = N.bigram_model(self.train)
@@ -337,7 +333,7 @@ SELECT source, CAST((SELECT count(*) FROM rk r WHERE r.source = a.source) AS BIG
 FROM {_attach_sql('sp', 'e.source, ')} a GROUP BY source""")
 def q_lm_per_source_ppl(spark, sf_dir):
     lm = LM(spark, sf_dir)
-    sw = N.word_counts(lm.occ, ("source",))
+    sw = lm.by_source.groupBy("source", "word").agg(F.sum("c").alias("c"))
     pairs = N.eval_pairs(sw, by=("source",))
     r = lm.kn_ppl(pairs, lm.best_d(), by=("source",))
     nw = sw.groupBy("source").agg(F.sum("c").alias("n_words"))

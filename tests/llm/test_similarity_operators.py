@@ -160,9 +160,10 @@ def check_repeats(spark, docs):
         assert bytes(found[d].kept) == bytes(b for b, m in zip(data, mark) if not m)
 
 
-@pytest.mark.parametrize("piece", [repeats.PIECE, 512])
-def test_repeats_equal_brute_force(spark, monkeypatch, piece):
+@pytest.mark.parametrize("piece, chunk", [(repeats.PIECE, repeats.CHUNK), (512, 9)])
+def test_repeats_equal_brute_force(spark, monkeypatch, piece, chunk):
     monkeypatch.setattr(repeats, "PIECE", piece)
+    monkeypatch.setattr(repeats, "CHUNK", chunk)  # groups in several parts
     monkeypatch.setattr(repeats, "MERGE", 8 * piece)
     r = random.Random(5)
 
@@ -192,6 +193,24 @@ def test_repeats_with_small_batches(spark, monkeypatch):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
+def test_radix_sort_finds_exactly_the_equal_windows():
+    r = np.random.default_rng(3)
+    raw = bytes(r.integers(97, 99, 400)) + b"q" * 150
+    starts = np.concatenate([np.arange(0, 440), np.arange(0, 300)])
+    group = np.concatenate([np.zeros(440, int), np.ones(300, int)])
+    raw += raw
+    starts = np.concatenate([starts, starts[:100] + 550])
+    group = np.concatenate([group, group[:100]])
+    alive, equal = repeats.equal_windows(group, starts, raw)
+    want = {}
+    for i, (g, a) in enumerate(zip(group.tolist(), starts.tolist())):
+        want.setdefault((g, raw[a:a + 100]), []).append(i)
+    got = {}
+    for i, e in zip(alive.tolist(), equal.tolist()):
+        got.setdefault(e, []).append(i)
+    assert sorted(got.values()) == sorted(x for x in want.values() if len(x) > 1)
+
+
 def test_repeats_on_odd_rows(odd, empty):
     found = repeats.remove_repeats(odd).collect()
     assert Counter((r.doc_id, r.n_bytes) for r in found) == Counter((d, len((t or "").encode())) for d, t, *_ in odd_rows())

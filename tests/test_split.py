@@ -2,7 +2,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from tessera.operators.split import exact_hash_split, stratified_split
+from tessera.operators.split import cut_keys, exact_hash_split, split_hash, stratified_split
 
 
 def _brute(ids, fracs=(0.8, 0.1), names=("train", "val", "test"), seed=42):
@@ -36,6 +36,16 @@ def test_exact_split_sizes_952(spark):
     assert counts == {"train": 761, "val": 95, "test": 96}
 
 
+def test_narrowing_over_many_prefixes_and_repeated_ids(spark):
+    ids = [str(i % 700) for i in range(1500)]
+    df = spark.createDataFrame([(i,) for i in ids], "id string").select(split_hash(F.col("id"), 42).alias("_h"), F.col("id").alias("_id"))
+    keys = sorted((hashlib.md5(f"{i}:42".encode()).hexdigest(), i) for i in ids)
+    ranks = [0, 1, 749, 1499, 1500]
+    want = [keys[r] if r < len(keys) else None for r in ranks]
+    for digits, listed in ((1, 3), (2, 1), (4, 4096)):
+        assert cut_keys(df, lambda n: ranks, digits=digits, listed=listed)[()] == want
+
+
 def test_split_independent_of_input_order(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("id"))
     a = {r.id: r.split for r in exact_hash_split(df, "id").collect()}
