@@ -11,14 +11,21 @@ most-significant-digit passes that drop what stands alone after each digit:
    equal windows throughout: all but the first are repeats, as whole ranges. If
    an anchor has one kind of run only, its group is settled.
 3. Where an anchor has several kinds of runs (at the ends of a shared passage),
-   the first run of each kind is split into windows, ordered by the hash of all
-   100 bytes; equal groups are exactly the repeated windows.
-
-Each pass is one exchange on its digit with rows sorted inside partitions and
-read as a stream that keeps one row of state. A task first merges equal rows of
-its own, so a passage in a third of all documents sends one row per task block
-to its group; the others are already known to be repeats and go anywhere. Keys
-are 128 bits in each pass. Matches never cross documents.
+   the first run of each kind joins its group again with the bytes it covers.
+   There its windows are radix sorted by eight bytes a pass, singles leaving
+   after every pass, through byte 100 and no further; equal groups are exactly
+   the repeated windows.
+
+Each exchange is on the leading digit, with rows sorted inside partitions and read
+as a stream that keeps one row, or one bounded chunk, of state. A task first merges
+equal rows of its own, so a passage in a third of all documents sends one row per
+chunk to its group; the others are known to be repeats and go anywhere. A group
+larger than a chunk is sorted chunk by chunk, and the first of its windows in every
+chunk meet by window hash. Matches never cross documents.
+
+Texts are joined to what was found in them twice, for their open runs and for
+their spans. A bitmap of fixed size over hashed ids sends only texts that may have
+some through the join; the others pass it by.
 
 Defined results: null text counts as empty; texts below 100 bytes are never
 touched but are not sources either, as they hold no window; null ids come last
@@ -47,6 +54,12 @@ GRAM = 40
 PIECE = 1 << 18
 #: Bytes of text within which a task merges equal rows before sending.
 MERGE = 1 << 23
+#: Runs that are sorted together in pass 3.
+CHUNK = 1 << 14
+#: Bits of the bitmaps that tell which texts need a join (a megabyte).
+FILTER_BITS = 1 << 23
+#: Leading digits are cut to 48 bits: a clash only makes a group open, the later digits decide.
+ANCHOR = np.uint64((1 << 48) - 1)
 
 # place: 16 bits of the text's hash, 1 bit "known repeat", 7 + 7 bits of offsets, 32 bits of position
 SETTLED = 1 << 46
@@ -116,10 +129,11 @@ def merged(key1, key2, doc, place) -> tuple[np.ndarray, np.ndarray]:
 def merged_rows(rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
     """One batch of ``key1, key2, doc_id, place`` with the repeats among its own rows settled."""
     key1, key2, owner, place = (np.concatenate([r[i] for r in rows]) for i in range(4))
-    order, repeat = merged(key1, key2, ordered(ids)[owner], place)
-    key1, key2, owner, place = key1[order], key2[order], owner[order], place[order]
+    order, later = merged(key1, key2, ordered(ids)[owner], place)
+    repeat = np.zeros(len(order), bool)
+    repeat[order] = later  # rows stay in the order of the text, which compresses better
     spread = mix(place.astype(np.uint64) + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key1)
-    key1 = np.where(repeat, spread, key1)
+    key1 = np.where(repeat, spread, key1) & ANCHOR
     place = np.where(repeat, place | SETTLED, place)
     return pa.record_batch({"key1": pa.array(key1.view(np.int64)), "key2": pa.array(key2.view(np.int64)),
                             "doc_id": ids.take(pa.array(owner)), "place": pa.array(place)})
@@ -218,43 +232,147 @@ def later_rows(batches: Iterator[pa.RecordBatch], kinds: bool) -> Iterator[pa.Re
 
 
 def marks(rows: pa.RecordBatch, settled: bool) -> pa.RecordBatch:
-    return pa.record_batch({"doc_id": rows.column("doc_id"), "place": rows.column("place"),
+    return pa.record_batch({"key1": rows.column("key1"), "doc_id": rows.column("doc_id"), "place": rows.column("place"),
                             "settled": pa.array(np.full(rows.num_rows, settled))})
 
 
 def repeats_by_key(rows: DataFrame, id_type: str, kinds: bool) -> DataFrame:
     position = F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
     dealt = rows.repartition("key1").sortWithinPartitions("key1", "key2", F.col("doc_id").asc_nulls_last(), position)
-    return dealt.mapInArrow(lambda b: later_rows(b, kinds), f"doc_id {id_type}, place long, settled boolean")
+    return dealt.mapInArrow(lambda b: later_rows(b, kinds), f"key1 long, doc_id {id_type}, place long, settled boolean")
 
 
-def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pass 3: the windows of runs that are the first of their kind but not of one kind."""
-    hasher = PolynomialHash()
+def run_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pass 3: open runs with the bytes that they cover."""
     for batch in batches:
-        ids, bits = batch.column("doc_id"), batch.column("bits").to_numpy()
-        rows, held = [], 0
-        for row, (text, places) in enumerate(zip(batch.column("text").to_pylist(), batch.column("places").to_pylist())):
+        owner, keys, places, covered = [], [], [], []
+        for row, (text, runs) in enumerate(zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist())):
             data = text.encode()
-            place = np.array(places, np.int64)
-            at, lo, hi = place & (1 << 32) - 1, place >> 32 & 127, place >> 39 & 127
-            first, count = at - hi, hi - lo + 1
-            segments = [data[a:b] for a, b in zip(first.tolist(), (at - lo + WINDOW).tolist())]
-            raw = np.frombuffer(b"".join(segments), np.uint8)
-            begin = np.cumsum([0, *map(len, segments)])[:-1]
-            sums = hasher.prefix(raw)
-            step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-            start = np.repeat(begin, count) + step
-            anchor = np.repeat(begin + hi, count)
-            rows.append((hasher.spans(sums, start, start + WINDOW),
-                         mix(hasher.spans(sums, anchor, anchor + GRAM) + (anchor - start).astype(np.uint64)),
-                         np.full(len(start), row), bits[row] << 47 | np.repeat(first, count) + step))
-            held += len(start)
-            if held >= MERGE >> 5:
-                yield merged_rows(rows, ids)
-                rows, held = [], 0
-        if rows:
-            yield merged_rows(rows, ids)
+            for run in runs:
+                place = run["place"]
+                at = place & (1 << 32) - 1
+                owner.append(row)
+                keys.append(run["key1"])
+                places.append(place)
+                covered.append(data[at - (place >> 39 & 127):at - (place >> 32 & 127) + WINDOW])
+        yield pa.record_batch({"key1": pa.array(keys, pa.int64()), "doc_id": batch.column("doc_id").take(pa.array(owner, pa.int64())),
+                               "place": pa.array(places, pa.int64()), "covered": pa.array(covered, pa.binary())})
+
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, bool]]:
+    """Whole groups of one leading digit, many to a chunk; a group too large for one comes in
+    parts (true)."""
+    held: list[pa.Table] = []
+    size = 0
+    for batch in batches:
+        while batch.num_rows:
+            held.append(pa.Table.from_batches([batch.slice(0, CHUNK)]))
+            batch = batch.slice(CHUNK)
+            size += held[-1].num_rows
+            if size < CHUNK:
+                continue
+            rows = pa.concat_tables(held)
+            key = rows.column("key1").to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:  # the last group may go on
+                yield rows.slice(0, cut), False
+                held, size = [rows.slice(cut)], len(key) - cut
+            if size >= CHUNK:
+                yield held[-1] if cut else rows, True
+                held, size = [], 0
+    if held and size:
+        yield pa.concat_tables(held), False
+
+
+def equal_windows(group: np.ndarray, starts: np.ndarray, raw: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Radix sort of windows by their bytes, the most significant eight first, within ``group``.
+
+    Windows that stand alone after a pass leave; sorting ends at the depth of the window.
+    Returns the windows that are left, ordered so that equal ones follow each other in
+    their given order, and the number of their equal group.
+    """
+    words = np.ndarray((len(raw) + 1,), ">u8", raw + bytes(8), strides=(1,))
+    alive = np.arange(len(starts))
+    for depth in range(0, window, 8):
+        if not len(alive):
+            break
+        digit = words[starts[alive] + depth]
+        if window - depth < 8:
+            digit = digit >> np.uint64(8 * (8 - window + depth))
+        order = np.lexsort((digit, group))
+        alive, group, digit = alive[order], group[order], digit[order]
+        head = np.concatenate([[True], (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])])
+        number = np.cumsum(head) - 1
+        several = np.bincount(number)[number] > 1
+        alive, group = alive[several], number[several]
+    return alive, group
+
+
+def open_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted open runs with their bytes: ranges of repeated windows (``settled``), and, of groups in
+    parts, the first window of each kind in the part, with its keys."""
+    hasher = PolynomialHash()
+    for rows, part in chunks(batches):
+        key, place = rows.column("key1").to_numpy(), rows.column("place").to_numpy()
+        ids = rows.column("doc_id").combine_chunks()
+        ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
+        covered = rows.column("covered").to_pylist()
+        at, lo, hi = place & (1 << 32) - 1, place >> 32 & 127, place >> 39 & 127
+        count = hi - lo + 1
+        begin = np.cumsum([0, *map(len, covered)])[:-1]
+        run = np.repeat(np.arange(len(key)), count)
+        step = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+        starts, offset = begin[run] + step, hi[run] - step
+        raw = b"".join(covered)
+        number = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
+        alive, equal = equal_windows(number[run] * 128 + offset, starts, raw)
+        head = np.concatenate([[True], equal[1:] != equal[:-1]]) if len(equal) else np.empty(0, bool)
+        first = alive[head][np.cumsum(head) - 1]
+        # a row repeated as a whole is the same document
+        doc = ordered(ids)
+        same = (doc[run[alive]] == doc[run[first]]) & (place[run[alive]] == place[run[first]])
+        later = np.sort(alive[~head & ~same])
+        if len(later):
+            new = np.concatenate([[True], (later[1:] != later[:-1] + 1) | (run[later[1:]] != run[later[:-1]])])
+            a = later[new]
+            b = later[np.append(np.flatnonzero(new)[1:], len(later)) - 1]
+            owner = run[a]
+            spot = place[owner] >> 47 << 47 | offset[a] << 39 | offset[b] << 32 | at[owner]
+            yield found_rows(key[owner], np.zeros(len(a), np.int64), ids, owner, spot, True)
+        if part:
+            rest = np.ones(len(run), bool)
+            rest[later] = False
+            w = np.flatnonzero(rest)
+            buffer = np.frombuffer(raw, np.uint8)
+            hashed = hasher.spans(hasher.prefix(buffer), starts[w], starts[w] + WINDOW)
+            spot = place[run[w]] >> 47 << 47 | (at[run[w]] - offset[w])
+            yield found_rows(hashed.view(np.int64), key[run[w]] * 128 + offset[w], ids, run[w], spot, False)
+
+
+def found_rows(key1, key2, ids: pa.Array, owner: np.ndarray, place: np.ndarray, settled: bool) -> pa.RecordBatch:
+    return pa.record_batch({"key1": pa.array(key1, pa.int64()), "key2": pa.array(key2, pa.int64()), "doc_id": ids.take(pa.array(owner)),
+                            "place": pa.array(place, pa.int64()), "settled": pa.array(np.full(len(place), settled))})
+
+
+def id_bitmap(found: DataFrame) -> DataFrame:
+    """``bucket, bitmap`` of the hashed ids: at most ``FILTER_BITS / 32768`` rows of 4 KB."""
+    at = F.pmod(F.xxhash64("__id"), F.lit(FILTER_BITS))
+    return (found.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("__bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("__bitmap")))
+
+
+def join_where_found(texts: DataFrame, found: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Texts joined to what was found in them, and the texts that certainly have none.
+
+    ``found`` must be a written table: it is read for the bitmap and for the join.
+    """
+    at = F.pmod(F.xxhash64("__id"), F.lit(FILTER_BITS))
+    position = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("__bitmap", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = (texts.withColumn("__bucket", F.bitmap_bucket_number(at)).join(F.broadcast(id_bitmap(found)), "__bucket", "left")
+              .withColumn("__may", F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))).drop("__bucket", "__bitmap"))
+    may = marked.where("__may").drop("__may").join(found, ["__id", "bits"], "left")
+    return may, marked.where("not __may").drop("__may").withColumn(column, F.lit(None).cast(found.schema[column].dataType))
 
 
 def byte_spans(found: DataFrame) -> DataFrame:
@@ -263,8 +381,11 @@ def byte_spans(found: DataFrame) -> DataFrame:
     hi = F.shiftright("place", 39).bitwiseAND(F.lit(127))
     lo = F.shiftright("place", 32).bitwiseAND(F.lit(127))
     span = F.shiftleft(at - hi, 32).bitwiseOR(at - lo + WINDOW)
-    return (found.groupBy(id_key("doc_id").alias("__id"), F.shiftright("place", 47).alias("bits"))
-            .agg(F.collect_list(span).alias("spans")))
+    return by_document(found, F.collect_list(span).alias("spans"))
+
+
+def by_document(found: DataFrame, gathered) -> DataFrame:
+    return found.groupBy(id_key("doc_id").alias("__id"), F.shiftright("place", 47).alias("bits")).agg(gathered)
 
 
 def merge_spans(packed: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -305,12 +426,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     keyed = f"key1 long, key2 long, doc_id {id_type}, place long"
     runs = rows.mapInArrow(run_rows, keyed)
     found = cut_lineage(repeats_by_key(runs, id_type, kinds=True))
-    open_ = (found.where("not settled").groupBy(id_key("doc_id").alias("__id"), F.shiftright("place", 47).alias("bits"))
-             .agg(F.collect_list("place").alias("places")))
     texts = rows.withColumn("__id", id_key("doc_id"))
-    windows = (texts.join(open_, ["__id", "bits"]).select("doc_id", "bits", "text", "places")
-               .mapInArrow(window_rows, keyed))
-    late = repeats_by_key(windows, id_type, kinds=False)
-    spans = byte_spans(found.where("settled").unionByName(late))
-    return (texts.join(spans, ["__id", "bits"], "left").select("doc_id", "text", "spans")
+    several = cut_lineage(by_document(found.where("not settled"), F.collect_list(F.struct("key1", "place")).alias("runs")))
+    with_runs, _ = join_where_found(texts, several, "runs")
+    covered = (with_runs.where("runs is not null").select("doc_id", "text", "runs")
+               .mapInArrow(run_bytes, f"key1 long, doc_id {id_type}, place long, covered binary"))
+    position = F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
+    late = cut_lineage(covered.repartition("key1").sortWithinPartitions("key1", F.col("doc_id").asc_nulls_last(), position)
+                       .mapInArrow(open_runs, f"{keyed}, settled boolean"))
+    across = repeats_by_key(late.where("not settled").drop("settled"), id_type, kinds=False)
+    spans = cut_lineage(byte_spans(found.where("settled").select("doc_id", "place")
+                                   .unionByName(late.where("settled").select("doc_id", "place"))
+                                   .unionByName(across.select("doc_id", "place"))))
+    with_spans, without = join_where_found(texts, spans, "spans")
+    return (with_spans.select("doc_id", "text", "spans").unionByName(without.select("doc_id", "text", "spans"))
             .mapInArrow(cut_spans, f"doc_id {id_type}, n_bytes long, removed array<struct<start:int,end:int>>, kept binary"))
