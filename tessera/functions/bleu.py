@@ -40,10 +40,6 @@ def _split_joined(joined: Column) -> Column:
     return F.when(joined == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(joined, " "))
 
 
-def tokens_13a(c: Column) -> Column:
-    return _split_joined(text_13a(c))
-
-
 def ngrams_joined(joined: Column, n: int) -> Column:
     """ARRAY<STRING> of the n-grams of a space-joined token string, in order.
 
@@ -56,11 +52,6 @@ def ngrams_joined(joined: Column, n: int) -> Column:
     return F.regexp_extract_all(joined, F.lit(pat), F.lit(1))
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """ARRAY<STRING> of space-joined n-grams of a token array."""
-    return ngrams_joined(F.array_join(tokens, " "), n)
-
-
 def bleu_score(m: list[Column], t: list[Column], sys_len: Column, ref_len: Column,
                effective_order: bool = False) -> Column:
     """BLEU (0-100) from matched/total n-gram counts with ``exp`` smoothing.

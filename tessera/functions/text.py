@@ -3,7 +3,7 @@
 Every function takes and returns ``Column`` objects so callers compose them
 inside ``select``/``withColumn`` and Catalyst keeps them in one codegen span.
 The regular expressions are written once here and reused by the DuckDB
-oracle strings in ``tessera.plans.oracle`` (Java and RE2 accept the same
+oracle strings in ``tessera.plans.sqlfrag`` (Java and RE2 accept the same
 ``\\x{..}`` escapes), which is what keeps the two engines token-identical.
 """
 
@@ -64,15 +64,6 @@ def tokenize_words(c: Column) -> Column:
     return F.filter(parts, lambda x: x.rlike(WORD_KEEP))
 
 
-def char_symbols(word: Column) -> Column:
-    """``'.' + chars + '.'`` as an array of one-character strings."""
-    return F.split(F.concat(F.lit("."), word, F.lit(".")), "")
-
-
-def length_ratio(pred: Column, ref: Column) -> Column:
-    return F.length(pred) / F.greatest(F.length(ref), F.lit(1))
-
-
 def first_line(c: Column) -> Column:
     return F.substring_index(c, "\n", 1)
 
@@ -107,12 +98,6 @@ def chunk_text(c: Column, max_chars: int = 180) -> Column:
     return F.aggregate(sents, init, step, finish)
 
 
-def concat_labeled(parts: list[tuple[str, Column]], sep: str) -> Column:
-    """``'Label: value'`` pieces joined by ``sep``; NULL/empty values skipped."""
-    cols = [F.when(nullif_empty(v).isNotNull(), F.concat(F.lit(label), v)) for label, v in parts]
-    return F.concat_ws(sep, *cols)
-
-
 def metadata_json(cols: dict[str, Column]) -> Column:
     """Per-row JSON object of side attributes with explicit nulls."""
     return F.to_json(F.struct(*[v.alias(k) for k, v in cols.items()]), {"ignoreNullFields": "false"})

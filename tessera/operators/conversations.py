@@ -18,14 +18,6 @@ def conversation_segments(conv: DataFrame, marker: str = "<|{role}|>", end: str
     return conv.select("conv_id", "turn", turn_segment(F.col("role"), F.col("text"), marker, end).alias("segment"))
 
 
-def conversation_messages(conv: DataFrame) -> DataFrame:
-    """(conv_id, messages ARRAY<STRUCT<role, content>>) in turn order."""
-    g = conv.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("_t"))
-    return g.select("conv_id", F.transform("_t", lambda x: F.struct(x["role"].alias("role"),
-                                                                     x["content"].alias("content"))).alias("messages"))
-
-
 def conversation_text(conv: DataFrame, marker: str = "<|{role}|>", end: str = "<|end|>") -> DataFrame:
     seg = conversation_segments(conv, marker, end)
     g = seg.groupBy("conv_id").agg(

@@ -24,14 +24,32 @@ def round_half_up_int(c: Column) -> Column:
     return F.round(c, 0).cast("long")
 
 
+def money(c: Column) -> Column:
+    """Amounts as ``DECIMAL(12,2)``: sums of them are exact."""
+    return c.cast("decimal(12,2)")
+
+
+def typed_orders(orders: DataFrame) -> DataFrame:
+    """``o_orderkey, order_date DATE, total DECIMAL(12,2), total_int, order_id``."""
+    return orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"),
+                         money(F.col("o_totalprice")).alias("total"), round_half_up_int(F.col("o_totalprice")).alias("total_int"),
+                         F.col("o_orderkey").cast("string").alias("order_id"))
+
+
+def monthly_totals(df: DataFrame, at: str, amount: str) -> DataFrame:
+    """``month DATE, n_orders, revenue DECIMAL``, by month."""
+    month = F.trunc(F.col(at).cast("date"), "month").alias("month")
+    return df.groupBy(month).agg(F.count(F.lit(1)).alias("n_orders"), F.sum(money(F.col(amount))).alias("revenue")).orderBy("month")
+
+
 def length_profile(df: DataFrame, col: str) -> DataFrame:
     n = F.length(F.col(col))
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(F.col(col)).alias("n_present"),
         round_half_up_int(F.avg(n)).alias("avg_len"),
-        F.percentile(n, 0.5).alias("p50_len"),
-        F.percentile(n, 0.95).alias("p95_len"),
+        F.rint(F.percentile(n, 0.5)).cast("long").alias("p50_len"),
+        F.rint(F.percentile(n, 0.95)).cast("long").alias("p95_len"),
         F.max(n).alias("max_len"),
     )
 
@@ -43,10 +61,10 @@ def value_counts(df: DataFrame, col: Column, k: int = 15, fill: str = NONE_LABEL
 
 
 def coverage(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Percent non-null per field (1 decimal), long form, one aggregate pass."""
+    """Percent non-null per field (1 decimal), long form, fullest first, one aggregate pass."""
     wide = df.agg(*[F.round(F.avg(F.col(c).isNotNull().cast("double")) * 100.0, 1).alias(c) for c in cols])
     stack = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (field, pct_present)")
+    return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (field, pct_present)").orderBy(F.desc("pct_present"), "field")
 
 
 def describe_numeric(df: DataFrame, col: str) -> DataFrame:
@@ -57,11 +75,21 @@ def describe_numeric(df: DataFrame, col: str) -> DataFrame:
         F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max"))
 
 
-def median_by_group(df: DataFrame, by: str, col: str, top: int | None = None) -> DataFrame:
-    g = df.groupBy(by).agg(F.round(F.median(F.col(col)), 1).alias("median"), F.count(F.lit(1)).alias("n"))
-    if top:
-        g = g.orderBy(F.col("median").desc(), F.col(by)).limit(top)
-    return g
+def median_by_group(df: DataFrame, by: str, cols: Sequence[str], top: int | None = None) -> DataFrame:
+    """Rounded medians of several columns per group, ``<col>_median``, highest first of the first.
+
+    Values are counted per group first, so what one task merges for a group is its
+    distinct values and not its rows.
+    """
+    parts = []
+    for c in cols:
+        counted = df.where(F.col(c).isNotNull()).groupBy(by, c).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(counted.groupBy(by).agg(F.round(F.percentile(c, 0.5, F.col("_n")), 1).alias(f"{c}_median")))
+    out = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    for p in parts:
+        out = out.join(p, by, "left")
+    order = [F.col(f"{cols[0]}_median").desc(), F.col(by)]
+    return out.orderBy(*order).limit(top) if top else out.orderBy(*order)
 
 
 def group_mean_std(df: DataFrame, by: str, metrics: Sequence[str], order: Sequence[str] | None = None,
@@ -76,10 +104,6 @@ def group_mean_std(df: DataFrame, by: str, metrics: Sequence[str], order: Sequen
     return g
 
 
-def pearson(df: DataFrame, x: str, y: str) -> Column:
-    return F.corr(x, y)
-
-
 def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """Degree-1 least squares y = slope * x + intercept."""
     return df.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),

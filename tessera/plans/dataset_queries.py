@@ -11,6 +11,8 @@ from tessera.plans import sqlfrag as S
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
 
+SYSTEM_PROMPT = "Turn the listed attributes into a short plain text about the item."
+
 # documents play the catalog rows, part gives each row its structured spec
 # (LEFT JOIN on doc_id = p_partkey), labels add side attributes.
 
@@ -96,14 +98,14 @@ def q_examples_extras(spark, sf_dir):
 
 
 @register("training_text", sql=_EX_SQL + f"""
-SELECT id, '<|system|>' || chr(10) || {S.lit(D.DEFAULT_SYSTEM_PROMPT)} || '<|end|>' || chr(10)
+SELECT id, '<|system|>' || chr(10) || {S.lit(SYSTEM_PROMPT)} || '<|end|>' || chr(10)
         || '<|user|>' || chr(10) || {S.spec_block(sku='NULL', material='NULL', finish='NULL', length='NULL',
                                                    breadth='NULL', height='NULL', weight='NULL',
                                                    tagline='NULL')} || '<|end|>' || chr(10)
         || '<|assistant|>' || chr(10) || output || '<|end|>' || chr(10) AS text
 FROM kept""")
 def q_training_text(spark, sf_dir):
-    return D.training_text(examples(spark, sf_dir).where("kept"))
+    return D.training_text(examples(spark, sf_dir).where("kept"), SYSTEM_PROMPT)
 
 
 @register("clean_pages", sql=f"""
@@ -138,9 +140,42 @@ def q_sentences(spark, sf_dir):
                                    F.sum(F.length("sentence")).alias("n_chars"))
 
 
-@register("chunks")
+@register("spec_block_full", sql=f"""
+WITH s AS (SELECT p_partkey, p_name AS name, p_brand AS brand, p_type AS category,
+       'SKU-' || CAST(p_partkey AS VARCHAR) AS sku, split_part(p_name, ' ', 1) AS material,
+       CASE WHEN p_partkey % 4 = 0 THEN '' ELSE split_part(p_name, ' ', 2) END AS finish, CAST(p_size AS VARCHAR) AS size,
+       CAST(p_size AS DOUBLE) AS length_cm, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size / 2.0::DOUBLE END AS breadth_cm,
+       CAST(p_partkey % 5 AS DOUBLE) AS height_cm, p_size * 12.5::DOUBLE AS weight_grams, p_retailprice AS mrp,
+       CASE WHEN p_partkey % 2 = 0 THEN p_type || ' ' || p_brand END AS short_description FROM part)
+SELECT p_partkey, {{S.spec_block()}} AS spec FROM s""".replace("{{S.spec_block()}}", S.spec_block()).replace("{S.spec_block()}", S.spec_block()))
+def q_spec_block_full(spark, sf_dir):
+    """Spec blocks of rows that have every field, and of rows where some are absent or zero."""
+    p, key, size = Tables(spark, sf_dir).part, F.col("p_partkey"), F.col("p_size")
+    inp = D.input_struct(
+        name=F.col("p_name"), brand=F.col("p_brand"), category=F.col("p_type"), sku=F.concat(F.lit("SKU-"), key.cast("string")),
+        material=F.split_part("p_name", F.lit(" "), F.lit(1)),
+        finish=F.when(key % 4 == 0, "").otherwise(F.split_part("p_name", F.lit(" "), F.lit(2))), size=size.cast("string"),
+        length_cm=size.cast("double"), breadth_cm=F.when(key % 3 != 0, size / F.lit(2.0)), height_cm=(key % 5).cast("double"),
+        weight_grams=size * F.lit(12.5), mrp=F.col("p_retailprice"),
+        short_description=F.when(key % 2 == 0, F.concat_ws(" ", "p_type", "p_brand")))
+    return p.select("p_partkey", D.render_spec_block(inp).alias("spec"))
+
+
+@register("chunks", sql=f"""
+WITH s AS (
+  SELECT doc_id, list_filter(string_split(
+           regexp_replace(regexp_replace(regexp_replace(text, '^' || {S.WS_RUN}, ''), {S.WS_RUN} || '$', ''),
+                          '([.!?])' || {S.WS_RUN}, '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS sents
+  FROM documents),
+f AS (SELECT doc_id, list_reduce(list_transform(sents, lambda s: [s]), lambda acc, s:
+        CASE WHEN length(acc[len(acc)]) + 1 + length(s[1]) <= 180
+             THEN list_concat(acc[1:len(acc) - 1], [acc[len(acc)] || ' ' || s[1]])
+             ELSE list_concat(acc, s) END) AS chunks
+      FROM s WHERE len(sents) > 0)
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_no, chunks[i] AS chunk, length(chunks[i]) AS n_chars
+FROM (SELECT doc_id, chunks, unnest(range(1, len(chunks) + 1)) AS i FROM f)""")
 def q_chunks(spark, sf_dir):
-    """F11 packing: (doc_id, chunk_no, chunk, n_chars). Checked by unit tests."""
+    """F11 packing: (doc_id, chunk_no, chunk, n_chars)."""
     d = Tables(spark, sf_dir).spread("documents")
     c = d.select("doc_id", F.posexplode(T.chunk_text(F.col("text"), 180)).alias("chunk_no", "chunk"))
     return c.withColumn("n_chars", F.length("chunk"))

@@ -73,15 +73,14 @@ def q_coerce_props(spark, sf_dir):
 
 
 @register("order_casts", sql="""
-SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS order_date, round(o_totalprice, 2) AS total,
+SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS order_date,
+       CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS total,
        CAST(round(o_totalprice) AS BIGINT) AS total_int, CAST(o_orderkey AS VARCHAR) AS order_id
 FROM orders""")
 def q_order_casts(spark, sf_dir):
-    o = Tables(spark, sf_dir).orders
-    return o.select("o_orderkey", F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd").alias("order_date"),
-                    F.round("o_totalprice", 2).alias("total"),
-                    P.round_half_up_int(F.col("o_totalprice")).alias("total_int"),
-                    F.col("o_orderkey").cast("string").alias("order_id"))
+    # the operator gives DATE and DECIMAL(12,2); shown as the types that both engines print alike
+    return P.typed_orders(Tables(spark, sf_dir).orders).withColumns(
+        {"order_date": F.col("order_date").cast("timestamp_ntz"), "total": F.col("total").cast("double")})
 
 
 @register("take_first", sql="""
@@ -170,7 +169,8 @@ def q_lookup_neighbor(spark, sf_dir):
 # ---------------------------------------------------------------- 2.D aggregates
 @register("length_profile", sql="""
 SELECT count(*) AS n_rows, count(text) AS n_present, CAST(round(avg(length(text))) AS BIGINT) AS avg_len,
-       quantile_cont(length(text), 0.5) AS p50_len, quantile_cont(length(text), 0.95) AS p95_len,
+       CAST(round_even(quantile_cont(length(text), 0.5), 0) AS BIGINT) AS p50_len,
+       CAST(round_even(quantile_cont(length(text), 0.95), 0) AS BIGINT) AS p95_len,
        max(length(text)) AS max_len
 FROM documents""")
 def q_length_profile(spark, sf_dir):
@@ -178,16 +178,16 @@ def q_length_profile(spark, sf_dir):
 
 
 @register("monthly_revenue", sql=f"""
-SELECT strftime(CAST(date_trunc('month', o_orderdate) AS DATE), '%Y-%m-%d') AS month, count(*) AS n_orders,
-       round(sum(o_totalprice), 2) AS revenue
+SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS month, count(*) AS n_orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS revenue
 FROM orders WHERE o_orderdate > TIMESTAMP '{AS_OF}' - INTERVAL 12 MONTH
 GROUP BY 1""")
 def q_monthly_revenue(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     lo = F.add_months(F.lit(AS_OF).cast("timestamp_ntz"), -12).cast("timestamp_ntz")
     r = o.where(F.col("o_orderdate") > lo)
-    return r.groupBy(F.date_format(F.trunc(F.col("o_orderdate").cast("date"), "month"), "yyyy-MM-dd").alias("month")).agg(
-        F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
+    return P.monthly_totals(r, "o_orderdate", "o_totalprice").withColumns(
+        {"month": F.col("month").cast("timestamp_ntz"), "revenue": F.col("revenue").cast("double")})
 
 
 @register("value_counts_source", sql="""
@@ -235,10 +235,10 @@ def q_describe_chars(spark, sf_dir):
 
 
 @register("median_price_by_type", sql="""
-SELECT p_type, round(median(p_retailprice), 1) AS median, count(*) AS n FROM part
-GROUP BY p_type ORDER BY median DESC, p_type LIMIT 12""")
+SELECT p_type, count(*) AS n, round(median(p_retailprice), 1) AS p_retailprice_median, round(median(p_size), 1) AS p_size_median
+FROM part GROUP BY p_type ORDER BY p_retailprice_median DESC, p_type LIMIT 12""")
 def q_median_price_by_type(spark, sf_dir):
-    return P.median_by_group(Tables(spark, sf_dir).part, "p_type", "p_retailprice", top=12)
+    return P.median_by_group(Tables(spark, sf_dir).part, "p_type", ["p_retailprice", "p_size"], top=12)
 
 
 @register("lineitem_mean_std", sql="""

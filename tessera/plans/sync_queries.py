@@ -283,6 +283,34 @@ SELECT 'documents' AS source_table, source_id, content FROM ({ORACLES["compose_p
 UNION ALL SELECT 'customer', source_id, content FROM ({ORACLES["compose_customer_docs"]})"""
 
 
+# Labels and order of the parts of a person's document.
+PERSON_LABELS = ("Customer: ", "Email: ", "Phone: ")
+
+
+def person_doc(first, last, email, phone):
+    """Name of one or two parts, else the e-mail address; e-mail and phone where present."""
+    name = F.coalesce(T.nullif_empty(F.concat_ws(" ", T.nullif_empty(first), T.nullif_empty(last))), email)
+    parts = [F.concat(F.lit(label), T.nullif_empty(v)) for label, v in zip(PERSON_LABELS, (name, email, phone))]
+    return F.concat_ws(". ", *parts)
+
+
+@register("compose_person_docs", sql="""
+WITH p AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE split_part(c_name, '#', 1) END AS first,
+       CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE split_part(c_name, '#', 2) END AS last,
+       CASE WHEN c_custkey % 5 <> 0 THEN 'c' || CAST(c_custkey AS VARCHAR) || '@example.org' END AS email,
+       CASE WHEN c_custkey % 7 = 0 THEN '' ELSE '+' || CAST(1000 + c_nationkey AS VARCHAR) END AS phone FROM customer),
+n AS (SELECT *, coalesce(nullif(concat_ws(' ', nullif(first, ''), nullif(last, '')), ''), email) AS name FROM p)
+SELECT CAST(c_custkey AS VARCHAR) AS source_id, concat_ws('. ', 'Customer: ' || nullif(name, ''), 'Email: ' || nullif(email, ''),
+       'Phone: ' || nullif(phone, '')) AS content FROM n""")
+def q_compose_person_docs(spark, sf_dir):
+    """Person documents over customers whose name parts, address and phone are there or not."""
+    key, part = F.col("c_custkey"), lambda i: F.split_part("c_name", F.lit("#"), F.lit(i))
+    return Tables(spark, sf_dir).customer.select(key.cast("string").alias("source_id"), person_doc(
+        F.when(key % 3 == 0, "").otherwise(part(1)), F.when(key % 2 != 0, part(2)),
+        F.when(key % 5 != 0, F.concat(F.lit("c"), key.cast("string"), F.lit("@example.org"))),
+        F.when(key % 7 == 0, "").otherwise(F.concat(F.lit("+"), (1000 + F.col("c_nationkey")).cast("string")))).alias("content"))
+
+
 @register("embedding_refresh", sql=f"""
 WITH docs AS ({_DOCS_SQL}),
 fresh AS (SELECT *, CASE WHEN CAST(source_id AS BIGINT) % 3 = 0 THEN content || ' (new)' ELSE content END AS latest FROM docs)
@@ -426,7 +454,14 @@ def q_csv_roundtrip(spark, sf_dir):
     return FS.read_csv(spark, path, c.schema)
 
 
-@register("examples_jsonl_roundtrip")
+def _roundtrip_sql():
+    from tessera.plans import dataset_queries as DQ
+    return DQ._EX_SQL + """
+SELECT k.id, k.name, k.output, '' AS db_ai_description, coalesce(CAST(l.quality AS VARCHAR), '') AS quality
+FROM kept k LEFT JOIN labels l ON k.id = CAST(l.doc_id AS VARCHAR)"""
+
+
+@register("examples_jsonl_roundtrip", sql=_roundtrip_sql())
 def q_examples_jsonl_roundtrip(spark, sf_dir):
     """Examples written as JSONL per split (explicit nulls) and read back with the fixed schema."""
     from tessera.operators.dataset import write_examples_jsonl
@@ -435,8 +470,8 @@ def q_examples_jsonl_roundtrip(spark, sf_dir):
     path = f"{checkpoint_root(spark)}/jsonl-{uuid.uuid4().hex[:10]}"
     write_examples_jsonl(ex, path)
     back = FS.read_examples_jsonl(spark, path)
-    return back.select("id", F.col("input.name").alias("name"), "output", "db_ai_description",
-                       F.col("extras")["quality"].alias("quality"))
+    return back.select("id", F.col("input.name").alias("name"), "output", F.coalesce("db_ai_description", F.lit("")).alias("db_ai_description"),
+                       F.coalesce(F.col("extras")["quality"], F.lit("")).alias("quality"))
 
 
 @register("read_lines", sql="""
