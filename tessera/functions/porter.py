@@ -1,6 +1,8 @@
-"""Porter (1980) suffix-stripping stemmer, the published algorithm.
+"""Porter's suffix-stripping stemmer with the customary extensions.
 
-M. F. Porter, "An algorithm for suffix stripping", Program 14(3), 1980.
+M. F. Porter, "An algorithm for suffix stripping", Program 14(3), 1980, and the
+changes that ROUGE scorers apply to it: a list of irregular forms, short words in
+``-ies`` and ``-ied``, ``y`` only after a consonant, and some step 2 suffixes.
 Small per-token helper used inside the ROUGE-L Arrow UDF; it holds no state.
 """
 
@@ -45,6 +47,8 @@ def _double_cons(w: str) -> bool:
 
 
 def _cvc(w: str) -> bool:
+    if len(w) == 2:
+        return not _is_cons(w, 0) and _is_cons(w, 1)
     if len(w) < 3:
         return False
     i = len(w) - 1
@@ -62,34 +66,55 @@ def _replace(w: str, suffix: str, repl: str, min_m: int) -> tuple[str, bool]:
     return w, False
 
 
+# Irregular forms and their stems.
+_IRREGULAR = {"sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+              "inning": "inning", "innings": "inning", "outing": "outing", "outings": "outing", "canning": "canning",
+              "cannings": "canning", "howe": "howe", "proceed": "proceed", "exceed": "exceed", "succeed": "succeed"}
 # The algorithm's suffix tables (steps 2, 3, 4).
 _STEP2 = (("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
-          ("abli", "able"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
+          ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
           ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
-          ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"))
+          ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
+          ("fulli", "ful"))
 _STEP3 = (("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
           ("ful", ""), ("ness", ""))
 _STEP4 = ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion",
           "ou", "ism", "ate", "iti", "ous", "ive", "ize")
 
 
+def _step2(w: str) -> str:
+    if w.endswith("alli") and _measure(w[:-4]) > 0:
+        return _step2(w[:-2])  # -ally: what is left may hold a further suffix
+    for suf, rep in _STEP2:
+        w, hit = _replace(w, suf, rep, 0)
+        if hit:
+            return w
+    if w.endswith("logi") and _measure(w[:-3]) > 0:
+        return w[:-1]
+    return w
+
+
 @lru_cache(maxsize=262144)
 def stem(word: str) -> str:
     w = word
+    if w in _IRREGULAR:
+        return _IRREGULAR[w]
     if len(w) <= 2:
         return w
     # step 1a
     if w.endswith("sses"):
         w = w[:-2]
     elif w.endswith("ies"):
-        w = w[:-2]
+        w = w[:-1] if len(w) == 4 else w[:-2]
     elif w.endswith("ss"):
         pass
     elif w.endswith("s"):
         w = w[:-1]
     # step 1b
     extra = False
-    if w.endswith("eed"):
+    if w.endswith("ied"):
+        w = w[:-1] if len(w) == 4 else w[:-2]
+    elif w.endswith("eed"):
         if _measure(w[:-3]) > 0:
             w = w[:-1]
     elif w.endswith("ed") and _has_vowel(w[:-2]):
@@ -104,13 +129,9 @@ def stem(word: str) -> str:
         elif _measure(w) == 1 and _cvc(w):
             w += "e"
     # step 1c
-    if w.endswith("y") and _has_vowel(w[:-1]):
+    if w.endswith("y") and len(w) > 2 and _is_cons(w, len(w) - 2):
         w = w[:-1] + "i"
-    # step 2
-    for suf, rep in _STEP2:
-        w, hit = _replace(w, suf, rep, 0)
-        if hit:
-            break
+    w = _step2(w)
     # step 3
     for suf, rep in _STEP3:
         w, hit = _replace(w, suf, rep, 0)
