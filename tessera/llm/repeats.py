@@ -264,6 +264,15 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, bool]]
     parts (true)."""
     held: list[pa.Table] = []
     size = 0
+    split: int | None = None  # the group that has been given in parts so far
+
+    def whole(rows: pa.Table) -> Iterator[tuple[pa.Table, bool]]:
+        tail = int(np.searchsorted(rows.column("key1").to_numpy(), split, side="right")) if split is not None else 0
+        if tail:
+            yield rows.slice(0, tail), True
+        if tail < rows.num_rows:
+            yield rows.slice(tail), False
+
     for batch in batches:
         while batch.num_rows:
             held.append(pa.Table.from_batches([batch.slice(0, CHUNK)]))
@@ -275,13 +284,15 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, bool]]
             key = rows.column("key1").to_numpy()
             cut = int(np.searchsorted(key, key[-1]))
             if cut:  # the last group may go on
-                yield rows.slice(0, cut), False
-                held, size = [rows.slice(cut)], len(key) - cut
+                yield from whole(rows.slice(0, cut))
+                rows, size = rows.slice(cut), len(key) - cut
+            held = [rows]
             if size >= CHUNK:
-                yield held[-1] if cut else rows, True
+                split = int(key[-1])
+                yield rows, True
                 held, size = [], 0
-    if held and size:
-        yield pa.concat_tables(held), False
+    if size:
+        yield from whole(pa.concat_tables(held))
 
 
 def equal_windows(group: np.ndarray, starts: np.ndarray, raw: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:

@@ -70,10 +70,9 @@ def check_join(spark, docs):
 
 @pytest.fixture(params=[None, 7])
 def small_groups(request, monkeypatch):
-    """Also with groups split into blocks of a few rows."""
+    """Also with groups split into blocks of a few rows (the driver's part of the plan)."""
     if request.param:
         monkeypatch.setattr(set_join, "GROUP_ROWS", request.param)
-        monkeypatch.setattr(set_join, "LONG_LIST", 5)
 
 
 def test_join_equals_all_pairs(spark, small_groups):
@@ -85,6 +84,54 @@ def test_join_equals_all_pairs(spark, small_groups):
     check_join(spark, docs)
 
 
+def in_batches(table, size):
+    return iter(table.combine_chunks().to_batches(max_chunksize=size))
+
+
+def test_groups_give_a_spanning_forest_of_all_links():
+    """In-process, with sets of one group compared all against all."""
+    r = random.Random(11)
+    for _ in range(30):
+        base = r.sample(range(1000), r.randint(4, 60))
+        sets = []
+        for _ in range(r.randint(2, 25)):
+            s = set(base)
+            for _ in range(r.randint(0, 8)):
+                s.discard(r.choice(base))
+                s.add(r.randrange(1000))
+            sets.append(np.array(sorted(s), np.uint64))
+        root = list(range(len(sets)))
+
+        def find(i, root):
+            while root[i] != i:
+                i = root[i]
+            return i
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                    root[find(i, root)] = find(j, root)
+        forest = list(range(len(sets)))
+        edges = list(set_join.group_links(sets[0], sets))
+        for i, j in edges:
+            assert find(i, forest) != find(j, forest)  # no link twice
+            forest[find(i, forest)] = find(j, forest)
+        assert [[find(i, root) == find(j, root) for j in range(len(sets))] for i in range(len(sets))] == \
+            [[find(i, forest) == find(j, forest) for j in range(len(sets))] for i in range(len(sets))]
+        may = set_join.possible_partners(np.array([len(s) for s in sets]), [set_join.bitmap(s) for s in sets])
+        assert all(may[i] and may[j] for i, j in edges)
+
+
+def test_list_parts_keep_lists_whole():
+    keys = np.sort(np.random.default_rng(1).integers(0, 40, 300))
+    table = pa.table({"member": keys, "v": np.arange(300)})
+    for size in (1, 7, 1000):
+        parts = list(set_join.list_parts(in_batches(table, size)))
+        assert pa.concat_tables(parts).equals(table)
+        seen = [set(p.column("member").to_pylist()) for p in parts]
+        assert sum(map(len, seen)) == len(set(keys.tolist()))
+
+
 def test_join_on_odd_rows(odd, empty):
     found = set_join.components(odd).collect()
     assert len(found) == len(odd_rows())
@@ -160,12 +207,8 @@ def check_repeats(spark, docs):
         assert bytes(found[d].kept) == bytes(b for b, m in zip(data, mark) if not m)
 
 
-@pytest.mark.parametrize("piece, chunk", [(repeats.PIECE, repeats.CHUNK), (512, 9)])
-def test_repeats_equal_brute_force(spark, monkeypatch, piece, chunk):
-    monkeypatch.setattr(repeats, "PIECE", piece)
-    monkeypatch.setattr(repeats, "CHUNK", chunk)  # groups in several parts
-    monkeypatch.setattr(repeats, "MERGE", 8 * piece)
-    r = random.Random(5)
+def repeat_cases(seed=5):
+    r = random.Random(seed)
 
     def noise(n):
         return "".join(r.choice("abcdefgh é漢") for _ in range(n))
@@ -178,8 +221,47 @@ def test_repeats_equal_brute_force(spark, monkeypatch, piece, chunk):
             a = r.randint(0, len(p) // 3)
             text += p[a:len(p) - r.randint(0, len(p) // 4)] + noise(r.randint(0, 60))
         docs.append((i, text))
-    docs += [(90, "-" * 700), (91, "ab" * 400), (92, "-" * 150), (93, docs[3][1]), (94, None), (95, ""), (96, "x" * 99)]
-    check_repeats(spark, docs)
+    return docs + [(90, "-" * 700), (91, "ab" * 400), (92, "-" * 150), (93, docs[3][1]), (94, None), (95, ""), (96, "x" * 99)]
+
+
+def test_repeats_equal_brute_force(spark):
+    check_repeats(spark, repeat_cases())
+
+
+@pytest.mark.parametrize("piece, merge, chunk, size", [(1 << 18, 1 << 23, 1 << 14, 10_000), (300, 900, 7, 5), (120, 400, 1, 1), (512, 1 << 20, 30, 11)])
+def test_passes_in_process_with_small_pieces(monkeypatch, piece, merge, chunk, size):
+    """The passes as the tasks run them, sorted as the exchanges do, with state across batches and chunks."""
+    for name, value in (("PIECE", piece), ("MERGE", merge), ("CHUNK", chunk)):
+        monkeypatch.setattr(repeats, name, value)
+    docs = repeat_cases(9)
+    texts = dict(docs)
+
+    def ordered(table, keys):
+        position = pa.array(table.column("place").to_numpy() & ((1 << 32) - 1))
+        return table.append_column("at", position).sort_by([(k, "ascending") for k in (*keys, "doc_id", "at")]).drop(["at"])
+
+    rows = pa.table({"doc_id": pa.array([d for d, _ in docs], pa.int64()), "bits": pa.array([0] * len(docs), pa.int64()),
+                     "text": pa.array([t for _, t in docs], pa.string())}).slice(0)
+    runs = pa.Table.from_batches(repeats.run_rows(in_batches(rows, 13)))
+    found = pa.Table.from_batches(repeats.later_rows(in_batches(ordered(runs, ("key1", "key2")), size), True))
+    several = {}
+    for m in found.to_pylist():
+        if not m["settled"]:
+            several.setdefault(m["doc_id"], []).append({"key1": m["key1"], "place": m["place"]})
+    batch = pa.record_batch({"doc_id": pa.array(list(several), pa.int64()), "text": pa.array([texts[d] for d in several], pa.string()),
+                             "runs": pa.array(list(several.values()))})
+    covered = pa.Table.from_batches(repeats.run_bytes(iter([batch])))
+    late = pa.Table.from_batches(repeats.open_runs(in_batches(ordered(covered, ("key1",)), size)))
+    spots = [m for m in [*found.to_pylist(), *late.to_pylist()] if m["settled"]]
+    windows = late.filter(pa.array([not m["settled"] for m in late.to_pylist()], pa.bool_())).drop(["settled"])
+    if windows.num_rows:
+        spots += pa.Table.from_batches([*repeats.later_rows(in_batches(ordered(windows, ("key1", "key2")), size), False)],
+                                       pa.schema([("key1", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("settled", pa.bool_())])).to_pylist()
+    marks = {d: bytearray(len((t or "").encode())) for d, t in docs}
+    for m in spots:
+        at, lo, hi = m["place"] & (1 << 32) - 1, m["place"] >> 32 & 127, m["place"] >> 39 & 127
+        marks[m["doc_id"]][at - hi:at - lo + 100] = b"\1" * (hi - lo + 100)
+    assert [bytes(marks[d]) for d, _ in docs] == [bytes(m) for m in removed_by_hand(docs)]
 
 
 def test_repeats_with_small_batches(spark, monkeypatch):
@@ -236,14 +318,16 @@ def bm25_by_hand(docs, query, k):
     return sorted(scores)[:k]
 
 
-@pytest.mark.parametrize("chars", [top_k.SHARD_CHARS, 3000])
-def test_top_k_equals_scoring_everything(spark, monkeypatch, chars):
-    monkeypatch.setattr(top_k, "SHARD_CHARS", chars)
-    monkeypatch.setattr(top_k, "BLOCK", 4)
+def search_case():
     r = random.Random(8)
     words = [f"t{int(r.paretovariate(0.7))}" for _ in range(4000)]
     docs = [(i, " ".join(r.choices(words, k=r.randint(0, 60)))) for i in range(400)]
-    asked = [(q, " ".join(r.choices(words, k=r.randint(1, 9)))) for q in range(25)] + [(90, ""), (91, None), (92, "unknown")]
+    return docs, [(q, " ".join(r.choices(words, k=r.randint(1, 9)))) for q in range(25)]
+
+
+def test_top_k_equals_scoring_everything(spark):
+    docs, asked = search_case()
+    asked += [(90, ""), (91, None), (92, "unknown")]
     df = spark.createDataFrame([(d, t, None, None, 0) for d, t in docs], DOC).repartition(3)
     found = top_k.search(spark, df, spark.createDataFrame(asked, "query_id long, query string"), k=7)
     got = {}
@@ -255,6 +339,29 @@ def test_top_k_equals_scoring_everything(spark, monkeypatch, chars):
         assert np.allclose([s for s, _ in got.get(q, [])], [s for s, _ in want], atol=1e-8)
 
 
+@pytest.mark.parametrize("block, shard_docs", [(2, 400), (4, 90), (64, 1)])
+def test_shards_with_small_blocks_merge_exactly(monkeypatch, block, shard_docs):
+    monkeypatch.setattr(top_k, "BLOCK", block)
+    docs, asked = search_case()
+    terms = [top_k.terms_of(t) for _, t in docs]
+    df = Counter(t for x in terms for t in set(x))
+    mean = sum(map(len, terms)) / len(docs)
+    order = {t: i for i, t in enumerate(sorted(df))}
+    shards = []
+    for a in range(0, len(docs), shard_docs):
+        shard = top_k.Shard(len(docs), mean, dict(df))
+        for d, t in docs[a:a + shard_docs]:
+            shard.add(d, t)
+        if shard.ids:
+            shard.finish()
+            shards.append(shard)
+    for _, text in asked:
+        plan = {t: (n, order[t]) for t, n in Counter(top_k.terms_of(text)).items() if t in order}
+        found = sorted((-s, shard.ids[d]) for shard in shards for s, d in shard.search(plan, 5))[:5]
+        want = bm25_by_hand(docs, text, 5)
+        assert [d for _, d in found] == [d for _, d in want]
+
+
 def test_top_k_on_odd_rows(spark, odd, empty):
     asked = spark.createDataFrame([(1, "ONE two quite"), (None, "one"), (3, None)], "query_id long, query string")
     found = top_k.search(spark, odd, asked).collect()
