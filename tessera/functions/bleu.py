@@ -36,22 +36,6 @@ def text_13a(c: Column) -> Column:
     return F.trim(F.regexp_replace(s, WS_RUN, " "))
 
 
-def _split_joined(joined: Column) -> Column:
-    return F.when(joined == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(joined, " "))
-
-
-def ngrams_joined(joined: Column, n: int) -> Column:
-    """ARRAY<STRING> of the n-grams of a space-joined token string, in order.
-
-    A lookahead regex captures the n tokens starting at every token, so the
-    grams come from one JVM regex scan (13a tokens never contain spaces).
-    """
-    if n == 1:
-        return _split_joined(joined)
-    pat = "(?=(" + " ".join(["[^ ]+"] * n) + "))[^ ]+"
-    return F.regexp_extract_all(joined, F.lit(pat), F.lit(1))
-
-
 def bleu_score(m: list[Column], t: list[Column], sys_len: Column, ref_len: Column,
                effective_order: bool = False) -> Column:
     """BLEU (0-100) from matched/total n-gram counts with ``exp`` smoothing.

@@ -1,140 +1,118 @@
 """Generation-quality metrics over a long ``(generator, id, reference, prediction)`` frame.
 
-One grouped plan scores every generator at once:
-
-* BLEU: predictions and references are co-located by one hash shuffle of
-  the *texts* on ``id``; tokens -> n-grams are exploded inside the task and
-  counted by one aggregate keyed ``(id, n, gram)`` with one column per
-  generator (a pivot), so clipped matches ``least(c_pred, c_ref)`` need no
-  join and no n-gram ever crosses the network. Corpus BLEU aggregates per
-  generator, sentence BLEU per (generator, id).
-* ROUGE-L: LCS is inherently sequential, so it runs in an Arrow-batched
-  pandas UDF using the bit-parallel LCS recurrence (one big-int update per
-  token of the prediction).
-* Cosine: term-frequency vectors, same co-located pivot keyed ``(id, term)``; a
-  model embedder can replace them through ``tessera.operators.udf.embed``.
+Predictions meet their references in one join on ``id``: only texts are shuffled.
+Tokens come from JVM expressions, once per text, before the join. What needs the
+two token lists together (clipped n-gram matches, term-count products) is counted
+by one Arrow UDF per pair, whatever the number of generators; a reference's counts
+are made once for the predictions that follow each other. Scores, averages and the
+corpus sums are one aggregate over these counts.
+
+* BLEU: corpus BLEU from summed counts, sentence BLEU per (generator, id).
+* ROUGE-L: bit-parallel LCS (one big-int update per token of the prediction).
+* Cosine: term-frequency vectors; ``embedding_cosine`` takes any embedding model.
 * Length ratio: a column expression.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections import Counter
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import bleu as B
 from tessera.functions.text import WS_RUN
+from tessera.operators.udf import Model, embed
 
 ORDERS = range(1, B.MAX_ORDER + 1)
+COUNTS = [*[f"m{n}" for n in ORDERS], "sys_len", "ref_len", "dot", "pp", "rr"]
 
 
-# ---------------------------------------------------------------- co-location
-#: Generators per plan: each is a column group of the aggregate.
-GENERATOR_GROUP = 32
+def pair_texts(preds: DataFrame, refs: DataFrame, how: str = "inner") -> DataFrame:
+    """``(generator, id, prediction, reference)``."""
+    return preds.join(refs, "id", how).select("generator", "id", "prediction", "reference")
 
 
-def generator_names(preds: DataFrame, generators: Sequence[str] | None = None) -> list[str]:
-    """The generator labels (names of systems, one row each)."""
-    if generators is not None:
-        return list(generators)
-    return sorted(r[0] for r in preds.select("generator").distinct().collect())
+# ---------------------------------------------------------------- counts of a pair
+def joined_terms(c: Column) -> Column:
+    """Lower-case alphanumeric runs, joined by single blanks."""
+    return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
 
 
-def by_generator_groups(metric, preds: DataFrame, refs: DataFrame, gens: list[str]) -> DataFrame:
-    """``metric(preds, refs, group)`` for all generators, some at a time."""
-    groups = [gens[i:i + GENERATOR_GROUP] for i in range(0, len(gens), GENERATOR_GROUP)] or [[]]
-    if len(groups) == 1:
-        return metric(preds, refs, gens)
-    return reduce(DataFrame.unionByName, [metric(preds.where(F.col("generator").isin(g)), refs, g) for g in groups])
+def _split(joined: str | None) -> list[str]:
+    return joined.split(" ") if joined else []
 
 
-def colocate(preds: DataFrame, refs: DataFrame) -> DataFrame:
-    """``(generator, id, text)`` with references as ``generator = NULL``, hash-partitioned by id.
+def _ngrams(tokens: list[str]) -> list[Counter]:
+    return [Counter(zip(*[islice(tokens, k, None) for k in range(n)])) for n in ORDERS]
 
-    This is the only shuffle of the metric plans, and it moves texts, not
-    n-grams: every later aggregate is clustered by ``id`` and runs in the
-    same stage.
-    """
-    p = preds.select("generator", "id", F.col("prediction").alias("text"))
-    r = refs.select(F.lit(None).cast("string").alias("generator"), "id", F.col("reference").alias("text"))
-    return p.unionByName(r).repartition("id")
 
+def _common(a: Counter, b: Counter) -> int:
+    """Clipped matches of two multisets."""
+    if len(b) < len(a):
+        a, b = b, a
+    return sum(min(n, b[g]) for g, n in a.items() if g in b)
+
+
+def _pair_udf():
+    @F.arrow_udf("struct<" + ",".join(f"{c}:long" for c in COUNTS) + ">")
+    def count_pairs(pred: pa.Array, ref: pa.Array, pred_terms: pa.Array, ref_terms: pa.Array) -> pa.Array:
+        rows, last = [], None
+        for p, r, pt, rt in zip(pred.to_pylist(), ref.to_pylist(), pred_terms.to_pylist(), ref_terms.to_pylist()):
+            if last is None or last[0] != (r, rt):
+                tokens, terms = _split(r), Counter(_split(rt))
+                last = ((r, rt), len(tokens), _ngrams(tokens), terms, sum(n * n for n in terms.values()))
+            _, ref_len, grams, terms, rr = last
+            tokens, counts = _split(p), Counter(_split(pt))
+            matches = [_common(a, b) for a, b in zip(_ngrams(tokens), grams)] if tokens and ref_len else [0] * len(ORDERS)
+            rows.append((*matches, len(tokens), ref_len, sum(n * terms[t] for t, n in counts.items() if t in terms),
+                         sum(n * n for n in counts.values()), rr))
+        return pa.StructArray.from_arrays([pa.array([x[i] for x in rows], pa.int64()) for i in range(len(COUNTS))], COUNTS)
+    return count_pairs
 
-def pair_texts(preds: DataFrame, refs: DataFrame, how: str = "inner") -> DataFrame:
-    """``(generator, id, prediction, reference)`` from the id-partitioned texts.
 
-    Both sides come out of the same exchange as the BLEU/cosine plans and
-    join on exactly the partitioning key, so pairing adds no shuffle (and the
-    exchange is reused when several metrics run in one query).
-    """
-    t = colocate(preds, refs)
-    p = t.where(F.col("generator").isNotNull()).select("generator", "id", F.col("text").alias("prediction"))
-    r = t.where(F.col("generator").isNull()).select("id", F.col("text").alias("reference"))
-    return p.join(r, "id", how).select("generator", "id", "prediction", "reference")
+def example_counts(preds: DataFrame, refs: DataFrame) -> DataFrame:
+    """Per (generator, id): n-gram matches m1..m4, totals t1..t4, token counts, term products,
+    and the character lengths of both texts. A prediction without reference meets an empty one."""
+    p = preds.select("generator", "id", B.text_13a(F.col("prediction")).alias("_p"), joined_terms(F.col("prediction")).alias("_pt"),
+                     F.length("prediction").alias("pred_chars"))
+    r = refs.select("id", B.text_13a(F.col("reference")).alias("_r"), joined_terms(F.col("reference")).alias("_rt"),
+                    F.length("reference").alias("ref_chars"))
+    counted = p.join(r, "id", "left").select("generator", "id", "pred_chars", F.coalesce("ref_chars", F.lit(0)).alias("ref_chars"),
+                                             _pair_udf()("_p", "_r", "_pt", "_rt").alias("c"))
+    totals = [F.greatest(F.col("c.sys_len") - n + 1, F.lit(0)).cast("long").alias(f"t{n}") for n in ORDERS]
+    return counted.select("generator", "id", "pred_chars", "ref_chars", "c.*", *totals)
 
 
-def _pivot_counts(items: DataFrame, keys: list[str], gens: list[str]) -> DataFrame:
-    """``(id, keys..., cr, c0..ck)``: reference and per-generator weights of each key."""
-    ref = F.sum(F.when(F.col("generator").isNull(), F.col("w"))).alias("cr")
-    per = [F.sum(F.when(F.col("generator") == F.lit(g), F.col("w"))).alias(f"c{i}") for i, g in enumerate(gens)]
-    return items.groupBy("id", *keys).agg(ref, *per)
+def tf_cosine_of(counts: DataFrame) -> Column:
+    den = F.sqrt(F.col("pp").cast("double")) * F.sqrt(F.col("rr").cast("double"))
+    return F.when(den > 0, F.col("dot") / F.when(den > 0, den).otherwise(F.lit(1.0))).otherwise(F.lit(0.0))
 
 
-def _stack(wide: DataFrame, gens: list[str], fields: list[str], present: str) -> DataFrame:
-    """Wide per-id columns ``{field}_{i}`` -> long ``(generator, id, fields...)`` rows."""
-    rows = F.array(*[F.struct(F.lit(g).alias("generator"),
-                              *[F.col(f"{f}_{i}").alias(f) for f in fields]) for i, g in enumerate(gens)])
-    out = wide.select("id", F.inline(rows))
-    return out.where(F.col(present).isNotNull()).select("generator", "id", *fields)
+def example_scores(counts: DataFrame) -> DataFrame:
+    """The per-example table: ``generator, id, bleu`` (sentence BLEU, 0-1), ``tf_cosine, length_ratio``."""
+    bleu = F.when(F.col("sys_len") == 0, F.lit(0.0)).otherwise(_score(effective_order=True) / F.lit(100.0))
+    return counts.select("generator", "id", bleu.alias("bleu"), tf_cosine_of(counts).alias("tf_cosine"),
+                         (F.col("pred_chars") / F.greatest("ref_chars", F.lit(1))).alias("length_ratio"))
+
+
+def generator_scores(counts: DataFrame) -> DataFrame:
+    """``generator, n, bleu`` (corpus BLEU, 0-100), ``tf_cosine, length_ratio``: one aggregate."""
+    sums = [F.sum(c).alias(c) for c in [f"m{n}" for n in ORDERS] + [f"t{n}" for n in ORDERS] + ["sys_len", "ref_len"]]
+    g = counts.groupBy("generator").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(tf_cosine_of(counts)).alias("tf_cosine"),
+        F.avg(F.col("pred_chars") / F.greatest("ref_chars", F.lit(1))).alias("length_ratio"), *sums)
+    return g.select("generator", "n", _score().alias("bleu"), "tf_cosine", "length_ratio")
 
 
 # ---------------------------------------------------------------- BLEU
-def _gram_items(texts: DataFrame) -> DataFrame:
-    """(generator, id, n, gram, w): n = 1..4 grams (w = 1) plus one length record (n = 0)."""
-    j = texts.select("generator", "id", B.text_13a(F.col("text")).alias("_j"))
-    j = j.select("generator", "id", "_j", B.ngrams_joined(F.col("_j"), 1).alias("_t"))
-    grams = [F.col("_t")] + [B.ngrams_joined(F.col("_j"), n) for n in ORDERS if n > 1]
-    orders = [F.struct(F.lit(0).alias("n"), F.array(F.lit("")).alias("g"), F.size("_t").cast("long").alias("w"))]
-    orders += [F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(1).cast("long").alias("w"))
-               for n, g in zip(ORDERS, grams)]
-    e = j.select("generator", "id", F.explode(F.array(*orders)).alias("_o"))
-    return e.select("generator", "id", F.col("_o.n").alias("n"), F.explode("_o.g").alias("gram"),
-                    F.col("_o.w").alias("w"))
-
-
-def bleu_stats(preds: DataFrame, refs: DataFrame, generators: Sequence[str] | None = None) -> DataFrame:
-    """Per (generator, id): m1..m4, t1..t4, sys_len, ref_len.
-
-    ``preds``: (generator, id, prediction); ``refs``: (id, reference).
-    Clipped matches ``sum_g least(c_pred(g), c_ref(g))`` come from one
-    aggregate keyed by ``(id, n, gram)`` whose columns are the reference and
-    each generator (a pivot), then one aggregate per id - both on the
-    id-partitioned texts, so no n-gram is ever shuffled.
-    """
-    return by_generator_groups(_bleu_stats, preds, refs, generator_names(preds, generators))
-
-
-def _bleu_stats(preds: DataFrame, refs: DataFrame, gens: list[str]) -> DataFrame:
-    counts = _pivot_counts(_gram_items(colocate(preds, refs)), ["n", "gram"], gens)
-    cr = F.coalesce(F.col("cr"), F.lit(0))
-    aggs = [F.max(F.when(F.col("n") == 0, cr)).alias("ref_len")]
-    for i in range(len(gens)):
-        ci = F.col(f"c{i}")
-        aggs.append(F.max(F.when(F.col("n") == 0, ci)).alias(f"sys_len_{i}"))
-        for n in ORDERS:
-            aggs.append(F.sum(F.when(F.col("n") == n, F.least(F.coalesce(ci, F.lit(0)), cr))).alias(f"m{n}_{i}"))
-    wide = counts.groupBy("id").agg(*aggs)
-    for i in range(len(gens)):
-        wide = wide.withColumn(f"ref_len_{i}", F.col("ref_len"))
-    fields = [f"m{n}" for n in ORDERS] + ["sys_len", "ref_len"]
-    st = _stack(wide, gens, fields, "sys_len")
-    cols = [F.coalesce(F.col(f"m{n}"), F.lit(0)).cast("long").alias(f"m{n}") for n in ORDERS]
-    tots = [F.greatest(F.col("sys_len") - n + 1, F.lit(0)).cast("long").alias(f"t{n}") for n in ORDERS]
-    return st.select("generator", "id", *cols, *tots, F.col("sys_len").cast("long").alias("sys_len"),
-                     F.coalesce("ref_len", F.lit(0)).cast("long").alias("ref_len"))
+def bleu_stats(preds: DataFrame, refs: DataFrame) -> DataFrame:
+    """Per (generator, id): m1..m4, t1..t4, sys_len, ref_len."""
+    cols = [f"m{n}" for n in ORDERS] + [f"t{n}" for n in ORDERS]
+    return example_counts(preds, refs).select("generator", "id", *cols, "sys_len", "ref_len")
 
 
 def _score(prefix: str = "", effective_order: bool = False) -> Column:
@@ -220,39 +198,19 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(den > 0, dot / F.when(den > 0, den).otherwise(F.lit(1.0))).otherwise(F.lit(0.0))
 
 
-def tf_cosine(preds: DataFrame, refs: DataFrame, generators: Sequence[str] | None = None) -> DataFrame:
-    """(generator, id, cosine) between term-frequency vectors of prediction and reference.
-
-    Same plan shape as BLEU: id-partitioned texts, a pivoted count per
-    ``(id, term)``, then dot products and norms per id.
-    """
-    return by_generator_groups(_tf_cosine, preds, refs, generator_names(preds, generators))
-
-
-def _tf_cosine(preds: DataFrame, refs: DataFrame, gens: list[str]) -> DataFrame:
-    texts = colocate(preds, refs)
-    # kind 0: one presence record per text (so empty texts keep their row); kind 1: terms
-    items = texts.select("generator", "id", F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.array(F.lit("")).alias("t")),
-        F.struct(F.lit(1).alias("kind"), rouge_tokens(F.col("text")).alias("t")))).alias("_o"))
-    items = items.select("generator", "id", F.col("_o.kind").alias("kind"), F.explode("_o.t").alias("term"),
-                         F.lit(1).cast("long").alias("w"))
-    counts = _pivot_counts(items, ["kind", "term"], gens)
-    cr = F.coalesce(F.col("cr"), F.lit(0))
-    term = F.col("kind") == 1
-    aggs = [F.sum(F.when(term, cr * cr)).alias("rr")]
-    for i in range(len(gens)):
-        ci = F.coalesce(F.col(f"c{i}"), F.lit(0))
-        aggs += [F.max(F.when(~term, F.col(f"c{i}"))).alias(f"present_{i}"),
-                 F.sum(F.when(term, ci * cr)).alias(f"dot_{i}"),
-                 F.sum(F.when(term, ci * ci)).alias(f"pp_{i}")]
-    wide = counts.groupBy("id").agg(*aggs)
-    for i in range(len(gens)):
-        wide = wide.withColumn(f"rr_{i}", F.col("rr"))
-    st = _stack(wide, gens, ["present", "dot", "pp", "rr"], "present")
-    den = F.sqrt(F.coalesce("pp", F.lit(0)).cast("double")) * F.sqrt(F.coalesce("rr", F.lit(0)).cast("double"))
-    cos = F.when(den > 0, F.coalesce("dot", F.lit(0)) / F.when(den > 0, den).otherwise(F.lit(1.0))).otherwise(F.lit(0.0))
-    return st.select("generator", "id", cos.alias("cosine"))
+def tf_cosine(preds: DataFrame, refs: DataFrame) -> DataFrame:
+    """(generator, id, cosine) between term-frequency vectors of prediction and reference."""
+    counts = example_counts(preds, refs)
+    return counts.select("generator", "id", tf_cosine_of(counts).alias("cosine"))
+
+
+def embedding_cosine(preds: DataFrame, refs: DataFrame, model: Model) -> DataFrame:
+    """(generator, id, cosine) between embeddings of prediction and reference; every reference is
+    embedded once. Null where the model failed on either text."""
+    p = embed(preds, "prediction", model, "_pv").select("generator", "id", "_pv")
+    r = embed(refs, "reference", model, "_rv").select("id", "_rv")
+    as_double = lambda c: F.transform(c, lambda x: x.cast("double"))
+    return p.join(r, "id").select("generator", "id", cosine(as_double("_pv"), as_double("_rv")).alias("cosine"))
 
 
 def length_ratio(pred: Column, ref: Column) -> Column:

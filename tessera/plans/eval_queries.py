@@ -23,6 +23,7 @@ from tessera.functions import text as T
 from tessera.operators import dataset as D
 from tessera.operators import joins as J
 from tessera.operators import metrics as M
+from tessera.operators.udf import Model
 from tessera.plans import sqlfrag as S
 from tessera.plans.registry import register
 from tessera.sources.tables import Tables
@@ -172,13 +173,13 @@ def q_eval_predictions(spark, sf_dir):
 @register("bleu_stats", sql=_with(_PREDS, _STATS) + """
 SELECT * FROM st""")
 def q_bleu_stats(spark, sf_dir):
-    return M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir), GENERATORS)
+    return M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir))
 
 
 @register("corpus_bleu", sql=_with(_PREDS, _STATS, _CORPUS) + f"""
 SELECT generator, round({_bleu_sql(False)}, 6) AS bleu FROM cs""")
 def q_corpus_bleu(spark, sf_dir):
-    st = M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir), GENERATORS)
+    st = M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir))
     return M.corpus_bleu(st).select("generator", _r(F.col("bleu")).alias("bleu"))
 
 
@@ -186,7 +187,7 @@ def q_corpus_bleu(spark, sf_dir):
 SELECT generator, round(avg(CASE WHEN sys_len = 0 THEN 0.0 ELSE {_bleu_sql(True)} / 100.0 END), 6) AS bleu
 FROM st GROUP BY generator""")
 def q_sentence_bleu(spark, sf_dir):
-    st = M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir), GENERATORS)
+    st = M.bleu_stats(predictions(spark, sf_dir), references(spark, sf_dir))
     s = M.sentence_bleu(st)
     return s.groupBy("generator").agg(_r(F.avg("bleu")).alias("bleu"))
 
@@ -203,7 +204,7 @@ def q_rouge_l(spark, sf_dir):
 @register("tf_cosine", sql=_with(_PREDS, _TFCOS) + """
 SELECT generator, round(avg(cosine), 6) AS cosine FROM cosr GROUP BY generator""")
 def q_tf_cosine(spark, sf_dir):
-    c = M.tf_cosine(predictions(spark, sf_dir), references(spark, sf_dir), GENERATORS)
+    c = M.tf_cosine(predictions(spark, sf_dir), references(spark, sf_dir))
     return c.groupBy("generator").agg(_r(F.avg("cosine")).alias("cosine"))
 
 
@@ -223,15 +224,9 @@ def accepted(similarity, bleu, ratio, bar: float = ACCEPT_SIMILARITY):
 
 def _results(spark, sf_dir, with_rouge: bool) -> DataFrame:
     preds, refs = predictions(spark, sf_dir), references(spark, sf_dir)
-    st = M.bleu_stats(preds, refs, GENERATORS)
-    bleu = M.corpus_bleu(st)
-    cos = M.tf_cosine(preds, refs, GENERATORS).groupBy("generator").agg(F.avg("cosine").alias("tf_cosine"))
-    pr = M.pair_texts(preds, refs)
-    lr = pr.groupBy("generator").agg(F.count(F.lit(1)).alias("n"),
-                                     F.avg(M.length_ratio(F.col("prediction"), F.col("reference"))).alias("length_ratio"))
-    out = lr.join(bleu, "generator").join(cos, "generator")
+    out = M.generator_scores(M.example_counts(preds, refs))
     if with_rouge:
-        rl = M.rouge_l(pr, True).groupBy("generator").agg((F.avg("rouge_l") * 100.0).alias("rouge_l_f1"))
+        rl = M.rouge_l(M.pair_texts(preds, refs), True).groupBy("generator").agg((F.avg("rouge_l") * 100.0).alias("rouge_l_f1"))
         out = out.join(rl, "generator")
     acc = accepted(F.col("tf_cosine"), F.col("bleu"), F.col("length_ratio"))
     cols = ["generator", "n", _r(F.col("bleu")).alias("bleu"),
@@ -242,6 +237,36 @@ def _results(spark, sf_dir, with_rouge: bool) -> DataFrame:
     return out.select(*cols)
 
 
+@register("eval_examples", sql=_with(_PREDS, _STATS, _TFCOS) + f"""
+SELECT st.generator, st.id, round(CASE WHEN sys_len = 0 THEN 0.0 ELSE {_bleu_sql(True)} / 100.0 END, 6) AS bleu,
+       round(cosr.cosine, 6) AS tf_cosine, round(length(p.prediction) / greatest(length(r.reference), 1), 6) AS length_ratio
+FROM st JOIN cosr USING (generator, id) JOIN preds p USING (generator, id) JOIN refs r USING (id)""")
+def q_eval_examples(spark, sf_dir):
+    """The per-example table of the evaluation (I6)."""
+    e = M.example_scores(M.example_counts(predictions(spark, sf_dir), references(spark, sf_dir)))
+    return e.select("generator", "id", *[_r(F.col(c)).alias(c) for c in ("bleu", "tf_cosine", "length_ratio")])
+
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _letters_sql(e: str) -> str:
+    return "[" + ", ".join(f"CAST(length({e}) - length(replace({e}, '{c}', '')) AS DOUBLE)" for c in _LETTERS) + "]"
+
+
+@register("embedding_similarity", sql=_with(_PREDS) + f"""
+SELECT generator, round(avg(CASE WHEN den > 0 THEN dot / den ELSE 0.0 END), 6) AS similarity FROM (
+  SELECT generator, list_sum(list_transform(range(1, 27), lambda i: a[i] * b[i])) AS dot,
+         sqrt(list_sum(list_transform(a, lambda x: x * x))) * sqrt(list_sum(list_transform(b, lambda x: x * x))) AS den
+  FROM (SELECT generator, {_letters_sql('prediction')} AS a, {_letters_sql('reference')} AS b FROM preds JOIN refs USING (id)))
+GROUP BY generator""")
+def q_embedding_similarity(spark, sf_dir):
+    """Mean similarity under an embedding model (I4): here the counts of the letters a to z."""
+    model = Model("letters", "1", lambda: lambda texts: [[t.count(c) for c in _LETTERS] for t in texts])
+    c = M.embedding_cosine(predictions(spark, sf_dir), references(spark, sf_dir), model)
+    return c.groupBy("generator").agg(_r(F.avg("cosine")).alias("similarity"))
+
+
 @register("eval_results", sql=_with(_PREDS, _STATS, _CORPUS, _TFCOS, more=True) + f"""
 lr AS (SELECT generator, count(*) AS n, avg(length(p.prediction) / greatest(length(r.reference), 1)) AS length_ratio
          FROM preds p JOIN refs r ON p.id = r.id GROUP BY generator),

@@ -141,10 +141,9 @@ def difficulty_rows(spark, sf_dir):
     ppl = name_perplexity(part, "p_partkey", "p_name", lm).select(F.col("p_partkey").alias("id"), "name_ppl")
     preds = EQ.predictions(spark, sf_dir).where(F.col("generator") == "copy_spec")
     refs = EQ.references(spark, sf_dir)
-    sb = M.sentence_bleu(M.bleu_stats(preds, refs, ["copy_spec"])).select("id", "bleu")
-    cs = M.tf_cosine(preds, refs, ["copy_spec"]).select("id", "cosine")
+    scores = M.example_scores(M.example_counts(preds, refs)).select("id", "bleu", F.col("tf_cosine").alias("cosine"))
     # perplexities of equal names tie; rounding to 9 decimals keeps quantile edges stable
-    return sb.join(cs, "id").join(ppl.select("id", F.round("name_ppl", 9).alias("name_ppl")), "id")
+    return scores.join(ppl.select("id", F.round("name_ppl", 9).alias("name_ppl")), "id")
 
 
 _DIFF_SQL = (LQ._with(LQ._base, LQ._kn_tune, more=True) + f"""
