@@ -13,10 +13,9 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.metrics import cosine  # noqa: F401  (re-export)
 
 QUERY_BLOCK = 4096
 CANDIDATE_ROWS = 1024
