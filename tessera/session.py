@@ -23,6 +23,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows with long texts would make batches of tens of megabytes in every Python worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
