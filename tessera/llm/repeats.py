@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.hashing import PolynomialHash, mix
-from tessera.llm.rows import id_key
+from tessera.llm.rows import id_key, split_by_bitmap
 from tessera.session import cut_lineage
 
 WINDOW = 100
@@ -56,8 +56,6 @@ PIECE = 1 << 18
 MERGE = 1 << 23
 #: Runs that are sorted together in pass 3.
 CHUNK = 1 << 14
-#: Bits of the bitmaps that tell which texts need a join (a megabyte).
-FILTER_BITS = 1 << 23
 #: Leading digits are cut to 48 bits: a clash only makes a group open, the later digits decide.
 ANCHOR = np.uint64((1 << 48) - 1)
 
@@ -365,25 +363,10 @@ def found_rows(key1, key2, ids: pa.Array, owner: np.ndarray, place: np.ndarray,
                             "place": pa.array(place, pa.int64()), "settled": pa.array(np.full(len(place), settled))})
 
 
-def id_bitmap(found: DataFrame) -> DataFrame:
-    """``bucket, bitmap`` of the hashed ids: at most ``FILTER_BITS / 32768`` rows of 4 KB."""
-    at = F.pmod(F.xxhash64("__id"), F.lit(FILTER_BITS))
-    return (found.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("__bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("__bitmap")))
-
-
 def join_where_found(texts: DataFrame, found: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    """Texts joined to what was found in them, and the texts that certainly have none.
-
-    ``found`` must be a written table: it is read for the bitmap and for the join.
-    """
-    at = F.pmod(F.xxhash64("__id"), F.lit(FILTER_BITS))
-    position = F.bitmap_bit_position(at)
-    byte = F.conv(F.hex(F.substring("__bitmap", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    marked = (texts.withColumn("__bucket", F.bitmap_bucket_number(at)).join(F.broadcast(id_bitmap(found)), "__bucket", "left")
-              .withColumn("__may", F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))).drop("__bucket", "__bitmap"))
-    may = marked.where("__may").drop("__may").join(found, ["__id", "bits"], "left")
-    return may, marked.where("not __may").drop("__may").withColumn(column, F.lit(None).cast(found.schema[column].dataType))
+    """Texts joined to what was found in them, and the texts that certainly have none."""
+    maybe, others = split_by_bitmap(texts, found)
+    return maybe.join(found, ["__id", "bits"], "left"), others.withColumn(column, F.lit(None).cast(found.schema[column].dataType))
 
 
 def byte_spans(found: DataFrame) -> DataFrame:

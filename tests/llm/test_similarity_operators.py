@@ -370,11 +370,15 @@ def test_top_k_on_odd_rows(spark, odd, empty):
     assert top_k.search(spark, odd, asked.limit(0)).count() == 0
 
 
-def test_keep_first_keeps_columns_and_repeats(odd):
-    verdict = odd.select("doc_id", F.xxhash64("text").alias("text_hash"), F.lit(2).alias("copies")).where("doc_id = 2")
-    once = rows.keep_first(odd, verdict)
-    assert once.columns == odd.columns and once.count() == 2  # two texts share the id 2; a repeated row stays once
-    assert rows.keep_first(odd, verdict, repeat="copies").count() == 6
+def test_keep_times_keeps_columns_and_repeats(odd):
+    n = F.when(F.col("doc_id") == 2, 2).when(F.col("doc_id").isin(3, 5), 0).otherwise(1)
+    verdict = odd.select("doc_id", F.xxhash64("text").alias("text_hash"), n.alias("copies"))
+    kept = rows.keep_times(odd, verdict, "copies")
+    assert kept.columns == odd.columns
+    want = Counter(odd.select("doc_id", "text").collect())
+    for key in list(want):
+        want[key] *= 2 if key.doc_id == 2 else 0 if key.doc_id in (3, 5) else 1  # a repeated row: the sum of its times
+    assert Counter(kept.select("doc_id", "text").collect()) == +want
 
 
 def test_digests_of_queries_follow_the_operator(spark):
