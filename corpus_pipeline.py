@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, exact_dedup, language, mixing, set_join
-from tessera.llm.rows import keep_first
-from tessera.session import scratch_path
+from tessera.llm.rows import keep_times
+from tessera.session import apply_defaults, scratch_path
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,20 +23,17 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    verdict = exact_dedup.dedup(docs)
-    return keep_first(docs, verdict.where("kept").select("doc_id", "text_hash"))
+    return keep_times(docs, exact_dedup.dedup(docs).withColumn("kept_once", F.col("kept").cast("long")), "kept_once")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, of each group linked by 5-word Jaccard of 0.8 or more."""
-    groups = set_join.components(docs)
-    return keep_first(docs, groups.where("stays").select("doc_id", "text_hash"))
+    return keep_times(docs, set_join.components(docs).withColumn("kept_once", F.col("stays").cast("long")), "kept_once")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; not at all if it takes none."""
-    copies = mixing.mix(docs).where("copies > 0").select("doc_id", "text_hash", "copies")
-    return keep_first(docs, copies, repeat="copies")
+    return keep_times(docs, mixing.mix(docs), "copies")
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +44,20 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                           (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
-STAGES = [
+def with_defaults(stage):
+    """The stage under the settings that the library assumes."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(apply_defaults(spark), docs, sf_dir)
+    return run_stage
+
+
+STAGES = [(name, with_defaults(stage)) for name, stage in (
     ("language", language_stage),
     ("exact_dedup", exact_dedup_stage),
     ("near_dedup", near_dedup_stage),
     ("mixing", mixing_stage),
     ("bpe", bpe_stage),
-]
+)]
 
 #: SQL cannot express language identification, the mix or the encoding.
 ORACLE_SQL = None
