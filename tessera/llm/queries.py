@@ -74,6 +74,30 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
 
 
+@register("op5_bm25_documents", r"""
+WITH d AS (
+  SELECT doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') AS terms
+  FROM documents),
+t AS (SELECT doc_id, unnest(terms) AS term FROM d),
+tf AS (SELECT doc_id, term, count(*) AS n FROM t WHERE term <> '' GROUP BY ALL),
+len AS (SELECT d.doc_id, coalesce(sum(n), 0) AS l FROM d LEFT JOIN tf USING (doc_id) GROUP BY ALL),
+st AS (SELECT count(*) AS n_docs, avg(l) AS mean FROM len),
+q AS (SELECT doc_id AS query_id, term, n AS times FROM tf WHERE doc_id % 20 = 0),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+s AS (
+  SELECT q.query_id, tf.doc_id,
+         round(sum(times * ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * l / mean))), 6) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN len USING (doc_id), st GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT query_id, doc_id, score, rank FROM r WHERE rank <= 10
+""")
+def bm25_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole text of every document whose id is divisible by 20 as a query against all documents."""
+    docs = table(spark, sf_dir, "documents")
+    found = top_k.search(spark, docs, docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query")))
+    return found.select("query_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
 @register("op5_bm25_top_k", r"""
 WITH d AS (
   SELECT doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') AS terms

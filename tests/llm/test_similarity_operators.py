@@ -370,6 +370,41 @@ def test_top_k_on_odd_rows(spark, odd, empty):
     assert top_k.search(spark, odd, asked.limit(0)).count() == 0
 
 
+def test_blocks_are_bounded_by_terms_and_repeated_queries_stay_apart(spark, monkeypatch):
+    asked = [{"q": 1, "t": f"a{i} b c"} for i in range(10)] + [{"q": 2, "t": None}, {"q": 3, "t": " ".join(f"x{i}" for i in range(20))}]
+    monkeypatch.setattr(top_k, "TERM_BLOCK", 7)
+    blocks = list(top_k.query_blocks(asked))
+    assert [len(b) for b in blocks] == [2, 2, 2, 2, 2, 1] and [no for b in blocks for no, _, _ in b] == [*range(10), 11]
+    docs, queries = search_case()
+    df = spark.createDataFrame([(d, t, None, None, 0) for d, t in docs], DOC)
+    same = [(5, t) for _, t in queries[:6]]  # one id, other texts, in blocks of their own
+    found = top_k.search(spark, df, spark.createDataFrame(same, "query_id long, query string"), k=3)
+    assert Counter((x.doc_id, x["rank"]) for x in found.collect()) == Counter(
+        (d, i + 1) for _, t in same for i, (_, d) in enumerate(bm25_by_hand(docs, t, 3)))
+
+
+def test_whole_documents_as_queries_equal_scoring_everything(spark):
+    docs, _ = search_case()
+    r = random.Random(3)
+    docs += [(i, " ".join(r.choices([f"t{n}" for n in range(300)], k=200))) for i in range(400, 440)] + [(440, docs[3][1]), (441, docs[3][1])]
+    df = spark.createDataFrame([(d, t, None, None, 0) for d, t in docs], DOC).repartition(3)
+    asked = [(d, t) for d, t in docs if d % 20 == 0]
+    assert any(len(set(top_k.terms_of(t))) > top_k.LONG_QUERY for _, t in asked)
+    got = {}
+    for x in top_k.search(spark, df, spark.createDataFrame(asked, "query_id long, query string"), k=7).orderBy("query_id", "rank").collect():
+        got.setdefault(x.query_id, []).append(x.doc_id)
+    for q, text in asked:
+        assert got.get(q, []) == [d for _, d in bm25_by_hand(docs, text, 7)], q
+
+
+def test_registered_search_asks_every_twentieth_document(spark):
+    from tessera.llm.queries import QUERIES
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = QUERIES["op5_bm25_documents"](spark, "/root/testdata/sf0.001")
+    want = {r.doc_id for r in docs.where("doc_id % 20 = 0").collect() if top_k.terms_of(r.text)}
+    assert want and {r.query_id for r in found.collect()} == want
+
+
 def test_keep_times_keeps_columns_and_repeats(odd):
     n = F.when(F.col("doc_id") == 2, 2).when(F.col("doc_id").isin(3, 5), 0).otherwise(1)
     verdict = odd.select("doc_id", F.xxhash64("text").alias("text_hash"), n.alias("copies"))
