@@ -43,10 +43,11 @@ MARKS = {
     "form", "comment", "comments", "reply", "replies", "respond", "disqus", "discussion", "skip", "hidden",
 }
 COMMENT_MARKS = {"comment", "comments", "reply", "replies"}
+PARAGRAPHS = {"p", "pre", "blockquote"}
 
 TOKEN = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>|\Z)|[^>]*)(?:>|\Z))", re.S)
-MARKING = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'/=>][^\s/=>]*)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 SPACE = re.compile(r"\s+")
 
@@ -58,25 +59,36 @@ class Element:
     parent: Element | None
     content: list = field(default_factory=list)  # strings and elements, in order
 
-    def marks(self) -> set[str]:
-        found: set[str] = set()
-        for name, value in MARKING.findall(self.attributes):
-            name, value = name.lower(), value.strip("\"'")
-            if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-                found.add("hidden")
-            elif name in ("class", "id", "role"):
-                found |= {w.lower() for w in WORDS.findall(value)}
-        return found & MARKS
+    protected: bool = False  # holds the article, whatever its class says
+    known: tuple[bool, bool, set[str]] | None = None
+
+    def marking(self) -> tuple[bool, bool, set[str]]:
+        """Whether the element is hidden, whether its role is main, and the marks of its class, id and role."""
+        if self.known is None:
+            pairs: dict[str, str] = {}
+            for name, value in ATTRIBUTE.findall(self.attributes):
+                pairs.setdefault(name.lower(), value.strip("\"'"))  # the first of a name counts
+            words = {w.lower() for name in ("class", "id", "role") for w in WORDS.findall(pairs.get(name, ""))}
+            self.known = ("hidden" in pairs or pairs.get("aria-hidden", "").strip().lower() == "true",
+                          "main" in pairs.get("role", "").lower().split(), words & MARKS)
+        return self.known
+
+    def is_main(self) -> bool:
+        return self.tag == "main" or bool(self.attributes) and self.marking()[1]
+
+    def unread(self) -> bool:
+        """Whether the element is never read, wherever it stands and whatever it holds."""
+        return self.tag in NEVER_TEXT or bool(self.attributes) and self.tag not in ("html", "body", "main") and self.marking()[0]
 
     def dropped(self, in_article: bool) -> bool:
         """Whether the element and all it holds are not part of an article."""
-        if self.tag in NEVER_TEXT:
+        if self.unread():
             return True
         if self.tag == "header":
             return not in_article
-        if not self.attributes or self.tag in ("html", "body", "main"):
+        if not self.attributes or self.protected or self.tag in ("html", "body") or self.is_main():
             return False
-        marks = self.marks()
+        marks = self.marking()[2]
         if self.tag == "article":
             return bool(marks & COMMENT_MARKS)
         return bool(marks) and not (len(self.tag) == 2 and self.tag[0] == "h")
@@ -120,6 +132,45 @@ def parse(page: str) -> Element:
     return root
 
 
+def protect(tree: Element) -> None:
+    """Marks the elements that are not dropped for their class: those that hold main, the longest article
+    or most of the page's paragraph text (all text outside links, if it has no paragraphs).
+
+    What is marked as comments is kept only if it holds main or all of that text.
+    """
+    order, places = [tree], [(False, False)]  # whether inside a paragraph, inside a link
+    paragraphs: list[int] = []
+    prose: list[int] = []
+    for k, e in enumerate(order):
+        here = places[k][0] or e.tag in PARAGRAPHS, places[k][1] or e.tag == "a"
+        n = 0
+        for x in e.content:
+            if isinstance(x, str):
+                n += len(x.strip())
+            elif not x.unread():
+                order.append(x)
+                places.append(here)
+        paragraphs.append(n if here[0] else 0)
+        prose.append(0 if here[1] else n)
+    held = dict(zip(order, paragraphs if any(paragraphs) else prose))
+    for e in reversed(order[1:]):
+        held[e.parent] += held[e]
+    total = held[tree]
+    longest = max((held[e] for e in order if e.tag == "article"), default=-1)
+    mains: set[Element] = set()
+    articles: set[Element] = set()
+    for e in reversed(order[1:]):
+        if e in mains or e.is_main():
+            mains |= {e, e.parent}
+        if e in articles or e.tag == "article" and held[e] == longest:
+            articles |= {e, e.parent}
+        if e.attributes:
+            if e.marking()[2] & COMMENT_MARKS and e.tag != "article":
+                e.protected = e in mains or 0 < total == held[e]
+            else:
+                e.protected = e in mains or e in articles or 2 * held[e] > total
+
+
 def close(open_: list[Element], tag: str) -> None:
     """An end tag closes the nearest open element of its name; small ones not beyond their container."""
     if tag in ("html", "body"):
@@ -157,21 +208,30 @@ def make_room(open_: list[Element], tag: str) -> None:
 
 
 def roots(tree: Element) -> tuple[list[Element], bool]:
-    """Where the article is: outermost ``article`` elements, else ``main`` ones, else the page."""
-    for found in (lambda e: e.tag == "article", lambda e: e.tag == "main" or "main" in e.attributes and 'role="main"' in e.attributes):
-        hits: list[Element] = []
-        todo = [tree]
-        while todo:
-            e = todo.pop()
-            if e is not tree and e.dropped(False):
-                continue
-            if found(e):
-                hits.append(e)
-                continue
-            todo += [x for x in reversed(e.content) if isinstance(x, Element)]
-        if hits:
-            return hits, True
-    return [tree], False
+    """Where the article is: the outermost ``article`` elements if they hold most of the text that is
+    not dropped (outside links), else the ``main`` ones, else the page."""
+    articles: list[Element] = []
+    mains: list[Element] = []
+    total = inside = 0
+    todo = [(tree, False, False, False)]  # whether in an article, in main, in a link
+    while todo:
+        e, in_article, in_main, in_link = todo.pop()
+        if e is not tree and e.dropped(in_article):
+            continue
+        if e.tag == "article" and not in_article:
+            articles.append(e)
+            in_article = True
+        if e.is_main() and not in_main:
+            mains.append(e)
+            in_main = True
+        in_link = in_link or e.tag == "a"
+        n = 0 if in_link else sum(len(x.strip()) for x in e.content if isinstance(x, str))
+        total += n
+        inside += n * in_article
+        todo += [(x, in_article, in_main, in_link) for x in reversed(e.content) if isinstance(x, Element)]
+    if articles and 2 * inside >= total:
+        return articles, True
+    return (mains, True) if mains else ([tree], False)
 
 
 def blocks(tree: Element, templates: frozenset[int] = frozenset(), hashes: dict[Element, int] | None = None,
@@ -190,6 +250,7 @@ def blocks(tree: Element, templates: frozenset[int] = frozenset(), hashes: dict[
                 found.append(text)
             run.clear()
 
+    protect(tree)
     starts, in_article = roots(tree)
     for start in starts:
         end_block()

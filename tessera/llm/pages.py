@@ -3,9 +3,10 @@
 Element subtrees are hashed page by page, counted per host in Spark, and deleted
 where they recur across many pages of their host. Pages with equal article text
 count once, so the copies of one article do not make it a template. What is left
-is read from the article elements (else main, else the whole page) without the
-elements that HTML, or common class names, mark as menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles or comments.
+is read from the article elements if they hold most of the text (else main, else
+the whole page) without the elements that HTML, or common class names, mark as
+menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
+comments; a class never drops what holds the article (see ``page_tree.protect``).
 
 The page is read twice by a row-wise reader, as hashes are a small part of it and
 pages are never shuffled while the table of hits is small: it is written and read

@@ -34,6 +34,23 @@ def test_blocks(page, want):
     assert text_of(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div style=\"overflow: hidden\"><p>a</p></div><p title='a hidden gem' data-x=\"x id=nav\">b</p>", "a\nb"),
+    ("<p data-hidden=1>a<p data-class='ad'>b<p title=\"class=ad\">c<p hidden>d<p HIDDEN=''>e", "a\nb\nc"),
+    ("<div class='content-sidebar-wrap'><article><p>body</p></article><div class=sidebar><p>s</p></div></div>", "body"),
+    ("<div class='has-sidebar'><main><p>body</p></main></div>", "body"),
+    ("<div class='elementor-widget-container'><p>long body</p></div><div class=widget><p>w</p></div>", "long body"),
+    ("<div class=has-sidebar>long body<br>more</div><div class=widget>w</div>", "long body more"),
+    ("<main><p>a body longer than its teasers</p></main><article><p>one</p></article><article><p>two</p></article>", "a body longer than its teasers"),
+    ("<div><p>a body longer than its teaser</p></div><article><p>one</p></article>", "a body longer than its teaser\none"),
+    ("<article><p>the longest</p></article><div class=related><article><p>teaser</p></article></div>", "the longest"),
+    ("<article><p>post</p><div class=comments><p>longer than the post</p></div></article>", "post"),
+    ("<div class=no-comments><p>all there is</p></div>", "all there is"),
+])
+def test_marks_are_names_and_never_drop_the_article(page, want):
+    assert text_of(page) == want
+
+
 def test_reader_equals_plain_split_of_the_given_pages(spark):
     for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
         inner = re.search(r"(?s)<article>(.*)</article>", r.html)[1]
