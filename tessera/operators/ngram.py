@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators.split import exact_hash_split
+from tessera.session import cut_lineage
 
 # ---------------------------------------------------------------------------
 # Fixed values (reference behaviour)
@@ -99,11 +100,12 @@ class BigramModel:
 
 def bigram_model(train_words: DataFrame) -> BigramModel:
     bi = ngram_counts(train_words, 2, by=()).withColumnRenamed("s1", "x").withColumnRenamed("s2", "y")
-    bi = F.broadcast(bi)  # <= 27**2 rows
+    bi = F.broadcast(cut_lineage(bi))  # <= 27**2 rows, counted once for all that is asked of the model
     ctx = bi.groupBy("x").agg(F.sum("c").alias("cx"), F.count(F.lit(1)).alias("followers"))
     cont = bi.groupBy("y").agg(F.count(F.lit(1)).alias("n_prev"))
-    n_pairs = bi.agg(F.count(F.lit(1))).scalar()
-    return BigramModel(bi, F.broadcast(ctx), F.broadcast(cont), n_pairs, vocab_size(train_words))
+    # distinct pairs, and symbols: every word ends with the sentinel, so all symbols are followers or begin one
+    n = bi.agg(F.count(F.lit(1)).alias("pairs"), F.count_distinct(F.when(F.col("y") != SENTINEL, F.col("y"))).alias("chars")).first()
+    return BigramModel(bi, F.broadcast(ctx), F.broadcast(cont), F.lit(n["pairs"]), F.lit(n["chars"] + 1))
 
 
 def vocab(train_words: DataFrame) -> DataFrame:
@@ -172,12 +174,12 @@ class TrigramModel:
 
 
 def trigram_model(train_words: DataFrame) -> TrigramModel:
-    tri = F.broadcast(ngram_counts(train_words, 3, by=()).toDF("x", "y", "z", "c"))
+    tri = F.broadcast(cut_lineage(ngram_counts(train_words, 3, by=()).toDF("x", "y", "z", "c")))  # <= 27**3 rows
     tctx = F.broadcast(tri.groupBy("x", "y").agg(F.sum("c").alias("cxy")))
-    bi = F.broadcast(ngram_counts(train_words, 2, by=()).toDF("y", "z", "c"))
+    bi = F.broadcast(cut_lineage(ngram_counts(train_words, 2, by=()).toDF("y", "z", "c")))
     bctx = F.broadcast(bi.groupBy("y").agg(F.sum("c").alias("cy")))
-    uni = F.broadcast(ngram_counts(train_words, 1, by=()).toDF("z", "cz"))
-    total = uni.agg(F.sum("cz")).scalar()
+    uni = F.broadcast(cut_lineage(ngram_counts(train_words, 1, by=()).toDF("z", "cz")))
+    total = F.lit(uni.agg(F.sum("cz")).first()[0])
     return TrigramModel(tri, tctx, bi, bctx, uni, total)
 
 

@@ -17,8 +17,11 @@ Every merge is idempotent, so a replayed run or batch is simply merged again.
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -120,6 +123,7 @@ class WatermarkStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.table = VersionedTable(spark, root, ["table_name"], buckets=1)
+        self.lock = threading.Lock()  # tables of a run commit one after the other
 
     def get(self, table_name: str):
         df = self.table.read()
@@ -130,7 +134,8 @@ class WatermarkStore:
 
     def commit(self, table_name: str, watermark, run_id: str) -> None:
         row = self.spark.createDataFrame([(table_name, _timestamp(watermark), run_id)], STATE_SCHEMA)
-        upsert_versioned(self.table, row)
+        with self.lock:
+            upsert_versioned(self.table, row)
 
 
 class RunLog:
@@ -184,21 +189,56 @@ class TableSpec:
     tiebreak: Sequence[str] = ()
 
 
+def run_tables(spark: SparkSession, work: dict[str, Callable[[], dict]], workers: int, timeout_s: float | None) -> list[dict]:
+    """Run one function per table, ``workers`` at a time, and return their results in the given order.
+
+    Spark runs the jobs of all threads together, each table in a scheduler pool of its own (pools share
+    fairly where the session's scheduler does). The jobs of a table that takes longer than ``timeout_s``
+    are cancelled by their tag, and no others.
+    """
+    sc = spark.sparkContext
+    tags = {name: f"sync-{uuid.uuid4().hex}" for name in work}
+    began: dict[str, float] = {}
+
+    def run(name: str) -> dict:
+        began[name] = time.monotonic()
+        sc.addJobTag(tags[name])
+        sc.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return work[name]()
+        except Exception as e:  # noqa: BLE001 - a source that cannot be opened fails its table only
+            return {"table": name, "status": "failed", "message": str(e)}
+        finally:
+            sc.removeJobTag(tags[name])
+
+    results: dict[str, dict] = {}
+    pool = ThreadPoolExecutor(workers)
+    try:
+        open_ = {pool.submit(run, name): name for name in work}
+        while open_:
+            done, _ = wait(open_, timeout=None if timeout_s is None else 0.2, return_when=FIRST_COMPLETED)
+            for f in done:
+                results.setdefault(open_.pop(f), f.result())
+            for f, name in list(open_.items()):
+                if timeout_s is not None and name in began and time.monotonic() - began[name] > timeout_s:
+                    sc.cancelJobsWithTag(tags[name])
+                    results[name] = {"table": name, "status": "failed", "message": f"timed out after {timeout_s:g} s"}
+                    del open_[f]
+    finally:
+        pool.shutdown(wait=False)
+    return [results[name] for name in work]
+
+
 def run_sync(spark: SparkSession, specs: Sequence[TableSpec], root: str, ceiling, run_id: str,
-             log: RunLog | None = None, lookback_s: int = DEFAULT_LOOKBACK_S) -> list[dict]:
-    """An incremental run over many tables, each with its own watermark; a failing one does not
-    stop the others. The run log gets one row: ok, partial or failed."""
+             log: RunLog | None = None, lookback_s: int = DEFAULT_LOOKBACK_S, workers: int = 4, timeout_s: float | None = None) -> list[dict]:
+    """An incremental run over many tables, ``workers`` of them at a time, each with its own watermark; one that
+    fails or takes too long does not stop the others. The run log gets one row: ok, partial or failed."""
     started, clock = datetime.now(timezone.utc).replace(tzinfo=None), time.monotonic()
     store = WatermarkStore(spark, f"{root}/_watermarks")
-    results = []
-    for s in specs:
-        try:
-            src = s.source()
-        except Exception as e:  # noqa: BLE001 - a source that cannot be opened fails its table only
-            results.append({"table": s.name, "status": "failed", "message": str(e)})
-            continue
-        target = VersionedTable(spark, f"{root}/{s.name}", s.pk)
-        results.append(sync_table(src, target, store, s.name, s.track_col, ceiling, run_id, s.tiebreak, lookback_s))
+
+    def work(s: TableSpec) -> Callable[[], dict]:
+        return lambda: sync_table(s.source(), VersionedTable(spark, f"{root}/{s.name}", s.pk), store, s.name, s.track_col, ceiling, run_id, s.tiebreak, lookback_s)
+    results = run_tables(spark, {s.name: work(s) for s in specs}, workers, timeout_s)
     if log is not None:
         failed = [f"{r['table']}: {r['message']}" for r in results if r["status"] != "ok"]
         log.record(run_id, "sync", run_status(results), started, time.monotonic() - clock, len(results) - len(failed),

@@ -8,6 +8,8 @@ distinct-word counts. The DuckDB oracles are generated from one CTE template
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from tessera.sources.tables import Tables
 
 # ============================================================== Spark side
 class LM:
-    """Lazily built model tables for one scale factor (plans, not data)."""
+    """Model tables of one scale factor, each computed once when it is first asked for."""
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
@@ -34,18 +36,35 @@ class LM:
         self.wc = self.by_source.groupBy("split", "word").agg(F.sum("c").alias("c"))
         self.train = self.wc.where(F.col("split") == "train").select("word", "c")
         self.val = self.wc.where(F.col("split") == "val").select("word", "c")
-        self.bm = N.bigram_model(self.train)
-        self.train_pairs = N.eval_pairs(self.train)
-        self.val_pairs = N.eval_pairs(self.val)
+
+    @cached_property
+    def bm(self):
+        return N.bigram_model(self.train)
+
+    @cached_property
+    def train_pairs(self) -> DataFrame:
+        return cut_lineage(N.eval_pairs(self.train))
+
+    @cached_property
+    def val_pairs(self) -> DataFrame:
+        return cut_lineage(N.eval_pairs(self.val))
+
+    @cached_property
+    def _tuned(self) -> DataFrame:
+        return cut_lineage(N.tune_kn(self.val_pairs, self.bm))  # a row per grid value
 
     def kn_tuning(self) -> DataFrame:
-        return N.tune_kn(self.val_pairs, self.bm)
+        return self._tuned
+
+    @cached_property
+    def _best(self):
+        return self._tuned.where("best").select("d", "ppl").first() or (None, None)
 
     def best_d(self):
-        return self.kn_tuning().where("best").select("d").scalar()
+        return F.lit(self._best[0])
 
     def best_kn_val_ppl(self):
-        return self.kn_tuning().where("best").select("ppl").scalar()
+        return F.lit(self._best[1])
 
     def kn_ppl(self, pairs: DataFrame, d, by=()) -> DataFrame:
         return N.perplexity(N._attach(pairs, self.bm), N.kn_p(d, self.bm.n_pairs), by)

@@ -42,4 +42,5 @@ def _load() -> None:
     # Importing the modules registers their queries.
     from tessera.plans import (  # noqa: F401
         dataset_queries, profile_queries, lm_queries, eval_queries, sync_queries, ml_queries, sql_queries,
+        vector_queries, change_queries, log_queries, sketch_queries,
     )
