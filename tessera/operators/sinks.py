@@ -17,9 +17,13 @@ from tessera.operators.versioned import VersionedTable
 from tessera.session import cut_lineage
 
 
+#: Tasks that write the rows of one key, at most.
+TASKS_PER_KEY = 64
+
+
 def replace_partitions(df: DataFrame, path: str, key: str) -> None:
-    """Rows of every ``key`` value in ``df`` replace the stored ones of that value."""
-    (df.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
+    """Rows of every ``key`` value in ``df`` replace the stored ones of that value; a value is written by many tasks."""
+    (df.repartition(key, F.pmod(F.xxhash64(*df.columns), F.lit(TASKS_PER_KEY))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
 
 
 def append_run_metrics(metrics: DataFrame, path: str, run_id: str) -> None:

@@ -7,8 +7,8 @@ Semantics (batch and streaming share them):
 * dedupe: the lookback overlap must be idempotent, so changes collapse to the
   last version per key (``max_by`` over a total order; its struct buffer makes
   this a sort-based aggregate);
-* upsert: ``target LEFT ANTI changes  UNION ALL  changes``, in the hash buckets
-  that the changes touch (see ``versioned``: new folders, then a new pointer);
+* upsert: ``target LEFT ANTI changes  UNION ALL  changes``, in the parts of the
+  table that hold changed keys (see ``versioned``: new folders, then a row of what is current);
 * the watermark and the run log are tiny state tables committed *after* the
   data write succeeded, so a failed write never advances the watermark.
 
@@ -88,7 +88,7 @@ def upsert(target: DataFrame, changes: DataFrame, pk: Sequence[str],
 
 # ---------------------------------------------------------------- versioned tables
 def upsert_versioned(table: VersionedTable, changes: DataFrame, keep_from_target: Sequence[str] = ()) -> DataFrame:
-    """Insert-or-replace by the table's key, in the buckets that the changes touch.
+    """Insert-or-replace by the table's key, in the parts that hold changed keys.
 
     Running it again with the same changes gives the same table.
     """
@@ -122,7 +122,7 @@ class WatermarkStore:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.table = VersionedTable(spark, root, ["table_name"], buckets=1)
+        self.table = VersionedTable(spark, root, ["table_name"])
         self.lock = threading.Lock()  # tables of a run commit one after the other
 
     def get(self, table_name: str):
@@ -143,7 +143,7 @@ class RunLog:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.table = VersionedTable(spark, root, ["run_id"], buckets=1)
+        self.table = VersionedTable(spark, root, ["run_id"])
 
     def record(self, run_id: str, source: str, status: str, started_at, duration_seconds: float,
                row_count: int | None = None, dump_bytes: int | None = None, message: str | None = None,

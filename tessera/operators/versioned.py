@@ -1,12 +1,15 @@
-"""Tables and table sets as immutable folders behind numbered pointer files.
-
-A write goes to a new folder; a pointer file ``_pointers/<number>.json`` then
-names the folders that make up the table. Pointers are created, never changed:
-the text is written aside and renamed to a number that must not exist yet. The
-newest readable pointer is the table, so a crash between any two steps leaves the
-former table in place, and readers always see a whole one. Old pointers and
-folders go only after a newer pointer exists. Folders without a pointer, where
-there was data before, are an error and never taken for an empty table.
+"""Tables and table sets as plain Parquet folders behind a small table of what is current.
+
+Data is written with the DataFrame writer into folders that nothing else uses; then one row
+for each folder that is new is appended to the table ``current``, in one file, which Spark's
+committer makes visible as a whole. Whatever stops a write before that leaves the former
+state in place, and a reader always sees a whole one. Data folders without a readable table
+``current`` are an error and never taken for an empty table.
+
+A keyed table is laid out in parts by a hash of its key, as many as its rows need at
+``PART_ROWS`` a part, so tasks follow the data: an upsert joins and rewrites the parts that hold
+changed keys, and a table that has outgrown its parts is dealt anew with its next upsert. A
+whole rewrite starts a new generation; the one before it is kept, older ones go.
 """
 
 from __future__ import annotations
@@ -14,178 +17,179 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KEEP_POINTERS = 2
-DEFAULT_BUCKETS = 16
+#: Rows of a part, about; a table with more than twice as many a part is dealt anew.
+PART_ROWS = 1_000_000
+CURRENT = "generation long, commit long, writer string, n_parts int, name string, path string, n_rows long, schema string"
 
 
-class Pointers:
-    """The numbered pointer files of one folder, through the Hadoop filesystem."""
+@dataclass
+class State:
+    """What is current: paths and row counts by part or table name."""
+
+    generation: int
+    commit: int
+    n_parts: int
+    paths: dict[str, str]
+    rows: dict[str, int]
+    schemas: dict[str, T.StructType]
+
+
+class Current:
+    """The table of what is current under one root."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._jvm = spark.sparkContext._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def path(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-
-    def fs(self):
-        return self.path("_pointers").getFileSystem(self._conf)
-
-    def names(self, folder: str = "") -> list[str]:
-        p = self.path(folder) if folder else self._jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = self.fs()
-        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
-
-    def numbers(self) -> list[int]:
-        return [int(n[:-5]) for n in self.names("_pointers") if n.endswith(".json") and n[:-5].isdigit()]
-
-    def _text(self, number: int) -> str:
-        stream = self.fs().open(self.path(f"_pointers/{number:010d}.json"))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def current(self) -> dict | None:
-        """The newest whole pointer; ``None`` where nothing was ever written."""
-        for number in reversed(self.numbers()):
-            try:
-                return json.loads(self._text(number))
-            except ValueError:
-                continue  # a torn file on a store without atomic rename: never published
-        left = [n for n in self.names() if n.startswith("v=")]
-        if left and self.fs().exists(self.path("_pointers")):
-            raise RuntimeError(f"{self.root} holds {len(left)} version folders but no readable pointer")
-        return None
-
-    def publish(self, pointer: dict, folders: Sequence[str]) -> None:
-        """Make ``pointer`` the newest; then drop what no kept pointer names in ``folders``."""
-        fs = self.fs()
-        number = max(self.numbers(), default=0) + 1
-        aside, final = self.path(f"_pointers/.{uuid.uuid4().hex}.tmp"), self.path(f"_pointers/{number:010d}.json")
-        out = fs.create(aside, False)
-        out.write(bytearray(json.dumps(pointer | {"folders": sorted(folders)}).encode("utf-8")))
-        out.close()
-        if fs.exists(final) or not fs.rename(aside, final):
-            raise RuntimeError(f"{final} was published by another writer")
-        self._clean()
-
-    def _clean(self) -> None:
-        fs = self.fs()
-        numbers = self.numbers()
-        named: set[str] = set()
-        for number in numbers[-KEEP_POINTERS:]:
-            try:
-                named |= set(json.loads(self._text(number))["folders"])
-            except ValueError:
-                return
-        for number in numbers[:-KEEP_POINTERS]:
-            fs.delete(self.path(f"_pointers/{number:010d}.json"), False)
-        for name in self.names():
-            if name.startswith("v=") and name not in named:
-                fs.delete(self.path(name), True)
 
+    def _files(self, folder: str) -> list[str]:
+        """Names in a folder below the root; none where it does not exist."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        fs = path.getFileSystem(conf)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def state(self) -> State | None:
+        """The newest state; ``None`` where nothing was ever written."""
+        if not any(n.endswith(".parquet") for n in self._files("current")):
+            if "current" in self._files("") and self._files("data"):
+                raise RuntimeError(f"{self.root} holds data but no readable table of what is current")
+            return None
+        newest = F.struct("commit", "writer", "n_parts", "path", "n_rows", "schema")
+        rows = (self.spark.read.schema(CURRENT).parquet(f"{self.root}/current").groupBy("generation", "name")
+                .agg(F.max_by(newest, F.struct("commit", "writer")).alias("r"))
+                .select("generation", "name", "r.*").collect())  # a row per part
+        last = max(r.generation for r in rows)
+        rows = [r for r in rows if r.generation == last]
+        commit = max(r.commit for r in rows)
+        if len({r.writer for r in rows if r.commit == commit}) > 1:
+            raise RuntimeError(f"{self.root}: commit {commit} was made by two writers")
+        rows = [r for r in rows if r.path]
+        return State(last, commit, max((r.n_parts for r in rows), default=1), {r.name: r.path for r in rows}, {r.name: r.n_rows for r in rows},
+                     {r.name: T.StructType.fromJson(json.loads(r.schema)) for r in rows})
+
+    def append(self, state: State | None, placed: dict[str, tuple[str, int]], schemas: dict[str, str], n_parts: int, whole: bool) -> None:
+        """Make ``placed`` (name: path, rows) current; a ``whole`` one is a generation of its own."""
+        commit = (state.commit if state else 0) + 1
+        generation = commit if whole or not state else state.generation
+        writer = uuid.uuid4().hex
+        rows = [(generation, commit, writer, n_parts, name, path, n, schemas[name]) for name, (path, n) in placed.items()]
+        self.spark.createDataFrame(rows, CURRENT).coalesce(1).write.mode("append").parquet(f"{self.root}/current")
+
+    def drop_before(self, keep: Sequence[State | None]) -> None:
+        """Delete data folders that no state of ``keep`` names."""
+        named = {p.split("/")[1] for s in keep if s for p in s.paths.values()}
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for name in self._files("data"):
+            if name not in named:
+                path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/data/{name}")
+                path.getFileSystem(conf).delete(path, True)
 
-class VersionedTable:
-    """A keyed table in hash buckets; an upsert rewrites only the buckets its changes touch.
 
-    ``pk`` decides the bucket. The pointer holds one folder per bucket that has
-    rows (at most ``buckets`` entries), so untouched buckets stay where they are.
-    """
+class VersionedTable:
+    """A keyed table whose upserts rewrite only the parts that hold changed keys."""
 
-    def __init__(self, spark: SparkSession, root: str, pk: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, pk: Sequence[str] = (), part_rows: int | None = None):
         self.spark, self.root = spark, root.rstrip("/")
-        self.pk, self.buckets = list(pk), buckets
-        self.pointers = Pointers(spark, root)
+        self.pk, self.part_rows = list(pk), part_rows or PART_ROWS
+        self.current = Current(spark, root)
 
     def exists(self) -> bool:
-        return self.pointers.current() is not None
+        return self.current.state() is not None
 
     def schema(self) -> T.StructType | None:
-        p = self.pointers.current()
-        return None if p is None else T.StructType.fromJson(p["schema"])
+        s = self.current.state()
+        return next(iter(s.schemas.values())) if s else None
 
-    def _read(self, pointer: dict, buckets: set[str] | None = None) -> DataFrame:
-        schema = T.StructType.fromJson(pointer["schema"])
-        paths = [f"{self.root}/{folder}" for b, folder in pointer["buckets"].items() if buckets is None or b in buckets]
+    def _read(self, state: State, parts: set[str] | None = None) -> DataFrame:
+        schema = next(iter(state.schemas.values()))
+        paths = [f"{self.root}/{p}" for name, p in state.paths.items() if p.endswith(f"part={name}") and (parts is None or name in parts)]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def read(self) -> DataFrame | None:
-        p = self.pointers.current()
-        return None if p is None else self._read(p)
+        s = self.current.state()
+        return None if s is None else self._read(s)
 
-    def _bucket(self, df: DataFrame, n: int):
-        return F.pmod(F.xxhash64(*self.pk), F.lit(n)) if self.pk else F.lit(0)
+    def _part(self, n: int):
+        return F.pmod(F.xxhash64(*self.pk), F.lit(n)) if self.pk else F.lit(0).cast("long")
 
-    def _write(self, df: DataFrame, n: int) -> tuple[str, dict[str, str]]:
-        version = f"v={uuid.uuid4().hex}"
-        path = f"{self.root}/{version}"
-        keyed = df.withColumn("_bucket", self._bucket(df, n))
-        (keyed.repartition("_bucket") if self.pk else keyed).write.partitionBy("_bucket").parquet(path)
-        found = [x for x in self.pointers.names(version) if x.startswith("_bucket=")]
-        return version, {x.removeprefix("_bucket="): f"{version}/{x}" for x in found}
+    def _write(self, df: DataFrame, n: int) -> dict[str, tuple[str, int]]:
+        """Write rows by part; path and row count of every part that has rows."""
+        folder = f"data/{uuid.uuid4().hex}"
+        keyed = df.withColumn("part", self._part(n))
+        (keyed.repartition("part") if self.pk else keyed).write.partitionBy("part").parquet(f"{self.root}/{folder}")
+        written = self.spark.read.schema(T.StructType([T.StructField("part", T.LongType())])).parquet(f"{self.root}/{folder}")
+        return {str(r["part"]): (f"{folder}/part={r['part']}", r["count"]) for r in written.groupBy("part").count().collect()}
 
-    def replace(self, df: DataFrame) -> None:
-        """Publish ``df`` as the whole table."""
-        version, buckets = self._write(df, self.buckets)
-        self._publish(df.schema, self.buckets, buckets)
+    def _commit(self, state: State | None, schema: T.StructType, placed: dict[str, tuple[str, int]], n: int, whole: bool) -> None:
+        # a table without rows has no part, but a schema
+        placed = placed or {"": ("data/none", 0)}
+        self.current.append(state, placed, dict.fromkeys(placed, schema.json()), n, whole)
 
-    def _publish(self, schema: T.StructType, n: int, buckets: dict[str, str]) -> None:
-        self.pointers.publish({"schema": json.loads(schema.json()), "n": n, "buckets": buckets},
-                              {f.split("/")[0] for f in buckets.values()})
+    def replace(self, df: DataFrame) -> None:
+        """Make ``df`` the whole table, in as many parts as its rows need."""
+        state = self.current.state()
+        n = max(1, -(-df.count() // self.part_rows)) if self.pk else 1
+        self._commit(state, df.schema, self._write(df, n), n, whole=True)
+        self.current.drop_before([state, self.current.state()])
 
     def merge(self, changes: DataFrame, combine) -> DataFrame:
-        """``combine(old, changes)`` in the touched buckets only; all others keep their files.
+        """``combine(old, changes)`` in the touched parts only; all others keep their files.
 
         Columns the table does not know are dropped and types follow the table, so a
-        changed source schema cannot move a key to another bucket. A replay merges
+        changed source schema cannot move a key to another part. A replay merges
         the same changes again; ``combine`` must be idempotent.
         """
         if not self.pk:
             raise ValueError("a table without a key can only be replaced")
-        pointer = self.pointers.current()
-        if pointer is None:
+        state = self.current.state()
+        if state is None:
             self.replace(combine(None, changes))
             return self.read()
-        schema = T.StructType.fromJson(pointer["schema"])
+        schema = next(iter(state.schemas.values()))
         have = set(changes.columns)
         changes = changes.select(*[F.col(f.name).cast(f.dataType) for f in schema if f.name in have])
-        touched = {str(r[0]) for r in changes.select(self._bucket(changes, pointer["n"])).distinct().collect()}  # at most n
-        if not touched:
+        if sum(state.rows.values()) > 2 * state.n_parts * self.part_rows:
+            self.replace(combine(self._read(state), changes).select(*schema.fieldNames()))
             return self.read()
-        old = self._read(pointer, touched)
-        _, written = self._write(combine(old, changes).select(*schema.fieldNames()), pointer["n"])
-        kept = {b: f for b, f in pointer["buckets"].items() if b not in touched}
-        self._publish(schema, pointer["n"], kept | written)
+        touched = {str(r[0]) for r in changes.select(self._part(state.n_parts)).distinct().collect()}  # at most the parts
+        if touched:
+            merged = combine(self._read(state, touched), changes).select(*schema.fieldNames())
+            self._commit(state, schema, self._write(merged, state.n_parts), state.n_parts, whole=False)
         return self.read()
 
 
 class Snapshot:
-    """A set of tables that changes as one: every table of a run, behind one pointer."""
+    """A set of tables that changes as one: every table of a run becomes current at once."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.pointers = Pointers(spark, root)
+        self.current = Current(spark, root)
 
     def publish(self, tables: dict[str, DataFrame], carry: Sequence[str] = ()) -> None:
         """Write all tables, then swap them in at once. ``carry`` names tables that stay as the
         former snapshot has them (derived ones that a full refresh must not lose)."""
-        before = (self.pointers.current() or {}).get("tables", {})
-        missing = [c for c in carry if c not in before]
-        if missing and before:
+        state = self.current.state()
+        missing = [c for c in carry if state and c not in state.paths]
+        if missing:
             raise ValueError(f"nothing to carry over for {missing}")
-        version = f"v={uuid.uuid4().hex}"
+        folder = f"data/{uuid.uuid4().hex}"
         for name, df in tables.items():
-            df.write.parquet(f"{self.root}/{version}/{name}")
-        placed = {name: f"{version}/{name}" for name in tables} | {c: before[c] for c in carry if c in before and c not in tables}
-        self.pointers.publish({"tables": placed}, {f.split("/")[0] for f in placed.values()})
+            df.write.parquet(f"{self.root}/{folder}/{name}")
+        placed = {name: (f"{folder}/{name}", 0) for name in tables}
+        schemas = {name: df.schema.json() for name, df in tables.items()}
+        for c in carry:
+            if state and c not in tables:
+                placed[c], schemas[c] = (state.paths[c], 0), state.schemas[c].json()
+        self.current.append(state, placed, schemas, 1, whole=True)
+        self.current.drop_before([state, self.current.state()])
 
     def read(self, name: str) -> DataFrame | None:
-        placed = (self.pointers.current() or {}).get("tables", {})
-        return self.spark.read.parquet(f"{self.root}/{placed[name]}") if name in placed else None
+        state = self.current.state()
+        if not state or name not in state.paths:
+            return None
+        return self.spark.read.schema(state.schemas[name]).parquet(f"{self.root}/{state.paths[name]}")

@@ -60,9 +60,9 @@ def test_a_reused_run_id_still_applies_new_changes(spark, tmp_path):
     assert {r.id: r.v for r in target.read().collect()} == {1: "b", 2: "a", 3: "b"}
 
 
-def test_publish_that_stops_at_any_step_loses_nothing(spark, tmp_path, monkeypatch):
-    """A crash before, while and after the pointer is written: the next upsert starts from the former table."""
-    for step in ("_write", "create", "rename", "_clean"):
+def test_write_that_stops_at_any_step_loses_nothing(spark, tmp_path, monkeypatch):
+    """A crash while data is written, before, while and after it becomes current: the next upsert starts from a whole table."""
+    for step in ("_write", "_commit", "append", "drop_before"):
         root = f"{tmp_path}/{step}"
         table = Y.VersionedTable(spark, root, ["id"])
         table.replace(_rows(spark, [(1, "2024-01-01 00:00:00", "a"), (2, "2024-01-01 00:00:00", "b")]))
@@ -71,19 +71,10 @@ def test_publish_that_stops_at_any_step_loses_nothing(spark, tmp_path, monkeypat
         def stop(*args, **kw):
             raise RuntimeError("stopped here")
         with monkeypatch.context() as m:
-            if step == "_write":
-                m.setattr(table, "_publish", stop)  # data written, no pointer
-            elif step == "_clean":
-                m.setattr(table.pointers, "_clean", stop)  # pointer written, old files left
-            else:
-                real = table.pointers.fs()
-
-                class Broken:
-                    def __getattr__(self, name):
-                        return stop if name == step else getattr(real, name)
-                m.setattr(table.pointers, "fs", Broken)
+            m.setattr(table if step.startswith("_") else table.current, step, stop)
             try:
                 Y.upsert_versioned(table, change)
+                table.replace(table.read())
             except RuntimeError as e:
                 assert "stopped here" in str(e)
         again = Y.VersionedTable(spark, root, ["id"])
@@ -92,26 +83,64 @@ def test_publish_that_stops_at_any_step_loses_nothing(spark, tmp_path, monkeypat
         assert {r.id: r.v for r in again.read().collect()} == {1: "a", 2: "b", 3: "c"}
 
 
-def test_versions_without_a_pointer_are_an_error(spark, tmp_path):
-    import os
+def test_data_without_a_current_table_is_an_error(spark, tmp_path):
     table = Y.VersionedTable(spark, str(tmp_path), ["id"])
     table.replace(_rows(spark, [(1, "2024-01-01 00:00:00", "a")]))
-    for f in os.listdir(f"{tmp_path}/_pointers"):
-        (tmp_path / "_pointers" / f).write_text("{")
-    with pytest.raises(RuntimeError, match="no readable pointer"):
+    kept = {f: f.read_bytes() for f in (tmp_path / "current").glob("*.parquet")}
+    for f in kept:
+        f.write_bytes(b"torn")
+    for crc in (tmp_path / "current").glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(Exception):
         table.read()
-    with pytest.raises(RuntimeError, match="no readable pointer"):
+    with pytest.raises(Exception):
         Y.upsert_versioned(table, _rows(spark, [(2, "2024-01-01 00:00:00", "b")]))
+    for f in kept:
+        f.unlink()
+    with pytest.raises(RuntimeError, match="no readable table"):
+        table.read()
+
+
+def test_two_writers_are_an_error(spark, tmp_path):
+    table = Y.VersionedTable(spark, str(tmp_path), ["id"], part_rows=2)
+    table.replace(_rows(spark, [(i, "2024-01-01 00:00:00", "a") for i in range(8)]))
+    state = table.current.state()
+    for part in list(state.paths)[:2]:
+        table.current.append(state, {part: (state.paths[part], 1)}, {part: table.schema().json()}, state.n_parts, False)
+    with pytest.raises(RuntimeError, match="two writers"):
+        table.read()
 
 
-def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
-    table = Y.VersionedTable(spark, str(tmp_path), ["id"], buckets=32)
+def test_parts_follow_the_rows_and_upserts_rewrite_touched_ones(spark, tmp_path):
+    table = Y.VersionedTable(spark, str(tmp_path), ["id"], part_rows=10)
     table.replace(_rows(spark, [(i, "2024-01-01 00:00:00", "a") for i in range(200)]))
-    before = table.pointers.current()["buckets"]
+    before = table.current.state()
+    assert before.n_parts == 20 and sum(before.rows.values()) == 200
     Y.upsert_versioned(table, spark.createDataFrame([(7, datetime(2024, 1, 2), "b")], "id int, ts timestamp_ntz, v string"))
-    after = table.pointers.current()["buckets"]
-    assert sum(before[b] != after[b] for b in before) == 1 and len(before) > 20
+    after = table.current.state()
+    assert sum(before.paths[p] != after.paths[p] for p in before.paths) == 1
     assert table.read().count() == 200 and table.read().where("v = 'b'").first().id == 7
+    # a table that has outgrown its parts is dealt anew
+    Y.upsert_versioned(table, _rows(spark, [(i, "2024-01-01 00:00:00", "c") for i in range(200, 500)]))
+    Y.upsert_versioned(table, _rows(spark, [(500, "2024-01-01 00:00:00", "c")]))
+    assert table.current.state().n_parts == 51 and table.read().count() == 501
+
+
+def test_the_generation_before_is_kept_and_older_ones_go(spark, tmp_path):
+    table = Y.VersionedTable(spark, str(tmp_path), ["id"])
+    for k in range(4):
+        held = table.read()  # a reader of the generation before
+        table.replace(_rows(spark, [(i, "2024-01-01 00:00:00", "a") for i in range(k + 1)]))
+        assert held is None or held.count() == k
+    assert len(list((tmp_path / "data").iterdir())) == 2
+
+
+def test_a_table_without_rows(spark, tmp_path):
+    table = Y.VersionedTable(spark, str(tmp_path), ["id"])
+    Y.upsert_versioned(table, _rows(spark, []))
+    assert table.read().count() == 0 and table.schema().fieldNames() == ["id", "ts", "v"]
+    Y.upsert_versioned(table, _rows(spark, [(1, "2024-01-01 00:00:00", "a")]))
+    assert [r.v for r in table.read().collect()] == ["a"]
 
 
 def test_snapshot_swaps_all_tables_and_carries_derived_ones(spark, tmp_path):
