@@ -53,3 +53,17 @@ def majority_baseline(train: DataFrame, label: str, by: str) -> DataFrame:
     """Per ``by`` value, the most frequent training label (ties -> smallest label)."""
     g = train.groupBy(by, label).agg(F.count(F.lit(1)).alias("_n"))
     return g.groupBy(by).agg(F.max_by(label, F.struct("_n", -F.col(label))).alias("predicted"))
+
+
+def log_loss(predicted: DataFrame, label: str) -> float:
+    """Mean negative log probability that a fitted model gives to the true class."""
+    from pyspark.ml.functions import vector_to_array
+    p = F.get(vector_to_array("probability"), F.col(label).cast("int"))
+    return predicted.agg(F.avg(-F.log(F.greatest(p, F.lit(1e-15)))).alias("l")).first()["l"]
+
+
+def frequency_log_loss(rows: DataFrame, label: str) -> float:
+    """The same for guessing every class by its share of the rows."""
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.agg(F.sum(-F.col("n") / total * F.log(F.col("n") / total)).alias("l")).first()["l"]

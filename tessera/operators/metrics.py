@@ -8,7 +8,7 @@ are made once for the predictions that follow each other. Scores, averages and t
 corpus sums are one aggregate over these counts.
 
 * BLEU: corpus BLEU from summed counts, sentence BLEU per (generator, id).
-* ROUGE-L: bit-parallel LCS (one big-int update per token of the prediction).
+* ROUGE-L: bit-parallel LCS (one big-int update per token of the prediction), in the same pass.
 * Cosine: term-frequency vectors; ``embedding_cosine`` takes any embedding model.
 * Length ratio: a column expression.
 """
@@ -18,17 +18,17 @@ from __future__ import annotations
 from collections import Counter
 from itertools import islice
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import bleu as B
-from tessera.functions.text import WS_RUN
 from tessera.operators.udf import Model, embed
 
 ORDERS = range(1, B.MAX_ORDER + 1)
-COUNTS = [*[f"m{n}" for n in ORDERS], "sys_len", "ref_len", "dot", "pp", "rr"]
+#: What a pair of texts is counted for, and the counts of each.
+BLEU, COSINE, ROUGE = "bleu", "cosine", "rouge"
+COUNTS = {BLEU: [*[f"m{n}" for n in ORDERS], "sys_len", "ref_len"], COSINE: ["dot", "pp", "rr"], ROUGE: ["lcs", "pred_terms", "ref_terms"]}
 
 
 def pair_texts(preds: DataFrame, refs: DataFrame, how: str = "inner") -> DataFrame:
@@ -57,62 +57,111 @@ def _common(a: Counter, b: Counter) -> int:
     return sum(min(n, b[g]) for g, n in a.items() if g in b)
 
 
-def _pair_udf():
-    @F.arrow_udf("struct<" + ",".join(f"{c}:long" for c in COUNTS) + ">")
+class Reference:
+    """What is counted of a reference once, for the predictions that follow each other."""
+
+    def __init__(self, text: str | None, terms: str | None, want: tuple[str, ...], stemmer: bool):
+        self.key = text, terms
+        if BLEU in want:
+            tokens = _split(text)
+            self.length, self.grams = len(tokens), _ngrams(tokens)
+        if COSINE in want:
+            self.terms = Counter(_split(terms))
+            self.square = sum(n * n for n in self.terms.values())
+        if ROUGE in want:
+            self.sequence = stems(_split(terms), stemmer)
+
+
+def stems(tokens: list[str], stemmer: bool) -> list[str]:
+    """Tokens of more than three letters by their stem (remembered per worker)."""
+    if not stemmer:
+        return tokens
+    from tessera.functions.porter import stem
+    return [stem(t) if len(t) > 3 else t for t in tokens]
+
+
+def _pair_udf(want: tuple[str, ...], stemmer: bool):
+    names = [c for kind in want for c in COUNTS[kind]]
+
+    @F.arrow_udf("struct<" + ",".join(f"{c}:long" for c in names) + ">")
     def count_pairs(pred: pa.Array, ref: pa.Array, pred_terms: pa.Array, ref_terms: pa.Array) -> pa.Array:
         rows, last = [], None
         for p, r, pt, rt in zip(pred.to_pylist(), ref.to_pylist(), pred_terms.to_pylist(), ref_terms.to_pylist()):
-            if last is None or last[0] != (r, rt):
-                tokens, terms = _split(r), Counter(_split(rt))
-                last = ((r, rt), len(tokens), _ngrams(tokens), terms, sum(n * n for n in terms.values()))
-            _, ref_len, grams, terms, rr = last
-            tokens, counts = _split(p), Counter(_split(pt))
-            matches = [_common(a, b) for a, b in zip(_ngrams(tokens), grams)] if tokens and ref_len else [0] * len(ORDERS)
-            rows.append((*matches, len(tokens), ref_len, sum(n * terms[t] for t, n in counts.items() if t in terms),
-                         sum(n * n for n in counts.values()), rr))
-        return pa.StructArray.from_arrays([pa.array([x[i] for x in rows], pa.int64()) for i in range(len(COUNTS))], COUNTS)
+            if last is None or last.key != (r, rt):
+                last = Reference(r, rt, want, stemmer)
+            row: list[int] = []
+            for kind in want:
+                if kind == BLEU:
+                    tokens = _split(p)
+                    row += [_common(a, b) for a, b in zip(_ngrams(tokens), last.grams)] if tokens and last.length else [0] * len(ORDERS)
+                    row += [len(tokens), last.length]
+                elif kind == COSINE:
+                    counts = Counter(_split(pt))
+                    row += [sum(n * last.terms[t] for t, n in counts.items() if t in last.terms), sum(n * n for n in counts.values()), last.square]
+                else:
+                    tokens = stems(_split(pt), stemmer)
+                    row += [lcs_length(last.sequence, tokens), len(tokens), len(last.sequence)]
+            rows.append(row)
+        return pa.StructArray.from_arrays([pa.array([x[i] for x in rows], pa.int64()) for i in range(len(names))], names)
     return count_pairs
 
 
-def example_counts(preds: DataFrame, refs: DataFrame) -> DataFrame:
-    """Per (generator, id): n-gram matches m1..m4, totals t1..t4, token counts, term products,
-    and the character lengths of both texts. A prediction without reference meets an empty one."""
-    p = preds.select("generator", "id", B.text_13a(F.col("prediction")).alias("_p"), joined_terms(F.col("prediction")).alias("_pt"),
-                     F.length("prediction").alias("pred_chars"))
-    r = refs.select("id", B.text_13a(F.col("reference")).alias("_r"), joined_terms(F.col("reference")).alias("_rt"),
-                    F.length("reference").alias("ref_chars"))
+def example_counts(preds: DataFrame, refs: DataFrame, want: tuple[str, ...] = (BLEU, COSINE), stemmer: bool = True) -> DataFrame:
+    """Per (generator, id) what ``want`` asks for: n-gram matches m1..m4, totals t1..t4 and token counts;
+    term products; longest common subsequence and term counts. Also the character lengths of both texts.
+    A prediction without reference meets an empty one. Texts are joined once, whatever is counted."""
+    none = F.lit(None).cast("string")
+
+    def side(text: Column, name: str) -> list[Column]:
+        return [(B.text_13a(text) if BLEU in want else none).alias(f"_{name}"),
+                (joined_terms(text) if COSINE in want or ROUGE in want else none).alias(f"_{name}t")]
+    p = preds.select("generator", "id", *side(F.col("prediction"), "p"), F.length("prediction").alias("pred_chars"))
+    r = refs.select("id", *side(F.col("reference"), "r"), F.length("reference").alias("ref_chars"))
     counted = p.join(r, "id", "left").select("generator", "id", "pred_chars", F.coalesce("ref_chars", F.lit(0)).alias("ref_chars"),
-                                             _pair_udf()("_p", "_r", "_pt", "_rt").alias("c"))
-    totals = [F.greatest(F.col("c.sys_len") - n + 1, F.lit(0)).cast("long").alias(f"t{n}") for n in ORDERS]
+                                             _pair_udf(tuple(want), stemmer)("_p", "_r", "_pt", "_rt").alias("c"))
+    totals = [F.greatest(F.col("c.sys_len") - n + 1, F.lit(0)).cast("long").alias(f"t{n}") for n in ORDERS] if BLEU in want else []
     return counted.select("generator", "id", "pred_chars", "ref_chars", "c.*", *totals)
 
 
+def rouge_l_of(counts: DataFrame) -> Column:
+    """ROUGE-L F-measure (0-1) from counted pairs: harmonic mean of LCS precision and recall."""
+    total = F.col("pred_terms") + F.col("ref_terms")
+    return F.when(F.col("lcs") > 0, 2 * F.col("lcs") / total).otherwise(F.lit(0.0))
+
+
 def tf_cosine_of(counts: DataFrame) -> Column:
     den = F.sqrt(F.col("pp").cast("double")) * F.sqrt(F.col("rr").cast("double"))
     return F.when(den > 0, F.col("dot") / F.when(den > 0, den).otherwise(F.lit(1.0))).otherwise(F.lit(0.0))
 
 
-def example_scores(counts: DataFrame) -> DataFrame:
-    """The per-example table: ``generator, id, bleu`` (sentence BLEU, 0-1), ``tf_cosine, length_ratio``."""
+def example_scores(counts: DataFrame, limit: int | None = None) -> DataFrame:
+    """The per-example table: ``generator, id, bleu`` (sentence BLEU, 0-1), ``tf_cosine, length_ratio``, and
+    ``rouge_l`` where it was counted; with ``limit`` the first ids of every generator only."""
+    if limit is not None:
+        first = Window.partitionBy("generator").orderBy("id")
+        counts = counts.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= limit).drop("_k")
+    rouge = [rouge_l_of(counts).alias("rouge_l")] if "lcs" in counts.columns else []
     bleu = F.when(F.col("sys_len") == 0, F.lit(0.0)).otherwise(_score(effective_order=True) / F.lit(100.0))
     return counts.select("generator", "id", bleu.alias("bleu"), tf_cosine_of(counts).alias("tf_cosine"),
-                         (F.col("pred_chars") / F.greatest("ref_chars", F.lit(1))).alias("length_ratio"))
+                         (F.col("pred_chars") / F.greatest("ref_chars", F.lit(1))).alias("length_ratio"), *rouge)
 
 
 def generator_scores(counts: DataFrame) -> DataFrame:
-    """``generator, n, bleu`` (corpus BLEU, 0-100), ``tf_cosine, length_ratio``: one aggregate."""
+    """``generator, n, bleu`` (corpus BLEU, 0-100), ``tf_cosine, length_ratio`` and, where it was counted,
+    ``rouge_l_f1`` (0-100): one aggregate."""
+    rouge = [(F.avg(rouge_l_of(counts)) * 100.0).alias("rouge_l_f1")] if "lcs" in counts.columns else []
     sums = [F.sum(c).alias(c) for c in [f"m{n}" for n in ORDERS] + [f"t{n}" for n in ORDERS] + ["sys_len", "ref_len"]]
     g = counts.groupBy("generator").agg(
         F.count(F.lit(1)).alias("n"), F.avg(tf_cosine_of(counts)).alias("tf_cosine"),
-        F.avg(F.col("pred_chars") / F.greatest("ref_chars", F.lit(1))).alias("length_ratio"), *sums)
-    return g.select("generator", "n", _score().alias("bleu"), "tf_cosine", "length_ratio")
+        F.avg(F.col("pred_chars") / F.greatest("ref_chars", F.lit(1))).alias("length_ratio"), *rouge, *sums)
+    return g.select("generator", "n", _score().alias("bleu"), "tf_cosine", "length_ratio", *(["rouge_l_f1"] if rouge else []))
 
 
 # ---------------------------------------------------------------- BLEU
 def bleu_stats(preds: DataFrame, refs: DataFrame) -> DataFrame:
     """Per (generator, id): m1..m4, t1..t4, sys_len, ref_len."""
     cols = [f"m{n}" for n in ORDERS] + [f"t{n}" for n in ORDERS]
-    return example_counts(preds, refs).select("generator", "id", *cols, "sys_len", "ref_len")
+    return example_counts(preds, refs, (BLEU,)).select("generator", "id", *cols, "sys_len", "ref_len")
 
 
 def _score(prefix: str = "", effective_order: bool = False) -> Column:
@@ -138,11 +187,6 @@ def sentence_bleu(stats: DataFrame, zero_if_empty: bool = True) -> DataFrame:
 
 
 # ---------------------------------------------------------------- ROUGE-L
-def rouge_tokens(c: Column) -> Column:
-    """Lower-case alphanumeric runs (non ``[a-z0-9]`` characters separate tokens)."""
-    return F.filter(F.split(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "), WS_RUN), lambda x: x != F.lit(""))
-
-
 def lcs_length(a: list, b: list) -> int:
     """Bit-parallel LCS length (Allison-Dix / Hyyro recurrence)."""
     if not a or not b:
@@ -158,34 +202,12 @@ def lcs_length(a: list, b: list) -> int:
     return len(a) - bin(v).count("1")
 
 
-def _rouge_f(pred, ref, use_stemmer: bool) -> float:
-    if len(pred) == 0 or len(ref) == 0:
-        return 0.0
-    if use_stemmer:
-        from tessera.functions.porter import stem
-        pred = [stem(t) if len(t) > 3 else t for t in pred]
-        ref = [stem(t) if len(t) > 3 else t for t in ref]
-    if len(pred) == 0 or len(ref) == 0:
-        return 0.0
-    lcs = lcs_length(list(ref), list(pred))
-    if lcs == 0:
-        return 0.0
-    p, r = lcs / len(pred), lcs / len(ref)
-    return 2 * p * r / (p + r)
-
-
-def _rouge_udf(use_stemmer: bool):
-    @F.pandas_udf("double")
-    def rouge_l_f(pred: pd.Series, ref: pd.Series) -> pd.Series:
-        return pd.Series([_rouge_f(p, r, use_stemmer) for p, r in zip(pred, ref)], dtype="float64")
-    return rouge_l_f
-
-
 def rouge_l(pairs: DataFrame, use_stemmer: bool = True) -> DataFrame:
     """(generator, id, rouge_l) F-measure in 0-1 from (generator, id, reference, prediction)."""
-    f = _rouge_udf(use_stemmer)
-    return pairs.select("generator", "id",
-                        f(rouge_tokens(F.col("prediction")), rouge_tokens(F.col("reference"))).alias("rouge_l"))
+    none = F.lit(None).cast("string")
+    counts = pairs.select("generator", "id", _pair_udf((ROUGE,), use_stemmer)(
+        none, none, joined_terms(F.col("prediction")), joined_terms(F.col("reference"))).alias("c")).select("generator", "id", "c.*")
+    return counts.select("generator", "id", rouge_l_of(counts).alias("rouge_l"))
 
 
 # ---------------------------------------------------------------- cosine & ratio
@@ -200,7 +222,7 @@ def cosine(a: Column, b: Column) -> Column:
 
 def tf_cosine(preds: DataFrame, refs: DataFrame) -> DataFrame:
     """(generator, id, cosine) between term-frequency vectors of prediction and reference."""
-    counts = example_counts(preds, refs)
+    counts = example_counts(preds, refs, (COSINE,))
     return counts.select("generator", "id", tf_cosine_of(counts).alias("cosine"))
 
 

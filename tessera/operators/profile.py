@@ -68,11 +68,14 @@ def coverage(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, col: str) -> DataFrame:
+    """count, mean, std, min, quartiles, max. Values are counted first, so what one task merges
+    for the quartiles is the distinct values, in one map; for a continuous column see ``exact_quantiles``."""
     x = F.col(col)
-    return df.agg(
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"),
-        F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max"))
+    counted = df.where(x.isNotNull()).groupBy(x.alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
+    quartiles = counted.agg(F.percentile("_x", [0.25, 0.5, 0.75], F.col("_n")).alias("_q"))
+    plain = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    q = [F.get("_q", i).alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+    return plain.join(F.broadcast(quartiles)).select("count", "mean", "std", "min", *q, "max")  # one row and one row
 
 
 def median_by_group(df: DataFrame, by: str, cols: Sequence[str], top: int | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ prediction)`` frame, scored in a single grouped plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import bleu as B
@@ -195,10 +195,33 @@ def q_sentence_bleu(spark, sf_dir):
 @register("rouge_l")
 def q_rouge_l(spark, sf_dir):
     """ROUGE-L F (stemmed, x100) mean per generator; checked against a DP on fixtures."""
-    p = M.pair_texts(predictions(spark, sf_dir), references(spark, sf_dir))
-    r = M.rouge_l(p, use_stemmer=True)
-    return r.groupBy("generator").agg(F.count(F.lit(1)).alias("n"),
-                                      _r(F.avg("rouge_l") * 100.0).alias("rouge_l_f1"))
+    c = M.example_counts(predictions(spark, sf_dir), references(spark, sf_dir), (M.ROUGE,))
+    return c.groupBy("generator").agg(F.count(F.lit(1)).alias("n"), _r(F.avg(M.rouge_l_of(c)) * 100.0).alias("rouge_l_f1"))
+
+
+_TERMS = "CASE WHEN {0} = '' THEN [] ELSE string_split({0}, ' ') END"
+
+
+@register("rouge_l_turns", sql=f"""
+WITH c AS (SELECT conv_id, turn, trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')) AS t FROM conversations),
+s AS (SELECT conv_id, turn, {_TERMS.format('t')} AS b, lag({_TERMS.format('t')}) OVER (PARTITION BY conv_id ORDER BY turn) AS a FROM c),
+l AS (
+  SELECT conv_id, turn, len(a) AS ref_terms, len(b) AS pred_terms,
+         list_reduce([list_transform(range(0, len(a) + 1), lambda x: 0::BIGINT)] || list_transform(b, lambda w: list_transform(a, lambda x: (x = w)::BIGINT)),
+           lambda prev, m: list_reduce([[0::BIGINT]] || list_transform(range(1, len(a) + 1), lambda j: [j]),
+             lambda acc, e: list_append(acc, CASE WHEN m[e[1]] = 1 THEN prev[e[1]] + 1 ELSE greatest(prev[e[1] + 1], acc[-1]) END)))[-1] AS lcs
+  FROM s WHERE a IS NOT NULL)
+SELECT conv_id, turn, lcs, pred_terms, ref_terms, round(CASE WHEN lcs > 0 THEN 2.0 * lcs / (pred_terms + ref_terms) ELSE 0 END, 6) AS rouge_l FROM l""")
+def q_rouge_l_turns(spark, sf_dir):
+    """ROUGE-L, without stems, of every turn of a conversation against the turn before it."""
+    c = Tables(spark, sf_dir).conversations
+    before = Window.partitionBy("conv_id").orderBy("turn")
+    key = F.struct("conv_id", "turn").alias("id")
+    text = F.coalesce("text", F.lit(""))
+    preds = c.select(F.lit("turn").alias("generator"), key, text.alias("prediction"))
+    refs = c.select(key, F.lag(text).over(before).alias("reference")).where("reference is not null")
+    counts = M.example_counts(preds.join(refs.select("id"), "id", "left_semi"), refs, (M.ROUGE,), stemmer=False)
+    return counts.select("id.conv_id", "id.turn", "lcs", "pred_terms", "ref_terms", _r(M.rouge_l_of(counts)).alias("rouge_l"))
 
 
 @register("tf_cosine", sql=_with(_PREDS, _TFCOS) + """
@@ -224,10 +247,7 @@ def accepted(similarity, bleu, ratio, bar: float = ACCEPT_SIMILARITY):
 
 def _results(spark, sf_dir, with_rouge: bool) -> DataFrame:
     preds, refs = predictions(spark, sf_dir), references(spark, sf_dir)
-    out = M.generator_scores(M.example_counts(preds, refs))
-    if with_rouge:
-        rl = M.rouge_l(M.pair_texts(preds, refs), True).groupBy("generator").agg((F.avg("rouge_l") * 100.0).alias("rouge_l_f1"))
-        out = out.join(rl, "generator")
+    out = M.generator_scores(M.example_counts(preds, refs, (M.BLEU, M.COSINE, M.ROUGE) if with_rouge else (M.BLEU, M.COSINE)))
     acc = accepted(F.col("tf_cosine"), F.col("bleu"), F.col("length_ratio"))
     cols = ["generator", "n", _r(F.col("bleu")).alias("bleu"),
             _r(F.col("tf_cosine")).alias("tf_cosine"),
@@ -283,7 +303,7 @@ def q_eval_results(spark, sf_dir):
 
 @register("eval_results_full")
 def q_eval_results_full(spark, sf_dir):
-    """All metrics incl. ROUGE-L (Arrow UDF), one row per generator."""
+    """All metrics with ROUGE-L, from one join and one count per pair; one row per generator."""
     return _results(spark, sf_dir, with_rouge=True)
 
 

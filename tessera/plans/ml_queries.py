@@ -43,7 +43,8 @@ def feature_frame(spark, sf_dir):
 
 
 def split_frame(spark, sf_dir):
-    return stratified_split(feature_frame(spark, sf_dir), "id", "label", 0.2, 42)
+    """Rows with their split; the joins below run once, as the counting passes and every consumer read the rows again."""
+    return stratified_split(cut_lineage(feature_frame(spark, sf_dir)), "id", "label", 0.2, 42)
 
 
 @register("feature_frame", sql="WITH " + _FF_SQL + """
@@ -75,8 +76,7 @@ pr AS (SELECT s.id, s.label, coalesce(m.predicted, -1) AS predicted FROM sp s LE
        WHERE s.split = 'test')"""
 
 
-def _baseline_predictions(spark, sf_dir):
-    s = split_frame(spark, sf_dir)
+def _baseline_predictions(s):
     maj = C.majority_baseline(s.where(F.col("split") == "train"), "label", "l_linestatus")
     test = s.where(F.col("split") == "test")
     return test.join(maj, "l_linestatus", "left").select(
@@ -89,8 +89,9 @@ SELECT a.label AS actual, b.label AS predicted, count(pr.id) AS n
 FROM cls a CROSS JOIN cls b LEFT JOIN pr ON pr.label = a.label AND pr.predicted = b.label
 GROUP BY a.label, b.label""")
 def q_baseline_confusion(spark, sf_dir):
-    pr = _baseline_predictions(spark, sf_dir)
-    classes = feature_frame(spark, sf_dir).select("label").distinct()
+    s = split_frame(spark, sf_dir)
+    pr = _baseline_predictions(s)
+    classes = s.select("label").distinct()
     return P.confusion_matrix(pr, "label", "predicted", classes).select("actual", "predicted", "n")
 
 
@@ -99,8 +100,9 @@ def q_baseline_confusion(spark, sf_dir):
 SELECT round(avg(CASE WHEN label = predicted THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
        round((SELECT majority FROM bal), 6) AS majority_share, count(*) AS n_test FROM pr""")
 def q_baseline_accuracy(spark, sf_dir):
-    pr = _baseline_predictions(spark, sf_dir)
-    train = split_frame(spark, sf_dir).where(F.col("split") == "train")
+    s = split_frame(spark, sf_dir)
+    pr = _baseline_predictions(s)
+    train = s.where(F.col("split") == "train")
     bal = P.class_balance(train, "label").select("majority_share").limit(1)
     return pr.agg(F.round(P.accuracy(pr, "label", "predicted"), 6).alias("accuracy"),
                   F.count(F.lit(1)).alias("n_test")) \
@@ -132,6 +134,21 @@ def q_mlp_confusion(spark, sf_dir):
     return P.confusion_matrix(pred, "label", "predicted", s.select("label").distinct())
 
 
+@register("mlp_confusion_sums", sql="WITH " + _FF_SQL + """
+SELECT label AS actual, count(*) AS n, true AS all_classes, true AS loss_falls FROM sp WHERE split = 'test' GROUP BY label""")
+def q_mlp_confusion_sums(spark, sf_dir):
+    """Rows of the confusion matrix sum to the classes of the test split; every class has a column, and
+    the trained model's loss on the train split is below that of guessing by class frequency."""
+    s = cut_lineage(split_frame(spark, sf_dir))
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    model = C.train_mlp(train, FEATURES, "label", [len(FEATURES), 16, 8, K_CLASSES], max_iter=100)
+    pred = model.transform(test).select("label", F.col("prediction").cast("long").alias("predicted"))
+    cm = P.confusion_matrix(pred, "label", "predicted", s.select("label").distinct())
+    fitted = C.log_loss(model.transform(train), "label")
+    guessed = C.frequency_log_loss(train, "label")
+    return cm.groupBy("actual").agg(F.sum("n").alias("n"), (F.count(F.lit(1)) == K_CLASSES).alias("all_classes")).withColumn("loss_falls", F.lit(fitted < guessed))
+
+
 # ---------------------------------------------------------------- difficulty analysis (I13)
 def difficulty_rows(spark, sf_dir):
     """Per document: name perplexity of its part name x per-row quality of ``copy_spec``."""

@@ -78,7 +78,7 @@ def q_baseline_log_loss(spark, sf_dir):
 
     Logits are ``ln(count + 1)`` per class, so the softmax is the smoothed
     class frequency; the per-status count table is bounded by the status
-    values and broadcast only after a size check.
+    values, and is left to Spark to join.
     """
     s = MQ.split_frame(spark, sf_dir)
     k = MQ.K_CLASSES

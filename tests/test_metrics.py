@@ -157,3 +157,26 @@ def test_tf_cosine_and_ratio(spark):
     assert cos[("g", 2)] == 0.0 and cos[("g", 4)] == 0.0
     j = preds.join(refs, "id").select(M.length_ratio(F.col("prediction"), F.col("reference")).alias("r")).collect()
     assert all(r.r >= 0 for r in j)
+
+
+def test_one_pass_counts_what_is_wanted(spark):
+    preds = spark.createDataFrame([("a", 1, "the cat sat on the mat"), ("b", 1, "dogs running"), ("a", 2, ""), ("b", 2, "x")], "generator string, id long, prediction string")
+    refs = spark.createDataFrame([(1, "the cats sat on a mat"), (2, "y")], "id long, reference string")
+    whole = M.example_counts(preds, refs, (M.BLEU, M.COSINE, M.ROUGE))
+    for want in ((M.BLEU,), (M.COSINE,), (M.ROUGE,)):
+        part = M.example_counts(preds, refs, want)
+        names = ["generator", "id", *[c for k in want for c in M.COUNTS[k]]]
+        assert sorted(part.select(*names).collect()) == sorted(whole.select(*names).collect())
+    assert {(r.generator, r.id): r.lcs for r in whole.collect()} == {("a", 1): 5, ("b", 1): 0, ("a", 2): 0, ("b", 2): 0}
+    table = M.example_scores(whole, limit=1)
+    assert {(r.generator, r.id) for r in table.collect()} == {("a", 1), ("b", 1)} and "rouge_l" in table.columns
+    assert "rouge_l" not in M.example_scores(M.example_counts(preds, refs)).columns
+
+
+def test_profiles_come_in_order(spark):
+    """Order is part of the result of reports; the gate compares sets, so it is checked here."""
+    from tessera.operators import profile as P
+    df = spark.createDataFrame([(1, None, "x"), (2, None, "y"), (3, 4, "x")], "a int, b int, c string")
+    assert [r.field for r in P.coverage(df, ["b", "c", "a"]).collect()] == ["a", "c", "b"]
+    assert [(r.value, r.n) for r in P.value_counts(df, F.col("c"), 5).collect()] == [("x", 2), ("y", 1)]
+    assert P.describe_numeric(df, "a").first().asDict() == {"count": 3, "mean": 2.0, "std": 1.0, "min": 1, "p25": 1.5, "p50": 2.0, "p75": 2.5, "max": 3}
