@@ -185,6 +185,21 @@ def q_snapshot_carry_over(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- document composition
+# Labels and order of the parts of composed documents, what parts them, and the
+# characters of a description that are taken.
+PRODUCT_LABELS = ("Product: ", "Brand: ", "Category: ")
+VARIANT_LABELS = ("Product: ", "Variant: ", "SKU: ")
+CUSTOMER_LABELS = ("Customer: ", "Segment: ", "Nation: ")
+PERSON_LABELS = ("Customer: ", "Email: ", "Phone: ")
+PART_BREAK = ". "
+DESCRIPTION_CHARS = 400
+
+
+def labelled(label: str, value):
+    """The value behind its label; null stays null."""
+    return F.concat(F.lit(label), value)
+
+
 def product_docs(spark, sf_dir):
     """(source_id, content, metadata): documents as products with their part spec."""
     t = Tables(spark, sf_dir)
@@ -195,16 +210,17 @@ def product_docs(spark, sf_dir):
     desc = F.col("text")
     # reference composition rule: the description is appended (its first 400 characters)
     # only when it is longer than the short text
-    parts = [F.concat(F.lit("Product: "), F.coalesce("p_name", F.lit(""))),
-             F.when(F.col("p_brand") != "", F.concat(F.lit("Brand: "), "p_brand")),
-             F.when(F.col("p_type") != "", F.concat(F.lit("Category: "), "p_type")),
+    name, brand, category = PRODUCT_LABELS
+    parts = [labelled(name, F.coalesce("p_name", F.lit(""))),
+             F.when(F.col("p_brand") != "", labelled(brand, F.col("p_brand"))),
+             F.when(F.col("p_type") != "", labelled(category, F.col("p_type"))),
              F.when(short != "", short),
              F.when(desc.isNotNull() & (F.length(desc) > F.length(F.coalesce(short, F.lit("")))),
-                    F.substring(desc, 1, 400))]
+                    F.substring(desc, 1, DESCRIPTION_CHARS))]
     parts = [F.when(x != "", x) for x in parts]
     meta = T.metadata_json({"brand": F.col("p_brand"), "price": F.col("p_retailprice").cast("string")})
     return j.select(F.lit("documents").alias("source_table"), F.col("doc_id").cast("string").alias("source_id"),
-                    F.concat_ws(". ", *parts).alias("content"), meta.alias("metadata"))
+                    F.concat_ws(PART_BREAK, *parts).alias("content"), meta.alias("metadata"))
 
 
 @register("compose_product_docs", sql="""
@@ -231,10 +247,9 @@ def q_compose_variant_docs(spark, sf_dir):
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     p = t.part.select("p_partkey", "p_name", "p_type")
     j = li.join(p, li.l_partkey == p.p_partkey)
-    content = F.concat_ws(". ", F.concat(F.lit("Product: "), "p_name"),
-                          F.when(F.col("p_type") != "", F.concat(F.lit("Variant: "), "p_type")),
-                          F.concat(F.lit("SKU: "), F.col("l_partkey").cast("string"), F.lit("-"),
-                                   F.col("l_suppkey").cast("string")))
+    name, variant, sku = VARIANT_LABELS
+    content = F.concat_ws(PART_BREAK, labelled(name, F.col("p_name")), F.when(F.col("p_type") != "", labelled(variant, F.col("p_type"))),
+                          labelled(sku, F.concat(F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string"))))
     sid = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     return j.select(sid.alias("source_id"), content.alias("content"))
 
@@ -251,8 +266,8 @@ def q_compose_customer_docs(spark, sf_dir):
     n = t.nation.select("n_nationkey", "n_name")
     j = J.enrich(c, n, c.c_nationkey == n.n_nationkey)
     name = F.coalesce(T.nullif_empty(F.col("c_name")), F.col("n_name"))
-    content = F.concat_ws(". ", F.concat(F.lit("Customer: "), name),
-                          F.concat(F.lit("Segment: "), "c_mktsegment"), F.concat(F.lit("Nation: "), "n_name"))
+    customer, segment, nation = CUSTOMER_LABELS
+    content = F.concat_ws(PART_BREAK, labelled(customer, name), labelled(segment, F.col("c_mktsegment")), labelled(nation, F.col("n_name")))
     return j.select(F.col("c_custkey").cast("string").alias("source_id"), content.alias("content"))
 
 
@@ -283,15 +298,11 @@ SELECT 'documents' AS source_table, source_id, content FROM ({ORACLES["compose_p
 UNION ALL SELECT 'customer', source_id, content FROM ({ORACLES["compose_customer_docs"]})"""
 
 
-# Labels and order of the parts of a person's document.
-PERSON_LABELS = ("Customer: ", "Email: ", "Phone: ")
-
-
 def person_doc(first, last, email, phone):
     """Name of one or two parts, else the e-mail address; e-mail and phone where present."""
     name = F.coalesce(T.nullif_empty(F.concat_ws(" ", T.nullif_empty(first), T.nullif_empty(last))), email)
     parts = [F.concat(F.lit(label), T.nullif_empty(v)) for label, v in zip(PERSON_LABELS, (name, email, phone))]
-    return F.concat_ws(". ", *parts)
+    return F.concat_ws(PART_BREAK, *parts)
 
 
 @register("compose_person_docs", sql="""
