@@ -209,6 +209,18 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
                     (lo + (F.col("bin") + 1) * width).alias("upper"), "n")
 
 
+def clipped(value: Column, lo: float | None = None, hi: float | None = None) -> Column:
+    """The value moved into ``[lo, hi]``; a null stays null, and a bound that is ``None`` does not bind."""
+    out = value if lo is None else F.when(value.isNotNull(), F.greatest(value, F.lit(lo)))
+    return out if hi is None else F.when(value.isNotNull(), F.least(out, F.lit(hi)))
+
+
+def clipped_histogram(df: DataFrame, col: str, lo: int, hi: int, width: int) -> DataFrame:
+    """``bin, n`` over bins of ``width`` from ``lo`` on; values outside are counted in the first and last bin."""
+    at = F.floor((clipped(F.col(col), lo, hi) - F.lit(lo)) / F.lit(width)).cast("long")
+    return df.where(F.col(col).isNotNull()).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n")).orderBy("bin")
+
+
 def top_k_groups(df: DataFrame, by: str, k: int) -> DataFrame:
     g = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
     return g.orderBy(F.col("n").desc(), F.col(by)).limit(k)

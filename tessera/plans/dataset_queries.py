@@ -73,6 +73,18 @@ def q_examples_split(spark, sf_dir):
                     D.render_spec_block(F.col("input")).alias("prompt"), "split")
 
 
+@register("split_figures", sql=_EX_SQL + f"""
+SELECT split, count(*) AS n, round(avg(length(output)), 6) AS mean_chars, min(length(output)) AS min_chars, max(length(output)) AS max_chars,
+       round(avg(CASE WHEN brand IS NULL THEN 0.0 ELSE 1.0 END), 6) AS with_brand, round(avg(CASE WHEN mrp IS NULL THEN 0.0 ELSE 1.0 END), 6) AS with_price,
+       count(DISTINCT brand) AS brands
+FROM (SELECT *, {S.split_case('rk', 'n')} AS split FROM ranked) GROUP BY split""")
+def q_split_figures(spark, sf_dir):
+    """Derived columns of the examples, summed up per split."""
+    f = D.split_figures(split_examples(spark, sf_dir))
+    return f.select("split", "n", *[F.round(c, 6).alias(c) for c in ("mean_chars",)], F.col("min_chars").cast("long"), F.col("max_chars").cast("long"),
+                    F.round("with_brand", 6).alias("with_brand"), F.round("with_price", 6).alias("with_price"), "brands")
+
+
 @register("export_report", sql=f"""
 WITH raw AS (
   SELECT d.text FROM documents d

@@ -348,3 +348,12 @@ def q_load_sources(spark, sf_dir):
     from tessera.sources.corpus import load_sources
     u = load_sources(spark, sf_dir)
     return u.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("text")).alias("n_chars"))
+
+
+@register("clipped_lengths", sql="""
+SELECT CAST(floor((greatest(100, least(1000, length(text))) - 100) / 50) AS BIGINT) AS bin, count(*) AS n
+FROM documents WHERE text IS NOT NULL GROUP BY bin""")
+def q_clipped_lengths(spark, sf_dir):
+    """Text lengths between 100 and 1000 in bins of 50; shorter and longer ones are in the bins at the ends."""
+    d = Tables(spark, sf_dir).documents.select(F.length("text").alias("chars"))
+    return P.clipped_histogram(d, "chars", 100, 1000, 50)
