@@ -51,13 +51,13 @@ def coarse_centroids(rows: DataFrame, id_col: str, vec: str, lists: int, n_rows:
     usable = F.exists(vec, lambda x: x != 0)
     sample = rows.where(F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(span)) < min(1.0, SAMPLE_ROWS / max(n_rows, 1)) * span).where(usable)
     features = sample.select(array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
-    model = KMeans(k=lists, maxIter=15, seed=seed, distanceMeasure="cosine").fit(features)
+    model = KMeans(k=lists, maxIter=8, seed=seed, distanceMeasure="cosine").fit(features)
     found = np.array(model.clusterCenters())
     return found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-300)
 
 
 def with_lists(rows: DataFrame, id_col: str, vec: str, centroids: np.ndarray, probes: int) -> DataFrame:
-    """``id, vec, list`` of the ``probes`` nearest centroids of every row with a vector."""
+    """``id, vec, rank, list`` of the ``probes`` nearest centroids of every row with a vector, nearest first (rank 0)."""
     shared = rows.sparkSession.sparkContext.broadcast(centroids)
     id_sql, vec_sql = dict(rows.dtypes)[id_col], dict(rows.dtypes)[vec]
 
@@ -69,7 +69,7 @@ def with_lists(rows: DataFrame, id_col: str, vec: str, centroids: np.ndarray, pr
             yield pa.record_batch({"id": batch.column("id"), "vec": batch.column("vec"), "lists": lists})
 
     chosen = rows.where(F.col(vec).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec).alias("vec"))
-    return chosen.mapInArrow(assign, f"id {id_sql}, vec {vec_sql}, lists array<long>").select("id", "vec", F.explode("lists").alias("list"))
+    return chosen.mapInArrow(assign, f"id {id_sql}, vec {vec_sql}, lists array<long>").select("id", "vec", F.posexplode("lists").alias("rank", "list"))
 
 
 def build(rows: DataFrame, id_col: str, vec: str, path: str, lists: int | None = None) -> VectorIndex:
@@ -77,7 +77,7 @@ def build(rows: DataFrame, id_col: str, vec: str, path: str, lists: int | None =
     n = rows.count()
     k = max(1, min(lists or round(n ** 0.5), MAX_LISTS, n))
     centroids = coarse_centroids(rows, id_col, vec, k, n)
-    with_lists(rows, id_col, vec, centroids, 1).write.parquet(f"{path}/assigned")
+    with_lists(rows, id_col, vec, centroids, 1).drop("rank").write.parquet(f"{path}/assigned")
     assigned = rows.sparkSession.read.parquet(f"{path}/assigned")
     sizes = assigned.groupBy("list").agg(F.count(F.lit(1)).alias("size"))  # a row per list, at most MAX_LISTS
     parts = F.ceil(F.col("size") / PART_ROWS).cast("long")
@@ -109,15 +109,19 @@ def recall(found: DataFrame, exact: DataFrame) -> float:
     return r["got"] / r["wanted"] if r["wanted"] else 1.0
 
 
-def tuned_probes(index: VectorIndex, sample: DataFrame, query_id: str, query_vec: str, exact: DataFrame, k: int, target: float) -> int:
-    """The fewest probes, among doublings and halvings between, whose recall on ``sample`` reaches ``target``."""
-    low, high = 0, 1
-    while high < len(index.centroids) and recall(search(index, sample, query_id, query_vec, k, high), exact) < target:
-        low, high = high, min(2 * high, len(index.centroids))
-    while high - low > max(1, high // 8):
-        middle = (low + high) // 2
-        if recall(search(index, sample, query_id, query_vec, k, middle), exact) < target:
-            low = middle
-        else:
-            high = middle
-    return high
+def tuned_probes(index: VectorIndex, sample: DataFrame, query_id: str, query_vec: str, exact: DataFrame, target: float) -> int:
+    """The fewest probes whose recall on ``sample`` reaches ``target``, given the sample's exact ``query_id, cand_id``.
+
+    A neighbour is found exactly when its list is probed, as lists are searched exactly. So one pass that
+    ranks the neighbours' lists by their nearness to the query gives the recall of every number of probes.
+    """
+    lists = with_lists(sample, query_id, query_vec, index.centroids, len(index.centroids)).select(F.col("id").alias("query_id"), "list", "rank")
+    held = sample.sparkSession.read.parquet(f"{index.path}/assigned").select(F.col("id").alias("cand_id"), "list")
+    ranks = exact.select("query_id", "cand_id").join(held, "cand_id").join(lists, ["query_id", "list"])
+    counts = sorted((r["rank"], r["count"]) for r in ranks.groupBy("rank").count().collect())  # at most a row per list
+    total, reached = sum(n for _, n in counts), 0
+    for rank, n in counts:
+        reached += n
+        if reached >= target * total:
+            return rank + 1
+    return len(index.centroids)

@@ -45,7 +45,7 @@ def q_vector_index_recall(spark, sf_dir):
     exact = cut_lineage(V.nearest(rows, "vec_id", "embedding", queries, "query_id", "embedding", K).withColumnRenamed("vec_id", "cand_id"))
     # probes are tuned on some queries and their exact answers; recall is measured on all
     some = F.pmod(F.xxhash64("query_id"), F.lit(4)) == 0
-    probes = I.tuned_probes(index, queries.where(some), "query_id", "embedding", exact.where(some), K, RECALL)
+    probes = I.tuned_probes(index, queries.where(some), "query_id", "embedding", exact.where(some), RECALL)
     found = cut_lineage(I.search(index, queries, "query_id", "embedding", K, probes))
     whole = I.search(index, queries, "query_id", "embedding", K, len(index.centroids))
     reached = I.recall(found, exact) >= 0.9

@@ -48,7 +48,7 @@ def test_index_reaches_its_recall_and_is_exact_with_all_lists(spark, rows, tmp_p
     queries = rows.where("id % 20 = 0 and id < 2000").withColumnRenamed("id", "query_id")
     exact = V.nearest(rows, "id", "v", queries, "query_id", "v", 5).withColumnRenamed("id", "cand_id").checkpoint()
     assert pairs(I.search(index, queries, "query_id", "v", 5, 12)) == pairs(exact)
-    probes = I.tuned_probes(index, queries, "query_id", "v", exact, 5, 0.9)
+    probes = I.tuned_probes(index, queries, "query_id", "v", exact, 0.9)
     assert probes < 12 and I.recall(I.search(index, queries, "query_id", "v", 5, probes), exact) >= 0.9
 
 
