@@ -26,7 +26,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-MEMO_FRAGMENTS = 1 << 18
+#: Long fragments whose ids a worker remembers (some 200 bytes each).
+MEMO_FRAGMENTS = 1 << 16
 GROUP_CHARS = 1 << 16
 
 LETTER, NUMBER, SPACE, END = 1, 2, 3, 4
@@ -297,3 +298,28 @@ def decode(ids: Column, path: str | None = None) -> Column:
         ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
         return pa.array([v.decode(flat[a:b].tolist()) for a, b in pairwise([0, *ends.tolist()])], pa.string())
     return decode_ids(ids)
+
+
+def round_trip(text: Column, path: str | None = None) -> Column:
+    """``struct<ids, decoded>`` of each whole text: its ids and their decoding, in one pass of one operator."""
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def encode_and_decode(texts: pa.Array) -> pa.Array:
+        v = vocabulary(tokenizer_file(path))
+        flat, counts = v.encode_many(texts.to_pylist())
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        decoded = pa.array([v.decode(flat[a:b].tolist()) for a, b in pairwise(ends.tolist())], pa.string())
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, flat), decoded], ["ids", "decoded"])
+    return encode_and_decode(text)
+
+
+def encode_checked(text: Column, path: str | None = None) -> Column:
+    """``struct<ids, round_trip>``: ids of each whole text, and whether they decode to it (null: empty)."""
+    @F.arrow_udf("struct<ids:array<int>,round_trip:boolean>")
+    def encode_and_compare(texts: pa.Array) -> pa.Array:
+        v = vocabulary(tokenizer_file(path))
+        given = texts.to_pylist()
+        flat, counts = v.encode_many(given)
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        same = [v.decode(flat[a:b].tolist()) == (t or "") for t, (a, b) in zip(given, pairwise(ends.tolist()))]
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, flat), pa.array(same, pa.bool_())], ["ids", "round_trip"])
+    return encode_and_compare(text)

@@ -48,11 +48,10 @@ def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_bpe")
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    encoded = docs.select("doc_id", bpe.encode(F.col("text")).alias("ids"))
-    decoded = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                             F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                             bpe.decode(F.col("ids")).alias("decoded"))
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    found = docs.select("doc_id", bpe.round_trip(F.col("text")).alias("p"))
+    return found.select("doc_id", F.size("p.ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.concat_ws(",", F.col("p.ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("p.decoded", 256).alias("decoded_sha256"))
 
 
 @register("op10_mixing")
