@@ -6,13 +6,14 @@ is known, and scores by their mean log frequency. A text's score is the sum
 over its words; the answer is the best language with its posterior probability.
 
 Training is a Spark aggregation over a bounded sample of labelled rows: at most
-about ``max_train_chars`` characters per language, chosen by a hash of the row,
+about ``max_train_chars`` characters per language, in blocks of texts chosen by a hash,
 so the fitted tables have a bound that does not depend on the corpus and may be
 broadcast. Prediction is a row-wise Arrow UDF over every whole text.
 
 Defined results: null text, empty text or text without a letter gives ``und``
 with score 0; rows with null text or label do not train; a label seen in no
-training row is never predicted; with no training rows everything is ``und``.
+training row is never predicted; with no training rows everything is ``und``;
+more than ``MAX_LANGUAGES`` labels are an error.
 Only the text and label columns are read, so other columns cannot clash. Ties go
 to the language first by code point.
 """
@@ -31,7 +32,8 @@ UNKNOWN = "und"
 MAX_TRAIN_CHARS = 1_000_000
 MAX_ORDER = 5
 MIN_COUNT = 2
-MEMO_WORDS = 1 << 18
+#: Unseen words whose scores a worker remembers, and the bytes of these scores.
+MEMO_WORDS, MEMO_BYTES = 1 << 17, 1 << 25
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -52,24 +54,35 @@ class LanguageModel:
     words: dict[str, int]
     grams: list[dict[str, int]]  # by order, from 1
     table: np.ndarray
-    memo: dict[str, np.ndarray] = field(default_factory=dict)
+    memo: dict[str, int] = field(default_factory=dict)  # unseen word -> row of ``scores``
+    scores: np.ndarray | None = None
 
     def backed_off(self, word: str) -> np.ndarray:
         """Score of an unseen word from its longest known n-grams."""
-        row = self.memo.get(word)
-        if row is None:
-            padded = f" {word} "
-            row = np.zeros(len(self.languages))
-            for n in range(min(len(self.grams), len(padded)), 0, -1):
-                known = self.grams[n - 1]
-                at = [i for i in (known.get(padded[k:k + n]) for k in range(len(padded) - n + 1)) if i is not None]
-                if at:
-                    row = self.table[at].mean(axis=0)
-                    break
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            self.memo[word] = row
-        return row
+        padded = f" {word} "
+        for n in range(min(len(self.grams), len(padded)), 0, -1):
+            known = self.grams[n - 1]
+            at = [i for i in (known.get(padded[k:k + n]) for k in range(len(padded) - n + 1)) if i is not None]
+            if at:
+                return self.table[at].mean(axis=0)
+        return np.zeros(len(self.languages))
+
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """Sum of the scores of unseen words; those met before are looked up together."""
+        if self.scores is None:
+            self.scores = np.empty((max(1, min(MEMO_WORDS, MEMO_BYTES // (8 * len(self.languages)))), len(self.languages)))
+        total, rows = np.zeros(len(self.languages)), []
+        for w in words:
+            i = self.memo.get(w)
+            if i is None:
+                if len(self.memo) >= len(self.scores):
+                    total += self.scores[rows].sum(axis=0)
+                    rows = []
+                    self.memo.clear()
+                i = self.memo[w] = len(self.memo)
+                self.scores[i] = self.backed_off(w)
+            rows.append(i)
+        return total + self.scores[rows].sum(axis=0)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.languages or not text or not has_letter(text):
@@ -79,22 +92,29 @@ class LanguageModel:
         at = np.array(known, np.int64)
         score = self.table[at[at >= 0]].sum(axis=0)
         if at.size and at.min() < 0:
-            for w, i in zip(words, known):
-                if i < 0:
-                    score = score + self.backed_off(w)
+            score = score + self.unseen([w for w, i in zip(words, known) if i < 0])
         odds = np.exp(score - score.max())
         best = int(odds.argmax())
         return self.languages[best], float(odds[best] / odds.sum())
 
 
+#: Characters of a block; texts are sampled by blocks, so a few long ones are not drawn or left as wholes.
+BLOCK_CHARS = 1024
+
+
 def training_sample(rows: DataFrame, text: str, lang: str, max_chars: int) -> DataFrame:
-    """Labelled rows, per language thinned by hash to about ``max_chars`` characters."""
-    rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    share = rows.groupBy("lang").agg(F.sum(F.length("text").cast("double")).alias("chars"))
+    """Blocks of labelled texts, per language thinned by hash to about ``max_chars`` characters. Copies of a
+    text count, and enter, once; a language with fewer characters enters whole."""
+    rows = (rows.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
+            .withColumn("hash", F.xxhash64("text")))
+    distinct = rows.groupBy("lang", "hash").agg(F.max(F.length("text")).alias("n"))
+    share = distinct.groupBy("lang").agg(F.sum(F.col("n").cast("double")).alias("chars"))
     span = 1 << 30
-    return (rows.join(F.broadcast(share.limit(MAX_LANGUAGES)), "lang")
-            .where(F.pmod(F.xxhash64("text"), F.lit(span)) * F.col("chars") < F.lit(float(max_chars) * span))
-            .select("lang", "text"))
+    chosen = F.filter(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.length("text") / BLOCK_CHARS).cast("int") - 1)),
+                      lambda i: F.pmod(F.xxhash64("hash", i), F.lit(span)) * F.col("chars") < F.lit(float(max_chars) * span))
+    blocks = rows.join(F.broadcast(share.limit(MAX_LANGUAGES)), "lang").select("lang", "hash", "text", F.explode(chosen).alias("block"))
+    part = F.substring("text", F.col("block") * BLOCK_CHARS + 1, F.lit(BLOCK_CHARS))
+    return blocks.select("lang", "hash", "block", part.alias("text")).groupBy("lang", "hash", "block").agg(F.first("text").alias("text")).select("lang", "text")
 
 
 #: Languages beyond this many are an error, not a silent cut: see ``fit``.
