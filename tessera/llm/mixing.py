@@ -5,7 +5,7 @@ Targets: the sources share the whole corpus size by weight; a target stops at
 among the others until none is above. Within a source, whole epochs come first;
 what is left of the target is fitted on the histogram of document lengths alone:
 every length gives its proportional share, and a bounded-knapsack dynamic
-program over the lengths still free spends the small rest. The histogram then
+program over the lengths still free spends the rest, a longest document and more. The histogram then
 says how many documents of each length to take; which ones, a seeded hash
 decides.
 
@@ -30,14 +30,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm import hashing
 from tessera.session import cut_lineage
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 SEED = 20
 BUCKETS = 64
-#: Largest rest that the dynamic program spends, in words.
+#: Words that the dynamic program spends beside the longest document, and bytes of its tables, about.
 REST = 1 << 15
+TABLE_BYTES = 1 << 26
 
 
 def word_count(text: Column) -> Column:
@@ -72,12 +74,48 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REP
     return totals.select("source", "source_size", target.alias("target"))
 
 
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, rest: int = REST) -> np.ndarray:
+def seeded_order(lengths: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths in an order that a hash decides, and the hashes as shares of one."""
+    h = hashing.mix(lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+    return np.argsort(h, kind="stable"), h.astype(np.float64) / 2.0 ** 64
+
+
+def best_sum(lengths: np.ndarray, free: np.ndarray, order: np.ndarray, left: int, unit: int) -> np.ndarray:
+    """How many of the free documents of each length sum closest to ``left``, never above it: a
+    bounded knapsack over sums in steps of ``unit`` (lengths are rounded up to it)."""
+    chosen, top = np.zeros(len(lengths), np.int64), left // unit
+    # bit s of ``reach`` after a step: some choice so far sums to s
+    steps, reach, mask = [], 1, (1 << top + 1) - 1
+    for k in order.tolist():
+        size = -(-int(lengths[k]) // unit)
+        n_free, part = min(int(free[k]), top // size), 1
+        while n_free > 0:
+            n = min(part, n_free)
+            more = reach | (reach << n * size & mask)
+            if more != reach:
+                steps.append((k, n, size, reach))
+                reach = more
+            n_free -= n
+            part *= 2
+        if reach >> top & 1:
+            break
+    best = reach.bit_length() - 1
+    for k, n, size, before in reversed(steps):
+        if not before >> best & 1:
+            chosen[k] += n
+            best -= n * size
+    return chosen
+
+
+def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, rest: int = REST, seed: int = SEED) -> np.ndarray:
     """How many documents of each length to take so that their sum is close to ``budget``.
 
-    Never above it. Proportional shares of every length come first, then the
-    longest that fit until at most ``rest`` words are left, and a bounded
-    knapsack over the counts still free finds the best sum within these.
+    Never above it. Proportional shares of every length come first, rounded down; while more
+    is left than the longest document and ``rest`` words, lengths in a seeded order get the document
+    that rounding took, or more. A bounded knapsack over the counts still free spends what is left:
+    its bound exceeds the longest document, so that one is considered too. Sums are in steps of the
+    lengths' common divisor, or coarser where the tables would outgrow ``TABLE_BYTES``; what
+    coarse steps leave is fitted again in fine ones.
     """
     take = np.zeros(len(lengths), np.int64)
     total = int((lengths * counts).sum())
@@ -87,36 +125,29 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, rest: int =
         return counts.astype(np.int64)
     take[:] = [int(c) * budget // total for c in counts]
     left = budget - int((take * lengths).sum())
-    order = np.argsort(-lengths, kind="stable")
-    for k in order.tolist():
-        if left <= rest:
-            break
-        n = min(int(counts[k] - take[k]), (left - rest // 2) // int(lengths[k]))
-        if n > 0:
+    order, chance = seeded_order(lengths, seed)
+    bound = int(lengths.max()) + rest
+    for again in (False, True):  # first what rounding took, by chance of its size; then whatever is free
+        for k in order.tolist():
+            if left <= bound:
+                break
+            n = min(int(counts[k] - take[k]), -(-(left - bound) // int(lengths[k])))
+            if not again:
+                n = min(n, int(chance[k] < int(counts[k]) * budget % total / total))
             take[k] += n
             left -= n * int(lengths[k])
-    left_max = min(left, rest)
-    # bit s of ``reach`` after a step: some choice so far sums to s
-    steps, reach, mask = [], 1, (1 << left_max + 1) - 1
-    for k in order.tolist():
-        size, free = int(lengths[k]), int(counts[k] - take[k])
-        free = min(free, left_max // size)
-        part = 1
-        while free > 0:
-            n = min(part, free)
-            more = reach | (reach << n * size & mask)
-            if more != reach:
-                steps.append((k, n, reach))
-                reach = more
-            free -= n
-            part *= 2
-        if reach >> left_max & 1:
+    divisor = int(np.gcd.reduce(lengths))
+    while left >= divisor:
+        free = counts - take
+        steps = int(np.log2(np.minimum(free, left // lengths) + 1).sum()) + 1
+        unit = divisor * max(1, -(-left * steps // (8 * TABLE_BYTES * divisor)))
+        more = best_sum(lengths, free, order, left, unit)
+        if not more.any():
+            break
+        take += more
+        left -= int((more * lengths).sum())
+        if unit == divisor:
             break
-    best = reach.bit_length() - 1
-    for k, n, before in reversed(steps):
-        if not before >> best & 1:
-            take[k] += n
-            best -= n * int(lengths[k])
     return take
 
 
