@@ -259,38 +259,28 @@ def first_of_equal(high, low, order, text, place) -> tuple[np.ndarray, np.ndarra
     return firsts, later
 
 
-FOUND = {"text_hash": pa.int64(), "starts": pa.binary()}
-
-
-def by_document(ids: pa.Array, texts: np.ndarray, owner: np.ndarray, place: np.ndarray) -> dict:
-    """Columns ``ids, texts, counts`` of the documents of entries ordered by owner."""
-    heads = np.flatnonzero(np.diff(owner, prepend=-1))
-    return {"ids": ids.take(pa.array(owner[heads])), "texts": texts[owner[heads]], "heads": heads,
-            "tails": [*heads[1:].tolist(), len(owner)]}
-
-
 def windows(batches: Iterator[pa.RecordBatch], ranges: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """Windows of twenty words in runs, packed by range of their hash; what a group of texts repeats itself is settled."""
+    """Windows of twenty words in runs, packed by range of their hash; what a parcel of texts repeats itself is settled."""
     hasher = PolynomialHash()
-    schema = pa.schema({"range": pa.int32(), "kind": pa.int32(), "ids": pa.list_(id_type), "texts": pa.list_(pa.int64()),
-                        "counts": pa.binary(), "places": pa.binary(), "hashes": pa.binary()})
+    schema = pa.schema({"range": pa.int32(), "parcel": pa.int64(), "kind": pa.int32(), "ids": pa.list_(id_type), "texts": pa.list_(pa.int64()),
+                        "owners": pa.binary(), "places": pa.binary(), "hashes": pa.binary()})
+    parcel = TaskContext.get().partitionId() << 32
 
     def sent(group, ids, texts):
         owner, place, high, low = (np.concatenate([g[i] for g in group]) for i in range(4))
-        order = order_of(ids)
-        firsts, later = first_of_equal(high, low, order[owner], texts[owner], place)
-        rows = []
-        for kind, chosen in ((SETTLED, np.flatnonzero(later)), (ENTRIES, np.flatnonzero(firsts))):
-            if not len(chosen):
-                continue
-            spread = range_of(high[chosen], ranges) if kind == ENTRIES else owner[chosen] % ranges
-            for r, which in by_range(spread):
-                e = chosen[which]
-                d = by_document(ids, texts, owner[e], place[e])
-                rows.append({"range": r, "kind": kind, "ids": d["ids"].to_pylist(), "texts": d["texts"].tolist(),
-                             "counts": np.diff(d["heads"], append=len(e)).astype("<i4").tobytes(), "places": place[e].astype("<i4").tobytes(),
-                             "hashes": np.stack([high[e], low[e]]).tobytes() if kind == ENTRIES else None})
-        return record(rows, schema)
+        first_doc = int(owner[0])
+        ids, texts, owner = ids.slice(first_doc, int(owner[-1]) - first_doc + 1), texts[first_doc:int(owner[-1]) + 1], owner - first_doc
+        firsts, later = first_of_equal(high, low, order_of(ids)[owner], texts[owner], place)
+        rows = [{"kind": DIRECTORY, "range": parcel % ranges, "ids": ids.to_pylist(), "texts": texts.tolist()}]
+        if later.any():
+            rows.append({"kind": SETTLED, "range": parcel % ranges, "owners": owner[later].astype("<i4").tobytes(), "places": place[later].astype("<i4").tobytes()})
+        chosen = np.flatnonzero(firsts)
+        for r, which in by_range(range_of(high[chosen], ranges)):
+            e = chosen[which]
+            docs = np.unique(owner[e])
+            rows.append({"kind": ENTRIES, "range": r, "ids": ids.take(pa.array(docs)).to_pylist(), "texts": texts[docs].tolist(),
+                         "owners": owner[e].astype("<i4").tobytes(), "places": place[e].astype("<i4").tobytes(), "hashes": np.stack([high[e], low[e]]).tobytes()})
+        return record([{"parcel": parcel, **r} for r in rows], schema)
 
     for batch in batches:
         ids, texts = batch.column("doc_id"), batch.column("text_hash").to_numpy()
@@ -308,37 +298,62 @@ def windows(batches: Iterator[pa.RecordBatch], ranges: int, id_type: pa.DataType
                 size += len(starts[part])
                 if size >= WINDOWS:
                     yield sent(group, ids, texts)
+                    parcel += 1
                     group, size = [], 0
         if group:
             yield sent(group, ids, texts)
+            parcel += 1
 
 
-def repeated_windows(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """Of each range: the starts of windows that an earlier equal one has, by document."""
-    schema = pa.schema({"doc_id": id_type, **FOUND})
+def numbers(row: dict, column: str) -> np.ndarray:
+    return np.frombuffer(row[column].as_py(), "<i4")
 
-    def found(ids, texts, owner, place):
-        d = by_document(ids, texts, owner, place)
-        return pa.record_batch({"doc_id": d["ids"], "text_hash": pa.array(d["texts"], pa.int64()),
-                                "starts": pa.array([place[a:b].astype("<i4").tobytes() for a, b in zip(d["heads"].tolist(), d["tails"])], pa.binary())},
-                               schema=schema)
 
+def repeated_windows(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Of each range: the windows that an earlier equal one has, sent back to their parcels."""
+    schema = pa.schema({"parcel": pa.int64(), "kind": pa.int32(), "ids": pa.list_(id_type), "texts": pa.list_(pa.int64()), "owners": pa.binary(), "places": pa.binary()})
     for rows in of_one(batches, "range"):
-        for kind in (SETTLED, ENTRIES):
-            mine = [r for r in rows if r["kind"].as_py() == kind]
-            if not mine:
-                continue
-            ids = pa.concat_arrays([r["ids"].values for r in mine])
-            texts = np.concatenate([r["texts"].values.to_numpy() for r in mine])
-            counts = np.concatenate([np.frombuffer(r["counts"].as_py(), "<i4") for r in mine])
-            place = np.concatenate([np.frombuffer(r["places"].as_py(), "<i4") for r in mine]).astype(np.int64)
-            owner = np.repeat(np.arange(len(counts)), counts)
-            if kind == ENTRIES:
-                high, low = np.concatenate([np.frombuffer(r["hashes"].as_py(), np.uint64).reshape(2, -1) for r in mine], axis=1)
-                _, later = first_of_equal(high, low, order_of(ids)[owner], texts[owner], place)
-                owner, place = owner[later], place[later]
-            if len(owner):
-                yield found(ids, texts, owner, place)
+        entries = [r for r in rows if r["kind"].as_py() == ENTRIES]
+        others = [r for r in rows if r["kind"].as_py() != ENTRIES]
+        if others:
+            yield pa.record_batch({n: pa.array([r[n].as_py() for r in others], schema.field(n).type) for n in schema.names}, schema=schema)
+        if not entries:
+            continue
+        order = order_of(pa.concat_arrays([r["ids"].values for r in entries]))
+        texts = np.concatenate([r["texts"].values.to_numpy() for r in entries])
+        owners, begin, doc = [numbers(r, "owners") for r in entries], 0, []
+        for o in owners:  # documents of a row are its distinct owners, in order
+            docs, which = np.unique(o, return_inverse=True)
+            doc.append(which + begin)
+            begin += len(docs)
+        doc, place = np.concatenate(doc), np.concatenate([numbers(r, "places") for r in entries])
+        high, low = np.concatenate([np.frombuffer(r["hashes"].as_py(), np.uint64).reshape(2, -1) for r in entries], axis=1)
+        _, later = first_of_equal(high, low, order[doc], texts[doc], place)
+        out, a = [], 0
+        for r, o in zip(entries, owners):
+            mine = later[a:a + len(o)]
+            if mine.any():
+                out.append({"parcel": r["parcel"].as_py(), "kind": SETTLED, "owners": o[mine].tobytes(), "places": place[a:a + len(o)][mine].astype("<i4").tobytes()})
+            a += len(o)
+        if out:
+            yield record(out, schema)
+
+
+def repeats_of(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Starts of the repeated windows of each document of a parcel."""
+    schema = pa.schema({"doc_id": id_type, "text_hash": pa.int64(), "starts": pa.binary()})
+    for rows in of_one(batches, "parcel"):
+        directory = next(r for r in rows if r["kind"].as_py() == DIRECTORY)
+        found = [r for r in rows if r["kind"].as_py() == SETTLED]
+        if not found:
+            continue
+        owner, place = (np.concatenate([numbers(r, c) for r in found]) for c in ("owners", "places"))
+        by = np.lexsort((place, owner))
+        owner, place = owner[by], place[by]
+        heads = np.flatnonzero(np.diff(owner, prepend=-1))
+        which = pa.array(owner[heads])
+        yield pa.record_batch({"doc_id": directory["ids"].values.take(which), "text_hash": directory["texts"].values.take(which),
+                               "starts": pa.array([place[a:b].tobytes() for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(owner)])], pa.binary())}, schema=schema)
 
 
 # --- cutting
@@ -395,11 +410,13 @@ def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     in_runs = cut_lineage(shared.mapInArrow(lambda b: runs(b, id_type), f"doc_id {id_sql}, text_hash long, runs binary, n long"))
     total = in_runs.agg(F.sum("n")).first()[0] or 0
     keyed = rows.withColumn("__id", id_key("doc_id"))
-    wide = total // (RANGE // 2) + 1
+    wide = total // (RANGE // 8) + 1
     with_runs = joined(keyed, in_runs, "runs")[0].where("runs is not null").select("doc_id", "text", "text_hash", "runs")
-    sent = f"range int, kind int, ids array<{id_sql}>, texts array<long>, counts binary, places binary, hashes binary"
+    sent = f"range int, parcel long, kind int, ids array<{id_sql}>, texts array<long>, owners binary, places binary, hashes binary"
+    back = f"parcel long, kind int, ids array<{id_sql}>, texts array<long>, owners binary, places binary"
     met = (with_runs.mapInArrow(lambda b: windows(b, wide, id_type), sent).repartition("range").sortWithinPartitions("range")
-           .mapInArrow(lambda b: repeated_windows(b, id_type), f"doc_id {id_sql}, text_hash long, starts binary"))
+           .mapInArrow(lambda b: repeated_windows(b, id_type), back).repartition("parcel").sortWithinPartitions("parcel")
+           .mapInArrow(lambda b: repeats_of(b, id_type), f"doc_id {id_sql}, text_hash long, starts binary"))
     with_starts, without = joined(keyed, met, "starts")
     columns = ["doc_id", "text", "starts"]
     return (with_starts.select(*columns).unionByName(without.select(*columns))
