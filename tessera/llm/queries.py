@@ -129,6 +129,13 @@ def section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+@register("op1_window_tokens")
+def window_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every window of 200 characters of a text: their borders fall into tokens, which are shared by bytes."""
+    found = token_counts.count_tokens(table(spark, sf_dir, "documents"), fields=("text",), by_line=(), widths={"text": 200}, rule="share")
+    return found.withColumn("n_tokens", F.round("n_tokens", 6))
+
+
 @register("op2_warc_derivatives")
 def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = warc.derivatives(warc.page_responses(table(spark, sf_dir, "pages")), keep=("page_id",))

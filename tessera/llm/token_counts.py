@@ -79,13 +79,19 @@ def allocate(token_ends: np.ndarray, borders: np.ndarray, rule: str) -> tuple[np
     return counts, crossing
 
 
-def sections_of(fields: list[tuple[str, str]], by_line: set[str]) -> tuple[str, list[tuple[str, int, int]]]:
+def window_ends(text: str, width: int) -> list[int]:
+    """Ends of the windows of ``width`` characters of a text, the last one shorter; one for an empty text."""
+    return [*range(width, len(text), width), len(text)]
+
+
+def sections_of(fields: list[tuple[str, str]], by_line: set[str], widths: dict[str, int] | None = None) -> tuple[str, list[tuple[str, int, int]]]:
     """The joined document, and ``field, section number, end`` of its sections in order."""
     parts, sections, at = [], [], 0
     for k, (name, text) in enumerate(fields):
         if k < len(fields) - 1:
             text += "\n"
-        ends = line_ends(text) if name in by_line else [len(text)]
+        width = (widths or {}).get(name)
+        ends = window_ends(text, width) if width else line_ends(text) if name in by_line else [len(text)]
         sections += [(name, i, at + e) for i, e in enumerate(ends)]
         at += len(text)
         parts.append(text)
@@ -93,8 +99,10 @@ def sections_of(fields: list[tuple[str, str]], by_line: set[str]) -> tuple[str,
 
 
 def count_tokens(docs: DataFrame, doc_id: str = "doc_id", fields: tuple[str, ...] = ("source", "lang", "text"),
-                 by_line: tuple[str, ...] = ("text",), rule: str = "largest", path: str | None = None) -> DataFrame:
-    """``doc_id, field, section, start, end, n_tokens, n_crossing``: one row per section."""
+                 by_line: tuple[str, ...] = ("text",), rule: str = "largest", path: str | None = None,
+                 widths: dict[str, int] | None = None) -> DataFrame:
+    """``doc_id, field, section, start, end, n_tokens, n_crossing``: one row per section. A field is one section,
+    or its lines, or its windows of ``widths[field]`` characters."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
 
@@ -103,7 +111,7 @@ def count_tokens(docs: DataFrame, doc_id: str = "doc_id", fields: tuple[str, ...
         file = tokenizer_file(path)
         v: Vocabulary = vocabulary(file)
         sizes = token_sizes(file)
-        documents = [sections_of([(n, x or "") for n, x in zip(fields, row)], set(by_line))
+        documents = [sections_of([(n, x or "") for n, x in zip(fields, row)], set(by_line), widths)
                      for row in zip(*[c.to_pylist() for c in columns])]
         flat, each = v.encode_many([d for d, _ in documents])
         spans = sizes[flat]
