@@ -5,6 +5,7 @@ Fixed values below are names from the HTML standard and common class names.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html
 import re
@@ -42,16 +43,35 @@ MARKS = {
     "recommended", "recommendations", "widget", "masthead", "header", "footer", "contentinfo", "complementary", "search",
     "form", "comment", "comments", "reply", "replies", "respond", "disqus", "discussion", "skip", "hidden",
 }
+# of these, the words that mark a name wherever they stand in it; the others only as its last word
+ANYWHERE = {
+    "sidebar", "nav", "navbar", "navigation", "footer", "masthead", "breadcrumb", "breadcrumbs", "cookie", "cookies", "advert", "adverts",
+    "advertisement", "advertising", "sponsored", "newsletter", "pagination", "contentinfo", "comment", "comments", "disqus",
+}
+# words at the end of a name that say nothing of what it holds
+GENERIC = {
+    "area", "bar", "block", "body", "box", "button", "buttons", "container", "content", "group", "heading", "icon", "icons", "inner", "item", "items",
+    "link", "links", "list", "outer", "panel", "post", "posts", "section", "text", "title", "wrap", "wrapper",
+}
 COMMENT_MARKS = {"comment", "comments", "reply", "replies"}
 PARAGRAPHS = {"p", "pre", "blockquote"}
 
 TOKEN = re.compile(
-    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>|\Z)|[^>]*)(?:>|\Z))", re.S)
+    r"<(?:!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>|\Z)|[^>]*)(?:>|\Z))", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'/=>][^\s/=>]*)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 SPACE = re.compile(r"\s+")
 
 
+@functools.lru_cache(maxsize=1 << 14)
+def marks_of(name: str) -> frozenset[str]:
+    """What one class, id or role marks: ``cookie-notice`` and ``related-posts`` do, ``social-science`` does not."""
+    words = [w.lower() for w in WORDS.findall(name)]
+    while len(words) > 1 and words[-1] in GENERIC:
+        words.pop()
+    return frozenset(w for w in words if w in ANYWHERE) | (frozenset(words[-1:]) & MARKS)
+
+
 @dataclass(eq=False, slots=True)
 class Element:
     tag: str
@@ -68,9 +88,9 @@ class Element:
             pairs: dict[str, str] = {}
             for name, value in ATTRIBUTE.findall(self.attributes):
                 pairs.setdefault(name.lower(), value.strip("\"'"))  # the first of a name counts
-            words = {w.lower() for name in ("class", "id", "role") for w in WORDS.findall(pairs.get(name, ""))}
+            names = [x for name in ("class", "id", "role") for x in pairs.get(name, "").split()]
             self.known = ("hidden" in pairs or pairs.get("aria-hidden", "").strip().lower() == "true",
-                          "main" in pairs.get("role", "").lower().split(), words & MARKS)
+                          "main" in pairs.get("role", "").lower().split(), {w for x in names for w in marks_of(x)})
         return self.known
 
     def is_main(self) -> bool:
@@ -108,24 +128,26 @@ def parse(page: str) -> Element:
         if m.start() > at:
             open_[-1].content.append(page[at:m.start()])
         at = m.end()
-        name = m[2]
+        name = m["name"]
         if name is None:
+            if m["data"]:
+                open_[-1].content.append(html.escape(m["data"]))  # text as it is; references are decoded later
             continue
         tag = name.lower()
-        if m[1]:
+        if m["end"]:
             close(open_, tag)
             continue
         if tag in ("html", "body"):
             continue
         make_room(open_, tag)
-        element = Element(tag, m[3], open_[-1])
+        element = Element(tag, m["attributes"], open_[-1])
         open_[-1].content.append(element)
         if tag in RAW_TEXT:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             if tag == "title":
                 element.content.append(page[at:end.start() if end else n])
             at = end.end() if end else n
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif tag not in VOID and not m["attributes"].endswith("/"):
             open_.append(element)
         elif tag not in VOID and tag not in ("svg", "path"):
             open_.append(element)  # a slash does not close an ordinary element

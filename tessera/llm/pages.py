@@ -34,8 +34,8 @@ from tessera.llm.page_tree import Element, blocks, parse, subtree_hashes
 from tessera.llm.rows import id_key
 from tessera.session import scratch_path
 
+#: Different articles of a host that a subtree must stand beside to be a template of the site, at any size of host.
 MIN_PAGES = 5
-MIN_SHARE = 0.1
 
 
 def host_of(url: str):
@@ -57,16 +57,14 @@ def subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                "hashes": pa.array(hashes, pa.list_(pa.int64())), "article": pa.array(articles, pa.int64())})
 
 
-def site_templates(subtrees: DataFrame, min_pages: int, min_share: float) -> DataFrame:
+def site_templates(subtrees: DataFrame, min_pages: int) -> DataFrame:
     """``host, hash`` of subtrees on many pages of a host, pages with equal articles counted once."""
-    pages = subtrees.select("host", "article").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counted = (subtrees.select("host", "article", F.explode("hashes").alias("hash")).distinct()
-               .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages))
-    return counted.join(pages, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "hash")
+    return (subtrees.select("host", "article", F.explode("hashes").alias("hash")).distinct()
+            .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).select("host", "hash"))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html",
-            min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+            min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per row of ``pages``: ``page_id, url, text, n_chars``."""
     spark = pages.sparkSession
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"),
@@ -75,7 +73,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     (rows.select("__id", "__page", "host", "html")
      .mapInArrow(subtree_rows, "__id string, __page long, host string, hashes array<long>, article long").write.parquet(kept))
     subtrees = spark.read.parquet(kept)
-    templates = site_templates(subtrees, min_pages, min_share)
+    templates = site_templates(subtrees, min_pages)
     hits = (subtrees.select("__id", "__page", "host", F.explode("hashes").alias("hash")).join(templates, ["host", "hash"])
             .groupBy("__id", "__page", "host").agg(F.collect_set("hash").alias("templates")))
     written = scratch_path(spark, "templates")

@@ -136,3 +136,29 @@ def test_reading_files(spark, tmp_path):
     assert [r.warc_type for r in warc.derivatives(warc.read_responses(spark, str(tmp_path))).collect()].count("conversion") == 2
     with pytest.raises(ValueError):
         list(warc.split_records(data[:-30]))
+
+
+@pytest.mark.parametrize("name", ["social-science", "search-results-study", "dialog-transcript", "widget-left", "shareholders", "formation", "header-image-story"])
+def test_a_word_within_a_name_does_not_drop_a_section(name):
+    assert text_of(f"<article><p>a</p><section class='{name}'><p>b</p></section><div id='{name}'><p>c</p></div></article>") == "a\nb\nc"
+
+
+@pytest.mark.parametrize("name", ["related-posts", "share-buttons", "cookie-notice", "sidebar-left", "footer-links", "ad-container", "user-comments", "comment-list", "newsletter-box", "Menu"])
+def test_names_of_what_is_not_the_article(name):
+    assert text_of(f"<article><p>a</p><div class='x {name}'><p>b</p></div></article>") == "a"
+
+
+def test_a_body_in_two_widgets_and_character_data():
+    assert text_of("<article><div class='widget-left'><p>a</p></div><div class='widget-right'><p>b</p></div></article>") == "a\nb"
+    assert text_of("x <![CDATA[y > z &amp; <b>]]> w") == "x y > z &amp; <b> w" and text_of("x <![CDATA[y") == "x y"
+
+
+def test_a_section_template_of_a_large_host_goes(spark):
+    """A notice on a twentieth of a host's pages is deleted as on a small host, and what differs stays."""
+    note = "<div class=x><p>Dispatch of this section is delayed</p></div>"
+    rows = [(i, f"http://big.example/{i}", f"<article><p>story {i}</p>{note if i % 20 == 0 else ''}<div><p>box of {i}</p></div></article>") for i in range(400)]
+    df = spark.createDataFrame(rows, PAGE)
+    found = {r.page_id: r.text for r in pages.extract(df).collect()}
+    assert found == {i: f"story {i}\nbox of {i}" for i in range(400)}
+    kept = {r.page_id: r.text for r in pages.extract(df, min_pages=10 ** 6).collect()}  # templates off
+    assert sum(kept[i] != found[i] for i in kept) == 20
