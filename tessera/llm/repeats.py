@@ -106,15 +106,25 @@ def runs_of_windows(raw: np.ndarray, ends: np.ndarray, hasher: PolynomialHash,
 
 
 def ordered(ids: pa.Array) -> np.ndarray:
-    """Ids as an array that sorts like them, nulls last."""
+    """Numbers that sort as the ids do, equal for equal ids, nulls last."""
     if pa.types.is_integer(ids.type):
-        values = ids.cast(pa.int64()).fill_null((1 << 63) - 1).to_numpy(zero_copy_only=False)
-        return values
+        values = ids.cast(pa.int64())
+        known = np.unique(values.drop_null().to_numpy(zero_copy_only=False))
+        rank = np.searchsorted(known, values.fill_null(0).to_numpy(zero_copy_only=False))
+        return np.where(values.is_null().to_numpy(zero_copy_only=False), len(known), rank)
     names = sorted({x for x in ids.to_pylist() if x is not None})
     rank = {x: i for i, x in enumerate(names)}
     return np.array([rank.get(x, len(names)) for x in ids.to_pylist()], np.int64)
 
 
+def comparable(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids that can be compared across batches, and which of them are null."""
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    if pa.types.is_integer(ids.type):
+        return ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False), null
+    return np.array(ids.to_pylist(), object), null
+
+
 def merged(key1, key2, doc, place) -> tuple[np.ndarray, np.ndarray]:
     """Order rows by keys, then id and position; which rows repeat an earlier row of their keys."""
     order = np.lexsort((place & (1 << 32) - 1, doc, key2, key1))
@@ -187,23 +197,22 @@ def later_rows(batches: Iterator[pa.RecordBatch], kinds: bool) -> Iterator[pa.Re
     (``settled`` false). Between batches only the last first-row is kept, and the one row
     that waits to learn whether its first key has a second kind.
     """
-    state = None  # key1, key2, doc, place of the first row of the current run
+    state = None  # key1, key2, doc, whether it is null, place of the first row of the current run
     waiting: pa.RecordBatch | None = None  # first row of a first key with one kind so far
     several = False
     for batch in batches:
         if not batch.num_rows:
             continue
         k1, k2, p = (batch.column(c).to_numpy() for c in ("key1", "key2", "place"))
-        d = batch.column("doc_id")
-        doc = d.fill_null((1 << 63) - 1).to_numpy() if pa.types.is_integer(d.type) else np.array(d.to_pylist(), object)
+        doc, null = comparable(batch.column("doc_id"))
         n = len(k1)
         same1 = np.concatenate([[state is not None and state[0] == k1[0]], k1[1:] == k1[:-1]])
         same = same1 & np.concatenate([[state is not None and state[1] == k2[0]], k2[1:] == k2[:-1]])
         head = np.maximum.accumulate(np.where(same, -1, np.arange(n)))
         h = np.maximum(head, 0)
-        again = (doc == doc[h]) & (p == p[h])
+        again = (doc == doc[h]) & (null == null[h]) & (p == p[h])
         if state is not None and (head < 0).any():
-            again = np.where(head < 0, (doc == state[2]) & (p == state[3]), again)
+            again = np.where(head < 0, (doc == state[2]) & (null == state[3]) & (p == state[4]), again)
         known = (p & SETTLED) != 0
         out = [(np.flatnonzero((same & ~again) | known), True)]
         if kinds:
@@ -226,7 +235,7 @@ def later_rows(batches: Iterator[pa.RecordBatch], kinds: bool) -> Iterator[pa.Re
         for rows, settled in out:
             if len(rows):
                 yield marks(batch.take(pa.array(rows)), settled)
-        state = (k1[-1], k2[-1], doc[h[-1]] if head[-1] >= 0 else state[2], p[h[-1]] if head[-1] >= 0 else state[3])
+        state = (k1[-1], k2[-1], *((doc[h[-1]], null[h[-1]], p[h[-1]]) if head[-1] >= 0 else state[2:]))
 
 
 def marks(rows: pa.RecordBatch, settled: bool) -> pa.RecordBatch:
