@@ -30,7 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.snapshot_diff import apply_diff, snapshot_diff
 from tessera.operators.versioned import Snapshot, VersionedTable
+from tessera.session import cut_lineage
 
 DEFAULT_LOOKBACK_S = 300
 
@@ -104,6 +106,23 @@ def upsert_newest_versioned(table: VersionedTable, changes: DataFrame, order: Se
     return table.merge(changes, combine)
 
 
+def repair_from_source(table: VersionedTable, src: DataFrame) -> dict[str, int]:
+    """Make the table equal to its source, deletes included, and return the number of changes by kind.
+
+    An incremental run never learns of deleted rows, nor of changes that did not move the tracking
+    column. The difference of both states is found by digests of key ranges and applied to the parts
+    that hold changed keys; columns that the table does not know are not compared.
+    """
+    target = table.read()
+    if target is None:
+        table.replace(src)
+        return {"insert": src.count()}
+    wanted = src.select(*[F.col(f.name).cast(f.dataType) for f in target.schema])
+    diff = cut_lineage(snapshot_diff(target, wanted, table.pk))
+    table.merge(diff.select(*table.pk), lambda old, _: apply_diff(old, diff, table.pk))
+    return {r["change"]: r["count"] for r in diff.groupBy("change").count().collect()}
+
+
 # ---------------------------------------------------------------- state tables
 STATE_SCHEMA = T.StructType([T.StructField("table_name", T.StringType()),
                              T.StructField("watermark", T.TimestampNTZType()),
@@ -173,7 +192,7 @@ def sync_table(src: DataFrame, target: VersionedTable, store: WatermarkStore, ta
         ch = dedupe_changes(ch, target.pk, [track_col, *tiebreak])
         upsert_versioned(target, ch)
         store.commit(table_name, ceiling, run_id)  # only after the write succeeded
-        return {"table": table_name, "status": "ok", "message": None}
+        return {"table": table_name, "status": "ok", "message": None, "bytes": target.written_bytes}
     except Exception as e:  # noqa: BLE001 - reported per table
         return {"table": table_name, "status": "failed", "message": str(e)}
 
@@ -242,7 +261,7 @@ def run_sync(spark: SparkSession, specs: Sequence[TableSpec], root: str, ceiling
     if log is not None:
         failed = [f"{r['table']}: {r['message']}" for r in results if r["status"] != "ok"]
         log.record(run_id, "sync", run_status(results), started, time.monotonic() - clock, len(results) - len(failed),
-                   None, "; ".join(failed) or None)
+                   sum(r.get("bytes") or 0 for r in results), "; ".join(failed) or None)
     return results
 
 

@@ -72,6 +72,12 @@ class Current:
         return State(last, commit, max((r.n_parts for r in rows), default=1), {r.name: r.path for r in rows}, {r.name: r.n_rows for r in rows},
                      {r.name: T.StructType.fromJson(json.loads(r.schema)) for r in rows})
 
+    def size(self, folder: str) -> int:
+        """Bytes of the files below a folder."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        return path.getFileSystem(conf).getContentSummary(path).getLength()
+
     def append(self, state: State | None, placed: dict[str, tuple[str, int]], schemas: dict[str, str], n_parts: int, whole: bool) -> None:
         """Make ``placed`` (name: path, rows) current; a ``whole`` one is a generation of its own."""
         commit = (state.commit if state else 0) + 1
@@ -97,6 +103,7 @@ class VersionedTable:
         self.spark, self.root = spark, root.rstrip("/")
         self.pk, self.part_rows = list(pk), part_rows or PART_ROWS
         self.current = Current(spark, root)
+        self.written_bytes = 0  # by this object so far
 
     def exists(self) -> bool:
         return self.current.state() is not None
@@ -122,6 +129,7 @@ class VersionedTable:
         folder = f"data/{uuid.uuid4().hex}"
         keyed = df.withColumn("part", self._part(n))
         (keyed.repartition("part") if self.pk else keyed).write.partitionBy("part").parquet(f"{self.root}/{folder}")
+        self.written_bytes += self.current.size(folder)
         written = self.spark.read.schema(T.StructType([T.StructField("part", T.LongType())])).parquet(f"{self.root}/{folder}")
         return {str(r["part"]): (f"{folder}/part={r['part']}", r["count"]) for r in written.groupBy("part").count().collect()}
 

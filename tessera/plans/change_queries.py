@@ -6,11 +6,15 @@ from pyspark.sql import functions as F
 
 from tessera.operators import landing as L
 from tessera.operators import snapshot_diff as D
+from tessera.operators import sync as Y
 from tessera.plans.registry import register
 from tessera.session import cut_lineage, scratch_path
 from tessera.sources.tables import Tables
 from tessera.streaming import change_feed as C
 
+SYNCED_TO = "2024-01-20 00:00:00"
+
+
 # ---------------------------------------------------------------- differences with deletes
 _ORDER_STATES = """
 lim AS (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 4 AS cut FROM orders),
@@ -67,6 +71,26 @@ def q_snapshot_diff_composite(spark, sf_dir):
     return D.snapshot_diff(old, new, ["event_type", "user_id"], 64).select("user_id", "event_type", "change")
 
 
+@register("sync_repair", sql=f"""
+WITH ch AS (SELECT user_id, event_type, max(event_id) AS last, max(ts) AS ts FROM events WHERE ts < TIMESTAMP '{SYNCED_TO}' GROUP BY user_id, event_type)
+SELECT user_id, event_type, CASE WHEN user_id % 4 = 1 THEN -last ELSE last END AS last, ts FROM ch WHERE user_id % 4 <> 2""")
+def q_sync_repair(spark, sf_dir):
+    """A replica after an incremental run, then of a source that lost rows and changed others without a
+    newer timestamp: the next run sees nothing of it, the repair makes the replica equal to the source."""
+    root = scratch_path(spark, "repair")
+    e = Tables(spark, sf_dir).events.where(F.col("ts") < F.lit(SYNCED_TO).cast("timestamp_ntz"))
+    source = e.groupBy("user_id", "event_type").agg(F.max("event_id").alias("last"), F.max("ts").alias("ts"))
+    target = Y.VersionedTable(spark, f"{root}/events", ["user_id", "event_type"])
+    store = Y.WatermarkStore(spark, f"{root}/_watermarks")
+    later = source.where("user_id % 4 <> 2").withColumn("last", F.when(F.col("user_id") % 4 == 1, -F.col("last")).otherwise(F.col("last")))
+    for rows, ceiling in ((source, SYNCED_TO), (later, "2024-03-01 00:00:00")):
+        done = Y.sync_table(rows, target, store, "events", "ts", ceiling, ceiling)
+        if done["status"] != "ok":
+            raise RuntimeError(f"sync failed: {done}")
+    Y.repair_from_source(target, later)
+    return target.read().select("user_id", "event_type", "last", "ts")
+
+
 # ---------------------------------------------------------------- extraction by partition
 WATERMARK, CEILING, LOOKBACK_S = "2024-01-15 00:00:00", "2024-01-20 00:00:00", 300
 

@@ -163,11 +163,12 @@ def test_run_over_many_tables_is_partial_and_logged(spark, tmp_path):
     def gone():
         raise OSError("cannot open")
     specs = [Y.TableSpec("a", lambda: rows, ["id"], "ts"), Y.TableSpec("b", gone, ["id"], "ts")]
-    for _ in range(2):
+    for k in range(2):
         results = Y.run_sync(spark, specs, str(tmp_path), "2024-01-20 00:00:00", "r1", log)
-        assert [r["status"] for r in results] == ["ok", "failed"]
+        assert [r["status"] for r in results] == ["ok", "failed"] and (results[0]["bytes"] > 0) == (k == 0)
+        assert k == 1 or log.read().first().dump_bytes == results[0]["bytes"]
     found = log.read().collect()
-    assert len(found) == 1 and found[0].status == "partial" and "cannot open" in found[0].message
+    assert len(found) == 1 and found[0].status == "partial" and "cannot open" in found[0].message and found[0].dump_bytes == 0  # the run again had nothing to write
 
 
 def test_stream_equals_batch(spark):
@@ -278,3 +279,19 @@ def test_examples_with_a_torn_line(spark, tmp_path):
     good, bad = read_examples_with_rejects(spark, str(tmp_path))
     assert sorted((r.id or "", r.output) for r in good.collect()) == [("", "z"), ("1", "x")]
     assert [r.line for r in bad.collect()] == [lines[2]]
+
+
+def test_deletes_reach_the_replica(spark, tmp_path):
+    source = _rows(spark, [(i, "2024-01-01 00:00:00", f"v{i}") for i in range(200)])
+    table = Y.VersionedTable(spark, str(tmp_path), ["id"], part_rows=10)
+    assert Y.repair_from_source(table, source) == {"insert": 200}
+    before = table.current.state().paths
+    later = source.where("id not in (3, 4)").withColumn("v", F.when(F.col("id") == 7, "changed").otherwise(F.col("v")))
+    later = later.unionByName(_rows(spark, [(900, "2024-01-01 00:00:00", "new")]))
+    # the tracking column tells an incremental run nothing of these
+    assert Y.incremental_extract(later, "ts", "2024-01-15 00:00:00", "2024-01-20 00:00:00").isEmpty()
+    assert Y.repair_from_source(table, later.select("v", "id", "ts", F.lit(1).alias("more"))) == {"delete": 2, "update": 1, "insert": 1}
+    assert table.read().exceptAll(later).isEmpty() and later.exceptAll(table.read()).isEmpty()
+    after = table.current.state().paths
+    assert sum(before[p] != after.get(p) for p in before) <= 4
+    assert Y.repair_from_source(table, later) == {}
