@@ -45,17 +45,28 @@ class Current:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._known: tuple[list[tuple], State | None] | None = None  # files of the table, and what they say
 
-    def _files(self, folder: str) -> list[str]:
-        """Names in a folder below the root; none where it does not exist."""
+    def _list(self, folder: str) -> list:
+        """What stands in a folder below the root; nothing where it does not exist."""
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}" if folder else self.root)
         fs = path.getFileSystem(conf)
-        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return list(fs.listStatus(path)) if fs.exists(path) else []
+
+    def _files(self, folder: str) -> list[str]:
+        return [s.getPath().getName() for s in self._list(folder)]
 
     def state(self) -> State | None:
         """The newest state; ``None`` where nothing was ever written."""
-        if not any(n.endswith(".parquet") for n in self._files("current")):
+        files = sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in self._list("current") if s.getPath().getName().endswith(".parquet"))
+        if self._known and self._known[0] == files:
+            return self._known[1]
+        self._known = files, self._read(files)
+        return self._known[1]
+
+    def _read(self, files: list[tuple]) -> State | None:
+        if not files:
             if "current" in self._files("") and self._files("data"):
                 raise RuntimeError(f"{self.root} holds data but no readable table of what is current")
             return None
