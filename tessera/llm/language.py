@@ -33,7 +33,7 @@ MAX_TRAIN_CHARS = 1_000_000
 MAX_ORDER = 5
 MIN_COUNT = 2
 #: Unseen words whose scores a worker remembers, and the bytes of these scores.
-MEMO_WORDS, MEMO_BYTES = 1 << 17, 1 << 25
+MEMO_WORDS, MEMO_BYTES = 3 << 16, 1 << 25
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -61,10 +61,10 @@ class LanguageModel:
         """Score of an unseen word from its longest known n-grams."""
         padded = f" {word} "
         for n in range(min(len(self.grams), len(padded)), 0, -1):
-            known = self.grams[n - 1]
-            at = [i for i in (known.get(padded[k:k + n]) for k in range(len(padded) - n + 1)) if i is not None]
+            known = self.grams[n - 1].get
+            at = [i for i in [known(padded[k:k + n]) for k in range(len(padded) - n + 1)] if i is not None]
             if at:
-                return self.table[at].mean(axis=0)
+                return self.table[at].sum(axis=0) / len(at)
         return np.zeros(len(self.languages))
 
     def unseen(self, words: list[str]) -> np.ndarray:
