@@ -287,7 +287,7 @@ def against_all(blocks: DataFrame, anchors: DataFrame, groups: int, k: int, wind
     dealt = (blocks.withColumn("positives", F.lit(None).cast("array<struct<score:long>>"))
              .withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
              .unionByName(anchors.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))))
-    return (dealt.repartition("group").sortWithinPartitions("group", "anchor").mapInArrow(lambda b: meet(b, k, window), RESULT))
+    return (dealt.repartition(groups, "group").sortWithinPartitions("group", "anchor").mapInArrow(lambda b: meet(b, k, window), RESULT))
 
 
 def first_ranks(found: DataFrame, by: list[str], k: int) -> DataFrame:
