@@ -6,6 +6,8 @@ Definitions follow Papineni et al. (2002) with the ``exp`` smoothing and the
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,24 @@ def text_13a(c: Column) -> Column:
     return F.trim(F.regexp_replace(s, WS_RUN, " "))
 
 
+# a word has no blanks: the first rule leaves out the one in its range
+_IN_WORD = [(re.compile(pat.replace(r"\` -\&", r"\`!-\&")), rep.format("", r"\1", r"\2")) for pat, rep in RULES]
+# symbols that leave the end of any word
+_AT_END = frozenset(".,!?:;)]}\"")
+
+
+def tokens_of_word(word: str) -> list[str]:
+    """13a tokens of a word of replaced text: no rule sees beyond the white space around it."""
+    if word.isalnum():
+        return [word]
+    if word[-1:] in _AT_END and word[:-1].isalnum():
+        return [word[:-1], word[-1]]
+    s = f" {word} "
+    for pat, rep in _IN_WORD:
+        s = pat.sub(rep, s)
+    return s.split()
+
+
 def bleu_score(m: list[Column], t: list[Column], sys_len: Column, ref_len: Column,
                effective_order: bool = False) -> Column:
     """BLEU (0-100) from matched/total n-gram counts with ``exp`` smoothing.

@@ -1,11 +1,10 @@
 """Generation-quality metrics over a long ``(generator, id, reference, prediction)`` frame.
 
 Predictions meet their references in one join on ``id``: only texts are shuffled.
-Tokens come from JVM expressions, once per text, before the join. What needs the
-two token lists together (clipped n-gram matches, term-count products) is counted
-by one Arrow UDF per pair, whatever the number of generators; a reference's counts
-are made once for the predictions that follow each other. Scores, averages and the
-corpus sums are one aggregate over these counts.
+What needs two texts together (clipped n-gram matches, term-count products, common
+subsequences) is counted by one Arrow UDF, a batch of pairs at once (``pair_counts``);
+a reference is cut once for the predictions that follow each other. Scores, averages
+and the corpus sums are one aggregate over these counts.
 
 * BLEU: corpus BLEU from summed counts, sentence BLEU per (generator, id).
 * ROUGE-L: bit-parallel LCS (one big-int update per token of the prediction), in the same pass.
@@ -15,14 +14,14 @@ corpus sums are one aggregate over these counts.
 
 from __future__ import annotations
 
-from collections import Counter
-from itertools import islice
-
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import bleu as B
+from tessera.operators.pair_counts import Pairs, Words, lcs_length, renumbered, stems, terms_of  # noqa: F401
 from tessera.operators.udf import Model, embed
 
 ORDERS = range(1, B.MAX_ORDER + 1)
@@ -42,67 +41,43 @@ def joined_terms(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
 
 
-def _split(joined: str | None) -> list[str]:
-    return joined.split(" ") if joined else []
-
-
-def _ngrams(tokens: list[str]) -> list[Counter]:
-    return [Counter(zip(*[islice(tokens, k, None) for k in range(n)])) for n in ORDERS]
-
-
-def _common(a: Counter, b: Counter) -> int:
-    """Clipped matches of two multisets."""
-    if len(b) < len(a):
-        a, b = b, a
-    return sum(min(n, b[g]) for g, n in a.items() if g in b)
-
-
-class Reference:
-    """What is counted of a reference once, for the predictions that follow each other."""
-
-    def __init__(self, text: str | None, terms: str | None, want: tuple[str, ...], stemmer: bool):
-        self.key = text, terms
-        if BLEU in want:
-            tokens = _split(text)
-            self.length, self.grams = len(tokens), _ngrams(tokens)
-        if COSINE in want:
-            self.terms = Counter(_split(terms))
-            self.square = sum(n * n for n in self.terms.values())
-        if ROUGE in want:
-            self.sequence = stems(_split(terms), stemmer)
-
-
-def stems(tokens: list[str], stemmer: bool) -> list[str]:
-    """Tokens of more than three letters by their stem (remembered per worker)."""
-    if not stemmer:
-        return tokens
-    from tessera.functions.porter import stem
-    return [stem(t) if len(t) > 3 else t for t in tokens]
+def _replaced(texts: pa.Array) -> pa.Array:
+    """Texts after the replacements of 13a; a line feed that stays is white space anyway."""
+    for a, b in B.PRE_REPLACE:
+        texts = texts if a == "\n" else pc.replace_substring(texts, a, b)
+    return texts
 
 
 def _pair_udf(want: tuple[str, ...], stemmer: bool):
     names = [c for kind in want for c in COUNTS[kind]]
 
     @F.arrow_udf("struct<" + ",".join(f"{c}:long" for c in names) + ">")
-    def count_pairs(pred: pa.Array, ref: pa.Array, pred_terms: pa.Array, ref_terms: pa.Array) -> pa.Array:
-        rows, last = [], None
-        for p, r, pt, rt in zip(pred.to_pylist(), ref.to_pylist(), pred_terms.to_pylist(), ref_terms.to_pylist()):
-            if last is None or last.key != (r, rt):
-                last = Reference(r, rt, want, stemmer)
-            row: list[int] = []
-            for kind in want:
-                if kind == BLEU:
-                    tokens = _split(p)
-                    row += [_common(a, b) for a, b in zip(_ngrams(tokens), last.grams)] if tokens and last.length else [0] * len(ORDERS)
-                    row += [len(tokens), last.length]
-                elif kind == COSINE:
-                    counts = Counter(_split(pt))
-                    row += [sum(n * last.terms[t] for t, n in counts.items() if t in last.terms), sum(n * n for n in counts.values()), last.square]
-                else:
-                    tokens = stems(_split(pt), stemmer)
-                    row += [lcs_length(last.sequence, tokens), len(tokens), len(last.sequence)]
-            rows.append(row)
-        return pa.StructArray.from_arrays([pa.array([x[i] for x in rows], pa.int64()) for i in range(len(names))], names)
+    def count_pairs(pred: pa.Array, ref: pa.Array) -> pa.Array:
+        refs = pc.fill_null(ref.cast(pa.large_string()), "").dictionary_encode()  # a reference once for all its predictions
+        n_refs, ref_of = len(refs.dictionary), refs.indices.to_numpy().astype("int64")
+        texts = pa.concat_arrays([refs.dictionary, pc.fill_null(pred.cast(pa.large_string()), "")])
+        plain = row_13a = np.arange(len(texts))
+        if BLEU in want:
+            replaced = _replaced(texts)
+            changed = pc.not_equal(replaced, texts)
+            row_13a = np.where(changed.to_numpy(zero_copy_only=False), len(texts) + np.cumsum(changed) - 1, plain)
+            texts = pa.concat_arrays([texts, replaced.filter(changed)])
+        words, columns = Words(texts), []
+
+        def pairs(tokens, at) -> Pairs:
+            return Pairs((tokens[:at[n_refs]], at[:n_refs + 1]), (tokens[at[n_refs]:], at[n_refs:] - at[n_refs]), ref_of)
+        if COSINE in want or ROUGE in want:
+            terms, at, distinct = words.tokens(terms_of, plain)
+        for kind in want:
+            if kind == BLEU:
+                p = pairs(*words.tokens(B.tokens_of_word, row_13a)[:2])
+                columns += [*p.clipped(ORDERS), *p.lengths()]
+            elif kind == COSINE:
+                columns += pairs(terms, at).products()
+            else:
+                p = pairs(renumbered(terms, stems(distinct)) if stemmer else terms, at)
+                columns += [p.subsequences(), *p.lengths()]
+        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
     return count_pairs
 
 
@@ -110,15 +85,10 @@ def example_counts(preds: DataFrame, refs: DataFrame, want: tuple[str, ...] = (B
     """Per (generator, id) what ``want`` asks for: n-gram matches m1..m4, totals t1..t4 and token counts;
     term products; longest common subsequence and term counts. Also the character lengths of both texts.
     A prediction without reference meets an empty one. Texts are joined once, whatever is counted."""
-    none = F.lit(None).cast("string")
-
-    def side(text: Column, name: str) -> list[Column]:
-        return [(B.text_13a(text) if BLEU in want else none).alias(f"_{name}"),
-                (joined_terms(text) if COSINE in want or ROUGE in want else none).alias(f"_{name}t")]
-    p = preds.select("generator", "id", *side(F.col("prediction"), "p"), F.length("prediction").alias("pred_chars"))
-    r = refs.select("id", *side(F.col("reference"), "r"), F.length("reference").alias("ref_chars"))
+    p = preds.select("generator", "id", F.col("prediction").alias("_p"), F.length("prediction").alias("pred_chars"))
+    r = refs.select("id", F.col("reference").alias("_r"), F.length("reference").alias("ref_chars"))
     counted = p.join(r, "id", "left").select("generator", "id", "pred_chars", F.coalesce("ref_chars", F.lit(0)).alias("ref_chars"),
-                                             _pair_udf(tuple(want), stemmer)("_p", "_r", "_pt", "_rt").alias("c"))
+                                             _pair_udf(tuple(want), stemmer)("_p", "_r").alias("c"))
     totals = [F.greatest(F.col("c.sys_len") - n + 1, F.lit(0)).cast("long").alias(f"t{n}") for n in ORDERS] if BLEU in want else []
     return counted.select("generator", "id", "pred_chars", "ref_chars", "c.*", *totals)
 
@@ -187,26 +157,9 @@ def sentence_bleu(stats: DataFrame, zero_if_empty: bool = True) -> DataFrame:
 
 
 # ---------------------------------------------------------------- ROUGE-L
-def lcs_length(a: list, b: list) -> int:
-    """Bit-parallel LCS length (Allison-Dix / Hyyro recurrence)."""
-    if not a or not b:
-        return 0
-    masks: dict = {}
-    for i, tok in enumerate(a):
-        masks[tok] = masks.get(tok, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    v = full
-    for tok in b:
-        u = v & masks.get(tok, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - bin(v).count("1")
-
-
 def rouge_l(pairs: DataFrame, use_stemmer: bool = True) -> DataFrame:
     """(generator, id, rouge_l) F-measure in 0-1 from (generator, id, reference, prediction)."""
-    none = F.lit(None).cast("string")
-    counts = pairs.select("generator", "id", _pair_udf((ROUGE,), use_stemmer)(
-        none, none, joined_terms(F.col("prediction")), joined_terms(F.col("reference"))).alias("c")).select("generator", "id", "c.*")
+    counts = pairs.select("generator", "id", _pair_udf((ROUGE,), use_stemmer)("prediction", "reference").alias("c")).select("generator", "id", "c.*")
     return counts.select("generator", "id", rouge_l_of(counts).alias("rouge_l"))
 
 
