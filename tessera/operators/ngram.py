@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
-from tessera.operators.split import exact_hash_split
+from tessera.operators.split import exact_hash_split, split_counts
 from tessera.session import cut_lineage
 
 # ---------------------------------------------------------------------------
@@ -68,6 +68,16 @@ def word_counts(occ: DataFrame, by: Sequence[str] = ("split",)) -> DataFrame:
     return occ.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("c"))
 
 
+def holdout_word_counts(occ: DataFrame, by: Sequence[str] = ("split",), train_fraction: float = HOLDOUT, seed: int = SEED) -> DataFrame:
+    """``word_counts`` of the occurrences that ``holdout_split`` tags: tokens are made and hashed once,
+    and the splits are told apart in the counts. Few tokens are tagged by passes over them."""
+    groups = [c for c in by if c != "split"]
+    counts = split_counts(occ, "occ_id", train_fraction, ("train", "val"), [*groups, "word"], seed)
+    if counts is None:
+        return word_counts(holdout_split(occ, train_fraction, seed), by)
+    return counts.select(*by, "word", "c")
+
+
 def _symbols(word: Column, left_pad: int = 1) -> Column:
     return F.concat(F.lit(SENTINEL * left_pad), word, F.lit(SENTINEL))
 

@@ -22,9 +22,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 DIGITS = 4
 LISTED = 4096
 HASH_DIGITS = 32
+#: How far from its expected place a cut is sought in one pass: ten standard deviations for ten million rows.
+NEAR = 1 / 1024
 
 
 def split_hash(id_col: Column, seed: int | str) -> Column:
@@ -43,17 +47,22 @@ def _count_by_prefix(keys: DataFrame, targets: set[tuple], length: int, by: list
         n = len(next(iter(known)))
         rows = keys.where(F.substring("_h", 1, n).isin(sorted(known)))
     found: dict[tuple, list[tuple[str, int]]] = {}
-    for r in rows.groupBy(*by, F.substring("_h", 1, length).alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect():
+    for r in rows.groupBy(*by, F.substring("_h", 1, length).alias("_p")).agg(_rows(keys).alias("_n")).collect():
         found.setdefault(tuple(r[c] for c in by), []).append((r["_p"], r["_n"]))
     return {c: sorted(x) for c, x in found.items()}
 
 
+def _rows(keys: DataFrame) -> Column:
+    """How many rows there are, or stand for, where ``_w`` says so."""
+    return F.sum("_w") if "_w" in keys.columns else F.count(F.lit(1))
+
+
 def cut_keys(keys: DataFrame, ranks_of, by: list[str] | None = None, digits: int = DIGITS,
              listed: int = LISTED) -> dict[tuple, list[tuple[str, str] | None]]:
     """Per class, the key ``(_h, _id)`` at each of its 0-based ranks (``None`` past the end).
 
     ``ranks_of(n)`` gives the ranks for a class of ``n`` rows; ``keys`` has ``_h, _id`` and
-    the ``by`` columns.
+    the ``by`` columns; with ``_w`` a row stands for so many.
     """
     by = by or []
     length = digits
@@ -70,7 +79,7 @@ def cut_keys(keys: DataFrame, ranks_of, by: list[str] | None = None, digits: int
         for k, group in _by_length(small).items():
             wanted = keys.where(F.substring("_h", 1, k).isin(sorted({t[2] for t in group})))
             # repeated ids share a key: counted, not listed one by one
-            rows = wanted.groupBy(*by, "_h", "_id").agg(F.count(F.lit(1)).alias("_n")).collect()
+            rows = wanted.groupBy(*by, "_h", "_id").agg(_rows(keys).alias("_n")).collect()
             for c, i, prefix, rank, _ in group:
                 under = sorted((r["_h"], r["_id"], r["_n"]) for r in rows
                                if tuple(r[b] for b in by) == c and r["_h"].startswith(prefix))
@@ -142,6 +151,33 @@ def exact_hash_split(df: DataFrame, id_col: str, fractions: Sequence[float] = (0
     return keyed.withColumn(split_col, expr.otherwise(F.lit(names[-1]))).drop("_h")
 
 
+def split_counts(df: DataFrame, id_col: str, fraction: float, names: Sequence[str], by: Sequence[str],
+                 seed: int | str = 42, split_col: str = "split", near: float = NEAR) -> DataFrame | None:
+    """Rows per split and ``by`` columns, as ``exact_hash_split`` would tag them, from one pass over ``df``.
+
+    The share of rows below a hash is close to that hash's place in the hash space, so the cut is
+    sought within ``near`` of its place: rows outside are counted at once, those inside keep
+    their keys and are counted when the cut is known. ``None`` where the cut is not inside (few
+    rows, or ids that repeat); then the rows have to be tagged by passes over them.
+    """
+    h, i = _key(F.col(id_col), seed)
+    lo, hi = (format(min(max(int(x * 16**8), 0), 16**8 - 1), "08x") for x in (fraction - near, fraction + near))
+    zone = F.when(F.col("_h") < lo, -1).when(F.col("_h") < hi, 0).otherwise(1)
+    inside = (F.col("_h") >= lo) & (F.col("_h") < hi)
+    rows = df.select(*by, h.alias("_h"), i.alias("_id")).select(
+        *by, zone.alias("_zone"), F.when(inside, F.col("_h")).alias("_h"), F.when(inside, F.col("_id")).alias("_id"))
+    counted = cut_lineage(rows.groupBy(*by, "_zone", "_h", "_id").agg(F.count(F.lit(1)).alias("_w")))
+    n = {r["_zone"]: r["n"] for r in counted.groupBy("_zone").agg(F.sum("_w").alias("n")).collect()}
+    rank = int(float(fraction) * sum(n.values())) - n.get(-1, 0)  # of the cut among the rows inside
+    if not 0 <= rank < n.get(0, 0):
+        return None
+    keys = counted.where("_zone = 0").select("_h", "_id", "_w")
+    cut = cut_keys(keys, lambda _: [rank])[()][0]
+    first = (F.col("_zone") < 0) | ((F.col("_zone") == 0) & _before(F.col("_h"), F.col("_id"), cut))
+    tagged = counted.select(*by, F.when(first, F.lit(names[0])).otherwise(F.lit(names[1])).alias(split_col), "_w")
+    return tagged.groupBy(*by, split_col).agg(F.sum("_w").alias("c"))
+
+
 def stratified_split(df: DataFrame, id_col: str, by: str, test_fraction: float = 0.2,
                      seed: int | str = 42, split_col: str = "split") -> DataFrame:
     """Per-class exact split: the first ``floor(f * n_class)`` rows by hash key are test.

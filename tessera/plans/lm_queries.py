@@ -27,12 +27,12 @@ class LM:
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
-        # The text is read for the counting passes of the cut key and once to tag and
-        # count in one go: tokens are never stored, only distinct words with counts.
-        occ = N.holdout_split(N.occurrences(load_sources(spark, sf_dir)))
+        # The text is read once to count words and locate the cut key in one go: of tokens
+        # only those near the cut are stored, all others as distinct words with counts.
+        occ = N.occurrences(load_sources(spark, sf_dir))
         # bounded by the distinct-word count; a reliable checkpoint cuts the corpus
         # lineage so every model table below reads it.
-        self.by_source = cut_lineage(N.word_counts(occ, ("source", "split")))
+        self.by_source = cut_lineage(N.holdout_word_counts(occ, ("source", "split")))
         self.wc = self.by_source.groupBy("split", "word").agg(F.sum("c").alias("c"))
         self.train = self.wc.where(F.col("split") == "train").select("word", "c")
         self.val = self.wc.where(F.col("split") == "val").select("word", "c")

@@ -61,3 +61,29 @@ def test_stratified_split_exact_per_class(spark):
     for c, n in ((0, 334), (1, 333), (2, 333)):
         assert got[(c, "test")] == int(0.2 * n)
         assert got[(c, "train")] == n - int(0.2 * n)
+
+
+def test_counts_of_a_split_in_one_pass(spark):
+    """Rows per split without tagging them: equal to the tagged rows', repeated ids included."""
+    from tessera.operators.split import split_counts
+    ids = [f"r{i}" for i in range(3000)] + ["same"] * 40 + [f"r{i}" for i in range(25)]
+    df = spark.createDataFrame([(i, "ab"[k % 2]) for k, i in enumerate(ids)], "id string, g string")
+    tagged = exact_hash_split(df, "id", (0.9,), ("train", "val"))
+    want = sorted(map(tuple, tagged.groupBy("g", "split").count().collect()))
+    got = split_counts(df, "id", 0.9, ("train", "val"), ["g"], near=0.05)
+    assert sorted(map(tuple, got.select("g", "split", "c").collect())) == want
+    # all rows of one id: the cut is nowhere near its expected place, so they have to be tagged
+    assert split_counts(df.where("id = 'same'"), "id", 0.9, ("train", "val"), ["g"]) is None
+    assert split_counts(df.where("false"), "id", 0.9, ("train", "val"), ["g"]) is None
+
+
+def test_tokens_are_hashed_once(spark, monkeypatch):
+    """Word counts of the holdout come from one pass over the tokens."""
+    from tessera.operators import ngram as N
+    from tessera.operators import split as X
+    words = ["alpha", "beta", "gamma", "delta"]
+    corpus = spark.createDataFrame([("s", i, " ".join(words[(i * k) % 4] for k in range(40))) for i in range(200)], "source string, row_id long, text string")
+    want = sorted(map(tuple, N.word_counts(N.holdout_split(N.occurrences(corpus)), ("source", "split")).collect()))
+    monkeypatch.setattr(X.split_counts, "__defaults__", (*X.split_counts.__defaults__[:-1], 0.02))
+    monkeypatch.setattr(N, "holdout_split", None)
+    assert sorted(map(tuple, N.holdout_word_counts(N.occurrences(corpus), ("source", "split")).collect())) == want
