@@ -7,8 +7,8 @@ state in place, and a reader always sees a whole one. Data folders without a rea
 ``current`` are an error and never taken for an empty table.
 
 A keyed table is laid out in parts by a hash of its key, as many as its rows need at
-``PART_ROWS`` a part, so tasks follow the data: an upsert joins and rewrites the parts that hold
-changed keys, and a table that has outgrown its parts is dealt anew with its next upsert. A
+``PART_ROWS`` a part, and a part is written in as many files as its bytes need, so tasks follow
+the data: an upsert joins and rewrites the parts that hold changed keys, and a table that has outgrown its parts is dealt anew with its next upsert. A
 whole rewrite starts a new generation; the one before it is kept, older ones go.
 """
 
@@ -139,7 +139,8 @@ class VersionedTable:
         """Write rows by part; path and row count of every part that has rows."""
         folder = f"data/{uuid.uuid4().hex}"
         keyed = df.withColumn("part", self._part(n))
-        (keyed.repartition("part") if self.pk else keyed).write.partitionBy("part").parquet(f"{self.root}/{folder}")
+        # a part is written by as many tasks as its bytes need: rows may be long texts
+        (keyed.hint("rebalance", F.col("part")) if self.pk else keyed).write.partitionBy("part").parquet(f"{self.root}/{folder}")
         self.written_bytes += self.current.size(folder)
         written = self.spark.read.schema(T.StructType([T.StructField("part", T.LongType())])).parquet(f"{self.root}/{folder}")
         return {str(r["part"]): (f"{folder}/part={r['part']}", r["count"]) for r in written.groupBy("part").count().collect()}

@@ -295,3 +295,23 @@ def test_deletes_reach_the_replica(spark, tmp_path):
     after = table.current.state().paths
     assert sum(before[p] != after.get(p) for p in before) <= 4
     assert Y.repair_from_source(table, later) == {}
+
+
+def test_large_part_is_written_by_many_tasks(spark, tmp_path):
+    """Long texts: the rows of one part do not meet in one task."""
+    import glob
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(100)), lambda k: F.md5(F.concat(F.col("id").cast("string"), k.cast("string")))), "")
+        table = Y.VersionedTable(spark, str(tmp_path), ["id"])
+        Y.upsert_versioned(table, spark.range(0, 1000, 1, 8).select("id", text.alias("text")))
+        Y.upsert_versioned(table, spark.range(500, 1500, 1, 8).select("id", text.alias("text")))
+    finally:
+        spark.conf.set(key, before)
+    assert table.read().agg(F.count(F.lit(1)), F.count_distinct("id")).first()[:] == (1500, 1500)
+    assert table.current.state().n_parts == 1
+    assert len({f for f in glob.glob(f"{tmp_path}/data/*/part=0/*.parquet")}) > 2
+    newest = next(iter(table.current.state().paths.values()))
+    assert len(glob.glob(f"{tmp_path}/{newest}/*.parquet")) > 1
