@@ -101,3 +101,31 @@ def test_sketches_merge_to_the_ranks_of_all_values(spark, tmp_path):
     assert {r.n for r in found} == {len(values)}
     import bisect
     assert all(abs(bisect.bisect(values, r.value) / len(values) - r.share) < 0.01 for r in found)
+
+
+def test_tail_does_not_look_at_all_early_chunks():
+    """Chunks before their turn: each is touched when it comes and when its turn is, and lines leave in large frames."""
+    import pandas as pd
+
+    class Watched(dict):
+        seen = 0
+
+        def __iter__(self):
+            for x in super().__iter__():
+                Watched.seen += 1
+                yield x
+    n = 2000
+    tail = S.Tail(early=Watched({4 * n: b"abc\n"}))
+    lines = [x for k in range(n - 1, -1, -1) for x in tail.add(4 * k, b"%03d\n" % (k % 1000))]
+    assert [k for k, _ in lines] == list(range(n + 1)) and lines[-1][1] == "abc" and not tail.early
+    assert Watched.seen < 3 * n
+
+    class State:
+        exists = False
+
+        def update(self, value):
+            self.value = value
+    state = State()
+    chunks = pd.DataFrame({"start": [4 * k for k in range(n)], "data": [b"%03d\n" % (k % 1000) for k in range(n)]})
+    frames = list(S.follow(("f",), iter([chunks[::2], chunks[1::2]]), state))
+    assert pd.concat(frames)["line_no"].tolist() == list(range(n)) and len(frames) == 1 and state.value[0] == 4 * n
