@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -172,6 +172,20 @@ def tune_kn(val_pairs: DataFrame, m: BigramModel, grid=KN_GRID) -> DataFrame:
     return res.withColumn("best", F.col("gi") == best)
 
 
+def symbol_codes(s: Column) -> Column:
+    """Numbers of a string's symbols: the sentinel 0, letters from 1."""
+    return F.transform(F.split(s, ""), lambda ch: F.when(ch == SENTINEL, 0).otherwise(F.ascii(ch) - 96))
+
+
+def pair_costs(spark: SparkSession, m: BigramModel, d: float | Column, out: str) -> DataFrame:
+    """``-ln p`` of all pairs over the alphabet in one row: that of ``(x, y)`` at ``27 x + y`` of their codes."""
+    symbol = lambda k: F.when(k == 0, SENTINEL).otherwise(F.char(k + 96))
+    k = F.col("id")
+    pairs = spark.range(MAX_SYMBOLS ** 2).select("id", symbol(F.floor(k / MAX_SYMBOLS)).alias("x"), symbol(k % MAX_SYMBOLS).alias("y"))
+    cost = F.struct("id", (-F.log(kn_p(d, m.n_pairs))).alias("cost"))
+    return _attach(pairs, m).agg(F.transform(F.array_sort(F.collect_list(cost)), lambda r: r["cost"]).alias(out))
+
+
 # ---------------------------------------------------------------- trigram JM
 @dataclass
 class TrigramModel:
