@@ -397,6 +397,50 @@ def test_whole_documents_as_queries_equal_scoring_everything(spark):
         assert got.get(q, []) == [d for _, d in bm25_by_hand(docs, text, 7)], q
 
 
+def test_long_queries_score_few_documents_exactly(monkeypatch):
+    r = random.Random(4)
+    docs = [(i, " ".join(r.choices([f"t{int(r.paretovariate(0.8))}" for _ in range(500)], k=r.randint(1, 300)))) for i in range(900)]
+    docs += [(900 + i, docs[i][1]) for i in range(5)]
+    terms = [top_k.terms_of(t) for _, t in docs]
+    df = Counter(t for x in terms for t in set(x))
+    shards = []
+    for a in (0, 300, 600):  # equal texts in several shards
+        shard = top_k.Shard(len(docs), sum(map(len, terms)) / len(docs), dict(df))
+        for d, t in docs[a:a + 300] if a < 600 else docs[a:]:
+            shard.add(d, t)
+        shard.finish()
+        shards.append(shard)
+    scored = []
+    near = top_k.Shard.near
+    monkeypatch.setattr(top_k.Shard, "near", lambda *a: scored.append(near(*a)) or scored[-1])
+    for no in range(0, 900, 20):
+        query = Counter(terms[no])
+        if len(query) <= top_k.LONG_QUERY:
+            continue
+        best, weights = [], np.array([n for n in query.values()]) * top_k.idf(len(docs), np.array([df[t] for t in query], float))
+        for shard in shards:
+            rows = shard.lists_of(top_k.term_hashes([b" ".join(query)])[0])
+            least = -best[4][0] if len(best) == 5 else 0.0
+            found = next(shard.add_up([(rows[rows >= 0], weights[rows >= 0], least)], 5))
+            best = sorted(best + [(-s, shard.ids[d]) for s, d in found])[:5]
+        assert [d for _, d in best] == [d for _, d in bm25_by_hand(docs, docs[no][1], 5)], no
+    assert len(scored) > 60 and sum(map(len, scored)) < 8 * len(scored)
+
+
+def test_jobs_of_a_search_do_not_grow_with_its_blocks(spark, monkeypatch):
+    docs, asked = search_case()
+    df = spark.createDataFrame([(d, t, None, None, 0) for d, t in docs], DOC).repartition(3)
+    asked = spark.createDataFrame([(q, t) for q, t in asked], "query_id long, query string").withColumn("query_id", F.col("query_id").cast("decimal(20,2)"))
+    want = sorted(map(tuple, top_k.search(spark, df, asked, k=4).collect()))  # query ids of any type
+    assert want
+    monkeypatch.setattr(top_k, "TERM_BLOCK", 3)
+    spark.sparkContext.setJobGroup("blocks", "")
+    found = top_k.search(spark, df, asked.repartition(20), k=4).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("blocks")
+    spark.sparkContext.setJobGroup("", "")
+    assert sorted(map(tuple, found)) == want and len(jobs) < 40
+
+
 def test_registered_search_asks_every_twentieth_document(spark):
     from tessera.llm.queries import QUERIES
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
