@@ -427,6 +427,58 @@ def test_long_queries_score_few_documents_exactly(monkeypatch):
     assert len(scored) > 60 and sum(map(len, scored)) < 8 * len(scored)
 
 
+def two_kinds():
+    r = random.Random(6)
+    words = [[f"{kind}{int(r.paretovariate(0.7))}" for _ in range(3000)] for kind in "ab"]
+    return [(i, " ".join(r.choices(words[i % 2], k=r.randint(1, 120)) + r.choices(words[1 - i % 2], k=r.randint(0, 2)))) for i in range(600)]
+
+
+def test_shards_are_joined_by_kind_and_search_equals_scoring_everything(spark, monkeypatch):
+    docs = two_kinds() + [(600, None), (601, " ")]
+    df = spark.createDataFrame([(d, t, None, None, 0) for d, t in docs], DOC).repartition(4)
+    index = top_k.index_rows(df.select(F.col("doc_id").alias("d"), F.col("text").alias("t")), "bigint").withColumn("shard", F.monotonically_increasing_id())
+    seen = np.concatenate([np.frombuffer(x.seen, np.float32).reshape(-1, top_k.PLACES) for x in index.collect()])
+    kinds = top_k.centres(seen, 2)
+    held = [[i % 2 for i in x.ids] for x in top_k.joined_shards(index, kinds, np.array([0.5, 0.5]), 2, "bigint").collect()]
+    assert sum(map(len, held)) == 600 and len(held) == 2
+    assert all(min(sum(x), len(x) - sum(x)) < 0.1 * len(x) for x in held)  # a word of the other kind may decide for a document of one word
+    monkeypatch.setattr(top_k, "JOINED", 4000)  # several kinds
+    asked = [(d, t) for d, t in docs if d % 20 == 0] + [(1000, docs[0][1] + " " + docs[1][1])]
+    got = {}
+    for x in top_k.search(spark, df, spark.createDataFrame(asked, "query_id long, query string"), k=7).orderBy("query_id", "rank").collect():
+        got.setdefault(x.query_id, []).append(x.doc_id)
+    for q, text in asked:
+        assert got.get(q, []) == [d for _, d in bm25_by_hand(docs, text, 7)], q
+
+
+def test_a_low_score_so_far_lets_few_documents_through():
+    total = np.random.default_rng(1).random(6400).astype(np.float32) * 100 + 1
+    near = top_k.Shard().near(total, 10, 0.5)
+    assert len(near) <= 20 and set(np.argsort(-total)[:10]) <= set(near.tolist())
+
+
+def test_sums_of_postings_are_off_by_no_more_than_said():
+    docs = two_kinds()
+    shard = top_k.Shard(len(docs), 50.0)
+    for d, t in docs:
+        shard.add(d, t)
+    shard.finish()
+    shard.lay_out()
+    r = np.random.default_rng(2)
+    unit = r.random(len(shard.terms)) * 9 + 0.1
+    shard.weigh(np.arange(len(unit)), unit)
+    for _ in range(20):
+        rows = np.sort(r.choice(len(unit), 60, replace=False))
+        weights = unit[rows] * r.choice([1, 1, 1, 2, 7], 60)
+        total = np.zeros(shard.width)
+        off = shard.add_postings(total, rows, weights)[-1]
+        want = np.zeros(shard.width)
+        for row, weight in zip(rows, weights):
+            own = slice(shard.starts[row], shard.starts[row + 1])
+            want[shard.docs[own]] += shard.scores[own] * weight
+        assert want.any() and np.abs(total - want).max() <= off < 0.01 * want.max()
+
+
 def test_jobs_of_a_search_do_not_grow_with_its_blocks(spark, monkeypatch):
     docs, asked = search_case()
     df = spark.createDataFrame([(d, t, None, None, 0) for d, t in docs], DOC).repartition(3)
